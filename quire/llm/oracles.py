@@ -1,0 +1,22 @@
+"""DuckDB SQL for the queries that SQL can express over whole tables in reasonable time."""
+
+from __future__ import annotations
+
+ORACLES: dict[str, str] = {}
+
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+ORACLES["op1_line_dedup"] = f"""
+WITH lines AS (
+  SELECT doc_id, pos, line,
+         translate(trim(line, {_WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))),
+often AS (
+  SELECT k, max(doc_id) AS keep FROM lines WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+marked AS (
+  SELECT doc_id, pos, line, o.k IS NOT NULL AND doc_id <> o.keep AS gone FROM lines l LEFT JOIN often o ON l.k = o.k)
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE gone))::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
