@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup
+from . import bpe, jaccard_join, line_dedup, quality, secret_scan
 from .common import read, sha256_hex
 
 
@@ -21,7 +21,29 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+def word_bpe_path() -> str:
+    """The public vocabulary file that the BPE queries use by default."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(read(spark, sf_dir, "documents"), word_bpe_path(), full=False)
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(read(spark, sf_dir, "documents"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op7_bpe": op7_bpe,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_secret_scan": op9_secret_scan,
 }
