@@ -31,8 +31,10 @@ from .graph import components
 GROWTH = 1.5
 #: Fragments in which overlaps are counted.
 COUNTING_FRAGMENTS = 16
-#: Star rounds before all remaining cross-component pairs are compared.
-ROUNDS = 6
+#: Star rounds at most before all remaining cross-component pairs are compared.
+ROUNDS = 4
+#: Fragments of up to as many n-grams are weak, if at most this share of a class's smallest sets' fragments is.
+WEAK, WEAK_SHARE = 2, 0.07
 #: Sizes with fewer fragments than this may put much of the data under one key.
 FEW_FRAGMENTS = 32
 
@@ -43,15 +45,23 @@ def _sets(batch: pa.RecordBatch, n: int):
         yield from shingles.shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n)
 
 
-def size_classes(largest: int, p: int, q: int) -> list[tuple[int, int, int, int]]:
-    """``(low, high, fragments, spare)`` of each size class up to ``largest``."""
+def size_classes(largest: int, p: int, q: int) -> list[tuple[int, int, int, int, int]]:
+    """``(low, high, fragments, spare, weak)`` of each size class up to ``largest``.
+
+    With d differences at most, of ``d + 1 + spare`` fragments ``spare + 1`` are
+    equal in two sets that link.
+    """
     out, low = [], 1
     while low <= largest:
         high = max(low, int(np.ceil(low * GROWTH)) - 1)
         d = 2 * high * (q - p) // (q + p)
-        k = d + 1
-        spare = 0 if k < 8 else 1 if k < 16 else 2 + k // 50
-        out.append((low, high, k + spare if d else 0, spare))
+        k, spare, weak = (d + 1 if d else 0), 0, 0
+        if k >= 6:
+            mean = low / k
+            share = np.exp(-mean) * np.cumsum([1.0, mean, mean**2 / 2])
+            weak = max([w for w in range(WEAK + 1) if share[w] <= WEAK_SHARE], default=0)
+            spare = int(np.ceil(k * share[weak] + 2 * np.sqrt(k * share[weak])))
+        out.append((low, high, k + spare, spare, weak))
         low = high + 1
     return out
 
@@ -59,24 +69,26 @@ def size_classes(largest: int, p: int, q: int) -> list[tuple[int, int, int, int]
 def set_signatures(items: np.ndarray, p: int, q: int) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of a sorted set's fragments in each size class where it may meet another set.
 
-    Empty fragments are left out: of ``d + 1 + spare`` fragments, ``spare + 1``
-    are equal in both sets.  A set with more empty fragments than that gives
-    them too, under keys of their own.  Second result: has its class few fragments?
+    Weak fragments are left out, as they are often shared by chance: a set with
+    up to ``spare`` of them shares a strong one with each set it links with.  A
+    set with more gives the weak ones too, under keys of their own, where it
+    meets the other such sets.  Second result: has the class few fragments?
     """
     n, out, few = len(items), [], []
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(shingles.mix(items ^ np.uint64(0x5851F42D4C957F2D)))])
-    for c, (low, high, k, spare) in enumerate(size_classes(n * q // p, p, q)):
+    for c, (low, high, k, spare, weak) in enumerate(size_classes(n * q // p, p, q)):
         if high < n or not k or low > n * q // p:
             continue
         edges = (np.arange(1, k, dtype=np.uint64)) * np.uint64(2**64 // k)
         at = np.concatenate([[0], np.searchsorted(items, edges), [n]])
-        filled = at[1:] > at[:-1]
-        values = sums[at[1:]] - sums[at[:-1]]
+        strong = at[1:] - at[:-1] > weak
         place = shingles.mix(np.arange(k, dtype=np.uint64) * np.uint64(64) + np.uint64(c))
-        out.append(shingles.mix(values[filled] * np.uint64(0x9FB21C651E98DF25) + place[filled]))
-        if k - filled.sum() > spare:
-            out.append(shingles.mix(place[~filled] ^ np.uint64(0xA0761D6478BD642F)))
-        few.append(np.full(sum(map(len, out)) - sum(map(len, few)), k < FEW_FRAGMENTS))
+        values = shingles.mix((sums[at[1:]] - sums[at[:-1]]) * np.uint64(0x9FB21C651E98DF25) + place)
+        made = [values[strong]]
+        if k - strong.sum() > spare:
+            made.append(shingles.mix(values[~strong] ^ np.uint64(0xA0761D6478BD642F)))
+        out += made
+        few.append(np.full(sum(map(len, made)), k < FEW_FRAGMENTS))
     return (np.concatenate(out), np.concatenate(few)) if out else (np.zeros(0, np.uint64), np.zeros(0, bool))
 
 
@@ -197,8 +209,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (4
     wanted = cut(buckets.select(F.col("v").alias("doc_id")).distinct())
     segments = cut(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_fragment_rows(n), "v long, f int, items array<long>"))
 
-    links, labels = None, None
+    labels, before = None, None
     for turn in range(ROUNDS + 1):
+        final = turn == ROUNDS
         if turn:
             by_part = buckets.groupBy("sig", "c").agg(F.count("*").alias("m"))
             live = cut(by_part.groupBy("sig").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"), F.count("*").alias("parts")).filter("parts > 1"))
@@ -206,21 +219,29 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (4
             if not left["rows"]:
                 break
             buckets = cut(buckets.join(live.select("sig"), "sig"))
-            if left["pairs"] <= 2 * left["rows"] or turn == ROUNDS:
-                other = buckets.select("sig", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-                pairs = cut(buckets.select("sig", F.col("v").alias("a"), F.col("n").alias("na"), "c").join(other, "sig").filter("a < b AND c <> cb").select("a", "b", "na", "nb").distinct())
-                turn = ROUNDS
-            else:
-                pairs = cut(_hub_pairs(buckets, turn))
+            final = final or left["pairs"] <= 8 * left["rows"] or (before is not None and left["pairs"] > 0.7 * before)
+            before = left["pairs"]
+        if final:
+            other = buckets.select("sig", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
+            fits = (F.least("na", "nb") * q >= F.greatest("na", "nb") * p) & F.expr("a < b AND c <> cb")
+            pairs = cut(buckets.select("sig", F.col("v").alias("a"), F.col("n").alias("na"), "c").join(other, "sig").filter(fits).select("a", "b", "na", "nb").distinct())
         else:
-            pairs = cut(_hub_pairs(buckets.withColumn("c", F.col("v")), 0))
+            pairs = cut(_hub_pairs(buckets, turn))
         found = cut(_verified(pairs, segments, p, q))
         if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            labels = cut(components(links))
+            if labels is None:
+                labels = components(found)
+            else:
+                # Only what the new links join is worked on: they are contracted to the components known so far.
+                known = [labels.select(F.col("v").alias(x), F.col("c").alias(f"c{x}")) for x in "ab"]
+                half = cut(found.join(known[0], "a", "left").select(F.coalesce("ca", "a").alias("a"), "b"))
+                merged = components(half.join(known[1], "b", "left").select("a", F.coalesce("cb", "b").alias("b")))
+                heads_of = labels.join(merged.select(F.col("v").alias("c"), F.col("c").alias("to")), "c", "left").select("v", F.coalesce("to", "c").alias("c"))
+                labels = cut(heads_of.union(merged.join(labels.select("v"), "v", "left_anti").select("v", "c")))
             fresh = labels.withColumnRenamed("c", "to")
-            buckets = cut(buckets.join(fresh, "v", "left").select("sig", "v", "n", F.coalesce("to", "c").alias("c")))
-        if turn == ROUNDS:
+            if not final:
+                buckets = cut(buckets.join(fresh, "v", "left").select("sig", "v", "n", F.coalesce("to", "c").alias("c")))
+        if final:
             break
     out = sized.join(member.select("doc_id", "n_shingles", "f1", "f2", "class_id").distinct(), ["doc_id", "n_shingles", "f1", "f2"], "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"))
