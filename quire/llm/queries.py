@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard_join, line_dedup, quality, secret_scan
+from . import bpe, jaccard_join, language_id, line_dedup, quality, secret_scan
 from .common import read, sha256_hex
 
 
@@ -21,6 +21,10 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "documents"))
+
+
 def word_bpe_path() -> str:
     """The public vocabulary file that the BPE queries use by default."""
     import public_tokenizers
@@ -43,6 +47,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_language_id": op3_language_id,
     "op7_bpe": op7_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
