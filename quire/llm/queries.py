@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard_join, language_id, line_dedup, quality, secret_scan
+from . import ann, bpe, html_extract, jaccard_join, language_id, line_dedup, pii, quality, secret_scan
 from .common import read, sha256_hex
 
 
@@ -25,6 +25,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(read(spark, sf_dir, "pages"))
+
+
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+
+
 def word_bpe_path() -> str:
     """The public vocabulary file that the BPE queries use by default."""
     import public_tokenizers
@@ -44,11 +52,18 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(read(spark, sf_dir, "documents"))
 
 
+def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_language_id": op3_language_id,
+    "op5_html_extraction": op5_html_extraction,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_bpe": op7_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
+    "op10_pii_pseudonyms": op10_pii_pseudonyms,
 }
