@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The classifier learns from at most this many documents of each language, of these at most
 #: this many words of lines drawn over the whole text.  Prediction takes whole texts.
@@ -265,35 +266,45 @@ def training_rows(docs: DataFrame) -> list[tuple[int, str, str]]:
     return rows
 
 
-def identify(docs: DataFrame, crf: Crf | None = None) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` of each document, from its whole text.
+def labelled(docs: DataFrame, crf: Crf | None = None, carry: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` with ``lang_pred`` and ``score``, and of its columns those in ``carry`` (None: all).
 
-    Without ``crf``, one is learned from ``docs`` itself (doc_id, text, lang),
-    never from documents whose crc32(doc_id as text) mod 3 is 1.  ``score`` is
-    the mean marginal of the predicted language.  Defined cases: ``und`` with
-    score 0 if the text is null, empty or without a letter, or if there is
-    nothing to learn from; ties go to the language first in order; a null
-    doc_id is kept with a null ``held_out``; repeated rows each give a row; no
-    rows give no rows; other columns are ignored.  One pass, no shuffle.
+    Without ``crf``, one is learned from ``docs`` (doc_id, text, lang).
     """
-    spark = docs.sparkSession
     crf = train(training_rows(docs)) if crf is None else crf
-    shared = spark.sparkContext.broadcast(crf)  # fixed size: BUCKETS and LEXICON_WORDS x languages
-    names = ["doc_id", "held_out", "lang_pred", "score"]
+    shared = docs.sparkSession.sparkContext.broadcast(crf)  # fixed size: BUCKETS and LEXICON_WORDS x languages
+    carry = [c for c in docs.columns if c not in ("lang_pred", "score")] if carry is None else carry
+    names = [*carry, "lang_pred", "score"]
 
     def run(batches):
         labeller = Labeller(shared.value) if shared.value is not None else None
         for batch in batches:
-            texts, ids, held = batch.column("text"), batch.column("doc_id"), batch.column("held_out")
+            texts = batch.column("__text")
             at = 0
             while at < len(texts):
                 part, size = [], 0
-                while at + len(part) < len(texts) and (size < 1 << 20):
+                while at + len(part) < len(texts) and size < 1 << 20:
                     part.append(texts[at + len(part)].as_py() or "")
                     size += len(part[-1])
                 langs, scores = labeller.predict(part)[:2] if labeller else (["und"] * len(part), [0.0] * len(part))
-                yield pa.RecordBatch.from_arrays([ids.slice(at, len(part)), held.slice(at, len(part)), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names)
+                carried = [batch.column(c).slice(at, len(part)) for c in carry]
+                yield pa.RecordBatch.from_arrays([*carried, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names)
                 at += len(part)
 
-    held = (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held, F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    schema = T.StructType([docs.schema[c] for c in carry] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return docs.select(*carry, F.col("text").cast("string").alias("__text")).mapInArrow(run, schema)
+
+
+def identify(docs: DataFrame, crf: Crf | None = None) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` of each document, from its whole text.
+
+    Without ``crf``, one is learned from ``docs`` itself (doc_id, text, lang),
+    never from documents whose crc32(doc_id as text) mod 3 is 1.  ``score`` is
+    the mean marginal of the predicted language.  Defined cases: ``und`` with
+    score 0 if the text is null, empty or without a letter, or if there is
+    nothing to learn from; ties go to the language first in order; a null
+    doc_id is kept with a null ``held_out``; repeated rows each give a row; no
+    rows give no rows; other columns are ignored.  One pass, no shuffle.
+    """
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    return labelled(docs, crf, ["doc_id"]).select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "lang_pred", "score")

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_extract, jaccard_join, language_id, line_dedup, pii, quality, secret_scan
+import corpus_pipeline
+
+from . import ann, bpe, html_extract, jaccard_join, language_id, line_dedup, mixing, pii, quality, secret_scan
 from .common import read, sha256_hex
 
 
@@ -25,6 +27,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read(spark, sf_dir, "documents"))
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_rates(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("th")
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_text(read(spark, sf_dir, "pages"))
 
@@ -60,10 +66,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_language_id": op3_language_id,
+    "op4_source_mixing": op4_source_mixing,
     "op5_html_extraction": op5_html_extraction,
     "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_bpe": op7_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
+    "pipeline": corpus_pipeline.run,
 }
