@@ -17,8 +17,9 @@ of all links.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ from .graph import components
 GROWTH = 1.5
 #: Fragments in which overlaps are counted.
 COUNTING_FRAGMENTS = 16
+#: As many of them are looked at first, to rule pairs out.
+RULING_FRAGMENTS = 3
 #: Star rounds at most before all remaining cross-component pairs are compared.
 ROUNDS = 4
 #: Fragments of up to as many n-grams are weak, if at most this share of a class's smallest sets' fragments is.
@@ -51,8 +54,13 @@ def size_classes(largest: int, p: int, q: int) -> list[tuple[int, int, int, int,
     With d differences at most, of ``d + 1 + spare`` fragments ``spare + 1`` are
     equal in two sets that link.
     """
+    return _classes_to(largest.bit_length(), p, q)
+
+
+@functools.cache
+def _classes_to(bits: int, p: int, q: int) -> list[tuple[int, int, int, int, int]]:
     out, low = [], 1
-    while low <= largest:
+    while low <= 1 << bits:
         high = max(low, int(np.ceil(low * GROWTH)) - 1)
         d = 2 * high * (q - p) // (q + p)
         k, spare, weak = (d + 1 if d else 0), 0, 0
@@ -66,19 +74,21 @@ def size_classes(largest: int, p: int, q: int) -> list[tuple[int, int, int, int,
     return out
 
 
-def set_signatures(items: np.ndarray, p: int, q: int) -> tuple[np.ndarray, np.ndarray]:
+def set_signatures(items: np.ndarray, p: int, q: int, few: bool) -> np.ndarray:
     """Signatures of a sorted set's fragments in each size class where it may meet another set.
 
     Weak fragments are left out, as they are often shared by chance: a set with
     up to ``spare`` of them shares a strong one with each set it links with.  A
     set with more gives the weak ones too, under keys of their own, where it
-    meets the other such sets.  Second result: has the class few fragments?
+    meets the other such sets.  Classes with few fragments and those with many
+    are asked for apart.
     """
-    n, out, few = len(items), [], []
+    n, out = len(items), []
+    classes = [(c, *x) for c, x in enumerate(size_classes(n * q // p, p, q)) if x[1] >= n and x[2] and x[0] <= n * q // p and (x[2] < FEW_FRAGMENTS) == few]
+    if not classes:
+        return np.zeros(0, np.uint64)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(shingles.mix(items ^ np.uint64(0x5851F42D4C957F2D)))])
-    for c, (low, high, k, spare, weak) in enumerate(size_classes(n * q // p, p, q)):
-        if high < n or not k or low > n * q // p:
-            continue
+    for c, _, _, k, spare, weak in classes:
         edges = (np.arange(1, k, dtype=np.uint64)) * np.uint64(2**64 // k)
         at = np.concatenate([[0], np.searchsorted(items, edges), [n]])
         strong = at[1:] - at[:-1] > weak
@@ -88,41 +98,45 @@ def set_signatures(items: np.ndarray, p: int, q: int) -> tuple[np.ndarray, np.nd
         if k - strong.sum() > spare:
             made.append(shingles.mix(values[~strong] ^ np.uint64(0xA0761D6478BD642F)))
         out += made
-        few.append(np.full(sum(map(len, made)), k < FEW_FRAGMENTS))
-    return (np.concatenate(out), np.concatenate(few)) if out else (np.zeros(0, np.uint64), np.zeros(0, bool))
+    return np.concatenate(out)
 
 
-def _fingerprints(n: int):
+def _fingerprints(n: int, p: int, q: int):
+    """A row a document: set size, 128-bit fingerprint, and the signatures of classes with few fragments."""
+
     def run(batches):
         for batch in batches:
-            size, one, two = [], [], []
+            size, one, two, few = [], [], [], []
             for x in _sets(batch, n):
                 size.append(len(x))
                 one.append(np.add.reduce(shingles.mix(x ^ np.uint64(0x2545F4914F6CDD1D))) if len(x) else np.uint64(0))
                 two.append(np.add.reduce(shingles.mix(x + np.uint64(0x9E6C63D0876A9A47))) if len(x) else np.uint64(0))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(np.array(one, np.uint64).view(np.int64)), pa.array(np.array(two, np.uint64).view(np.int64))],
-                ["doc_id", "n_shingles", "f1", "f2"],
-            )
+                few.append(set_signatures(x, p, q, few=True).view(np.int64))
+            ends = np.cumsum([0] + [len(x) for x in few], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(few) if few else np.zeros(0, np.int64)))
+            columns = [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(np.array(one, np.uint64).view(np.int64)), pa.array(np.array(two, np.uint64).view(np.int64)), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "f1", "f2", "few"])
 
     return run
 
 
 def _signature_rows(n: int, p: int, q: int):
+    """A row a signature, of the classes with many fragments."""
+
     def run(batches):
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             held, rows = [], 0
             for i, x in zip(ids, _sets(batch, n)):
-                sig, few = set_signatures(x, p, q)
+                sig = set_signatures(x, p, q, few=False)
                 if len(sig):
-                    held.append((np.full(len(sig), i), sig.view(np.int64), few))
+                    held.append((np.full(len(sig), i), sig.view(np.int64)))
                     rows += len(sig)
                 if rows > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(y)) for y in zip(*held)], ["v", "sig", "few"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(y)) for y in zip(*held)], ["v", "sig"])
                     held, rows = [], 0
             if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(y)) for y in zip(*held)], ["v", "sig", "few"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(y)) for y in zip(*held)], ["v", "sig"])
 
     return run
 
@@ -159,7 +173,7 @@ def _fragment_batch(out: dict) -> pa.RecordBatch:
 
 def _verified(pairs: DataFrame, segments: DataFrame, p: int, q: int) -> DataFrame:
     """Pairs ``(a, b, na, nb)`` whose summed fragment overlaps reach the threshold."""
-    fits = pairs.filter(F.least("na", "nb") * q >= F.greatest("na", "nb") * p)
+    fits = cut(_not_ruled_out(pairs, segments, p, q))
     left = segments.select(F.col("v").alias("a"), "f", F.col("items").alias("of_a"))
     right = segments.select(F.col("v").alias("b"), "f", F.col("items").alias("of_b"))
     partial = fits.join(left, "a").join(right, ["b", "f"]).select("a", "b", "na", "nb", F.size(F.array_intersect("of_a", "of_b")).alias("common"))
@@ -167,6 +181,25 @@ def _verified(pairs: DataFrame, segments: DataFrame, p: int, q: int) -> DataFram
     return total.filter(F.col("common") * q >= (F.col("na") + F.col("nb") - F.col("common")) * p).select("a", "b")
 
 
+def _not_ruled_out(pairs: DataFrame, segments: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs that may link by their sizes and by their differences in a few fragments.
+
+    Sets that link differ in ``(a + b) (q - p) / (q + p)`` n-grams at most, so
+    as many differences in some fragments rule a pair out without the others.
+    """
+    allowed = (F.col("na") + F.col("nb")) * (q - p)
+    fits = pairs.filter(F.least("na", "nb") * q >= F.greatest("na", "nb") * p)
+    tested = fits.withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(RULING_FRAGMENTS - 1))))
+    some = segments.filter(F.col("f") < RULING_FRAGMENTS)
+    left = some.select(F.col("v").alias("a"), "f", F.col("items").alias("of_a"))
+    right = some.select(F.col("v").alias("b"), "f", F.col("items").alias("of_b"))
+    size = lambda c: F.coalesce(F.size(c), F.lit(0))
+    common = F.when(F.col("of_a").isNotNull() & F.col("of_b").isNotNull(), F.size(F.array_intersect("of_a", "of_b"))).otherwise(0)
+    both = tested.join(left, ["a", "f"], "left").join(right, ["b", "f"], "left")
+    differ = both.select("a", "b", "na", "nb", (size("of_a") + size("of_b") - 2 * common).alias("apart"))
+    return differ.groupBy("a", "b", "na", "nb").agg(F.sum("apart").alias("apart")).filter(F.col("apart") * (q + p) <= allowed).drop("apart")
+
+
 def _hub_pairs(buckets: DataFrame, turn: int) -> DataFrame:
     """Each bucket's members paired with its hub, unless they are connected."""
     first = F.col("v") if turn == 0 else F.xxhash64("v", F.lit(turn))
@@ -192,16 +225,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (4
     """
     p, q = threshold
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sized = cut(docs.mapInArrow(_fingerprints(n), "doc_id long, n_shingles long, f1 long, f2 long"))
+    made = cut(docs.mapInArrow(_fingerprints(n, p, q), "doc_id long, n_shingles long, f1 long, f2 long, few array<long>"))
+    sized = made.drop("few")
     able = sized.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = cut(able.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("class_id")))
     member = cut(able.join(classes, ["f1", "f2", "n_shingles"]).select("doc_id", "n_shingles", "f1", "f2", "class_id"))
     heads = member.filter("doc_id = class_id").select(F.col("doc_id").alias("v"), F.col("n_shingles").alias("n")).distinct()
 
-    rows = docs.filter("doc_id IS NOT NULL").mapInArrow(_signature_rows(n, p, q), "v long, sig long, few boolean")
+    # Many fragments: a key holds a small share of the rows at most, and one window finds the shared keys.
     by_sig = Window.partitionBy("sig")
-    many = rows.filter("NOT few").select("sig", "v").withColumns({"low": F.min("v").over(by_sig), "high": F.max("v").over(by_sig)}).filter("low < high").select("sig", "v")
-    small = rows.filter("few").select("sig", "v")
+    many = docs.filter("doc_id IS NOT NULL").mapInArrow(_signature_rows(n, p, q), "v long, sig long")
+    many = many.withColumns({"low": F.min("v").over(by_sig), "high": F.max("v").over(by_sig)}).filter("low < high").select("sig", "v")
+    # Few fragments: a key may hold a large share; it is summed first, and the join is left to AQE to split.
+    small = made.filter("doc_id IS NOT NULL").select(F.explode("few").alias("sig"), F.col("doc_id").alias("v"))
     shared = cut(small.groupBy("sig").agg(F.min("v").alias("low"), F.max("v").alias("high")).filter("low < high").select("sig"))
     shared_rows = many.union(small.join(shared, "sig").select("sig", "v"))
     buckets = cut(shared_rows.join(heads, "v").select("sig", "v", "n", F.col("v").alias("c")))
