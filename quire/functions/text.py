@@ -5,6 +5,7 @@ Java's ``\\s`` and ``\\d`` are ASCII; classes are spelled out where others are m
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -16,6 +17,15 @@ _WIDE = {",": "，", ";": "；", ":": "：", "!": "！", "?": "？"}
 _CN = "一二三四五六七八九十百零〇"
 
 
+def bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with the value computed once.
+
+    A plain expression inside a lambda is computed for each element; a lambda's
+    own variable is not, so the value is made the only element of an array.
+    """
+    return F.element_at(F.transform(F.array(value), of), 1)
+
+
 def chain(text: Column, rules: list[tuple[str, str]]) -> Column:
     """Regular-expression replacements in order."""
     return reduce(lambda t, r: F.regexp_replace(t, r[0], r[1]), rules, text)
@@ -111,6 +121,10 @@ def regap_heading(text: Column) -> Column:
 
 def dedupe_title(text: Column) -> Column:
     """A title typed twice: the longest suffix (3 to 40 characters) that is also the prefix goes."""
+    return bound(text, _dedupe_title)
+
+
+def _dedupe_title(text: Column) -> Column:
     n = F.length(text)
     sizes = F.filter(F.sequence(F.lit(3), F.greatest(F.lit(3), F.least(F.lit(40), F.floor(n / 2).cast("int")))), lambda k: (n >= 2 * k) & (F.substr(text, F.lit(1), k) == F.substr(text, n - k + 1, k)) & ~F.substr(text, F.lit(1), k).rlike("[章节]$"))
     k = F.array_max(sizes)
@@ -198,6 +212,10 @@ def apostrophes(text: Column) -> Column:
     two letters and no contraction follows; a leading ’ before a letter is an
     apostrophe; any other closes one level.
     """
+    return bound(text, _apostrophes)
+
+
+def _apostrophes(text: Column) -> Column:
     chars = F.split(text, "(?!^)(?=[\\s\\S])")
     latin = "[A-Za-zÀ-ɏ]"
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("depth"), F.lit(1).alias("at"))

@@ -47,21 +47,17 @@ def is_separator(text: Column) -> Column:
     return text.rlike("^\\*(?:[ \\t　]*\\*)+$")
 
 
-def _in(c: Column, chars: str) -> Column:
-    return F.locate(c, F.lit(chars)) > 0 if isinstance(c, str) else F.instr(F.lit(chars), c) > 0
-
-
 def legal_breaks(text: Column) -> Column:
     """positions (characters before the break) where a line may end.
 
     After a space, or between two characters of which one is CJK; never before
     a closer or after an opener.
     """
-    wide = "[ -鿿豈-﫿＀-￯]"
+    wide = "[\u2e80-\u9fff\uf900-\ufaff\uff00-\uffef]"
 
     def may(i: Column) -> Column:
         a, b = F.substr(text, i, F.lit(1)), F.substr(text, i + 1, F.lit(1))
-        closer = F.contains(F.lit(CLOSERS), b)
+        closer = F.contains(F.lit(CLOSERS), b) & (b != "")
         opener = F.contains(F.lit(OPENERS), a)
         return ~closer & ~opener & (b != " ") & ((a == " ") | a.rlike(wide) | b.rlike(wide))
 

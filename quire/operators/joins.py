@@ -5,6 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import bound
+
+
+def windows(values: Column, n: int, sep: str) -> Column:
+    """All runs of n neighbours in an array of strings, joined; none if it is shorter."""
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(values) - (n - 1)))
+    return F.when(F.size(values) >= n, F.transform(starts, lambda i: F.array_join(F.slice(values, i, n), sep))).otherwise(F.array().cast("array<string>"))
+
 
 def check_notes(marks: DataFrame, notes: DataFrame, keys: list[str]) -> DataFrame:
     """What is wrong between marks (keys, id, href, label) and notes (keys, anchor, back, label).
@@ -52,8 +60,8 @@ def term_occurrences(texts: DataFrame, terms: DataFrame, text: str = "text") ->
     sizes = [r["n"] for r in terms.select(F.size(F.split("term", " ")).alias("n")).distinct().orderBy("n").collect()]
     out = None
     for n in sizes:
-        words = texts.select("doc_id", F.split(F.trim(F.regexp_replace(text, "[ \\t\\n]+", " ")), " ").alias("w")).filter(F.size("w") >= n)
-        grams = words.select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.array_join(F.slice(F.col("w"), i, n), " "))).alias("pos", "term"))
+        words = F.split(F.trim(F.regexp_replace(text, "[ \\t\\n]+", " ")), " ")
+        grams = texts.select("doc_id", F.posexplode(bound(words, lambda w: windows(w, n, " "))).alias("pos", "term"))
         found = grams.join(terms.select("term").distinct(), "term")
         out = found if out is None else out.union(found)
     return out if out is not None else texts.select("doc_id").limit(0).select("doc_id", F.lit(0).alias("pos"), F.lit("").alias("term"))
@@ -75,8 +83,8 @@ def missing_pieces(items: DataFrame, corpus: DataFrame, size: int = 12, share: f
     docs = corpus.select("doc_id", strip("text").alias("t")).filter("t <> ''")
     heads = docs.select("doc_id", F.substr("t", F.lit(1), F.lit(size - 1)).alias("head"), F.length("t").alias("n"))
     follow = _following(heads, size - 1)
-    whole = docs.join(follow, "doc_id").select(F.concat("t", F.coalesce("after", F.lit(""))).alias("t")).filter(F.length("t") >= size)
-    rolling = whole.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("t") - (size - 1)), lambda i: F.substr(F.col("t"), i, F.lit(size)))).alias("piece"))
+    chars = F.split(F.concat("t", F.coalesce("after", F.lit(""))), "(?!^)(?=[\\s\\S])")
+    rolling = docs.join(follow, "doc_id").select(F.explode(bound(chars, lambda c: windows(c, size, ""))).alias("piece"))
     have = rolling.join(wanted, "piece", "left_semi").distinct()
     judged = pieces.join(have.withColumn("here", F.lit(1)), "piece", "left")
     out = judged.groupBy("item_id").agg(F.count("*").alias("pieces"), F.sum(F.col("here").isNull().cast("long")).alias("absent"))
