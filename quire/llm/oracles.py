@@ -20,3 +20,20 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE gone))::BIGI
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+ORACLES["op8_quality_rules"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+m AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+g AS (SELECT rid, unnest(range(0, len(w) - 4)) AS i, w FROM m WHERE len(w) >= 5),
+h AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, array_to_string(w[i + 1:i + 5], chr(31))) AS n FROM g),
+c AS (SELECT rid, count(DISTINCT i + k) AS n_repeat FROM h, (SELECT unnest([0, 1, 2, 3, 4]) AS k) WHERE n > 1 GROUP BY rid),
+b AS (SELECT doc_id, t, w, len(l)::BIGINT AS n_lines, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+        (length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n_repeat, 0)::BIGINT AS n_repeat_words
+      FROM m LEFT JOIN c USING (rid)),
+f AS (SELECT *, n_words < 10 OR n_repeat_words * 100 > n_words * 20 AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR n_symbols * 100 > n_words * 10 OR n_dup_lines * 100 > n_lines * 30 OR word_chars < n_words * 2 OR word_chars > n_words * 15
+    OR length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) * 100 > length(regexp_replace(t, '[^\p{L}]+', '', 'g')) * 50
+    OR len(list_filter(w, lambda x: NOT regexp_matches(x, '\p{L}'))) * 100 > n_words * 40 OR len(list_filter(w, lambda x: ends_with(x, '!!'))) * 100 > n_words * 30) AS kept
+FROM f
+"""
