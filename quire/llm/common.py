@@ -42,6 +42,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Keys that are broadcast at most: 8 bytes each, some 16 MB as a hash table.
+BROADCAST_KEYS = 500_000
+
+
+def rows_of(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Rows whose key is among the distinct ``keys`` (a frame that is cut, of 64-bit numbers).
+
+    The keys are counted: few enough are broadcast, so ``df`` is not shuffled;
+    more are joined by a shuffle.
+    """
+    few = keys.count() <= BROADCAST_KEYS
+    return df.join(F.broadcast(keys) if few else keys, column, "left_semi")
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import chunks, cut, string_arrays
+from .common import chunks, cut, rows_of, string_arrays
 from .graph import components
 
 #: Size classes grow by this factor; a class fixes the number of fragments.
@@ -174,6 +174,8 @@ def _fragment_batch(out: dict) -> pa.RecordBatch:
 def _verified(pairs: DataFrame, segments: DataFrame, p: int, q: int) -> DataFrame:
     """Pairs ``(a, b, na, nb)`` whose summed fragment overlaps reach the threshold."""
     fits = cut(_not_ruled_out(pairs, segments, p, q))
+    members = cut(fits.select(F.col("a").alias("v")).union(fits.select(F.col("b").alias("v"))).distinct())
+    segments = rows_of(segments, members, "v")
     left = segments.select(F.col("v").alias("a"), "f", F.col("items").alias("of_a"))
     right = segments.select(F.col("v").alias("b"), "f", F.col("items").alias("of_b"))
     partial = fits.join(left, "a").join(right, ["b", "f"]).select("a", "b", "na", "nb", F.size(F.array_intersect("of_a", "of_b")).alias("common"))
@@ -243,7 +245,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (4
     buckets = cut(shared_rows.join(heads, "v").select("sig", "v", "n", F.col("v").alias("c")))
 
     wanted = cut(buckets.select(F.col("v").alias("doc_id")).distinct())
-    segments = cut(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_fragment_rows(n), "v long, f int, items array<long>"))
+    segments = cut(rows_of(docs, wanted, "doc_id").dropDuplicates(["doc_id"]).mapInArrow(_fragment_rows(n), "v long, f int, items array<long>"))
 
     labels, before = None, None
     for turn in range(ROUNDS + 1):
