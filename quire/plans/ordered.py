@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -11,9 +11,17 @@ from ..registry import query
 from ..sources.tables import BLOCKS, blocks, table
 
 KEY = ["doc_id"]
-SHORT = F.length("line") <= 46
 _HEAD = "length(line) <= 46 AND NOT regexp_matches(line, '[。！？；：，、,.!?;:]$')"
-HEAD = SHORT & ~F.col("line").rlike("[。！？；：，、,.!?;:]$")
+
+
+def short() -> Column:
+    return F.length("line") <= 46
+
+
+def head() -> Column:
+    return short() & ~F.col("line").rlike("[。！？；：，、,.!?;:]$")
+
+
 _ISLES = f"""WITH {BLOCKS}, s AS (SELECT *, length(line) <= 46 AS flag, ({_HEAD}) AS head FROM blocks),
 c AS (SELECT *, (flag IS DISTINCT FROM lag(flag) OVER (PARTITION BY doc_id ORDER BY bi))::INT AS st FROM s),
 i AS (SELECT *, sum(st) OVER (PARTITION BY doc_id ORDER BY bi) AS island FROM c),
@@ -44,12 +52,12 @@ def w2(spark: SparkSession, d: str) -> DataFrame:
 
 @query("w3_short_islands", _ISLES + " SELECT doc_id, bi::INT AS bi, size::BIGINT AS size, (flag AND size >= 3 AND held = 1) AS centred FROM g")
 def w3(spark: SparkSession, d: str) -> DataFrame:
-    return W.centre_weak_runs(blocks(spark, d), KEY, SHORT, HEAD).select("doc_id", "bi", "size", "centred")
+    return W.centre_weak_runs(blocks(spark, d), KEY, short(), head()).select("doc_id", "bi", "size", "centred")
 
 
 @query("w4_keep_signatures", _ISLES + " SELECT doc_id, bi::INT AS bi, flag AS nostart, (flag AND nth < size) AS keep FROM g")
 def w4(spark: SparkSession, d: str) -> DataFrame:
-    return W.keep_signatures(blocks(spark, d), KEY, SHORT).select("doc_id", "bi", "nostart", "keep")
+    return W.keep_signatures(blocks(spark, d), KEY, short()).select("doc_id", "bi", "nostart", "keep")
 
 
 @query("w5_group_verse", f"WITH {BLOCKS} SELECT doc_id, bi::INT AS bi, length(line) <= 26 AS verse FROM blocks")
@@ -61,7 +69,7 @@ def w5(spark: SparkSession, d: str) -> DataFrame:
 m AS (SELECT *, coalesce(lag(leads) OVER (PARTITION BY doc_id ORDER BY bi), false) AS follows FROM l)
 SELECT doc_id, bi::INT AS bi, CASE WHEN leads THEN line || chr(12288) || nxt ELSE line END AS line FROM m WHERE NOT follows""")
 def w6(spark: SparkSession, d: str) -> DataFrame:
-    return W.merge_ordinals(blocks(spark, d), KEY, SHORT).select("doc_id", "bi", "line")
+    return W.merge_ordinals(blocks(spark, d), KEY, short()).select("doc_id", "bi", "line")
 
 
 _HEADS = f"WITH {BLOCKS}, heads AS (SELECT doc_id, bi, length(line) % 5 + 1 AS lvl FROM blocks WHERE length(line) <= 46)"
@@ -69,7 +77,7 @@ _HEADS = f"WITH {BLOCKS}, heads AS (SELECT doc_id, bi, length(line) % 5 + 1 AS l
 
 def heads(spark: SparkSession, d: str) -> DataFrame:
     """Short lines as headings; their length gives a level, as the test tables have none."""
-    return blocks(spark, d).filter(SHORT).select("doc_id", "bi", (F.length("line") % 5 + 1).alias("lvl"))
+    return blocks(spark, d).filter(short()).select("doc_id", "bi", (F.length("line") % 5 + 1).alias("lvl"))
 
 
 @query("w7_rank", _HEADS + """, t AS (SELECT *, first_value(lvl) OVER (PARTITION BY doc_id ORDER BY bi) AS top FROM heads)
@@ -93,7 +101,7 @@ f AS (SELECT doc_id, bi, n AS since, n AS seen, false AS cut FROM b WHERE bi = 0
   FROM f JOIN b ON b.doc_id = f.doc_id AND b.bi = f.bi + 1)
 SELECT doc_id, bi::INT AS cut FROM f WHERE cut""")
 def w9(spark: SparkSession, d: str) -> DataFrame:
-    return W.split_headings(blocks(spark, d), KEY, SHORT)
+    return W.split_headings(blocks(spark, d), KEY, short())
 
 
 _MODULES = """modules AS (SELECT conv_id, turn, role, 1 + length(text) // 600 AS npages, CASE WHEN role = 'system' OR turn = 0 THEN 'front' ELSE 'body' END AS zone FROM conversations)"""
@@ -174,4 +182,4 @@ def w20(spark: SparkSession, d: str) -> DataFrame:
 
 @query("w21_collapsed_outline", _ISLES.replace("length(line) <= 46 AS flag", "length(line) > 46 AS flag") + " SELECT doc_id, bi::INT AS bi, (CASE WHEN flag THEN size ELSE 1 END)::BIGINT AS n FROM g WHERE NOT flag OR nth = 1")
 def w21(spark: SparkSession, d: str) -> DataFrame:
-    return W.collapsed_outline(blocks(spark, d), KEY, ~SHORT).select("doc_id", "bi", "n")
+    return W.collapsed_outline(blocks(spark, d), KEY, ~short()).select("doc_id", "bi", "n")
