@@ -38,7 +38,7 @@ PAIRS = ("（）", "《》", "“”", "‘’", "「」", "『』", "〈〉", "
 def findings(df: DataFrame, text: str, categories: list[str], around: int = 14) -> DataFrame:
     """A row a match: the columns of ``df``, ``category``, ``nth`` and ``context``; a Catalyst plan, one explode."""
     def of(category: str) -> Column:
-        matches = F.regexp_extract_all(text, F.lit(f"({PATTERNS[category]})"), 1)
+        matches = F.regexp_extract_all(text, F.lit(PATTERNS[category]), 0)  # 0: the whole match, so back-references keep their numbers
         return F.transform(matches, lambda m, i: F.struct(F.lit(category).alias("category"), m.alias("match"), i.alias("nth")))
 
     found = [of(c) for c in categories]
