@@ -42,6 +42,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows in a task of a frame that was counted.
+ROWS_A_TASK = 200_000
+
+
+def narrow(df: DataFrame) -> DataFrame:
+    """A frame that is cut, in as many tasks as its rows need: small ones leave few shuffle files."""
+    return df.coalesce(max(1, -(-df.count() // ROWS_A_TASK)))
+
+
 #: Keys that are broadcast at most: 8 bytes each, some 16 MB as a hash table.
 BROADCAST_KEYS = 500_000
 

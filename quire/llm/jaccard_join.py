@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import chunks, cut, rows_of, string_arrays
+from .common import chunks, cut, narrow, rows_of, string_arrays
 from .graph import components
 
 #: Size classes grow by this factor; a class fixes the number of fragments.
@@ -36,12 +36,19 @@ COUNTING_FRAGMENTS = 16
 RULING_FRAGMENTS = 3
 #: Star rounds at most before all remaining cross-component pairs are compared.
 ROUNDS = 4
+#: Pairs are compared in full once there are no more than so many for each row of a bucket.
+PAIRS_A_ROW = 50
 #: Fragments of up to as many n-grams are weak, if at most this share of a class's smallest sets' fragments is.
 WEAK, WEAK_SHARE = 2, 0.07
+#: Ranges of the order whose n-grams are counted for each set, to rule pairs out where they meet.
+RANGES = 48
 #: Sizes with fewer fragments than this may put much of the data under one key.
 FEW_FRAGMENTS = 32
 
 
+_EDGES = np.arange(1, RANGES, dtype=np.uint64) * np.uint64(2**64 // RANGES)
+
+
 def _sets(batch: pa.RecordBatch, n: int):
     data, offsets = string_arrays(batch.column("text"))
     for a, b in chunks(offsets):
@@ -106,16 +113,18 @@ def _fingerprints(n: int, p: int, q: int):
 
     def run(batches):
         for batch in batches:
-            size, one, two, few = [], [], [], []
+            size, one, two, few, counts = [], [], [], [], []
             for x in _sets(batch, n):
                 size.append(len(x))
                 one.append(np.add.reduce(shingles.mix(x ^ np.uint64(0x2545F4914F6CDD1D))) if len(x) else np.uint64(0))
                 two.append(np.add.reduce(shingles.mix(x + np.uint64(0x9E6C63D0876A9A47))) if len(x) else np.uint64(0))
                 few.append(set_signatures(x, p, q, few=True).view(np.int64))
+                counts.append(np.minimum(np.diff(np.searchsorted(x, _EDGES), prepend=0, append=len(x)), 127).astype(np.int8))
             ends = np.cumsum([0] + [len(x) for x in few], dtype=np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(few) if few else np.zeros(0, np.int64)))
-            columns = [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(np.array(one, np.uint64).view(np.int64)), pa.array(np.array(two, np.uint64).view(np.int64)), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "f1", "f2", "few"])
+            ranges = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * RANGES), pa.array(np.concatenate(counts) if counts else np.zeros(0, np.int8)))
+            columns = [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(np.array(one, np.uint64).view(np.int64)), pa.array(np.array(two, np.uint64).view(np.int64)), lists, ranges]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "f1", "f2", "few", "counts"])
 
     return run
 
@@ -173,8 +182,8 @@ def _fragment_batch(out: dict) -> pa.RecordBatch:
 
 def _verified(pairs: DataFrame, segments: DataFrame, p: int, q: int) -> DataFrame:
     """Pairs ``(a, b, na, nb)`` whose summed fragment overlaps reach the threshold."""
-    fits = cut(_not_ruled_out(pairs, segments, p, q))
-    members = cut(fits.select(F.col("a").alias("v")).union(fits.select(F.col("b").alias("v"))).distinct())
+    fits = narrow(cut(_not_ruled_out(pairs, segments, p, q)))
+    members = narrow(cut(fits.select(F.col("a").alias("v")).union(fits.select(F.col("b").alias("v"))).distinct()))
     segments = rows_of(segments, members, "v")
     left = segments.select(F.col("v").alias("a"), "f", F.col("items").alias("of_a"))
     right = segments.select(F.col("v").alias("b"), "f", F.col("items").alias("of_b"))
@@ -205,7 +214,7 @@ def _not_ruled_out(pairs: DataFrame, segments: DataFrame, p: int, q: int) -> Dat
 def _hub_pairs(buckets: DataFrame, turn: int) -> DataFrame:
     """Each bucket's members paired with its hub, unless they are connected."""
     first = F.col("v") if turn == 0 else F.xxhash64("v", F.lit(turn))
-    hubs = cut(buckets.groupBy("sig").agg(F.min(F.struct(first.alias("by"), "v", "n", "c")).alias("hub")))
+    hubs = narrow(cut(buckets.groupBy("sig").agg(F.min(F.struct(first.alias("by"), "v", "n", "c")).alias("hub"))))
     return (
         buckets.join(hubs, "sig").filter(F.col("c") != F.col("hub.c"))
         .select(F.least("v", "hub.v").alias("a"), F.greatest("v", "hub.v").alias("b"), F.when(F.col("v") < F.col("hub.v"), F.col("n")).otherwise(F.col("hub.n")).alias("na"), F.when(F.col("v") < F.col("hub.v"), F.col("hub.n")).otherwise(F.col("n")).alias("nb"))
@@ -227,12 +236,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (4
     """
     p, q = threshold
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = cut(docs.mapInArrow(_fingerprints(n, p, q), "doc_id long, n_shingles long, f1 long, f2 long, few array<long>"))
-    sized = made.drop("few")
+    made = cut(docs.mapInArrow(_fingerprints(n, p, q), "doc_id long, n_shingles long, f1 long, f2 long, few array<long>, counts array<tinyint>"))
+    sized = made.drop("few", "counts")
     able = sized.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = cut(able.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("class_id")))
     member = cut(able.join(classes, ["f1", "f2", "n_shingles"]).select("doc_id", "n_shingles", "f1", "f2", "class_id"))
     heads = member.filter("doc_id = class_id").select(F.col("doc_id").alias("v"), F.col("n_shingles").alias("n")).distinct()
+    # A repeated doc_id has one set here, the one of its smallest class row; min over structs picks it.
+    drawn = made.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("v"), F.col("n_shingles").alias("n")).agg(F.min("counts").alias("counts"))
+    heads = cut(heads.join(drawn, ["v", "n"]))
 
     # Many fragments: a key holds a small share of the rows at most, and one window finds the shared keys.
     by_sig = Window.partitionBy("sig")
@@ -240,11 +252,11 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (4
     many = many.withColumns({"low": F.min("v").over(by_sig), "high": F.max("v").over(by_sig)}).filter("low < high").select("sig", "v")
     # Few fragments: a key may hold a large share; it is summed first, and the join is left to AQE to split.
     small = made.filter("doc_id IS NOT NULL").select(F.explode("few").alias("sig"), F.col("doc_id").alias("v"))
-    shared = cut(small.groupBy("sig").agg(F.min("v").alias("low"), F.max("v").alias("high")).filter("low < high").select("sig"))
+    shared = narrow(cut(small.groupBy("sig").agg(F.min("v").alias("low"), F.max("v").alias("high")).filter("low < high").select("sig")))
     shared_rows = many.union(small.join(shared, "sig").select("sig", "v"))
-    buckets = cut(shared_rows.join(heads, "v").select("sig", "v", "n", F.col("v").alias("c")))
+    buckets = narrow(cut(shared_rows.join(heads.drop("counts"), "v").select("sig", "v", "n", F.col("v").alias("c"))))
 
-    wanted = cut(buckets.select(F.col("v").alias("doc_id")).distinct())
+    wanted = narrow(cut(buckets.select(F.col("v").alias("doc_id")).distinct()))
     segments = cut(rows_of(docs, wanted, "doc_id").dropDuplicates(["doc_id"]).mapInArrow(_fragment_rows(n), "v long, f int, items array<long>"))
 
     labels, before = None, None
@@ -252,20 +264,24 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (4
         final = turn == ROUNDS
         if turn:
             by_part = buckets.groupBy("sig", "c").agg(F.count("*").alias("m"))
-            live = cut(by_part.groupBy("sig").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"), F.count("*").alias("parts")).filter("parts > 1"))
+            live = narrow(cut(by_part.groupBy("sig").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"), F.count("*").alias("parts")).filter("parts > 1")))
             left = live.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2).alias("pairs"), F.sum("m").alias("rows")).first()
             if not left["rows"]:
                 break
-            buckets = cut(buckets.join(live.select("sig"), "sig"))
-            final = final or left["pairs"] <= 8 * left["rows"] or (before is not None and left["pairs"] > 0.7 * before)
+            buckets = narrow(cut(buckets.join(live.select("sig"), "sig")))
+            final = final or left["pairs"] <= PAIRS_A_ROW * left["rows"] or (before is not None and left["pairs"] > 0.7 * before)
             before = left["pairs"]
         if final:
-            other = buckets.select("sig", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-            fits = (F.least("na", "nb") * q >= F.greatest("na", "nb") * p) & F.expr("a < b AND c <> cb")
-            pairs = cut(buckets.select("sig", F.col("v").alias("a"), F.col("n").alias("na"), "c").join(other, "sig").filter(fits).select("a", "b", "na", "nb").distinct())
+            # The counts in the ranges bound the differences from below, so most pairs that meet by chance end here.
+            drawn = buckets.join(heads.select("v", "counts"), "v")
+            other = drawn.select("sig", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("counts").alias("rb"))
+            apart = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda a, x: a + x)
+            fits = (F.least("na", "nb") * q >= F.greatest("na", "nb") * p) & F.expr("a < b AND c <> cb") & (apart * (q + p) <= (F.col("na") + F.col("nb")) * (q - p))
+            mine = drawn.select("sig", F.col("v").alias("a"), F.col("n").alias("na"), "c", F.col("counts").alias("ra"))
+            pairs = narrow(cut(mine.join(other, (mine["sig"] == other["sig"]) & fits).select("a", "b", "na", "nb").distinct()))
         else:
-            pairs = cut(_hub_pairs(buckets, turn))
-        found = cut(_verified(pairs, segments, p, q))
+            pairs = narrow(cut(_hub_pairs(buckets, turn)))
+        found = narrow(cut(_verified(pairs, segments, p, q)))
         if not found.isEmpty():
             if labels is None:
                 labels = components(found)
