@@ -21,7 +21,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shingles
@@ -41,7 +41,7 @@ PAIRS_A_ROW = 50
 #: Fragments of up to as many n-grams are weak, if at most this share of a class's smallest sets' fragments is.
 WEAK, WEAK_SHARE = 2, 0.07
 #: Ranges of the order whose n-grams are counted for each set, to rule pairs out where they meet.
-RANGES = 48
+RANGES = 96
 #: Sizes with fewer fragments than this may put much of the data under one key.
 FEW_FRAGMENTS = 32
 
@@ -180,9 +180,9 @@ def _fragment_batch(out: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(out["v"], pa.int64()), pa.array(out["f"], pa.int32()), items], ["v", "f", "items"])
 
 
-def _verified(pairs: DataFrame, segments: DataFrame, p: int, q: int) -> DataFrame:
+def _verified(pairs: DataFrame, segments: DataFrame, heads: DataFrame, p: int, q: int) -> DataFrame:
     """Pairs ``(a, b, na, nb)`` whose summed fragment overlaps reach the threshold."""
-    fits = narrow(cut(_not_ruled_out(pairs, segments, p, q)))
+    fits = narrow(cut(_not_ruled_out(pairs, segments, heads, p, q)))
     members = narrow(cut(fits.select(F.col("a").alias("v")).union(fits.select(F.col("b").alias("v"))).distinct()))
     segments = rows_of(segments, members, "v")
     left = segments.select(F.col("v").alias("a"), "f", F.col("items").alias("of_a"))
@@ -192,14 +192,21 @@ def _verified(pairs: DataFrame, segments: DataFrame, p: int, q: int) -> DataFram
     return total.filter(F.col("common") * q >= (F.col("na") + F.col("nb") - F.col("common")) * p).select("a", "b")
 
 
-def _not_ruled_out(pairs: DataFrame, segments: DataFrame, p: int, q: int) -> DataFrame:
-    """Pairs that may link by their sizes and by their differences in a few fragments.
+def _apart(x: str, y: str) -> Column:
+    """Differences of two sets at least, by the counts in their ranges."""
+    return F.aggregate(F.zip_with(x, y, lambda a, b: F.abs(a.cast("int") - b.cast("int"))), F.lit(0), lambda t, d: t + d)
+
+
+def _not_ruled_out(pairs: DataFrame, segments: DataFrame, heads: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs that may link by their sizes, the counts in their ranges and their differences in a few fragments.
 
     Sets that link differ in ``(a + b) (q - p) / (q + p)`` n-grams at most, so
     as many differences in some fragments rule a pair out without the others.
     """
     allowed = (F.col("na") + F.col("nb")) * (q - p)
     fits = pairs.filter(F.least("na", "nb") * q >= F.greatest("na", "nb") * p)
+    one, two = (heads.select(F.col("v").alias(x), F.col("counts").alias(f"r{x}")) for x in "ab")
+    fits = narrow(cut(fits.join(one, "a").join(two, "b").filter(_apart("ra", "rb") * (q + p) <= allowed).select("a", "b", "na", "nb")))
     tested = fits.withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(RULING_FRAGMENTS - 1))))
     some = segments.filter(F.col("f") < RULING_FRAGMENTS)
     left = some.select(F.col("v").alias("a"), "f", F.col("items").alias("of_a"))
@@ -275,13 +282,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (4
             # The counts in the ranges bound the differences from below, so most pairs that meet by chance end here.
             drawn = buckets.join(heads.select("v", "counts"), "v")
             other = drawn.select("sig", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("counts").alias("rb"))
-            apart = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda a, x: a + x)
-            fits = (F.least("na", "nb") * q >= F.greatest("na", "nb") * p) & F.expr("a < b AND c <> cb") & (apart * (q + p) <= (F.col("na") + F.col("nb")) * (q - p))
+            fits = (F.least("na", "nb") * q >= F.greatest("na", "nb") * p) & F.expr("a < b AND c <> cb") & (_apart("ra", "rb") * (q + p) <= (F.col("na") + F.col("nb")) * (q - p))
             mine = drawn.select("sig", F.col("v").alias("a"), F.col("n").alias("na"), "c", F.col("counts").alias("ra"))
             pairs = narrow(cut(mine.join(other, (mine["sig"] == other["sig"]) & fits).select("a", "b", "na", "nb").distinct()))
         else:
             pairs = narrow(cut(_hub_pairs(buckets, turn)))
-        found = narrow(cut(_verified(pairs, segments, p, q)))
+        found = narrow(cut(_verified(pairs, segments, heads, p, q)))
         if not found.isEmpty():
             if labels is None:
                 labels = components(found)
