@@ -31,7 +31,7 @@ PATTERNS = {
     "adjacent-format": "</(i|b|em|strong)> <\\1>",
 }
 #: Runs of marks and doubled characters that are right (fixed values).
-ALLOWED = {"punct-run": ["？！", "！？", "？？", "！！", "。」"], "dup-char": list("".join(("人人", "天天", "年年", "日日", "常常", "往往", "渐渐", "仅仅", "刚刚", "人人"))[::2])}
+ALLOWED = {"punct-run": ["？！", "！？", "？？", "！！", "。」"], "dup-char": list("人天年日常往渐仅刚")}
 PAIRS = ("（）", "《》", "“”", "‘’", "「」", "『』", "〈〉", "()", "[]", "【】")
 
 

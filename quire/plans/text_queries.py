@@ -43,9 +43,6 @@ def t13(spark: SparkSession, d: str) -> DataFrame:
     return blocks(spark, d).select("doc_id", "bi", X.dedupe_title(F.col("line")).alias("line"))
 
 
-_ROMAN = "".join(f"repeat('{r}', (n {m} // {v})::INT) || " for v, r, m in [(1000, "m", ""), (900, "cm", "% 1000"), (500, "d", "% 1000 % 900"), (400, "cd", "% 1000 % 900 % 500"), (100, "c", "% 1000 % 900 % 500 % 400")])
-
-
 @query("t15_roman", """
 SELECT n, repeat('m', (n // 1000)::INT) || ['', 'c', 'cc', 'ccc', 'cd', 'd', 'dc', 'dcc', 'dccc', 'cm'][(n % 1000 // 100 + 1)::INT] || ['', 'x', 'xx', 'xxx', 'xl', 'l', 'lx', 'lxx', 'lxxx', 'xc'][(n % 100 // 10 + 1)::INT]
   || ['', 'i', 'ii', 'iii', 'iv', 'v', 'vi', 'vii', 'viii', 'ix'][(n % 10 + 1)::INT] AS roman, n AS back FROM (SELECT DISTINCT 1 + n_chars % 3999 AS n FROM documents)""")

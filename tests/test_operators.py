@@ -182,7 +182,7 @@ def test_runs(spark):
 
 def test_family_chain_and_heads(spark):
     one = lambda f, t: spark.createDataFrame([(t,)], "t string").select(f(F.col("t")).alias("x")).first()["x"]
-    assert one(lambda t: repair.family_chain(t, [("", "ῥ")], [], [("Kaut", "Kant")], True), "Kaut  理性＞ 1 7 8 1 —————") == "Kant ῥ 理性》 1781 ——"
+    assert one(lambda t: repair.family_chain(t, [("", "ῥ")], [], [("Hegcl", "Hegel")], True), "Hegcl  理性＞ 1 7 8 1 —————") == "Hegel ῥ 理性》 1781 ——"
     assert one(lambda t: repair.head_fit(t, 5000), "论理性——其批判") == "论理性"
     assert one(lambda t: repair.head_fit(t, 4000), "一二三四五六七") == "一二……"
     assert one(lambda t: repair.restore_words(t, [("ab", "x"), ("abc", "y")]), "ab abc abd (ab)") == "x y abd (x)"
