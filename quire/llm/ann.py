@@ -7,6 +7,10 @@ priority queue over the nodes of all trees gives the leaves in order of the
 smallest margin by which the query would have to move to reach them, until they
 hold enough candidates.  Candidates are scored exactly, in double precision, in
 their leaves.
+
+The candidates' scores are then a bound: a leaf of the first tree that could
+hold a larger product by its centre and radius is scored whole.  So the result
+is exact for every table; the trees only decide how much is scored for it.
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ SAMPLE, TREES, LEAF_ROWS, DEPTH = 20_000, 48, 200, 14
 #: A query looks at leaves until they hold this many candidates, counted in each tree.
 SEARCH = 32_000
 _BLOCK = 2048
+#: Vectors of neighbouring leaves that the exact pass holds at a time, and queries that it scores at once.
+GROUP_BYTES, _ASKED = 16 << 20, 256
 
 
 def grow(points: np.ndarray, total: int, trees: int = TREES, leaf_rows: int = LEAF_ROWS, seed: int = 3) -> list[dict]:
@@ -97,6 +103,20 @@ def visited(forest: list[dict], sizes: np.ndarray, point: np.ndarray, search: in
     return out
 
 
+def grouped(sizes: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first group of each leaf and how many it has: small neighbouring leaves share one, a large leaf is split."""
+    first, parts = np.zeros(len(sizes), np.int64), np.maximum(1, -(-sizes // rows))
+    group = held = 0
+    for k, size in enumerate(sizes.tolist()):
+        if held and held + size > rows:
+            group, held = group + 1, 0
+        first[k] = group
+        held += size
+        if parts[k] > 1:
+            group, held = group + int(parts[k]), 0
+    return first, parts
+
+
 def _matrix(batch: pa.RecordBatch, name: str, dim: int) -> np.ndarray:
     return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
@@ -106,6 +126,132 @@ def _lifted(points: np.ndarray, largest: float) -> np.ndarray:
     return np.concatenate([points, np.sqrt(np.maximum(0, largest**2 - (points * points).sum(1)))[:, None]], 1)
 
 
+def _completed(points: DataFrame, bounds: DataFrame, tree: dict, largest: float, dim: int, k: int) -> DataFrame:
+    """``q, p, score`` of all points that can be among a query's k + 1 best, given the score its best so far do not go below.
+
+    For a leaf with centre c and radius r, no product is over q c + |q| r.
+    Only queries that this does not rule out meet the leaf, and there all of
+    its points.  A worker holds the vectors of one group of leaves.
+    """
+    spark = points.sparkSession
+    sc = spark.sparkContext
+    grown = sc.broadcast((tree, largest))
+
+    def leaf(x):
+        one, longest = grown.value
+        return leaves_of([one], _lifted(x, longest))[:, 0]
+
+    def blocks(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, _BLOCK):
+                yield batch.slice(at, _BLOCK)
+
+    def sums(batches):
+        total, size = np.zeros((grown.value[0]["leaves"], dim)), np.zeros(grown.value[0]["leaves"], np.int64)
+        for part in blocks(batches):
+            x = _matrix(part, "v", dim)
+            at = leaf(x)
+            np.add.at(total, at, x)
+            size += np.bincount(at, minlength=len(size))
+        some = np.flatnonzero(size)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(size[some]), pa.array(list(total[some]), pa.list_(pa.float64()))], ["leaf", "n", "v"])
+
+    sizes, centres = np.zeros(tree["leaves"], np.int64), np.zeros((tree["leaves"], dim))
+    added = points.select("v").mapInArrow(sums, "leaf long, n long, v array<double>").groupBy("leaf")
+    for r in added.agg(F.sum("n").alias("n"), *[F.sum(F.col("v")[j]).alias(f"v{j}") for j in range(dim)]).toLocalIterator():  # a row a leaf
+        sizes[r["leaf"]], centres[r["leaf"]] = r["n"], np.array(r[2:]) / r["n"]
+    middle = sc.broadcast(centres)
+
+    def spread(batches):
+        far = np.full(len(middle.value), -1.0)
+        for part in blocks(batches):
+            x = _matrix(part, "v", dim)
+            at = leaf(x)
+            np.maximum.at(far, at, np.sqrt(((x - middle.value[at]) ** 2).sum(1)))
+        some = np.flatnonzero(far >= 0)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(far[some])], ["leaf", "far"])
+
+    radius = np.full(tree["leaves"], -np.inf)
+    for r in points.select("v").mapInArrow(spread, "leaf long, far double").groupBy("leaf").agg(F.max("far").alias("far")).toLocalIterator():
+        radius[r["leaf"]] = r["far"]
+    first, parts = grouped(sizes, max(1, GROUP_BYTES // (8 * dim)))
+    pairs = np.stack([np.repeat(np.arange(len(parts)), parts), np.concatenate([a + np.arange(n) for a, n in zip(first, parts)])])
+    pairs = pairs[:, np.argsort(pairs[1], kind="stable")]
+    starts = np.flatnonzero(np.diff(pairs[1], prepend=-1))
+    # Rounding of the products and bounds is far below this.
+    slack = 1e-9 * largest * largest
+    facts = sc.broadcast((radius, first, parts, pairs[0], starts, pairs[1][starts]))
+
+    def possible(x, least, some=slice(None)):
+        return x @ middle.value[some].T + np.sqrt((x * x).sum(1))[:, None] * facts.value[0][some] >= least[:, None] - slack
+
+    names = ["grp", "kind", "leaf", "p", "least", "v"]
+
+    def deal(batches):
+        _, at_first, n_parts, *_ = facts.value
+        for part in blocks(batches):
+            at = leaf(_matrix(part, "v", dim))
+            ids = part.column("p").to_numpy(zero_copy_only=False)
+            mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+            group = at_first[at] + (mixed % n_parts[at].astype(np.uint64)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(group), pa.array(np.zeros(len(at), np.int32)), pa.array(at), part.column("p"), pa.array(np.zeros(len(at))), part.column("v")], names)
+
+    def ask(batches):
+        _, _, _, owners, begins, groups = facts.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, _ASKED):
+                part = batch.slice(at, _ASKED)
+                x, least = _matrix(part, "v", dim), part.column("least").to_numpy(zero_copy_only=False)
+                need = np.logical_or.reduceat(possible(x, least)[:, owners], begins, axis=1)
+                who, to = np.nonzero(need)
+                who_ = pa.array(who)
+                yield pa.RecordBatch.from_arrays([pa.array(groups[to]), pa.array(np.ones(len(who), np.int32)), pa.array(np.zeros(len(who), np.int64)), part.column("p").take(who_), pa.array(least[who]), part.column("v").take(who_)], names)
+
+    def score(batches):
+        group, held, ready = None, [], None
+        for batch in batches:
+            groups, kinds, leaves, ids, least = (batch.column(c).to_numpy(zero_copy_only=False) for c in names[:5])
+            x = _matrix(batch, "v", dim)
+            edges = np.flatnonzero(np.diff(groups) | np.diff(kinds)) + 1
+            for a, b in zip([0, *edges], [*edges, len(ids)]):
+                if groups[a] != group:
+                    group, held, ready = groups[a], [], None
+                if kinds[a] == 0:
+                    held.append((leaves[a:b].copy(), ids[a:b].copy(), x[a:b].copy()))
+                    continue
+                if not held:
+                    continue
+                if ready is None:
+                    ready = [np.concatenate(y) for y in zip(*held)]
+                    held = [ready]
+                at_leaf, at_ids, vectors = ready
+                begins = np.flatnonzero(np.diff(at_leaf, prepend=-1))
+                for at in range(a, b, _ASKED):
+                    c = min(b, at + _ASKED)
+                    asked, low = x[at:c], least[at:c]
+                    able = possible(asked, low, at_leaf[begins])
+                    found = []
+                    for j, (s, e) in enumerate(zip(begins, [*begins[1:], len(at_leaf)])):
+                        who = np.flatnonzero(able[:, j])
+                        if len(who):
+                            made = asked[who] @ vectors[s:e].T
+                            i, y = np.nonzero(made >= low[who][:, None] - slack)
+                            found.append((who[i], at_ids[s + y], made[i, y]))
+                    if not found:
+                        continue
+                    q, p, made = (np.concatenate(y) for y in zip(*found))
+                    order = np.lexsort((p, -made, q))
+                    q, p, made = q[order], p[order], made[order]
+                    keep = np.arange(len(q)) - np.searchsorted(q, q) <= k
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[at:c][q[keep]]), pa.array(p[keep]), pa.array(made[keep])], ["q", "p", "score"])
+
+    schema = "grp long, kind int, leaf long, p long, least double, v array<double>"
+    askers = points.filter("asked").select("p", "v").join(bounds, F.col("p") == F.col("q"), "left")
+    askers = askers.select("p", "v", F.coalesce("least", F.lit(float("-inf"))).alias("least"))
+    both = points.select("p", "v").mapInArrow(deal, schema).union(askers.mapInArrow(ask, schema))
+    return both.repartition("grp").sortWithinPartitions("grp", "kind", "leaf").mapInArrow(score, "q long, p long, score double")
+
+
 def nearest(vectors: DataFrame, queries: str, k: int = 20, search: int = SEARCH, column: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest others of each row where ``queries`` (SQL) holds.
 
@@ -117,8 +263,12 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, search: int = SEARCH,
     row; with k or fewer others all are returned; no rows give no rows; other
     columns are ignored.
 
+    ``search`` is how many candidates the trees give a query for its bound; the
+    result does not depend on it.
+
     The driver holds the sample and the trees, whose sizes are fixed; a worker
-    holds the leaves' queries of its partition and one block of vectors.
+    holds the leaves' queries of its partition and one block of vectors, then
+    the vectors of one group of leaves.
     """
     spark = vectors.sparkSession
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(column).cast("array<double>").alias("v")).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
@@ -210,7 +360,12 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, search: int = SEARCH,
     both = asked.union(dealt).repartition("leaf").sortWithinPartitions("leaf", "kind")
     scored = both.mapInArrow(score, "q long, p long, score double").groupBy("q", "p").agg(F.max("score").alias("score"))
     near = Window.partitionBy("q").orderBy(F.desc("score"), "p")
-    kept = cut(scored.withColumn("nth", F.row_number().over(near)).filter(F.col("nth") <= k + 1).select("q", "p", "score"))
+    first = cut(scored.withColumn("nth", F.row_number().over(near)).filter(F.col("nth") <= k + 1).select("q", "p", "score"))
+    bounds = first.groupBy("q").agg(F.count("*").alias("n"), F.min("score").alias("least"))
+    bounds = bounds.select("q", F.when(F.col("n") > k, F.col("least")).otherwise(F.lit(float("-inf"))).alias("least"))
+    rest = _completed(points, bounds, forest[0], largest, dim, k)
+    every = first.union(rest).groupBy("q", "p").agg(F.max("score").alias("score"))
+    kept = cut(every.withColumn("nth", F.row_number().over(near)).filter(F.col("nth") <= k + 1).select("q", "p", "score"))
     # A point's results are found once, and all rows equal to it get them, without themselves.
     few = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     listed = cut(kept.join(members, "p").select("q", "vec_id", "score").withColumn("nth", F.row_number().over(few)).filter(F.col("nth") <= k + 1).select("q", "vec_id", "score"))
