@@ -10,8 +10,10 @@ pages of the host share.  Such boilerplate is removed, and the unique runs stay.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +21,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 #: A repeat counts from this many tokens, if it is on at least this share of the
-#: distinct pages looked at together, and these are at least as many.
+#: host's distinct pages, and these are at least as many.
 REPEAT_TOKENS, REPEAT_SHARE, REPEAT_PAGES = 8, 0.5, 8
-#: Pages of one host that are looked at together, at most; and their characters.
+#: Pages of one host that are in one suffix array, at most; and their characters.
 PAGES_TOGETHER, CHARS_TOGETHER = 1024, 4_000_000
-#: A host with more than this share of all pages is dealt to several groups, each of at least so many pages.
-BIG_SHARE, LEAST_PAGES = 1000, 256
+#: A host with more than this share of all pages or bytes is dealt to several groups, each of at least so many pages or bytes.
+BIG_SHARE, LEAST_PAGES, LEAST_BYTES = 1000, 256, 16 << 20
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
@@ -123,102 +128,202 @@ def parse_blocks(page: str) -> list[str]:
     return blocks["article"] or blocks["main"] or blocks["body"]
 
 
-def repeated_cover(streams: list[list[int]], least: int, share: float, least_pages: int) -> list[np.ndarray]:
-    """For each stream of token ids, which tokens repeats cover.
+def marked_blocks(page: str) -> list[str]:
+    """A page's blocks, each after a mark: ``+`` is text."""
+    return ["+" + block for block in parse_blocks(page)]
 
-    Suffixes of all streams are ranked by prefix doubling to ``least`` tokens;
-    equal ranks are repeats.  A stream's end differs from all others.
-    """
-    n = len(streams)
-    if n < least_pages:
-        return [np.zeros(len(s), bool) for s in streams]
-    lengths = np.array([len(s) for s in streams])
-    tokens = np.concatenate([np.array([*s, -1 - k], np.int64) for k, s in enumerate(streams)])
-    owner = np.repeat(np.arange(n), lengths + 1)
+
+def _ranks(tokens: np.ndarray, least: int) -> np.ndarray:
+    """The rank of each suffix by its first ``least`` tokens (prefix doubling); equal ranks are repeats."""
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
     depth = 1
     while depth < least:
         step = min(depth, least - depth)
-        after = np.concatenate([rank[step:], np.full(step, -1)])
+        after = np.concatenate([rank[step:], np.full(min(step, len(rank)), -1)])
         key = rank * (rank.max() + 2) + after + 1
         rank, depth = np.unique(key, return_inverse=True)[1].astype(np.int64), depth + step
-    pairs = np.unique(np.stack([rank, owner], 1), axis=0)
-    pages = np.bincount(pairs[:, 0], minlength=rank.max() + 1)
-    often = pages[rank] >= max(least_pages, int(np.ceil(share * n)))
-    edges = np.zeros(len(tokens) + least + 1, np.int64)
-    starts = np.flatnonzero(often)
-    np.add.at(edges, starts, 1)
-    np.add.at(edges, starts + least, -1)
-    cover = np.cumsum(edges)[: len(tokens)] > 0
-    begins = np.concatenate([[0], np.cumsum(lengths + 1)])
-    return [cover[begins[k] : begins[k] + lengths[k]] for k in range(n)]
+    return rank
 
 
-def unique_runs(pages: list[list[str]]) -> list[str]:
-    """The texts of a host's pages, given as blocks, without what most of them repeat."""
-    distinct: dict[tuple[str, ...], int] = {}
-    for blocks in pages:
-        distinct.setdefault(tuple(blocks), len(distinct))
-    if len(distinct) < REPEAT_PAGES:
-        return ["\n".join(blocks) for blocks in pages]
+def _stream(pages: list[list[str]]):
+    """Of pages as marked blocks: token ids with a negative one after each stretch of one mark, the pages
+    that own them, where a run of ``REPEAT_TOKENS`` may start, the 64-bit hashes of these runs, and which tokens are text."""
     ids: dict[str, int] = {}
-    words = [[block.split(" ") for block in blocks] for blocks in distinct]
-    streams = [[ids.setdefault(w, len(ids)) for block in page for w in block] for page in words]
-    made = []
-    for page, cover in zip(words, repeated_cover(streams, REPEAT_TOKENS, REPEAT_SHARE, REPEAT_PAGES)):
-        if not cover.any():
-            made.append("\n".join(" ".join(block) for block in page))
-            continue
-        kept, at = [], 0
+    tokens: list[int] = []
+    text: list[bool] = []
+    lengths, end = [], 0
+    for page in pages:
+        before, mark = len(tokens), None
         for block in page:
-            run = [w for w, gone in zip(block, cover[at : at + len(block)]) if not gone]
-            at += len(block)
-            if run:
-                kept.append(" ".join(run))
-        made.append("\n".join(kept))
-    return [made[distinct[tuple(blocks)]] for blocks in pages]
+            if mark is not None and block[0] != mark:
+                end -= 1
+                tokens.append(end)
+                text.append(False)
+            mark = block[0]
+            words = block[1:].split(" ")
+            tokens += [ids.setdefault(w, len(ids)) for w in words]
+            text += [mark == "+"] * len(words)
+        end -= 1
+        tokens.append(end)
+        text.append(False)
+        lengths.append(len(tokens) - before)
+    flat = np.array(tokens, np.int64)
+    names = np.frombuffer(b"".join(hashlib.blake2b(w.encode(), digest_size=8).digest() for w in ids), "<u8")
+    hashed = np.where(flat >= 0, names[np.maximum(flat, 0)], np.uint64(0)) if len(names) else np.zeros(len(flat), np.uint64)
+    padded = np.concatenate([hashed, np.zeros(REPEAT_TOKENS, np.uint64)])
+    runs = np.zeros(len(flat), np.uint64)
+    for j in range(REPEAT_TOKENS):
+        runs = runs * _FACTOR + padded[j : j + len(flat)]
+    ends = np.concatenate([[0], np.cumsum(flat < 0), np.full(REPEAT_TOKENS, len(pages) + len(flat) + 1)])
+    starts = ends[REPEAT_TOKENS : REPEAT_TOKENS + len(flat)] == ends[: len(flat)]
+    return flat, np.repeat(np.arange(len(pages)), lengths), starts, runs, np.array(text, bool)
+
+
+def _on_pages(labels: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """On how many pages each label (below n) is."""
+    pairs = np.unique(labels * (owner.max() + 1) + owner) if len(labels) else labels
+    return np.bincount(pairs // (owner.max() + 1), minlength=n) if len(labels) else np.zeros(n, np.int64)
+
+
+class Host:
+    """The distinct pages of a host, or of a deal of one, packed; they are looked at in slices of bounded size.
+
+    A run that is on a share of all pages is on that share of some slice's
+    pages, so the runs found by the slices' suffix arrays are candidates for
+    the whole host.  These are counted over all slices, so the slices do not
+    show in the result.
+    """
+
+    def __init__(self, packed):
+        self.place: dict[bytes, int] = {}
+        for x in packed:
+            self.place.setdefault(x, len(self.place))
+        self.pages = list(self.place)
+        self.unpacker = zstandard.ZstdDecompressor()
+        self.whole: list | None = None
+
+    def slices(self):
+        at, room = 0, -(-len(self.pages) // max(1, -(-len(self.pages) // PAGES_TOGETHER)))
+        while at < len(self.pages):
+            out, size = [], 0
+            while at + len(out) < len(self.pages) and len(out) < room and size < CHARS_TOGETHER:
+                text = self.unpacker.decompress(self.pages[at + len(out)]).decode()
+                out.append(text.split("\n") if text else [])
+                size += len(text)
+            yield out
+            at += len(out)
+
+    def streams(self):
+        """The slices with their streams; those of a single slice are kept."""
+        if self.whole is not None:
+            yield from self.whole
+            return
+        for part in self.slices():
+            made = part, _stream(part)
+            if len(part) == len(self.pages):
+                self.whole = [made]
+            yield made
+
+    def candidates(self) -> np.ndarray:
+        found = [np.zeros(0, np.uint64)]
+        for part, (flat, owner, starts, runs, _) in self.streams():
+            if not starts.any():
+                continue
+            rank = _ranks(flat, REPEAT_TOKENS)[starts]
+            pages = _on_pages(rank, owner[starts], int(rank.max()) + 1)
+            found.append(np.unique(runs[starts][pages[rank] >= REPEAT_SHARE * len(part)]))
+        return np.unique(np.concatenate(found))
+
+    def counts(self, candidates: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(candidates), np.int64)
+        for _, (_, owner, starts, runs, _) in self.streams() if len(candidates) else ():
+            runs, owner = runs[starts], owner[starts]
+            at = np.minimum(np.searchsorted(candidates, runs), len(candidates) - 1)
+            same = candidates[at] == runs
+            out += _on_pages(at[same], owner[same], len(out))
+        return out
+
+    def texts(self, repeats: np.ndarray) -> list[str]:
+        """The text of each distinct page without the tokens that ``repeats`` (sorted) cover."""
+        made = []
+        if not len(repeats):
+            return ["\n".join(b[1:] for b in page if b[0] == "+") for part in self.slices() for page in part]
+        for part, (flat, owner, starts, runs, text) in self.streams():
+            at = np.minimum(np.searchsorted(repeats, runs), len(repeats) - 1)
+            edges = np.zeros(len(flat) + REPEAT_TOKENS + 1, np.int64)
+            begin = np.flatnonzero(starts & (repeats[at] == runs))
+            edges[begin] += 1
+            edges[begin + REPEAT_TOKENS] -= 1
+            cover = np.cumsum(edges)[: len(flat)] > 0
+            stays, firsts = ~cover[text], np.searchsorted(owner[text], np.arange(len(part)))
+            for page, at in zip(part, firsts.tolist()):
+                kept = []
+                for block in page:
+                    if block[0] == "+":
+                        words = block[1:].split(" ")
+                        run = [w for w, stay in zip(words, stays[at : at + len(words)].tolist()) if stay]
+                        at += len(words)
+                        if run:
+                            kept.append(" ".join(run))
+                made.append("\n".join(kept))
+        return made
+
+
+def often(candidates: np.ndarray, counts: np.ndarray, pages: int) -> np.ndarray:
+    """The candidates that are repeats of a host of so many distinct pages."""
+    return candidates[counts >= max(REPEAT_PAGES, int(np.ceil(REPEAT_SHARE * pages)))]
+
+
+def repeats_of(host: Host) -> np.ndarray:
+    """The repeats of a host that is held whole."""
+    if len(host.pages) < REPEAT_PAGES:
+        return np.zeros(0, np.uint64)
+    found = host.candidates()
+    return often(found, host.counts(found), len(host.pages))
+
+
+def _pack(blocks: list[str]) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress("\n".join(blocks).encode())  # a block has no break in it
+
+
+def unique_runs(pages: list[list[str]]) -> list[str]:
+    """The texts of a host's pages, given as blocks, without what most of them repeat."""
+    packed = [_pack(["+" + b for b in blocks]) for blocks in pages]
+    host = Host(packed)
+    made = host.texts(repeats_of(host))
+    return [made[host.place[x]] for x in packed]
 
 
 def _parsed(batches):
-    """The blocks of each page, compressed: what is shuffled is some 0.4 of the text."""
+    """The blocks of each page, compressed: what is shuffled is some 0.4 of the text.  Equal pages are in one deal."""
     packer = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         at, pages = 0, batch.column("html")
+        deals = batch.column("deals").to_pylist()
         while at < len(pages):
-            blocks, size = [], 0
-            while at + len(blocks) < len(pages) and size < 1 << 21:
-                page = pages[at + len(blocks)].as_py() or ""
+            packed, size = [], 0
+            while at + len(packed) < len(pages) and size < 1 << 21:
+                page = pages[at + len(packed)].as_py() or ""
                 size += len(page)
-                blocks.append(parse_blocks(page))
-            part = [batch.column(c).slice(at, len(blocks)) for c in ("page_id", "url", "host", "deal")]
-            packed = [packer.compress("\n".join(b).encode()) for b in blocks]  # a block has no break in it
-            yield pa.RecordBatch.from_arrays([*part, pa.array(packed, pa.binary())], ["page_id", "url", "host", "deal", "blocks"])
-            at += len(blocks)
-
+                packed.append(packer.compress("\n".join(marked_blocks(page)).encode()))  # a block has no break in it
+            part = [batch.column(c).slice(at, len(packed)) for c in ("page_id", "url", "host")]
+            deal = [zlib.crc32(x) % n if n > 1 else 0 for x, n in zip(packed, deals[at:])]
+            yield pa.RecordBatch.from_arrays([*part, pa.array(deal, pa.int32()), pa.array(packed, pa.binary())], ["page_id", "url", "host", "deal", "blocks"])
+            at += len(packed)
 
-def _extracted(batches):
-    """Over rows in order of (host, deal): pages of one host and deal are held until they are enough."""
-    key, held, size = None, [], 0
-    unpacker = zstandard.ZstdDecompressor()
-
-    def out():
-        texts = unique_runs([x[2] for x in held])
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in held], pa.int64()), pa.array([x[1] for x in held], pa.string()), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
+def _hosts(batches):
+    """Over rows in order of (host, deal): each group's host, page_ids, urls and packed pages."""
+    key, held = None, []
     for batch in batches:
-        columns = [batch.column(c) for c in ("host", "deal", "page_id", "url", "blocks")]
-        for k in range(batch.num_rows):
-            host, deal, page, url, packed = (c[k].as_py() for c in columns)
-            text = unpacker.decompress(packed).decode() if packed else ""
-            blocks = text.split("\n") if text else []
-            if held and ((host, deal) != key or len(held) >= PAGES_TOGETHER or size >= CHARS_TOGETHER):
-                yield out()
-                held, size = [], 0
-            key = (host, deal)
-            held.append((page, url, blocks))
-            size += len(text)
+        for row in zip(*(batch.column(c).to_pylist() for c in ("host", "deal", "page_id", "url", "blocks"))):
+            if held and row[:2] != key:
+                yield key[0], held
+                held = []
+            key = row[:2]
+            held.append(row[2:])
     if held:
-        yield out()
+        yield key[0], held
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -232,18 +337,67 @@ def extract_text(pages: DataFrame) -> DataFrame:
     kept; no rows give no rows; other columns are ignored.
 
     Only the parsed blocks are shuffled, once, by host.  The hosts with over a
-    thousandth of all pages are at most a thousand; the driver gets their
-    counts, and their pages are dealt to groups by a hash of page_id.
+    thousandth of all pages or characters are at most two thousand; their
+    pages are dealt to groups by content, the driver gets their candidates and
+    counts, and their repeats are broadcast.  A worker holds one group's
+    packed pages and one slice.
     """
+    spark = pages.sparkSession
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     pages = pages.withColumn("host", host)
-    total = pages.count()
-    least = max(LEAST_PAGES, -(-total // BIG_SHARE))
-    big = [(r["host"], -(-r["count"] // least)) for r in pages.groupBy("host").count().filter(F.col("count") > least).collect()]
-    deals = F.create_map(*[F.lit(x) for pair in big for x in pair])[F.col("host")] if big else F.lit(1)
-    pages = pages.withColumn("deal", F.pmod(F.xxhash64("page_id", "url"), F.coalesce(deals, F.lit(1))).cast("int"))
+    sizes = pages.groupBy("host").agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("html")), F.lit(0)).alias("size"))
+    total = sizes.agg(F.sum("n").alias("n"), F.sum("size").alias("size")).first()
+    least, most = max(LEAST_PAGES, -(-(total["n"] or 0) // BIG_SHARE)), max(LEAST_BYTES, -(-(total["size"] or 0) // BIG_SHARE))
+    large = sizes.filter((F.col("n") > least) | (F.col("size") > most)).collect()
+    big = {r["host"]: max(-(-r["n"] // least), -(-r["size"] // most)) for r in large}
+    deals = F.create_map(*[F.lit(x) for pair in big.items() for x in pair])[F.col("host")] if big else F.lit(None)
+    pages = pages.withColumn("deals", F.coalesce(deals, F.lit(1)).cast("int"))
     parsed = pages.mapInArrow(_parsed, "page_id long, url string, host string, deal int, blocks binary")
-    dealt = parsed.repartition(F.col("host"), F.col("deal")).sortWithinPartitions("host", "deal", F.xxhash64("page_id"))
-    texts = dealt.mapInArrow(_extracted, "page_id long, url string, text string")
-    return texts.withColumn("n_chars", F.length("text").cast("long"))
+    dealt = parsed.repartition(F.col("host"), F.col("deal")).sortWithinPartitions("host", "deal")
+    known = spark.sparkContext.broadcast(None)
+    if big:
+        # One shuffle serves all passes: its files belong to this RDD.
+        rows = dealt._jdf.queryExecution().toRdd()
+        dealt = DataFrame(dealt._jdf.sparkSession().internalCreateDataFrame(rows, dealt._jdf.schema(), False), spark)
+        known = spark.sparkContext.broadcast(_big_repeats(dealt, set(big)))
+
+    def texts(batches):
+        for name, held in _hosts(batches):
+            group = Host(x[2] for x in held)
+            made = group.texts(known.value[name] if name in big else repeats_of(group))
+            for at in range(0, len(held), PAGES_TOGETHER):
+                part = held[at : at + PAGES_TOGETHER]
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()), pa.array([x[1] for x in part], pa.string()), pa.array([made[group.place[x[2]]] for x in part], pa.string())], ["page_id", "url", "text"])
+
+    out = dealt.mapInArrow(texts, "page_id long, url string, text string")
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def _big_repeats(dealt: DataFrame, big: set[str]) -> dict[str, np.ndarray]:
+    """The repeats of hosts that are dealt to several groups: candidates of all groups, counted over all groups."""
+    sc = dealt.sparkSession.sparkContext
+
+    def first(batches):
+        for name, held in _hosts(batches):
+            if name in big:
+                group = Host(x[2] for x in held)
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(group.pages)]), pa.array([group.candidates().tobytes()], pa.binary())], ["host", "n", "runs"])
+
+    pages: dict[str, int] = dict.fromkeys(big, 0)
+    found = {name: np.zeros(0, np.uint64) for name in big}
+    for r in cut(dealt.mapInArrow(first, "host string, n long, runs binary")).toLocalIterator():
+        pages[r["host"]] += r["n"]
+        found[r["host"]] = np.union1d(found[r["host"]], np.frombuffer(r["runs"], np.uint64))
+    shared = sc.broadcast(found)
+
+    def second(batches):
+        for name, held in _hosts(batches):
+            if name in big:
+                counts = Host(x[2] for x in held).counts(shared.value[name])
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([counts.tobytes()], pa.binary())], ["host", "counts"])
+
+    total = {name: np.zeros(len(runs), np.int64) for name, runs in found.items()}
+    for r in cut(dealt.mapInArrow(second, "host string, counts binary")).toLocalIterator():
+        total[r["host"]] += np.frombuffer(r["counts"], np.int64)
+    return {name: often(runs, total[name], pages[name]) for name, runs in found.items()}
