@@ -2,10 +2,11 @@
 
 A page is cut into blocks of text; those in menus, headers, footers, sidebars,
 notices, adverts, forms, scripts and reader comments go by their elements and
-by the words of their class, id and role.  What is left of a host's pages is
-concatenated as token streams, and a suffix array (by prefix doubling, to the
+by the words of their class, id and role.  All visible blocks of a host's pages,
+these too, are token streams, and a suffix array (by prefix doubling, to the
 depth of the shortest repeat that counts) finds the substrings that most distinct
-pages of the host share.  Such boilerplate is removed, and the unique runs stay.
+pages of the host share.  Such boilerplate is removed wherever it is: a menu
+that is marked on most pages is known on a page that does not mark it.
 """
 
 from __future__ import annotations
@@ -50,20 +51,24 @@ _MARKED = frozenset(
 )
 
 
-def parse_blocks(page: str) -> list[str]:
-    """The blocks of a page's article, else of its main element, else of its body."""
+def marked_blocks(page: str) -> list[str]:
+    """All visible blocks of a page, each after a mark: ``+`` in its article, else in its main element, else in its body; ``-`` elsewhere."""
     stack: list[tuple[str, str]] = []
-    blocks: dict[str, list[str]] = {"article": [], "main": [], "body": []}
+    blocks: list[tuple[str, str]] = []
     text: list[str] = []
+    aside: list[str] = []
     dropped = articles = mains = 0
     at = 0
 
-    def flush() -> None:
-        if text:
-            block = " ".join(html.unescape("".join(text)).split())
-            text.clear()
+    def flush(parts: list[str], region: str) -> None:
+        if parts:
+            block = " ".join(html.unescape("".join(parts)).split())
+            parts.clear()
             if block:
-                blocks["article" if articles else "main" if mains else "body"].append(block)
+                blocks.append((region, block))
+
+    def region() -> str:
+        return "article" if articles else "main" if mains else "body"
 
     def close(entry: tuple[str, str]) -> None:
         nonlocal dropped, articles, mains
@@ -75,22 +80,23 @@ def parse_blocks(page: str) -> list[str]:
             mains -= 1
 
     for m in _TAG.finditer(page):
-        if m.start() > at and not dropped:
-            text.append(page[at : m.start()])
+        if m.start() > at:
+            (aside if dropped else text).append(page[at : m.start()])
         at = m.end()
         name = m[3]
         if name is None:
-            if m[1] and not dropped:
-                text.append(" ")
+            if m[1]:
+                (aside if dropped else text).append(" ")
             continue
         name = name.lower()
         if name in _INLINE:
             if name == "br" or name == "img":
-                if not dropped:
-                    text.append(" ")
+                (aside if dropped else text).append(" ")
                 continue
-        elif not dropped:
-            flush()
+        elif dropped:
+            flush(aside, "aside")
+        else:
+            flush(text, region())
         if name in _VOID:
             continue
         if m[2]:
@@ -99,6 +105,8 @@ def parse_blocks(page: str) -> list[str]:
                     for entry in stack[k:]:
                         close(entry)
                     del stack[k:]
+                    if not dropped:
+                        flush(aside, "aside")
                     break
             continue
         if name == "body":  # ends a head that was left open
@@ -122,15 +130,18 @@ def parse_blocks(page: str) -> list[str]:
         elif kind == "main":
             mains += 1
         stack.append((name, kind))
-    if at < len(page) and not dropped:
-        text.append(page[at:])
-    flush()
-    return blocks["article"] or blocks["main"] or blocks["body"]
+    if at < len(page):
+        (aside if dropped else text).append(page[at:])
+    flush(aside, "aside")
+    flush(text, region())
+    seen = {name for name, _ in blocks}
+    chosen = next((name for name in ("article", "main", "body") if name in seen), None)
+    return [("+" if name == chosen else "-") + block for name, block in blocks]
 
 
-def marked_blocks(page: str) -> list[str]:
-    """A page's blocks, each after a mark: ``+`` is text."""
-    return ["+" + block for block in parse_blocks(page)]
+def parse_blocks(page: str) -> list[str]:
+    """The blocks of a page's article, else of its main element, else of its body."""
+    return [block[1:] for block in marked_blocks(page) if block[0] == "+"]
 
 
 def _ranks(tokens: np.ndarray, least: int) -> np.ndarray:
@@ -235,12 +246,14 @@ class Host:
         return np.unique(np.concatenate(found))
 
     def counts(self, candidates: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(candidates), np.int64)
-        for _, (_, owner, starts, runs, _) in self.streams() if len(candidates) else ():
-            runs, owner = runs[starts], owner[starts]
+        """On how many pages each candidate is, and of how many it is in the text."""
+        out = np.zeros((2, len(candidates)), np.int64)
+        for _, (_, owner, starts, runs, text) in self.streams() if len(candidates) else ():
+            runs, owner, text = runs[starts], owner[starts], text[starts]
             at = np.minimum(np.searchsorted(candidates, runs), len(candidates) - 1)
             same = candidates[at] == runs
-            out += _on_pages(at[same], owner[same], len(out))
+            out[0] += _on_pages(at[same], owner[same], len(candidates))
+            out[1] += _on_pages(at[same & text], owner[same & text], len(candidates))
         return out
 
     def texts(self, repeats: np.ndarray) -> list[str]:
@@ -270,8 +283,9 @@ class Host:
 
 
 def often(candidates: np.ndarray, counts: np.ndarray, pages: int) -> np.ndarray:
-    """The candidates that are repeats of a host of so many distinct pages."""
-    return candidates[counts >= max(REPEAT_PAGES, int(np.ceil(REPEAT_SHARE * pages)))]
+    """The candidates that are repeats of a host of so many distinct pages, without what is in the text of
+    one page only: a menu or teaser on the others may quote its title."""
+    return candidates[(counts[0] >= max(REPEAT_PAGES, int(np.ceil(REPEAT_SHARE * pages)))) & (counts[1] != 1)]
 
 
 def repeats_of(host: Host) -> np.ndarray:
@@ -397,7 +411,7 @@ def _big_repeats(dealt: DataFrame, big: set[str]) -> dict[str, np.ndarray]:
                 counts = Host(x[2] for x in held).counts(shared.value[name])
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([counts.tobytes()], pa.binary())], ["host", "counts"])
 
-    total = {name: np.zeros(len(runs), np.int64) for name, runs in found.items()}
+    total = {name: np.zeros((2, len(runs)), np.int64) for name, runs in found.items()}
     for r in cut(dealt.mapInArrow(second, "host string, counts binary")).toLocalIterator():
-        total[r["host"]] += np.frombuffer(r["counts"], np.int64)
+        total[r["host"]] += np.frombuffer(r["counts"], np.int64).reshape(2, -1)
     return {name: often(runs, total[name], pages[name]) for name, runs in found.items()}

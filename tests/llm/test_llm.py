@@ -187,6 +187,18 @@ def test_host_boilerplate_in_every_slice(spark, monkeypatch):
     assert out == {i: "one page" if 1000 <= i < 2000 else f"own{i}" if 320 <= i < 1000 else f"x{i % 1000} y{i % 1000}" for i, _, _ in rows}
 
 
+def test_host_boilerplate_found_in_whole_streams(spark):
+    menu = "home news sports weather local travel food archive contact about"
+    page = lambda k, tag: f"<body><{tag}>{menu}</{tag}><p>own words of page{k} alone</p></body>"
+    rows = [(k, f"http://h/{k}", page(k, "nav" if k < 16 else "div")) for k in range(20)]
+    # Each page but one links to a title, which is that page's own.
+    title = "a long title that eight or more of the pages quote"
+    rows += [(100 + k, f"http://t/{k}", f"<body>{f'<aside>{title}</aside>' if k else f'<h1>{title}</h1>'}<p>text{k}</p></body>") for k in range(12)]
+    out = {r["page_id"]: r["text"] for r in html_extract.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {k: f"own words of page{k} alone" for k in range(20)} | {100 + k: f"text{k}" if k else f"{title}\ntext0" for k in range(12)}
+    assert html_extract.parse_blocks("<div>a <span class=ad>x<br>y</span> b<nav>c<p>d</nav>e") == ["a b", "e"]
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 8))
