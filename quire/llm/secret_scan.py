@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
@@ -23,8 +24,10 @@ _UNICODE_CUE = re.compile(r"\\u[0-9A-Fa-f{]|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|
 _UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}={0,2}(?![A-Za-z0-9+/_=-])")
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+|[0-9]+|[A-Za-z]+")
-#: A compressed layer that would grow beyond this is not opened; the text that holds it is still scanned.
-LARGEST_LAYER = 1 << 20
+#: A layer is unpacked in pieces, and a longer text in windows of about so many characters.
+WINDOW = 1 << 20
+#: No span and no encoded piece goes over white space, but an assignment's spaces next to its sign.
+_SAFE = re.compile(r"[^\S ]|(?<![:= ]) +(?=[^:= ])")
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -36,24 +39,100 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
-def _readable(raw: bytes) -> str | None:
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
+def _packed(head: bytes) -> bool:
+    """Is this the start of gzip or zlib data?"""
+    return head[:2] == b"\x1f\x8b" or (head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0)
 
 
-def _inflated(raw: bytes) -> bytes | None:
-    """gzip and zlib layers; None if raw is neither, is broken or would be too large."""
-    if raw[:2] != b"\x1f\x8b" and not (raw[:1] == b"\x78" and len(raw) > 2 and int.from_bytes(raw[:2], "big") % 31 == 0):
-        return None
+def _unpack(pieces, members: int | None = None):
+    """The unpacked pieces of gzip (all members) or zlib data; returns how many members are whole.
+
+    What follows the last whole member is ignored; ``members`` stops after so many.
+    """
+    worker, rest, whole = zlib.decompressobj(wbits=47), b"", 0
+    for data in pieces:
+        data = rest + data
+        rest = b""
+        while True:
+            if worker is None:  # between two members
+                if len(data) < 2:
+                    rest = data
+                    break
+                if data[:2] != b"\x1f\x8b":
+                    return whole
+                worker = zlib.decompressobj(wbits=31)
+            try:
+                out = worker.decompress(data, WINDOW)
+            except zlib.error:
+                return whole
+            if out:
+                yield out
+            if worker.eof:
+                data, worker, whole = worker.unused_data, None, whole + 1
+                if whole == members:
+                    return whole
+                continue
+            data = worker.unconsumed_tail
+            if not data and len(out) < WINDOW:
+                break
+    return whole
+
+
+def _opened(pieces):
+    """``pieces`` (a function that gives an iterator of bytes) through all its gzip and zlib layers that are whole."""
+    while True:
+        head = b""
+        for piece in pieces():
+            head += piece
+            if len(head) > 2:
+                break
+        if not _packed(head):
+            return pieces
+        test = _unpack(pieces())
+        while True:
+            try:
+                next(test)
+            except StopIteration as end:
+                whole = end.value
+                break
+        if not whole:
+            return pieces
+        pieces = lambda below=pieces, n=whole: _unpack(below(), n)
+
+
+def _readable(pieces) -> bool:
+    decoder, some = codecs.getincrementaldecoder("utf-8")(), False
     try:
-        worker = zlib.decompressobj(wbits=47)
-        out = worker.decompress(raw, LARGEST_LAYER)
-        return out if worker.eof else None
-    except zlib.error:
-        return None
+        for piece in pieces:
+            text = decoder.decode(piece)
+            some = some or bool(text)
+            if not all(c.isprintable() or c in "\t\n\r" for c in text):
+                return False
+        decoder.decode(b"", True)
+    except UnicodeDecodeError:
+        return False
+    return some
+
+
+def _windows(pieces):
+    """The text of UTF-8 pieces in windows that no span or encoded piece goes over; what has no such place stays whole."""
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    held, size, enough = [], 0, WINDOW
+    for piece in pieces:
+        held.append(decoder.decode(piece))
+        size += len(held[-1])
+        if size > enough:
+            text = "".join(held)
+            at = 0
+            for at in (m.end() for m in _SAFE.finditer(text)):
+                pass
+            if at:
+                yield text[:at]
+            held, size = [text[at:]], len(text) - at
+            enough = max(WINDOW, 2 * size)
+    text = "".join(held) + decoder.decode(b"", True)
+    if text:
+        yield text
 
 
 def _one(m: re.Match) -> str:
@@ -80,31 +159,34 @@ def decoded_layers(text: str):
             raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        while (opened := _inflated(raw)) is not None:
-            raw = opened
-        if (layer := _readable(raw)) is not None:
-            yield m.start(), m.end(), layer
+        pieces = _opened(lambda raw=raw: iter([raw]))
+        if _readable(pieces()):
+            for layer in _windows(pieces()):
+                yield m.start(), m.end(), layer
 
 
 def all_spans(text: str) -> list[tuple[int, int, str]]:
     """Base spans and those of decoded layers, mapped to the outermost encoded piece.
 
-    The worklist holds layers with their span in ``text``; a layer whose text
-    was seen under the same span is not opened again, so cycles end.
+    The worklist goes depth first and holds one layer of each depth; a layer
+    whose text (by digest) was seen under the same span is not opened again, so
+    cycles end.
     """
-    base = base_spans(text)
-    found, seen, work = set(base), set(), []
-    for a, b, layer in decoded_layers(text):
-        if (a, b, layer) not in seen:
-            seen.add((a, b, layer))
-            work.append((a, b, layer))
+    found, seen = set(base_spans(text)), set()
+    work = [(None, decoded_layers(text))]
     while work:
-        a, b, layer = work.pop()
+        outer, layers = work[-1]
+        a, b, layer = next(layers, (0, 0, None))
+        if layer is None:
+            work.pop()
+            continue
+        a, b = outer or (a, b)
+        key = a, b, hashlib.blake2b(layer.encode(errors="surrogatepass"), digest_size=16).digest()
+        if key in seen or (outer and layer == text):
+            continue
+        seen.add(key)
         found.update((a, b, kind) for _, _, kind in base_spans(layer))
-        for _, _, inner in decoded_layers(layer):
-            if (a, b, inner) not in seen and inner != text:
-                seen.add((a, b, inner))
-                work.append((a, b, inner))
+        work.append(((a, b), decoded_layers(layer)))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
@@ -122,8 +204,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
     The counts and the digest are of the base spans; ``spans`` lists these and
     the ones in decoded layers as ``kind:start:end``.  Defined cases: null or
-    empty text has no spans (digest of ''); a layer that is not valid, not
-    printable or over ``LARGEST_LAYER`` is not opened; a null doc_id is kept;
+    empty text has no spans (digest of ''); a layer that is not valid or
+    not printable is not opened; a null doc_id is kept;
     repeated rows each give a row; no rows give no rows; other columns are
     ignored.  One pass, no shuffle.
     """
