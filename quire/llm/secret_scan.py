@@ -23,11 +23,13 @@ _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}
 _UNICODE_CUE = re.compile(r"\\u[0-9A-Fa-f{]|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|&#x?[0-9A-Fa-f]")
 _UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}={0,2}(?![A-Za-z0-9+/_=-])")
-_HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+|[0-9]+|[A-Za-z]+")
+#: Base64 over lines: whole lines of one length but the last, which may be shorter, as tools wrap it; quotes (``>``) and indents too.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t>]*[A-Za-z0-9+/_-]{1,})+={0,2}(?![A-Za-z0-9+/_=-])")
+_BREAK = re.compile(r"[ \t]*\r?\n[ \t>]*")
 #: A layer is unpacked in pieces, and a longer text in windows of about so many characters.
 WINDOW = 1 << 20
-#: No span and no encoded piece goes over white space, but an assignment's spaces next to its sign.
-_SAFE = re.compile(r"[^\S ]|(?<![:= ]) +(?=[^:= ])")
+#: No span and no encoded piece goes over white space, but an assignment's spaces next to its sign and base64 over line ends.
+_SAFE = re.compile(r"(?<![:=\s>])[ \t]+(?=[^:=\s>])|(?<![A-Za-z0-9+/_\s>-])\r?\n")
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -100,23 +102,9 @@ def _opened(pieces):
         pieces = lambda below=pieces, n=whole: _unpack(below(), n)
 
 
-def _readable(pieces) -> bool:
-    decoder, some = codecs.getincrementaldecoder("utf-8")(), False
-    try:
-        for piece in pieces:
-            text = decoder.decode(piece)
-            some = some or bool(text)
-            if not all(c.isprintable() or c in "\t\n\r" for c in text):
-                return False
-        decoder.decode(b"", True)
-    except UnicodeDecodeError:
-        return False
-    return some
-
-
 def _windows(pieces):
-    """The text of UTF-8 pieces in windows that no span or encoded piece goes over; what has no such place stays whole."""
-    decoder = codecs.getincrementaldecoder("utf-8")()
+    """The text of UTF-8 pieces (errors replaced) in windows that no span or encoded piece goes over; what has no such place stays whole."""
+    decoder = codecs.getincrementaldecoder("utf-8")(errors="replace")
     held, size, enough = [], 0, WINDOW
     for piece in pieces:
         held.append(decoder.decode(piece))
@@ -152,17 +140,42 @@ def decoded_layers(text: str):
             if _UNICODE_CUE.search(m[0]) and (layer := _UNICODE_ONE.sub(_one, m[0])) != m[0]:
                 yield m.start(), m.end(), layer
     for m in _BASE64.finditer(text):
-        body = m[0].rstrip("=")
-        if _HEX_ONLY.fullmatch(body) or len(body) % 4 == 1:
-            continue
-        try:
-            raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        pieces = _opened(lambda raw=raw: iter([raw]))
-        if _readable(pieces()):
-            for layer in _windows(pieces()):
-                yield m.start(), m.end(), layer
+        yield from ((m.start(), m.end(), layer) for layer in _base64_layers(m[0]))
+    if "\n" in text:
+        for m in _WRAPPED.finditer(text):
+            for start, end, body in _wrapped(m):
+                yield from ((start, end, layer) for layer in _base64_layers(body))
+
+
+def _wrapped(m: re.Match):
+    """The stretches of a run of base64 lines that one wrapping made: lines of one length, and a last one not longer."""
+    lines, at = [], m.start()
+    for stop in [*_BREAK.finditer(m.string, m.start(), m.end()), None]:
+        end = stop.start() if stop else m.end()
+        lines.append((at, end))
+        at = stop.end() if stop else end
+    k = 0
+    while k < len(lines) - 1:
+        size, last = lines[k][1] - lines[k][0], k
+        while last + 1 < len(lines) and lines[last + 1][1] - lines[last + 1][0] == size:
+            last += 1
+        if last + 1 < len(lines) and lines[last + 1][1] - lines[last + 1][0] < size:
+            last += 1
+        if last > k and size >= 16:
+            yield lines[k][0], lines[last][1], "".join(m.string[a:b] for a, b in lines[k : last + 1])
+        k = max(last, k + 1)
+
+
+def _base64_layers(piece: str):
+    """The windows of what a base64 piece decodes to."""
+    body = piece.rstrip("=")
+    if len(body) % 4 == 1:
+        return
+    try:
+        raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
+    except (binascii.Error, ValueError):
+        return
+    yield from _windows(_opened(lambda: iter([raw]))())
 
 
 def all_spans(text: str) -> list[tuple[int, int, str]]:
@@ -204,8 +217,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
     The counts and the digest are of the base spans; ``spans`` lists these and
     the ones in decoded layers as ``kind:start:end``.  Defined cases: null or
-    empty text has no spans (digest of ''); a layer that is not valid or
-    not printable is not opened; a null doc_id is kept;
+    empty text has no spans (digest of ''); a layer that is not valid is
+    not opened, and bytes that are no text are replaced in it; a null doc_id is kept;
     repeated rows each give a row; no rows give no rows; other columns are
     ignored.  One pass, no shuffle.
     """

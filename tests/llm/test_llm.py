@@ -324,6 +324,31 @@ def test_secret_in_large_layers(filler):
     assert "".join(parts) == text and len(parts) > 5 and sum(len(secret_scan.base_spans(x)) for x in parts) == 2
 
 
+def test_secret_in_wrapped_and_odd_layers():
+    rng = random.Random(1)
+    filler = " ".join(str(rng.random()) for _ in range(30))
+    for raw in (f"{filler} token: abcdef123 {filler}".encode(), gzip.compress(f"{filler} token: abcdef123".encode())):
+        whole = base64.b64encode(raw).decode()
+        for width, end in ((64, "\n"), (76, "\r\n"), (64, "\n> "), (76, "\n  ")):
+            layer = end.join(whole[k : k + width] for k in range(0, len(whole), width))
+            for after in ("", "\nyy", "\n-----END-----"):
+                spans = secret_scan.all_spans(f"zz\n{layer}{after}")
+                assert (3, 3 + len(layer), "assign") in spans, (width, end, after)
+    for raw in ("a\u00a0b token: abcdef123".encode(), "\ufefftoken: abcdef123".encode(), "\u200b\ftoken: abcdef123".encode(), b"\xff token: abcdef123 \x00"):
+        layer = base64.b64encode(raw).decode()
+        assert (3, 3 + len(layer), "assign") in secret_scan.all_spans(f"zz {layer} yy")
+    letters = next(x for _ in range(20000) if (x := base64.b64encode(b"AKIA" + bytes(rng.choice(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(17))).decode()).isalpha())
+    assert (3, 3 + len(letters), "access") in secret_scan.all_spans(f"zz {letters} yy")
+    inner = base64.b64encode(f"{filler} token: abcdef123 {filler}".encode()).decode()
+    lines = "\n".join(inner[k : k + 64] for k in range(0, len(inner), 64))
+    whole, secret_scan.WINDOW = secret_scan.WINDOW, 100
+    try:  # wrapped base64 over the ends of windows
+        layer = base64.b64encode(gzip.compress(f"some words.\n{lines}\nmore words".encode())).decode()
+        assert (3, 3 + len(layer), "assign") in secret_scan.all_spans(f"zz {layer} yy")
+    finally:
+        secret_scan.WINDOW = whole
+
+
 def test_pseudonyms(spark):
     f = pii.Feistel(b"k")
     assert sorted(f.permute(i, 1000, "t") for i in range(1000)) == list(range(1000))
