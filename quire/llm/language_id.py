@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 #: The classifier learns from at most this many documents of each language, of these at most
 #: this many words of lines drawn over the whole text.  Prediction takes whole texts.
 TRAIN_DOCS_PER_LANG, TRAIN_WORDS_PER_DOC = 250, 150
+#: Of a longer text, an executor draws the lines, so the driver gets only these.
+DRAWN_OVER = 200_000
 #: Hashed features, lexicon words per language, most languages.
 BUCKETS, LEXICON_WORDS, LANGS = 1 << 16, 4000, 64
 EPOCHS, BATCH, RATE, DECAY = 6, 512, 0.25, 1e-5
@@ -49,7 +51,7 @@ _BUCKETS = _Buckets()
 
 def word_features(word: str) -> list[int]:
     """Buckets of a lower-case word's affixes and character n-grams."""
-    marked = f"<{word[:24]}>"
+    marked = f"<{word}>"
     names = ["p" + word[:1], "p" + word[:2], "p" + word[:3], "s" + word[-1:], "s" + word[-2:], "s" + word[-3:], "s" + word[-4:]]
     names += [marked[i : i + 3] for i in range(len(marked) - 2)]
     names += [marked[i : i + 2] for i in range(len(marked) - 1)]
@@ -247,6 +249,16 @@ class Labeller:
         return langs, [min(1.0, max(0.0, float(mean[i, b]))) if count[i] else 0.0 for i, b in enumerate(best)], list(mean)
 
 
+def _drawn(batches):
+    """Texts over ``DRAWN_OVER`` characters as lines drawn over all of each."""
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        for k, (key, text) in enumerate(zip(batch.column("doc_id").to_pylist(), texts)):
+            if len(text) > DRAWN_OVER:
+                texts[k] = "\n".join(" ".join(line) for line in _sampled_lines(text, key))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+
 def training_rows(docs: DataFrame) -> list[tuple[int, str, str]]:
     """The bounded sample: of each language, the documents that come first by a hash of doc_id.
 
@@ -261,7 +273,8 @@ def training_rows(docs: DataFrame) -> list[tuple[int, str, str]]:
     for lang in langs:
         own = able.filter(F.col("lang") == lang).select("doc_id", key.alias("key")).orderBy("key", "doc_id").limit(TRAIN_DOCS_PER_LANG)
         ids = [r["doc_id"] for r in own.collect()]
-        picked = able.filter((F.col("lang") == lang) & F.col("doc_id").isin(ids)).select("doc_id", F.substring("text", 1, 200_000).alias("text")).limit(2 * TRAIN_DOCS_PER_LANG)
+        picked = able.filter((F.col("lang") == lang) & F.col("doc_id").isin(ids)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).limit(2 * TRAIN_DOCS_PER_LANG)
+        picked = picked.mapInArrow(_drawn, "doc_id long, text string")
         rows += [(r["doc_id"], r["text"], lang) for r in picked.collect()]
     return rows
 
