@@ -16,8 +16,11 @@ are worked on one by one and meet only in sums.
 4. Two sets that link share an n-gram among the first ``n - ceil(n p / q) + 1``
    of each (its prefix), and the first shared one stands early enough in both to
    leave room for the overlap.  Inverted lists of prefixes give the candidates.
-   Each list's members meet a hub first; pairs that are connected already need
-   no test; what is left between components is paired in blocks of a list.
+   Each list's members meet a hub first, the one with the fewest n-grams that
+   are rarer than the list's: it has the fewest of its own, so in a group of
+   near copies it is nearest to what they were copied from.  Pairs that are
+   connected already need no test; what is left between components is paired
+   in blocks of a list.
 5. For candidates, the overlap is counted in each fragment and summed per pair.
 
 N-grams that very many classes hold (at most 2^20 of them, a bound that follows
@@ -50,10 +53,10 @@ FRAGMENT, LEAST_FRAGMENTS = 1 << 19, 64
 FIRST = 1.5
 #: Fragments in which the overlaps of candidates are counted.
 COUNTING_FRAGMENTS = 8
-#: Star rounds at most before all remaining cross-component pairs are compared.
-ROUNDS = 4
+#: Star rounds at least and at most before all remaining cross-component pairs are compared.
+LEAST_ROUNDS, ROUNDS = 1, 4
 #: Pairs are compared in full once there are no more than so many for each row of a list.
-PAIRS_A_ROW = 50
+PAIRS_A_ROW = 100
 #: Members of a list that are paired in one block.
 BLOCK = 256
 
@@ -337,7 +340,7 @@ def _room(na, ra, nb, rb, p: int, q: int) -> Column:
 
 def _hub_pairs(lists: DataFrame, turn: int, p: int, q: int) -> DataFrame:
     """Each list's members paired with its hub, unless they are connected."""
-    first = F.col("v") if turn == 0 else F.xxhash64("v", F.lit(turn))
+    first = F.col("at") if turn == 0 else F.xxhash64("v", F.lit(turn))
     hubs = narrow(cut(lists.groupBy("gram").agg(F.min(F.struct(first.alias("by"), "v", "n", "at", "c")).alias("hub"))))
     met = lists.join(hubs.select("gram", F.col("hub.v").alias("hv"), F.col("hub.n").alias("hn"), F.col("hub.at").alias("hat"), F.col("hub.c").alias("hc")), "gram")
     met = met.filter((F.col("c") != F.col("hc")) & _room("n", "at", "hn", "hat", p, q))
@@ -381,7 +384,8 @@ def _links(lists: DataFrame, segments: DataFrame, labels: DataFrame | None, p: i
         if not left["rows"]:
             return labels
         lists = narrow(cut(lists.join(live.select("gram"), "gram")))
-        final = turn == ROUNDS or left["pairs"] <= PAIRS_A_ROW * left["rows"] or (before is not None and left["pairs"] > 0.7 * before)
+        few = left["pairs"] <= PAIRS_A_ROW * left["rows"] or (before is not None and left["pairs"] > 0.7 * before)
+        final = turn == ROUNDS or (turn >= LEAST_ROUNDS and few)
         before = left["pairs"]
         pairs = narrow(cut(_block_pairs(lists, p, q) if final else _hub_pairs(lists, turn, p, q)))
         found = narrow(cut(_verified(pairs, segments, p, q)))
