@@ -22,16 +22,39 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def word_bpe_path() -> str:
+    """The public vocabulary file that the BPE queries use by default."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; a local one only where none is set (tests)."""
+    """The shared folder the session names; a temporary one only where none is set and all runs in one process."""
     sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if current is None:
+    if sc.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quire-checkpoint-"))
     return sc.getCheckpointDir()
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` after as many underscores as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder in the store that holds it."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: a reliable checkpoint in the shared folder.
 

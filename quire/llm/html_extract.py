@@ -1,8 +1,8 @@
 """Main-text extraction: structure of the page, then a suffix array over each host's pages.
 
 A page is cut into blocks of text; those in menus, headers, footers, sidebars,
-notices, adverts, forms, scripts and reader comments go by their elements and
-by the words of their class, id and role.  All visible blocks of a host's pages,
+notices, adverts, forms, scripts and reader comments go by their elements, their
+role, and classes that say nothing else.  All visible blocks of a host's pages,
 these too, are token streams, and a suffix array (by prefix doubling, to the
 depth of the shortest repeat that counts) finds the substrings that most distinct
 pages of the host share.  Such boilerplate is removed wherever it is: a menu
@@ -33,32 +33,140 @@ PAGES_TOGETHER, CHARS_TOGETHER = 1024, 4_000_000
 BIG_SHARE, LEAST_PAGES, LEAST_BYTES = 1000, 256, 16 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.S | re.I,
-)
-_MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_START = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
+#: To the end of a tag; a quote counts only after ``=``, and only if it is closed.
+_REST = re.compile(r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|["'=])*+>""")
+_RAW = {x: re.compile(rf"</{x}\s*>", re.I) for x in ("script", "style", "noscript", "template", "svg", "iframe", "textarea", "select", "title")}
+_MARKS = re.compile(r"""(?:^|\s)(class|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true""", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_DROPPED = frozenset("nav footer aside form button head dialog menu object video audio canvas map fieldset label".split())
-_INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-#: Words of a class, id or role that mark what is not the article.
+_DROPPED = frozenset("nav footer aside form button head dialog menu object video audio canvas map fieldset".split())
+_INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+#: Words of a class that name what is not the article, and words that may stand beside one (``site-footer``).
+#: A class is marked if all of its words are known and one is of the first kind.
 _MARKED = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert"
+    "ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert"
     " nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toc sidebar aside widget widgets footer masthead topbar toolbar"
-    " comment comments commentlist disqus respond replies share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay search complementary contentinfo".split()
+    " comment comments commentlist disqus respond replies share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay".split()
 )
+_BESIDE = frozenset("site page post article main top bottom left right box list area section wrapper wrap container bar links link block unit slot item items posts articles row col column inner outer content header head title global primary secondary user reader form google".split())
+_ROLES = frozenset("navigation banner complementary contentinfo search form menu menubar toolbar alert alertdialog dialog".split())
+#: Block elements whose start ends an open paragraph.
+_ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li dd dt main menu nav ol p pre search section summary table ul".split())
+#: Elements whose start ends open ones of these names, unless an element of the kind named last stands between.
+_ENDS = {"li": (("li",), "list"), "dt": (("dt", "dd"), "list"), "dd": (("dt", "dd"), "list"), "tr": (("tr",), "table"), "td": (("td", "th"), "row"), "th": (("td", "th"), "row"), "tbody": (("thead", "tbody", "tfoot"), "table"), "tfoot": (("thead", "tbody", "tfoot"), "table"), "thead": (("thead", "tbody", "tfoot"), "table")}
+_BARRIERS = {"p": frozenset("table td th caption button object template".split()), "list": frozenset("ul ol menu dir dl table td th article section aside nav main header footer form figure details blockquote".split()), "table": frozenset(["table"]), "row": frozenset(["table", "tr"])}
+
+
+def _is_marked(marks: str) -> bool:
+    """Whether the attributes of an element say that it is hidden or not of the article."""
+    if _HIDDEN.search(marks):
+        return True
+    for name, value in _MARKS.findall(marks):
+        words = value.strip("\"'").lower().split()
+        if name.lower() == "role":
+            if _ROLES.intersection(words):
+                return True
+        else:
+            for word in words:
+                parts = [x for x in re.split(r"[-_]+", word) if x]
+                if not _MARKED.isdisjoint(parts) and all(x in _MARKED or x in _BESIDE for x in parts):
+                    return True
+    return False
+
+
+class _Open:
+    """The open elements, with the implied end tags of HTML; each step takes constant time on the average."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, str] | None] = []  # None: an inline element that was closed below others
+        self.at: dict[str, list[int]] = {}
+        self.barriers: dict[str, list[int]] = {k: [] for k in _BARRIERS}
+        self.count = {"dropped": 0, "article": 0, "main": 0, "": 0}
+
+    def push(self, name: str, kind: str) -> None:
+        for k, names in _BARRIERS.items():
+            if name in names:
+                self.barriers[k].append(len(self.stack))
+        self.at.setdefault(name, []).append(len(self.stack))
+        self.stack.append((name, kind))
+        self.count[kind] += 1
+
+    def cut(self, depth: int) -> None:
+        """Close all elements from ``depth`` on."""
+        while len(self.stack) > depth:
+            entry = self.stack.pop()
+            if entry:
+                self.at[entry[0]].pop()
+                self.count[entry[1]] -= 1
+        for found in self.barriers.values():
+            while found and found[-1] >= depth:
+                found.pop()
+
+    def implied(self, name: str) -> None:
+        """Close what the start of ``name`` ends."""
+        if name in _ENDS_P:
+            self._end(("p",), "p")
+        if name in _ENDS:
+            self._end(*_ENDS[name])
+
+    def _end(self, names: tuple[str, ...], barrier: str) -> None:
+        depth = max((self.at[x][-1] for x in names if self.at.get(x)), default=-1)
+        if depth >= 0 and not (self.barriers[barrier] and self.barriers[barrier][-1] > depth):
+            self.cut(depth)
+
+    def end(self, name: str) -> None:
+        """An end tag: all elements inside go too, but for an inline one, which ends alone."""
+        if not self.at.get(name):
+            return
+        depth = self.at[name][-1]
+        if name not in _INLINE or depth == len(self.stack) - 1:
+            self.cut(depth)
+        else:
+            self.at[name].pop()
+            self.count[self.stack[depth][1]] -= 1
+            self.stack[depth] = None
+        while self.stack and self.stack[-1] is None:
+            self.stack.pop()
+
+
+def _tags(page: str):
+    """``(text before, is an end tag, name, attributes)`` of each tag, in one pass; the last row and those of raw elements have no name.
+
+    Once a tag's quotes swallow all that follows, quotes no longer count in the rest of the page.
+    """
+    at = here = 0
+    quotes = True
+    while m := _START.search(page, here):
+        before = page[at : m.start()]
+        if m[1]:
+            end = page.find("-->", m.end())
+            at = here = len(page) if end < 0 else end + 3
+            yield before, False, "", ""
+            continue
+        found = quotes and m[4] and _REST.match(page, m.end())
+        quotes = bool(found) or quotes and not m[4]
+        end = found.end() if found else page.find(">", m.end()) + 1
+        if not end:
+            break
+        name, marks = (m[4] or "").lower(), page[m.end() : end - 1]
+        if name in _RAW and not m[3]:
+            close = _RAW[name].search(page, end) if name != "svg" or not marks.endswith("/") else found or m
+            at = here = max(end, close.end()) if close else len(page)
+            yield before + " ", False, "", ""
+            continue
+        at = here = end
+        yield before, bool(m[3]), name, marks
+    yield page[at:], False, "", ""
 
 
 def marked_blocks(page: str) -> list[str]:
     """All visible blocks of a page, each after a mark: ``+`` in its article, else in its main element, else in its body; ``-`` elsewhere."""
-    stack: list[tuple[str, str]] = []
+    tree = _Open()
+    count = tree.count
     blocks: list[tuple[str, str]] = []
     text: list[str] = []
     aside: list[str] = []
-    dropped = articles = mains = 0
-    at = 0
 
     def flush(parts: list[str], region: str) -> None:
         if parts:
@@ -68,70 +176,44 @@ def marked_blocks(page: str) -> list[str]:
                 blocks.append((region, block))
 
     def region() -> str:
-        return "article" if articles else "main" if mains else "body"
-
-    def close(entry: tuple[str, str]) -> None:
-        nonlocal dropped, articles, mains
-        if entry[1] == "dropped":
-            dropped -= 1
-        elif entry[1] == "article":
-            articles -= 1
-        elif entry[1] == "main":
-            mains -= 1
-
-    for m in _TAG.finditer(page):
-        if m.start() > at:
-            (aside if dropped else text).append(page[at : m.start()])
-        at = m.end()
-        name = m[3]
-        if name is None:
-            if m[1]:
-                (aside if dropped else text).append(" ")
+        return "article" if count["article"] else "main" if count["main"] else "body"
+
+    for before, closing, name, marks in _tags(page):
+        if before:
+            (aside if count["dropped"] else text).append(before)
+        if not name:
             continue
-        name = name.lower()
         if name in _INLINE:
             if name == "br" or name == "img":
-                (aside if dropped else text).append(" ")
+                (aside if count["dropped"] else text).append(" ")
                 continue
-        elif dropped:
+        elif count["dropped"]:
             flush(aside, "aside")
         else:
             flush(text, region())
+        if not closing:
+            tree.implied(name)
+            if aside and not count["dropped"]:
+                flush(aside, "aside")
         if name in _VOID:
             continue
-        if m[2]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    for entry in stack[k:]:
-                        close(entry)
-                    del stack[k:]
-                    if not dropped:
-                        flush(aside, "aside")
-                    break
+        if closing:
+            tree.end(name)
+            if not count["dropped"]:
+                flush(aside, "aside")
             continue
         if name == "body":  # ends a head that was left open
-            for entry in stack:
-                close(entry)
-            stack.clear()
+            tree.cut(0)
         kind = ""
-        marks = m[4]
-        if name in _DROPPED or (name == "header" and not articles):
+        if name in _DROPPED or (name == "header" and not count["article"]):
             kind = "dropped"
-        elif marks and name not in ("html", "body") and (_HIDDEN.search(marks) or any(_MARKED.intersection(re.split(r"[^a-z0-9]+", x.lower())) for x in _MARKS.findall(marks))):
+        elif marks and name not in ("html", "body") and _is_marked(marks):
             kind = "dropped"
         elif name == "article" or name == "main":
             kind = name
-        if kind == "dropped":
-            if name in _INLINE and not dropped:
-                text.append(" ")
-            dropped += 1
-        elif kind == "article":
-            articles += 1
-        elif kind == "main":
-            mains += 1
-        stack.append((name, kind))
-    if at < len(page):
-        (aside if dropped else text).append(page[at:])
+        if kind == "dropped" and name in _INLINE and not count["dropped"]:
+            text.append(" ")
+        tree.push(name, kind)
     flush(aside, "aside")
     flush(text, region())
     seen = {name for name, _ in blocks}

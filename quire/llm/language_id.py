@@ -16,11 +16,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import unused
+
 #: The classifier learns from at most this many documents of each language, of these at most
 #: this many words of lines drawn over the whole text.  Prediction takes whole texts.
 TRAIN_DOCS_PER_LANG, TRAIN_WORDS_PER_DOC = 250, 150
@@ -33,7 +36,8 @@ EPOCHS, BATCH, RATE, DECAY = 6, 512, 0.25, 1e-5
 WORDS_KEPT = 200_000
 #: Cells (words with padding) that forward-backward works on at a time.
 CELLS = 60_000
-_WORD = re.compile(r"[^\W\d_]+")
+#: A word is a run of letters with their marks; numerals of any kind are none.
+_ASCII_WORD, _WORD = re.compile("[A-Za-z]+"), regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 class _Buckets(dict):
@@ -110,7 +114,7 @@ def _transition_marginals(alpha, beta, emit, step, lengths) -> np.ndarray:
 
 
 def words_by_line(text: str) -> list[list[str]]:
-    return [w for line in text.split("\n") if (w := [x.lower() for x in _WORD.findall(line)])]
+    return [w for line in text.lower().split("\n") if (w := (_ASCII_WORD if line.isascii() else _WORD).findall(line))]
 
 
 def _sampled_lines(text: str, key: int) -> list[list[str]]:
@@ -215,8 +219,8 @@ class Labeller:
             self.table[self.filled : len(self.ids)] = self.crf.potentials(fresh)
             self.filled = len(self.ids)
 
-    def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[np.ndarray]]:
-        """Languages, scores and mean marginals; ``und`` and 0 for texts without a letter."""
+    def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[np.ndarray], list[float]]:
+        """Languages, scores, mean marginals, and means of the words' largest marginals; ``und`` and 0 for texts without a letter."""
         n = len(self.crf.langs)
         if len(self.ids) > WORDS_KEPT:
             self.ids.clear()
@@ -227,7 +231,7 @@ class Labeller:
                 lines.append(np.array(self._ids(line)))
                 owner.append(d)
         self._fill()
-        sums, count = np.zeros((len(texts), n)), np.zeros(len(texts))
+        sums, count, best_of = np.zeros((len(texts), n)), np.zeros(len(texts)), np.zeros(len(texts))
         sizes = np.array([len(x) for x in lines], np.int64)
         order, owner = np.argsort(sizes, kind="stable"), np.array(owner, np.int64)
         at = 0
@@ -241,12 +245,13 @@ class Labeller:
             unary[real] = self.table[np.concatenate([lines[k] for k in pick])]
             marginal = forward_backward(unary, sizes[pick], self.crf.start, self.crf.trans)[0]
             np.add.at(sums, owner[pick], marginal.sum(1))
+            np.add.at(best_of, owner[pick], marginal.max(2).sum(1))
             np.add.at(count, owner[pick], sizes[pick])
             at = end
-        mean = sums / np.maximum(count, 1)[:, None]
+        mean, fits = sums / np.maximum(count, 1)[:, None], np.minimum(1.0, best_of / np.maximum(count, 1))
         best = mean.argmax(1)
         langs = [self.crf.langs[b] if c else "und" for b, c in zip(best, count)]
-        return langs, [min(1.0, max(0.0, float(mean[i, b]))) if count[i] else 0.0 for i, b in enumerate(best)], list(mean)
+        return langs, [min(1.0, max(0.0, float(mean[i, b]))) if count[i] else 0.0 for i, b in enumerate(best)], list(mean), fits.tolist()
 
 
 def _drawn(batches):
@@ -256,68 +261,85 @@ def _drawn(batches):
         for k, (key, text) in enumerate(zip(batch.column("doc_id").to_pylist(), texts)):
             if len(text) > DRAWN_OVER:
                 texts[k] = "\n".join(" ".join(line) for line in _sampled_lines(text, key))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), batch.column("lang"), batch.column("lot")], ["doc_id", "text", "lang", "lot"])
 
 
 def training_rows(docs: DataFrame) -> list[tuple[int, str, str]]:
     """The bounded sample: of each language, the documents that come first by a hash of doc_id.
 
-    Texts and languages of held-out documents are not read.  The number of
-    languages learned is bounded too (the most frequent ones).
+    Texts and languages of held-out documents are not read.  One pass counts
+    the languages, one takes what is under a bound on the hash that the counts
+    give, somewhat more than is wanted; the rest goes on the driver.  Of rows
+    that repeat a doc_id, the first text in order is taken.
     """
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     able = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out)
-    langs = [r["lang"] for r in able.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()]
-    key = F.xxhash64("doc_id", F.lit("sample"))
-    rows = []
-    for lang in langs:
-        own = able.filter(F.col("lang") == lang).select("doc_id", key.alias("key")).orderBy("key", "doc_id").limit(TRAIN_DOCS_PER_LANG)
-        ids = [r["doc_id"] for r in own.collect()]
-        picked = able.filter((F.col("lang") == lang) & F.col("doc_id").isin(ids)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).limit(2 * TRAIN_DOCS_PER_LANG)
-        picked = picked.mapInArrow(_drawn, "doc_id long, text string")
-        rows += [(r["doc_id"], r["text"], lang) for r in picked.collect()]
-    return rows
+    langs = {r["lang"]: r["count"] for r in able.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()}
+    if not langs:
+        return []
+    enough = TRAIN_DOCS_PER_LANG + 8 * TRAIN_DOCS_PER_LANG**0.5 + 30  # eight standard deviations over
+    shares = F.create_map(*[F.lit(x) for lang, n in langs.items() for x in (lang, min(1.0, enough / n))])
+    lot = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)) / float(1 << 40)
+    able = able.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "lang", lot.alias("lot"))
+    able = able.filter(F.col("lot") < F.element_at(shares, F.col("lang")))
+    drawn = able.mapInArrow(_drawn, "doc_id long, text string, lang string, lot double").groupBy("lang", "doc_id", "lot").agg(F.min("text").alias("text"))
+    rows = {lang: sorted(((r["lot"], r["doc_id"], r["text"]) for r in found)) for lang, found in _by_lang(drawn.collect()).items()}
+    return [(i, text, lang) for lang in langs for _, i, text in rows.get(lang, [])[:TRAIN_DOCS_PER_LANG]]
+
+
+def _by_lang(rows) -> dict[str, list]:
+    out: dict[str, list] = {}
+    for r in rows:
+        out.setdefault(r["lang"], []).append(r)
+    return out
 
 
 def labelled(docs: DataFrame, crf: Crf | None = None, carry: list[str] | None = None) -> DataFrame:
-    """The rows of ``docs`` with ``lang_pred`` and ``score``, and of its columns those in ``carry`` (None: all).
+    """The rows of ``docs`` with ``lang_pred``, ``score`` and ``fit``, and of its columns those in ``carry`` (None: all).
 
-    Without ``crf``, one is learned from ``docs`` (doc_id, text, lang).
+    ``fit`` is the mean of the words' largest marginals: near 1 also for a text
+    that switches between learned languages.  Without ``crf``, one is learned
+    from ``docs`` (doc_id, text, lang).  Columns of these names are replaced;
+    the other cases are those of ``identify``.
     """
     crf = train(training_rows(docs)) if crf is None else crf
     shared = docs.sparkSession.sparkContext.broadcast(crf)  # fixed size: BUCKETS and LEXICON_WORDS x languages
-    carry = [c for c in docs.columns if c not in ("lang_pred", "score")] if carry is None else carry
-    names = [*carry, "lang_pred", "score"]
+    carry = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "fit")] if carry is None else carry
+    names, text = [*carry, "lang_pred", "score", "fit"], unused(docs, "text")
 
     def run(batches):
         labeller = Labeller(shared.value) if shared.value is not None else None
         for batch in batches:
-            texts = batch.column("__text")
+            texts = batch.column(text)
             at = 0
             while at < len(texts):
                 part, size = [], 0
                 while at + len(part) < len(texts) and size < 1 << 20:
                     part.append(texts[at + len(part)].as_py() or "")
                     size += len(part[-1])
-                langs, scores = labeller.predict(part)[:2] if labeller else (["und"] * len(part), [0.0] * len(part))
+                langs, scores, _, fits = labeller.predict(part) if labeller else (["und"] * len(part), [0.0] * len(part), [], [0.0] * len(part))
                 carried = [batch.column(c).slice(at, len(part)) for c in carry]
-                yield pa.RecordBatch.from_arrays([*carried, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names)
+                yield pa.RecordBatch.from_arrays([*carried, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(fits, pa.float64())], names)
                 at += len(part)
 
-    schema = T.StructType([docs.schema[c] for c in carry] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.select(*carry, F.col("text").cast("string").alias("__text")).mapInArrow(run, schema)
+    schema = T.StructType([docs.schema[c] for c in carry] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("fit", T.DoubleType())])
+    return docs.select(*carry, F.col("text").cast("string").alias(text)).mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, crf: Crf | None = None) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of each document, from its whole text.
 
     Without ``crf``, one is learned from ``docs`` itself (doc_id, text, lang),
-    never from documents whose crc32(doc_id as text) mod 3 is 1.  ``score`` is
-    the mean marginal of the predicted language.  Defined cases: ``und`` with
+    never from documents whose crc32(doc_id as text) mod 3 is 1.  The sample is
+    bounded: the ``LANGS`` most frequent languages, of each
+    ``TRAIN_DOCS_PER_LANG`` documents, of each ``TRAIN_WORDS_PER_DOC`` words
+    (whole lines drawn over the whole text); a language beyond these is never
+    predicted.  ``score`` is the mean marginal of the predicted language,
+    ``fit`` that of the words' best ones.  Defined cases: ``und`` with
     score 0 if the text is null, empty or without a letter, or if there is
     nothing to learn from; ties go to the language first in order; a null
     doc_id is kept with a null ``held_out``; repeated rows each give a row; no
     rows give no rows; other columns are ignored.  One pass, no shuffle.
     """
     held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
-    return labelled(docs, crf, ["doc_id"]).select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "lang_pred", "score")
+    return labelled(docs, crf, ["doc_id"]).select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "lang_pred", "score", "fit")

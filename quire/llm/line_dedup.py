@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, cut, string_arrays
+from .common import WHITE, cut, string_arrays, unused
 
 _WHITE = WHITE.encode()
 
@@ -67,16 +67,18 @@ def dedup_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3) ->
     Lines are counted over distinct (key, doc_id), so a key that most documents
     hold is summed before its shuffle; the join back is left to AQE to split.
     """
-    docs = docs.drop("n_lines", "n_dropped", "__th", "__lines", "__drop").withColumn("__th", F.xxhash64("text"))
-    texts = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__th").alias("th"), F.col("text").cast("string").alias("text"))
+    docs = docs.drop("n_lines", "n_dropped")
+    th, parts, gone, doc, at = (unused(docs, x) for x in ("th", "lines", "gone", "doc", "at"))
+    keyed = docs.withColumn(th, F.xxhash64("text"))
+    texts = keyed.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(th).alias("th"), F.col("text").cast("string").alias("text"))
     lines = texts.mapInArrow(_line_rows(least_chars), "doc_id long, th long, pos int, h1 long, h2 long")
     found = lines.select("h1", "h2", "doc_id").distinct().groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("doc_id").alias("keep"))
     often = cut(found.filter(F.col("n") >= least_docs).select("h1", "h2", "keep"))
-    drops = lines.join(often, ["h1", "h2"]).filter("doc_id <> keep").groupBy("doc_id", "th").agg(F.collect_set("pos").alias("__drop"))
-    split = docs.select(*[c for c in docs.columns if c != "text"], F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n").alias("__lines"))
-    joined = split.join(drops.withColumnRenamed("doc_id", "__doc").withColumnRenamed("th", "__t"), (F.col("doc_id") == F.col("__doc")) & (F.col("__th") == F.col("__t")), "left")
-    n = F.size("__lines")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), n - 1), F.col("__drop")), lambda i: F.get(F.col("__lines"), i))
-    text = F.when(F.col("__drop").isNull(), F.array_join("__lines", "\n")).otherwise(F.array_join(kept, "\n"))
-    columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns if c != "__th"]
-    return joined.select(*columns, n.cast("long").alias("n_lines"), F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped"))
+    drops = lines.join(often, ["h1", "h2"]).filter("doc_id <> keep").groupBy(F.col("doc_id").alias(doc), F.col("th").alias(at)).agg(F.collect_set("pos").alias(gone))
+    split = keyed.select(*[c for c in keyed.columns if c != "text"], F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n").alias(parts))
+    joined = split.join(drops, (F.col("doc_id") == F.col(doc)) & (F.col(th) == F.col(at)), "left")
+    n = F.size(parts)
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), n - 1), F.col(gone)), lambda i: F.get(F.col(parts), i))
+    text = F.when(F.col(gone).isNull(), F.array_join(parts, "\n")).otherwise(F.array_join(kept, "\n"))
+    columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    return joined.select(*columns, n.cast("long").alias("n_lines"), F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"))

@@ -10,13 +10,14 @@ over the steps' residuals, so nothing but these few numbers is carried along.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_CLASS, cut
+from .common import WHITE_CLASS, cut, unused
 
 #: Domains, first match wins, as conditions over the labelled table, and the weights to reach.
 DOMAINS = {"toxic": "toxic = 1", "poor": "quality = 0", "good": "quality = 1"}
@@ -30,6 +31,8 @@ TEMPERATURE = 1.5
 #: Share of the most tokens that the scarcest domain allows.
 BUDGET = 0.9
 STEPS, TOLERANCE = 25, 1e-4
+#: Targets are met if each is within this share.
+MET = 0.01
 _BINS = 8
 
 
@@ -99,12 +102,13 @@ def learn_domains(docs: DataFrame, labels: DataFrame, domains: dict[str, str] =
 
 
 def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
-    """``doc_id, th, n_tokens, p`` (an array in the order of ``model.domains``), a row for each distinct (doc_id, text)."""
+    """``doc_id, th, copies, n_tokens, p`` (an array in the order of ``model.domains``), a row for each distinct (doc_id, text)."""
     d = range(len(model.domains))
     # The vocabulary has at most WORDS rows.
     hits = _held_words(docs).join(F.broadcast(model.words), "word").groupBy("doc_id", "th").agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in d])
     hits = hits.withColumnsRenamed({"doc_id": "__doc", "th": "__t"})
-    rows = _described(docs).dropDuplicates(["doc_id", "th"])
+    rows = _described(docs)
+    rows = rows.groupBy("doc_id", "th").agg(F.count("*").alias("copies"), *[F.min(c).alias(c) for c in rows.columns if c not in ("doc_id", "th")])
     rows = rows.join(hits, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("th") == F.col("__t")), "left")
     score = []
     for i in d:
@@ -113,11 +117,11 @@ def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
     most = F.greatest(*score) if len(score) > 1 else score[0]
     raised = F.array(*[F.exp(x - most) for x in score])
     total = F.aggregate("p", F.lit(0.0), lambda a, x: a + x)
-    return rows.select("doc_id", "th", "n_tokens", raised.alias("p")).withColumn("p", F.transform("p", lambda x: x / total))
+    return rows.select("doc_id", "th", "copies", "n_tokens", raised.alias("p")).withColumn("p", F.transform("p", lambda x: x / total))
 
 
 def fit_rates(rows: DataFrame, targets: list[float], largest: float = 1.0) -> tuple[Column, dict]:
-    """The column of rates over ``n_tokens, p`` and what it reaches.
+    """The column of rates over ``copies, n_tokens, p`` (a row stands for so many copies) and what it reaches.
 
     Targets are weights; they are scaled to ``BUDGET`` of the most tokens that
     the scarcest domain allows at the largest rate.  With the metric ``inverse(sum(tokens *
@@ -126,7 +130,8 @@ def fit_rates(rows: DataFrame, targets: list[float], largest: float = 1.0) -> tu
     """
     d = range(len(targets))
     p = [F.get("p", F.lit(i)) for i in d]
-    t = F.col("n_tokens").cast("double")
+    copies = F.col("copies") if "copies" in rows.columns else F.lit(1)
+    t = (F.col("n_tokens") * copies).cast("double")
     sums = rows.select(*[F.sum(t * p[i]).alias(f"s{i}") for i in d], *[F.sum(t * p[i] * p[j]).alias(f"m{i}_{j}") for i in d for j in d if j >= i]).first()
     have = np.array([sums[f"s{i}"] or 0.0 for i in d])
     weights = np.array(targets, float) / sum(targets)
@@ -155,7 +160,7 @@ def fit_rates(rows: DataFrame, targets: list[float], largest: float = 1.0) -> tu
 
     reached, best = have, None
     for _ in range(STEPS + 1):
-        got = rows.select(state().alias("s"), "n_tokens", "p").select(*[F.sum(t * F.col(f"s.{x}") * p[i]).alias(f"{x}{i}") for i in d for x in "ry"]).first()
+        got = rows.select(state().alias("s"), "n_tokens", copies.alias("copies"), "p").select(*[F.sum(t * F.col(f"s.{x}") * p[i]).alias(f"{x}{i}") for i in d for x in "ry"]).first()
         reached, ahead = (np.array([got[f"{x}{i}"] or 0.0 for i in d]) for x in "ry")
         loss = float((reached - goal) @ metric @ (reached - goal))
         if np.abs(reached - goal).sum() <= TOLERANCE * goal.sum() or (best is not None and best - loss < 1e-5 * best and len(moves) > 8) or len(moves) == STEPS:
@@ -168,9 +173,14 @@ def fit_rates(rows: DataFrame, targets: list[float], largest: float = 1.0) -> tu
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOMAINS, targets: dict[str, float] = TARGETS, largest: float = 1.0) -> DataFrame:
-    """``doc_id, th, n_tokens, rate`` and ``p_<domain>``, a row for each distinct (doc_id, text).
-
-    ``th`` is xxhash64(text).  Defined cases: null or empty text has no tokens,
+    """``doc_id, th, n_tokens, rate``, ``p_<domain>``, ``weight_<domain>`` and ``met``, a row for each distinct (doc_id, text).
+
+    ``th`` is xxhash64(text).  The weights are the shares of the expected
+    tokens that the fit reaches, the same in all rows; ``met`` tells whether
+    each token total is within ``MET`` of its target.  If they are not (soft
+    memberships may not allow it), the rates are the best fit found and a
+    warning says so.  Rows that repeat (doc_id, text) count in the totals as
+    often as they are there.  Defined cases: null or empty text has no tokens,
     its rate follows from its posterior; with no labelled document the
     posteriors are the priors' (equal ones); a null doc_id is kept; no rows
     give no rows; other columns are ignored; labels that repeat a doc_id count
@@ -179,14 +189,26 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = D
     docs = docs.select("doc_id", "text")
     model = learn_domains(docs, labels, domains)
     rows = cut(posteriors(docs, model))
-    rate, _ = fit_rates(rows, [targets[k] for k in domains], largest)
-    return rows.select("doc_id", "th", "n_tokens", rate.alias("rate"), *[F.round(F.get("p", F.lit(i)), 6).alias(f"p_{k}") for i, k in enumerate(domains)])
+    rate, facts = fit_rates(rows, [targets[k] for k in domains], largest)
+    goal, reached = (np.array(facts[x]) for x in ("targets", "reached"))
+    met = bool((np.abs(reached - goal) <= MET * goal).all())
+    if not met:
+        warnings.warn(f"the mixing targets are not met: {dict(zip(domains, goal.round()))} tokens wanted, {dict(zip(domains, reached.round()))} reached", stacklevel=2)
+    weights = (reached / max(reached.sum(), 1e-300)).round(6).tolist()
+    columns = [F.round(F.get("p", F.lit(i)), 6).alias(f"p_{k}") for i, k in enumerate(domains)] + [F.lit(w).alias(f"weight_{k}") for k, w in zip(domains, weights)]
+    return rows.select("doc_id", "th", "n_tokens", rate.alias("rate"), *columns, F.lit(met).alias("met"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOMAINS, targets: dict[str, float] = TARGETS) -> DataFrame:
-    """The rows of ``docs`` that their rates draw: a hash of doc_id is the lot, so a rerun draws the same."""
-    rates = mixing_rates(docs, labels, domains, targets).select(F.col("doc_id").alias("__doc"), F.col("th").alias("__t"), "rate")
-    keyed = docs.withColumn("__th", F.xxhash64("text"))
+    """The rows of ``docs`` that their rates draw: a hash of doc_id is the lot, so a rerun draws the same.
+
+    Rows that repeat (doc_id, text) are drawn together, and counted so in the
+    fit.  Nulls, empty texts, empty tables and other columns, whatever their
+    names, are as in ``mixing_rates``; the columns stay those of ``docs``.
+    """
+    doc, t, th, rate = (unused(docs, x) for x in ("doc", "t", "th", "rate"))
+    rates = mixing_rates(docs, labels, domains, targets).select(F.col("doc_id").alias(doc), F.col("th").alias(t), F.col("rate").alias(rate))
+    keyed = docs.withColumn(th, F.xxhash64("text"))
     lot = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(1 << 30)) / float(1 << 30)
-    drawn = keyed.join(rates.withColumnRenamed("rate", "__rate"), F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__th") == F.col("__t")))
-    return drawn.filter(lot < F.col("__rate")).select(*docs.columns)
+    drawn = keyed.join(rates, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(th) == F.col(t)))
+    return drawn.filter(lot < F.col(rate)).select(*docs.columns)

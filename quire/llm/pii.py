@@ -5,7 +5,10 @@ and check digit of cards, areas of social security numbers, check digits of
 IBANs, octets of addresses, the calendar).  A value's number within its format is
 permuted by a Feistel network with cycle walking, so the pseudonym has the same
 format and is valid too, equal values get equal pseudonyms in all documents, and
-no two values of a format share one.
+no two values of a format share one.  A value is permuted in its canonical form
+(digits of a phone number without its country code, lower case of an address,
+the day of a date), and its own spelling is laid over the result; so values that
+are equal but for spelling stay linked as well.
 """
 
 from __future__ import annotations
@@ -20,9 +23,11 @@ from pyspark.sql import DataFrame
 KINDS = ("email", "iban", "card", "ssn", "phone", "ip", "date")
 ROUNDS = 10
 _LOWER, _UPPER, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-#: Letters of Latin-1 other than ASCII.
-_LOWER_1 = "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
-_UPPER_1 = "".join(chr(c) for c in range(0xC0, 0xDF) if c != 0xD7)
+#: Letters of Latin-1 other than ASCII that have both cases in it.
+_LOWER_1 = "".join(chr(c) for c in range(0xE0, 0xFF) if c != 0xF7)
+_UPPER_1 = _LOWER_1.upper()
+#: Characters of an address at most (RFC 5321).
+EMAIL_CHARS = 254
 _ALPHABET = {c: a for a in (_LOWER, _UPPER, _DIGIT, _LOWER_1, _UPPER_1) for c in a}
 #: Dates from the first to the last are permuted among themselves.
 FIRST_DATE, LAST_DATE = datetime.date(1900, 1, 1), datetime.date(2099, 12, 31)
@@ -45,6 +50,12 @@ class Feistel:
     def __init__(self, key: bytes):
         self.key = hashlib.blake2b(key, digest_size=32).digest()
 
+    def _stream(self, said: bytes, size: int) -> bytes:
+        """``size`` pseudorandom bytes; blake2b gives 64 at most."""
+        if size <= 64:
+            return hashlib.blake2b(said, key=self.key, digest_size=size).digest()
+        return b"".join(hashlib.blake2b(b"%d|%s" % (k, said), key=self.key).digest() for k in range(-(-size // 64)))[:size]
+
     def permute(self, value: int, n: int, kind: str) -> int:
         if n < 2:
             return value
@@ -54,7 +65,7 @@ class Feistel:
             left, right = value >> half, value & mask
             for i in range(ROUNDS):
                 said = b"%s|%d|%d|%d" % (kind.encode(), n, i, right)
-                f = int.from_bytes(hashlib.blake2b(said, key=self.key, digest_size=32 + half // 8).digest(), "big")
+                f = int.from_bytes(self._stream(said, 32 + half // 8), "big")
                 left, right = right, left ^ (f & mask)
             value = left << half | right
             if value < n:  # a value outside the format walks on; the walk is a permutation too
@@ -138,7 +149,17 @@ def _phone(text: str, feistel: Feistel) -> str | None:
         return None
     code = re.match(r"\+\d{1,3}(?=[ .(-])", text)
     at = code.end() if code else 0
-    return text[:at] + _permuted(text[at:], feistel, f"phone:{text[:at]}")
+    digits = "".join(c for c in text[at:] if c.isdigit())
+    return text[:at] + _filled(text[at:], _permuted(digits, feistel, "phone"))
+
+
+def _email(text: str, feistel: Feistel) -> str | None:
+    """All but the top domain; capitals stay where they are."""
+    if len(text) > EMAIL_CHARS:
+        return None
+    at = text.rindex(".")
+    made = _permuted("".join(c.lower() if c in _ALPHABET else c for c in text[:at]), feistel, "email")
+    return "".join(m.upper() if c in _UPPER or c in _UPPER_1 else m for c, m in zip(text, made)) + text[at:]
 
 
 def _ip(text: str, feistel: Feistel) -> str | None:
@@ -161,7 +182,7 @@ def _date(text: str, feistel: Feistel) -> str | None:
     return (FIRST_DATE + datetime.timedelta(feistel.permute((day - FIRST_DATE).days, span, "date"))).strftime(form)
 
 
-_MAKERS = {"email": lambda t, f: _permuted(t[: t.rindex(".")], f, "email") + t[t.rindex(".") :], "iban": _iban, "card": _card, "ssn": _ssn, "phone": _phone, "ip": _ip, "date": _date}
+_MAKERS = {"email": _email, "iban": _iban, "card": _card, "ssn": _ssn, "phone": _phone, "ip": _ip, "date": _date}
 
 
 def pseudonymise(text: str, feistel: Feistel) -> tuple[str, list[tuple[int, int, str]]]:
@@ -187,11 +208,13 @@ def pseudonymise(text: str, feistel: Feistel) -> tuple[str, list[tuple[int, int,
     return "".join(out) + text[at:], spans
 
 
-def pseudonymise_documents(docs: DataFrame, key: bytes = b"quire") -> DataFrame:
+def pseudonymise_documents(docs: DataFrame, key: bytes) -> DataFrame:
     """``doc_id, text, n_found`` and ``spans`` (``kind:start:end``, in the input) of each document.
 
     ``key`` is the secret of the permutation; whoever holds it can undo it.
-    Defined cases: null text stays null with no spans; empty text stays empty;
+    It must be kept and given again for later documents to stay linked with these.
+    Defined cases: null text stays null with no spans; addresses of over 254
+    characters are none and stand; empty text stays empty;
     values that do not validate stand; dates in ISO form, with slashes (year
     first) or with dots (day first) from 1900 to 2099; a null doc_id is kept;
     repeated rows each give a row; no rows give no rows; other columns are

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-
-from . import ann, bpe, html_extract, jaccard_join, language_id, line_dedup, mixing, pii, quality, secret_scan
-from .common import read, sha256_hex
+from . import ann, bpe, html_extract, jaccard_join, language_id, line_dedup, mixing, pii, pipeline, quality, secret_scan
+from .common import read, sha256_hex, word_bpe_path
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,13 +38,6 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
 
 
-def word_bpe_path() -> str:
-    """The public vocabulary file that the BPE queries use by default."""
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read(spark, sf_dir, "documents"), word_bpe_path(), full=False)
 
@@ -59,7 +51,9 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise_documents(read(spark, sf_dir, "documents"))
+    """The key is the session's ``spark.quire.pii.key``; without one, a key drawn for this call alone, which nobody keeps."""
+    key = spark.conf.get("spark.quire.pii.key", None)
+    return pii.pseudonymise_documents(read(spark, sf_dir, "documents"), key.encode() if key else secrets.token_bytes(32))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -73,5 +67,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline.run,
 }

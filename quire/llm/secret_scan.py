@@ -1,14 +1,20 @@
-"""Secret scans with a worklist of decoded layers."""
+"""Secret scans with a worklist of decoded layers.
+
+A span found in a layer is mapped back through all layers above it: URL and
+Unicode escapes character by character, base64 by four characters for three
+bytes, over line ends too.  What compressed data holds maps to the whole piece.
+"""
 
 from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import codecs
 import hashlib
 import re
 import zlib
-from urllib.parse import unquote_to_bytes
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,8 +24,9 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # Runs are maximal, so a least length in the pattern drops the same matches as a later test.
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_URL = re.compile(r"[^\s\"'<>]*%[0-9A-Fa-f]{2}[^\s\"'<>]*")
-_UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|&#x?[0-9A-Fa-f]{1,7};|[^\s\\&\"'<>])*(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\u\{|&#)[^\s\"'<>]*")
+#: What may hold an escape; of each such token, the escapes are looked for in one pass.
+_TOKEN = re.compile(r"[^\s\"'<>]+")
+_URL_CUE, _URL_RUN = re.compile(r"%[0-9A-Fa-f]{2}"), re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE_CUE = re.compile(r"\\u[0-9A-Fa-f{]|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|&#x?[0-9A-Fa-f]")
 _UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}={0,2}(?![A-Za-z0-9+/_=-])")
@@ -128,23 +135,64 @@ def _one(m: re.Match) -> str:
     return chr(value) if value < 0x110000 and not 0xD800 <= value < 0xE000 else m[0]
 
 
+def _url_run(m: re.Match) -> str:
+    return bytes.fromhex(m[0].replace("%", "")).decode(errors="surrogateescape")
+
+
+def _bytes_to(text: str, at: int) -> int:
+    return len(text[:at].encode(errors="surrogateescape"))
+
+
+def _replaced(token: str, pattern: re.Pattern, one) -> tuple[str, Callable[[int, int], tuple[int, int]]]:
+    """A token with its escapes replaced, and what maps a span of the result to one of the token."""
+    layer = pattern.sub(one, token)
+
+    def locate(a: int, b: int) -> tuple[int, int]:
+        made, source, starts = 0, 0, []  # (place in the layer, place in the token, its escape or None)
+        for m in pattern.finditer(token):
+            starts.append((made, source, None))
+            made += m.start() - source
+            starts.append((made, m.start(), m))
+            made, source = made + len(one(m)), m.end()
+        starts.append((made, source, None))
+        keys = [x[0] for x in starts]
+
+        def place(at: int, end: bool) -> int:
+            # The end of a span is the end of its last character.
+            made, source, m = starts[(bisect.bisect_left(keys, at) if end else bisect.bisect_right(keys, at)) - 1]
+            if m is None:
+                return source + at - made
+            said = one(m)
+            if pattern is _URL_RUN:
+                return source + 3 * _bytes_to(said, at - made)
+            return m.end() if end else source
+
+        return place(a, False), place(b, True)
+
+    return layer, locate
+
+
 def decoded_layers(text: str):
-    """``(start, end, layer)``: the encoded pieces of a text and what they decode to, one level down."""
-    if "%" in text:
-        for m in _URL.finditer(text):
-            layer = unquote_to_bytes(m[0]).decode(errors="replace")
-            if layer != m[0]:
-                yield m.start(), m.end(), layer
-    if _UNICODE_CUE.search(text):
-        for m in re.finditer(r"[^\s\"'<>]+", text):
-            if _UNICODE_CUE.search(m[0]) and (layer := _UNICODE_ONE.sub(_one, m[0])) != m[0]:
-                yield m.start(), m.end(), layer
+    """``(start, end, layer, locate)``: the encoded pieces of a text and what they decode to, one level down.
+
+    ``locate`` maps a span of the layer to one of the text; it is None if only the whole piece can be told.
+    """
+    for cue, pattern, one in ((_URL_CUE, _URL_RUN, _url_run), (_UNICODE_CUE, _UNICODE_ONE, _one)):
+        if cue.search(text):
+            for m in _TOKEN.finditer(text):
+                if cue.search(m[0]):
+                    layer, locate = _replaced(m[0], pattern, one)
+                    if layer != m[0]:
+                        yield m.start(), m.end(), layer, lambda a, b, at=m.start(), locate=locate: tuple(at + x for x in locate(a, b))
     for m in _BASE64.finditer(text):
-        yield from ((m.start(), m.end(), layer) for layer in _base64_layers(m[0]))
+        for layer, locate in _base64_layers(m[0]):
+            yield m.start(), m.end(), layer, locate and (lambda a, b, at=m.start(), locate=locate: tuple(at + x for x in locate(a, b)))
     if "\n" in text:
         for m in _WRAPPED.finditer(text):
-            for start, end, body in _wrapped(m):
-                yield from ((start, end, layer) for layer in _base64_layers(body))
+            for lines in _wrapped(m):
+                start, end = lines[0][0], lines[-1][1]
+                for layer, locate in _base64_layers("".join(text[a:b] for a, b in lines)):
+                    yield start, end, layer, locate and (lambda a, b, lines=lines, locate=locate: _over_lines(lines, *locate(a, b)))
 
 
 def _wrapped(m: re.Match):
@@ -162,12 +210,19 @@ def _wrapped(m: re.Match):
         if last + 1 < len(lines) and lines[last + 1][1] - lines[last + 1][0] < size:
             last += 1
         if last > k and size >= 16:
-            yield lines[k][0], lines[last][1], "".join(m.string[a:b] for a, b in lines[k : last + 1])
+            yield lines[k : last + 1]
         k = max(last, k + 1)
 
 
+def _over_lines(lines: list[tuple[int, int]], a: int, b: int) -> tuple[int, int]:
+    """A span of joined lines of one length (but for the last) as one of the text."""
+    size = lines[0][1] - lines[0][0]
+    first, last = min(a // size, len(lines) - 1), min((b - 1) // size, len(lines) - 1)
+    return lines[first][0] + a - first * size, lines[last][0] + b - last * size
+
+
 def _base64_layers(piece: str):
-    """The windows of what a base64 piece decodes to."""
+    """What a base64 piece decodes to, in windows if it was compressed, each with a map of its spans to the piece's."""
     body = piece.rstrip("=")
     if len(body) % 4 == 1:
         return
@@ -175,31 +230,42 @@ def _base64_layers(piece: str):
         raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
     except (binascii.Error, ValueError):
         return
-    yield from _windows(_opened(lambda: iter([raw]))())
+    whole = lambda: iter([raw])
+    opened = _opened(whole)
+    if opened is not whole:
+        yield from ((layer, None) for layer in _windows(opened()))
+        return
+    text = raw.decode(errors="surrogateescape")
+
+    def locate(a: int, b: int) -> tuple[int, int]:
+        return _bytes_to(text, a) * 4 // 3, len(piece) if b == len(text) else -(-_bytes_to(text, b) * 4 // 3)
+
+    yield text, locate
 
 
 def all_spans(text: str) -> list[tuple[int, int, str]]:
-    """Base spans and those of decoded layers, mapped to the outermost encoded piece.
+    """Base spans and those of decoded layers, mapped to the text.
 
     The worklist goes depth first and holds one layer of each depth; a layer
-    whose text (by digest) was seen under the same span is not opened again, so
-    cycles end.
+    whose text (by digest) was seen under the same piece is not opened again,
+    so cycles end.
     """
     found, seen = set(base_spans(text)), set()
-    work = [(None, decoded_layers(text))]
+    work = [(lambda a, b: (a, b), decoded_layers(text))]
     while work:
-        outer, layers = work[-1]
-        a, b, layer = next(layers, (0, 0, None))
+        above, layers = work[-1]
+        start, end, layer, locate = next(layers, (0, 0, None, None))
         if layer is None:
             work.pop()
             continue
-        a, b = outer or (a, b)
+        a, b = above(start, end)
         key = a, b, hashlib.blake2b(layer.encode(errors="surrogatepass"), digest_size=16).digest()
-        if key in seen or (outer and layer == text):
+        if key in seen or layer == text:
             continue
         seen.add(key)
-        found.update((a, b, kind) for _, _, kind in base_spans(layer))
-        work.append(((a, b), decoded_layers(layer)))
+        outer = (lambda x, y, above=above, locate=locate: above(*locate(x, y))) if locate else (lambda x, y, a=a, b=b: (a, b))
+        found.update((*outer(x, y), kind) for x, y, kind in base_spans(layer))
+        work.append((outer, decoded_layers(layer)))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
