@@ -1,77 +1,13 @@
-"""A corpus pipeline of five of the training-data operators.
+"""A corpus pipeline of five of the training-data operators: language ID, line dedup, n-gram Jaccard join, mixing, BPE.
 
-Language ID drops what is in no learned language; line dedup drops lines that
-many documents share; the n-gram Jaccard join leaves one document of each group
-of near copies; mixing draws documents to the target weights of the domains; BPE
-encodes what is left.
+The stages are in ``quire.llm.pipeline``; this is their entry.
 """
 
 from __future__ import annotations
 
-import uuid
+from quire.llm.pipeline import STAGES, run
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from quire.llm import bpe, jaccard_join, language_id, line_dedup, mixing
-from quire.llm.common import ensure_checkpoint_dir, read
-
-#: A document whose language scores less is rejected.
-LEAST_SCORE = 0.5
-
-
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a known language: a letter at least, and a score of ``LEAST_SCORE``."""
-    found = language_id.labelled(docs)
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
-
-
-def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that others share; ``n_chars`` follows the text."""
-    out = line_dedup.dedup_lines(docs)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
-
-
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group at a Jaccard similarity of 0.8 of five-word shingles."""
-    groups = jaccard_join.near_duplicates(docs, n=5, threshold=(4, 5))
-    stay = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
-
-
-def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn to the target weights of the labelled domains, none more than once."""
-    return mixing.mix(docs, read(spark, sf_dir, "labels"))
-
-
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the documents' ids and decoded texts."""
-    from quire.llm.queries import word_bpe_path
-
-    return bpe.encode_documents(docs, word_bpe_path(), full=False)
-
-
-STAGES = [
-    ("language_id", identify_language),
-    ("line_dedup", drop_shared_lines),
-    ("ngram_jaccard", drop_near_copies),
-    ("source_mixing", mix_domains),
-    ("bpe", encode),
-]
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
 
 #: SQL can't express the language model, the mixing fit and the tokenizer; a brute-force version tests run().
 ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is written as Parquet in the shared folder and read again."""
-    docs = read(spark, sf_dir, "documents")
-    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    for k, (name, stage) in enumerate(STAGES):
-        path = f"{folder}/{k}_{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-    return docs
