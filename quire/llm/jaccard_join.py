@@ -20,7 +20,8 @@ are worked on one by one and meet only in sums.
    are rarer than the list's: it has the fewest of its own, so in a group of
    near copies it is nearest to what they were copied from.  Pairs that are
    connected already need no test; what is left between components is paired
-   in blocks of a list.
+   in blocks of a list, if the sets' bitmaps allow it: a bit that differs, and
+   an n-gram that no other set has, is a difference each.
 5. For candidates, the overlap is counted in each fragment and summed per pair.
 
 N-grams that very many classes hold (at most 2^20 of them, a bound that follows
@@ -53,6 +54,8 @@ FRAGMENT, LEAST_FRAGMENTS = 1 << 19, 64
 FIRST = 1.5
 #: Fragments in which the overlaps of candidates are counted.
 COUNTING_FRAGMENTS = 8
+#: Bits of a set's bitmap: the parity of its n-grams in each of as many classes.
+BITS = 1024
 #: Star rounds at least and at most before all remaining cross-component pairs are compared.
 LEAST_ROUNDS, ROUNDS = 1, 4
 #: Pairs are compared in full once there are no more than so many for each row of a list.
@@ -63,7 +66,7 @@ BLOCK = 256
 _MEASURED = "frequent boolean, doc_id long, v long, n_shingles long, f1 long, f2 long, first binary"
 _DEALT = "key long, v binary, n binary, size binary, items binary"
 _COUNTED = "key long, info boolean, v binary, n binary, size binary, items binary, df binary"
-_SETS = "v long, n long, f int, items array<long>, prefix array<struct<gram: long, at: long>>"
+_SETS = "v long, n long, f int, items array<long>, prefix array<struct<gram: long, at: long>>, lone long, bits array<long>"
 
 
 def _sets(batch: pa.RecordBatch, n: int):
@@ -318,7 +321,13 @@ def _shared_sets(p: int, q: int, frequent):
         lists = np.concatenate([[0], np.cumsum(np.where(head, pairs_of[who], 0))]).astype(np.int32)
         entries = pa.StructArray.from_arrays([pa.array(grams[by_place].view(np.int64)), pa.array(at[by_place])], ["gram", "at"])
         items = pa.ListArray.from_arrays(pa.array(np.append(rows, len(of)).astype(np.int32)), pa.array(grams[by_part].view(np.int64)))
-        return pa.table([pa.array(v[who]), pa.array(n[who]), pa.array(f[by_part][rows].astype(np.int32)), items, pa.ListArray.from_arrays(pa.array(lists), entries)], ["v", "n", "f", "items", "prefix"])
+        # A class's first row has its bitmap too.
+        rank = np.cumsum(able) - 1
+        parity = np.bincount(rank[of] * BITS + (grams % np.uint64(BITS)).astype(np.int64), minlength=int(able.sum()) * BITS) & 1
+        words = np.packbits(parity.astype(np.uint8).reshape(-1, BITS), axis=1, bitorder="little").view(np.int64)
+        bits = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.where(head, BITS // 64, 0))).astype(np.int32)), pa.array(words[rank[who[head]]].reshape(-1)), mask=pa.array(~head))
+        columns = [pa.array(v[who]), pa.array(n[who]), pa.array(f[by_part][rows].astype(np.int32)), items, pa.ListArray.from_arrays(pa.array(lists), entries), pa.array((n - shared)[who]), bits]
+        return pa.table(columns, ["v", "n", "f", "items", "prefix", "lone", "bits"])
 
     return run
 
@@ -348,16 +357,22 @@ def _hub_pairs(lists: DataFrame, turn: int, p: int, q: int) -> DataFrame:
     return met.select(F.least("v", "hv").alias("a"), F.greatest("v", "hv").alias("b"), F.when(lower, F.col("n")).otherwise(F.col("hn")).alias("na"), F.when(lower, F.col("hn")).otherwise(F.col("n")).alias("nb")).distinct()
 
 
-def _block_pairs(lists: DataFrame, p: int, q: int) -> DataFrame:
-    """All pairs of a list between components that sizes and places allow; long lists are cut into blocks, which meet two by two."""
+def _differences() -> Column:
+    """N-grams at least in which the sets of a pair differ, by their bitmaps and their own n-grams."""
+    odd = [F.bit_count(F.get("xa", F.lit(i)).bitwiseXOR(F.get("xb", F.lit(i)))) for i in range(BITS // 64)]
+    return sum(odd, F.col("la") + F.col("lb"))
+
+
+def _block_pairs(lists: DataFrame, marks: DataFrame, p: int, q: int) -> DataFrame:
+    """All pairs of a list between components that sizes, places and bitmaps allow; long lists are cut into blocks, which meet two by two."""
     sizes = narrow(cut(lists.groupBy("gram").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))))
-    placed = lists.join(sizes, "gram").withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+    placed = lists.join(sizes, "gram").withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")).join(marks, "v")
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = narrow(cut(placed.select("gram", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "v", "n", "at", "c")))
-    mine = placed.select("gram", "x", "y", F.col("block").alias("ba"), F.col("v").alias("a"), F.col("n").alias("na"), F.col("at").alias("ra"), F.col("c").alias("ca"))
-    other = placed.select("gram", "x", "y", F.col("block").alias("bb"), F.col("v").alias("b"), F.col("n").alias("nb"), F.col("at").alias("rb"), F.col("c").alias("cb"))
+    placed = narrow(cut(placed.select("gram", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "v", "n", "at", "c", "lone", "bits")))
+    side = lambda s: placed.select("gram", "x", "y", *[F.col(c).alias(k + s) for c, k in (("block", "b"), ("v", ""), ("n", "n"), ("at", "r"), ("c", "c"), ("lone", "l"), ("bits", "x"))])
     once = F.expr("a < b AND ca <> cb AND (x = y OR ba <> bb)")
-    return mine.join(other, ["gram", "x", "y"]).filter(once & _room("na", "ra", "nb", "rb", p, q)).select("a", "b", "na", "nb").distinct()
+    near = _differences() * (p + q) <= (F.col("na") + F.col("nb")) * (q - p)
+    return side("a").join(side("b"), ["gram", "x", "y"]).filter(once & _room("na", "ra", "nb", "rb", p, q) & near).select("a", "b", "na", "nb").distinct()
 
 
 def _merged(labels: DataFrame | None, found: DataFrame) -> DataFrame:
@@ -371,7 +386,7 @@ def _merged(labels: DataFrame | None, found: DataFrame) -> DataFrame:
     return narrow(cut(moved.union(merged.join(labels.select("v"), "v", "left_anti").select("v", "c"))))
 
 
-def _links(lists: DataFrame, segments: DataFrame, labels: DataFrame | None, p: int, q: int) -> DataFrame | None:
+def _links(lists: DataFrame, segments: DataFrame, marks: DataFrame, labels: DataFrame | None, p: int, q: int) -> DataFrame | None:
     """Components ``(v, c)`` of all links between members of the lists (gram, v, n, at), joined to those known."""
     lists = lists.withColumn("c", F.col("v"))
     if labels is not None:
@@ -387,7 +402,7 @@ def _links(lists: DataFrame, segments: DataFrame, labels: DataFrame | None, p: i
         few = left["pairs"] <= PAIRS_A_ROW * left["rows"] or (before is not None and left["pairs"] > 0.7 * before)
         final = turn == ROUNDS or (turn >= LEAST_ROUNDS and few)
         before = left["pairs"]
-        pairs = narrow(cut(_block_pairs(lists, p, q) if final else _hub_pairs(lists, turn, p, q)))
+        pairs = narrow(cut(_block_pairs(lists, marks, p, q) if final else _hub_pairs(lists, turn, p, q)))
         found = narrow(cut(_verified(pairs, segments, p, q)))
         if not found.isEmpty():
             labels = _merged(labels, found)
@@ -451,7 +466,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (4
     # A doc_id with several texts joins their classes.
     several = able.groupBy("doc_id").agg(F.min("v").alias("a"), F.max("v").alias("high")).filter("a < high").select("doc_id", "a")
     several = narrow(cut(able.select("doc_id", F.col("v").alias("b")).join(several, "doc_id").filter("a < b").select("a", "b").distinct()))
-    labels = _links(lists, sets.select("v", "f", "items"), None if several.isEmpty() else components(several), p, q)
+    marks = sets.filter("bits IS NOT NULL").select("v", "lone", "bits")
+    labels = _links(lists, sets.select("v", "f", "items"), marks, None if several.isEmpty() else components(several), p, q)
 
     named = classes.select("v", "class_id")
     if labels is None:
