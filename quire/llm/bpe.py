@@ -20,12 +20,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import chunks, string_arrays
+from .common import chunks, released, string_arrays
 
 #: Bytes under the rolling hash, and the bits that are zero at a border.
 WINDOW, BORDER_BITS = 16, 8
-#: Kept in each worker at most; a full store is emptied.
-WORDS_KEPT, CHUNKS_KEPT = 200_000, 40_000
+#: Kept in each worker at most; a full store is emptied, and that of chunks at the end of a task too.
+WORDS_KEPT, CHUNKS_KEPT = 200_000, 20_000
 _GEAR = np.random.default_rng(7).integers(0, 2**32, 256, dtype=np.uint32)
 _SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]+")
 
@@ -176,6 +176,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, full: bool = True) ->
                     rows.append(row + [np.frombuffer(ids, "<u4").astype(np.int64), text] if full else row)
                 columns = [pa.array(x, t) for x, (_, t) in zip(zip(*rows), fields)]
                 yield pa.RecordBatch.from_arrays([docs_in.slice(a, b - a), *columns], ["doc_id", *(n for n, _ in fields)])
+        coder.chunks.clear()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<long>, decoded string" if full else "")
-    return docs.selectExpr("CAST(doc_id AS long) AS doc_id", "CAST(text AS string) AS text").mapInArrow(run, schema)
+    return docs.selectExpr("CAST(doc_id AS long) AS doc_id", "CAST(text AS string) AS text").mapInArrow(released(run), schema)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -88,6 +91,27 @@ def rows_of(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     return df.join(F.broadcast(keys) if few else keys, column, "left_semi")
 
 
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that gives its memory back when its task ends.
+
+    Python workers are reused for later tasks, and both Arrow's pool and the C
+    library keep what was freed; several such workers and the executor share
+    one bound.
+    """
+
+    @functools.wraps(run)
+    def inner(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return inner
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

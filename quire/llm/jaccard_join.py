@@ -26,7 +26,7 @@ are worked on one by one and meet only in sums.
 
 N-grams that very many classes hold (at most 2^20 of them, a bound that follows
 from the counts) are known to all tasks and stand last in the order, so no
-fragment has a list longer than about three millionths of all n-grams.
+fragment has a list longer than about four millionths of all n-grams.
 """
 
 from __future__ import annotations
@@ -39,11 +39,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import chunks, cut, narrow, rows_of, string_arrays
+from .common import chunks, cut, narrow, released, rows_of, string_arrays
 from .graph import components
 
 #: N-grams that a task holds at a time.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: An n-gram is reported as frequent by a chunk in which so many classes hold it.
 REPORTED = 4
 #: N-grams of the frequent table at most; one is frequent from this part of all n-grams on, and from so many classes on.
@@ -414,7 +414,7 @@ def _links(lists: DataFrame, segments: DataFrame, marks: DataFrame, labels: Data
 def _of_classes(docs: DataFrame, n: int, limit: int) -> tuple[DataFrame, DataFrame, int]:
     """Documents, classes ``(v, class_id, n)`` and the salt of the keys; a key that two sets share calls for another salt."""
     for salt in itertools.count():
-        made = cut(docs.mapInArrow(_measured(n, limit, salt), _MEASURED))
+        made = cut(docs.mapInArrow(released(_measured(n, limit, salt)), _MEASURED))
         able = made.filter("NOT frequent AND n_shingles > 0 AND doc_id IS NOT NULL")
         one = [F.min(x).alias(x) for x in ("n_shingles", "f1", "f2")] + [F.max(x).alias(f"{x}_") for x in ("n_shingles", "f1", "f2")]
         classes = cut(able.groupBy("v").agg(F.min("doc_id").alias("class_id"), *one))
@@ -451,14 +451,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (4
     frequent = spark.sparkContext.broadcast((hot[order], hot_df[order]))
 
     parts = max(LEAST_FRAGMENTS, -(-first // FRAGMENT))
-    dealt = able.select("v", "first").mapInArrow(_first_fragments(parts, limit, frequent), _DEALT)
+    dealt = able.select("v", "first").mapInArrow(released(_first_fragments(parts, limit, frequent)), _DEALT)
     lone = dealt.groupBy("key").applyInArrow(_lone(parts), "key long, v binary, size binary").groupBy("key").applyInArrow(_lone_sums, "v long, lone long")
     open_classes = narrow(cut(classes.join(lone, "v", "left").filter(F.coalesce("lone", F.lit(0)) * q <= F.col("n") * (q - p)).select("v", "class_id", "n")))
 
     grams = open_classes.agg(F.sum("n")).first()[0] or 0
     parts = max(LEAST_FRAGMENTS, -(-grams // FRAGMENT))
     wanted = narrow(cut(open_classes.select(F.col("class_id").alias("doc_id")).distinct()))
-    dealt = rows_of(docs, wanted, "doc_id").mapInArrow(_all_fragments(n, salt, parts, frequent), _DEALT)
+    dealt = rows_of(docs, wanted, "doc_id").mapInArrow(released(_all_fragments(n, salt, parts, frequent)), _DEALT)
     counted = dealt.groupBy("key").applyInArrow(_counted(parts), _COUNTED)
     sets = cut(counted.groupBy("key").applyInArrow(_shared_sets(p, q, frequent), _SETS))
     lists = sets.select("v", "n", F.explode("prefix").alias("e")).select("e.gram", "v", "n", "e.at")

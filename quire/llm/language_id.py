@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import unused
+from .common import released, unused
 
 #: The classifier learns from at most this many documents of each language, of these at most
 #: this many words of lines drawn over the whole text.  Prediction takes whole texts.
@@ -282,7 +282,7 @@ def training_rows(docs: DataFrame) -> list[tuple[int, str, str]]:
     lot = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)) / float(1 << 40)
     able = able.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "lang", lot.alias("lot"))
     able = able.filter(F.col("lot") < F.element_at(shares, F.col("lang")))
-    drawn = able.mapInArrow(_drawn, "doc_id long, text string, lang string, lot double").groupBy("lang", "doc_id", "lot").agg(F.min("text").alias("text"))
+    drawn = able.mapInArrow(released(_drawn), "doc_id long, text string, lang string, lot double").groupBy("lang", "doc_id", "lot").agg(F.min("text").alias("text"))
     rows = {lang: sorted(((r["lot"], r["doc_id"], r["text"]) for r in found)) for lang, found in _by_lang(drawn.collect()).items()}
     return [(i, text, lang) for lang in langs for _, i, text in rows.get(lang, [])[:TRAIN_DOCS_PER_LANG]]
 
@@ -323,7 +323,7 @@ def labelled(docs: DataFrame, crf: Crf | None = None, carry: list[str] | None =
                 at += len(part)
 
     schema = T.StructType([docs.schema[c] for c in carry] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("fit", T.DoubleType())])
-    return docs.select(*carry, F.col("text").cast("string").alias(text)).mapInArrow(run, schema)
+    return docs.select(*carry, F.col("text").cast("string").alias(text)).mapInArrow(released(run), schema)
 
 
 def identify(docs: DataFrame, crf: Crf | None = None) -> DataFrame:

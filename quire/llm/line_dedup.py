@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, cut, string_arrays, unused
+from .common import WHITE, cut, released, string_arrays, unused
 
 _WHITE = WHITE.encode()
 
@@ -71,7 +71,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3) ->
     th, parts, gone, doc, at = (unused(docs, x) for x in ("th", "lines", "gone", "doc", "at"))
     keyed = docs.withColumn(th, F.xxhash64("text"))
     texts = keyed.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(th).alias("th"), F.col("text").cast("string").alias("text"))
-    lines = texts.mapInArrow(_line_rows(least_chars), "doc_id long, th long, pos int, h1 long, h2 long")
+    lines = texts.mapInArrow(released(_line_rows(least_chars)), "doc_id long, th long, pos int, h1 long, h2 long")
     found = lines.select("h1", "h2", "doc_id").distinct().groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("doc_id").alias("keep"))
     often = cut(found.filter(F.col("n") >= least_docs).select("h1", "h2", "keep"))
     drops = lines.join(often, ["h1", "h2"]).filter("doc_id <> keep").groupBy(F.col("doc_id").alias(doc), F.col("th").alias(at)).agg(F.collect_set("pos").alias(gone))
