@@ -5,16 +5,21 @@ Java's ``\\s`` and ``\\d`` are ASCII; classes are spelled out where others are m
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..model import CJK, GAP_CJK, GAP_EN, IGNORED
+from ..model import ASCII_STOPS, BRACKETS, GAP_CJK, GAP_EN, IGNORED, JOINER
 
-_WIDE = {",": "，", ";": "；", ":": "：", "!": "！", "?": "？"}
 _CN = "一二三四五六七八九十百零〇"
+#: What may stand before and after a mark that becomes wide, closers that no space stands before, dashes of ranges.
+_HAN, _BEFORE, _AFTER, _CLOSE, _RANGE = "一-鿿", "一-鿿”’）》", "一-鿿“‘（《", "）】》”’，。；：！？、", "-–—~～－"
+#: Stands before a mark that is to become wide (a private code point).
+_TURN = "\uf8f0"
 
 
 def bound(value: Column, of: Callable[[Column], Column]) -> Column:
@@ -42,19 +47,19 @@ def collapse_ws(text: Column) -> Column:
 
 
 def repair(text: Column) -> Column:
-    """Marks between CJK characters, apostrophes, spaces at closing marks, number ranges, page numbers."""
+    """Marks between CJK characters, apostrophes, spaces at closing marks, number ranges, page numbers.
+
+    Marks that become wide are found by one expression and turned by literal
+    replacements, and only in texts that have CJK characters.
+    """
     out = F.replace(text, F.lit("\u00a0"), F.lit(" "))
-    for ascii_mark, wide in _WIDE.items():
-        mark = f"\\{ascii_mark}"
-        out = chain(out, [(f"(?<=[一-鿿”’）》]){mark}(?=[一-鿿“‘（《])", wide)])
-    for ascii_mark, wide in _WIDE.items():
-        out = chain(out, [(f"(?<=[一-鿿])\\{ascii_mark}$", wide)])
+    found = F.regexp_replace(out, f"(?<=[{_BEFORE}])(?=[{ASCII_STOPS}][{_AFTER}])|(?<=[{_HAN}])(?=[{ASCII_STOPS}]$)", _TURN)
+    wide = replaced(found, [(_TURN + a, w) for a, w in zip(ASCII_STOPS, "，；：！？")])
+    out = F.when(out.rlike(f"[{_HAN}]"), wide).otherwise(out)
+    out = F.when(out.contains("'"), F.regexp_replace(out, f"(?<=[A-Za-z])'(?=[A-Za-z \\t\\n\\r　）”，。；：])", "’")).otherwise(out)
     return chain(out, [
-        ("(?<=[A-Za-z])'(?=[A-Za-z]|[ \\t\\n\\r　]|[）”，。；：])", "’"),
-        ("(?<=[A-Za-z0-9])[ 　]+(?=[）】》”’，。；：！？、])", ""),
-        (" {2,}", " "),
-        ("(?<=[0-9])([-–—~～－])(?=[0-9])", "$1\u2060"),
-        ("(?<![A-Za-z])(pp?\\.) (?=[0-9])", "$1\u00a0"),
+        (f"(?<=[A-Za-z0-9])[ 　]+(?=[{_CLOSE}])", ""), (" {2,}", " "),
+        (f"(?<=[0-9])([{_RANGE}])(?=[0-9])", f"$1{JOINER}"), ("(?<![A-Za-z])(pp?\\.) (?=[0-9])", "$1\u00a0"),
     ])
 
 
@@ -73,12 +78,22 @@ def unbreak(text: Column) -> Column:
 
 def marker_number(text: Column) -> Column:
     """The number of a note mark such as [3], （3）, 〔3〕, 註3, [校3] or 3; null if it is none."""
-    n = F.regexp_extract(F.trim(text), "^(?:[註注])?[\\[［(（〔]?[ 　]*(?:校(?=[0-9]+[\\]］]))?([0-9]+)[ 　]*[\\]］)）〕]?[．.]?$", 1)
+    open_, close, gap = re.escape("[［(（〔"), re.escape("]］)）〕"), "[ 　]*"
+    n = F.regexp_extract(F.trim(text), f"^[註注]?[{open_}]?{gap}(?:校(?=[0-9]+[\\]］]))?([0-9]+){gap}[{close}]?[．.]?$", 1)
     return F.when(n != "", n)
 
 
+#: Marks that are no numbers and stand as they are (fixed values).
+SYMBOLS = "*＊†‡§¶※①②③④⑤⑥⑦⑧⑨⑩⑪⑫⑬⑭⑮⑯⑰⑱⑲⑳"
+
+
 def marker_text(text: Column, form: str = "sq") -> Column:
-    """A note mark in one form: sq [n], paren (n), keep the brackets, zhu 註n, sqcirc ①."""
+    """A note mark in one form: sq [n], paren (n), keep the brackets, zhu 註n, sqcirc ①; symbols stand, what is no mark is null."""
+    t = F.trim(text)
+    return F.when(t.rlike(f"^[{re.escape(SYMBOLS)}]{{1,3}}$"), t).otherwise(_marker_text(text, form))
+
+
+def _marker_text(text: Column, form: str) -> Column:
     n, t = marker_number(text), F.trim(text)
     square = F.concat(F.lit("["), n, F.lit("]"))
     round_ = F.concat(F.lit("("), n, F.lit(")"))
@@ -204,6 +219,11 @@ def title_text(runs: Column) -> Column:
     return F.array_join(F.transform(F.filter(runs, lambda r: (F.coalesce(r["s"], F.lit(0)) == 0) & (r["t"] != "\n")), lambda r: r["t"]), "")
 
 
+def runs_plain(runs: Column) -> Column:
+    """The text of runs: a formula's source in place of its mark, a picture as its mark."""
+    return F.array_join(F.transform(runs, lambda r: F.coalesce(r["m"], r["t"])), "")
+
+
 def apostrophes(text: Column) -> Column:
     """Single closing quotes that are apostrophes become ``ʼ`` (U+02BC).
 
@@ -233,49 +253,97 @@ def _apostrophes(text: Column) -> Column:
     return F.aggregate(chars, start, fold, lambda a: a["out"])
 
 
-_PAIRS = {"（": "）", "(": ")", "〔": "〕", "[": "]", "［": "］", "【": "】"}
+_BRACKET = re.compile("[" + re.escape("".join([*BRACKETS, *BRACKETS.values()])) + "]")
+
+
+def in_brackets(text: str) -> np.ndarray:
+    """How many brackets are open at each character: matched pairs as steps up and down, summed."""
+    steps, open_ones = np.zeros(len(text) + 1, np.int32), []
+    for m in _BRACKET.finditer(text):
+        if m[0] in BRACKETS:
+            open_ones.append(BRACKETS[m[0]])
+            steps[m.start()] += 1
+        elif open_ones and open_ones[-1] == m[0]:
+            open_ones.pop()
+            steps[m.start()] -= 1
+    return steps.cumsum()[: len(text)]
 
 
 def bracket_depth(text: Column) -> Column:
-    """the depth at each character; a closing mark counts only if it matches the last open one."""
-    pairs = F.create_map(*[F.lit(x) for p in _PAIRS.items() for x in p])
-    start = F.struct(F.lit("").alias("stack"), F.array().cast("array<int>").alias("depth"))
+    """the depth at each character; a closing mark counts only if it matches the last open one.
+
+    Matching needs a stack, which array functions would copy for each
+    character; so texts go to Arrow batches, and each costs its length.
+    """
+    run = F.pandas_udf(lambda s: s.map(lambda t: None if t is None else in_brackets(t).tolist()), "array<int>")
+    return run(text)
+
+
+def _widened(text: str, before: re.Pattern, inside: re.Pattern | None) -> str:
+    out, open_ones = list(text), []
+    for m in re.finditer("[()]", text):
+        if m[0] == "(":
+            open_ones.append(m.start())
+        elif open_ones:
+            a, b = open_ones.pop(), m.start()
+            held = text[a + 1 : b]
+            if ((a and before.match(text[a - 1])) or _HAN_ONE.search(held)) and (inside is None or inside.search(held)):
+                out[a], out[b] = "（", "）"
+    return "".join(out)
 
-    def fold(a: Column, c: Column) -> Column:
-        stack = F.when(pairs[c].isNotNull(), F.concat(a["stack"], pairs[c])).when((a["stack"] != "") & a["stack"].endswith(c), F.substr(a["stack"], F.lit(1), F.length(a["stack"]) - 1)).otherwise(a["stack"])
-        return F.struct(stack.alias("stack"), F.concat(a["depth"], F.array(F.length(stack))).alias("depth"))
 
-    return F.when(text == "", F.array().cast("array<int>")).otherwise(F.aggregate(F.split(text, "(?!^)(?=[\\s\\S])"), start, fold, lambda a: a["depth"]))
+_HAN_ONE = re.compile(f"[{_HAN}]")
 
 
-def wide_parens(text: Column) -> Column:
-    """A matched pair of ASCII parentheses becomes wide if CJK stands before or in it."""
-    inner = f"([{CJK}])\\(([^()]*)\\)"
-    return chain(text, [(inner, "$1（$2）"), (f"\\(([^()]*[{CJK}][^()]*)\\)", "（$1）")])
+def wide_parens(text: Column, before: str = f"[{_HAN}]", inside: str | None = None) -> Column:
+    """A matched pair of ASCII parentheses becomes wide if what stands before it is of the class ``before`` or CJK is in it.
+
+    ``inside``: only pairs that hold this.  Pairs are matched by a stack, nested ones too; a parenthesis without a partner stands.
+    """
+    first, held = re.compile(before), re.compile(inside) if inside else None
+    run = F.pandas_udf(lambda s: s.map(lambda t: t if t is None or "(" not in t else _widened(t, first, held)), "string")
+    return run(text)
 
 
 def merge_runs(runs: Column) -> Column:
-    """Neighbours that differ in nothing but their text become one; breaks, pictures and formulas stay apart."""
+    """Neighbours that differ in nothing but their text become one; breaks, pictures and formulas stay apart.
+
+    The runs that begin a merged one are found first; each then takes the texts up to the next.
+    """
     apart = lambda r: (r["t"] == "\n") | r["i"].isNotNull() | r["m"].isNotNull()
     same = lambda x, y: F.struct(*[x[f] for f in "bshac"]).eqNullSafe(F.struct(*[y[f] for f in "bshac"]))
-    put = lambda r, t: F.struct(t.alias("t"), *[r[f].alias(f) for f in "bshaicm"])
 
-    def fold(out: Column, r: Column) -> Column:
-        last = F.get(out, F.size(out) - 1)
-        joins = (F.size(out) > 0) & ~apart(r) & ~apart(last) & same(last, r)
-        return F.when(joins, F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(put(last, F.concat(last["t"], r["t"]))))).otherwise(F.concat(out, F.array(put(r, r["t"]))))
+    def merged(kept: Column) -> Column:
+        begins = lambda i: (i == 0) | apart(F.get(kept, i)) | apart(F.get(kept, i - 1)) | ~same(F.get(kept, i), F.get(kept, i - 1))
+        starts = F.filter(F.sequence(F.lit(0), F.size(kept) - 1), begins)
 
-    kept = F.filter(runs, lambda r: r["t"] != "")
-    return F.aggregate(kept, F.slice(F.transform(runs, lambda r: put(r, r["t"])), 1, 0), fold)
+        def joined(s: Column) -> Column:
+            upto = lambda k: F.coalesce(F.get(s, k + 1), F.size(kept))
+            text = lambda at, k: F.array_join(F.transform(F.slice(kept, at + 1, upto(k) - at), lambda r: r["t"]), "")
+            return F.transform(s, lambda at, k: F.struct(text(at, k).alias("t"), *[F.get(kept, at)[f].alias(f) for f in "bshaicm"]))
+
+        return F.when(F.size(kept) > 0, bound(starts, joined)).otherwise(F.transform(F.slice(kept, 1, 0), lambda r: F.struct(*[r[f].alias(f) for f in "tbshaicm"])))
+
+    return bound(F.filter(runs, lambda r: r["t"] != ""), merged)
 
 
 def clean_runs(runs: Column) -> Column:
     """Empty runs and breaks at the ends go, spaces at the ends are trimmed, then runs merge."""
-    kept = F.filter(runs, lambda r: r["t"] != "")
-    solid = F.filter(F.sequence(F.lit(0), F.size(kept)), lambda i: F.get(kept, i)["t"] != "\n")
-    low, high = F.array_min(solid), F.array_max(solid)
-    body = F.when(low.isNull(), F.slice(kept, 1, 0)).otherwise(F.slice(kept, low + 1, high - low + 1))
-    n = F.size(body)
     put = lambda r, t: F.struct(t.alias("t"), *[r[f].alias(f) for f in "bshaicm"])
-    left = F.transform(body, lambda r, i: put(r, F.when(i == 0, F.ltrim(r["t"])).otherwise(r["t"])))
-    return merge_runs(F.transform(left, lambda r, i: put(r, F.when(i == n - 1, F.regexp_replace(r["t"], "[ 　]+$", "")).otherwise(r["t"]))))
+
+    def trimmed(body: Column) -> Column:
+        last = F.size(body) - 1
+
+        def one(r: Column, i: Column) -> Column:
+            left = F.when(i == 0, F.ltrim(r["t"])).otherwise(r["t"])
+            return put(r, F.when(i == last, F.regexp_replace(left, "[ 　]+$", "")).otherwise(left))
+
+        return F.transform(body, one)
+
+    def inner(kept: Column) -> Column:
+        solid = F.filter(F.sequence(F.lit(0), F.size(kept)), lambda i: F.get(kept, i)["t"] != "\n")
+        low, high = F.array_min(solid), F.array_max(solid)
+        return F.when(low.isNull(), F.slice(kept, 1, 0)).otherwise(F.slice(kept, low + 1, high - low + 1))
+
+    kept = F.filter(runs, lambda r: r["t"] != "")
+    return merge_runs(bound(bound(kept, inner), trimmed))

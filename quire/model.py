@@ -14,6 +14,13 @@ CJK = r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}"
 CLOSERS = "，。、；：！？）】》〉」』’”…—·,.;:!?)]}"
 OPENERS = "（【《〈「『‘“([{"
 
+#: Fixed values that results depend on: stops of CJK and ASCII text, dashes, paired brackets, words after a number that
+#: is no page, and words before a count.
+WIDE_STOPS, ASCII_STOPS, DASHES = "，。、；：！？", ",;:!?", "—–-"
+BRACKETS = {"（": "）", "(": ")", "〔": "〕", "[": "]", "［": "］", "【": "】"}
+UNITS = "年 月 日 世纪 页 卷 章 节 篇 号 岁 个 种 届 次 % ％".split()
+COUNT_WORDS = "前 约 公元 第 共 ？ ?".split()
+
 RUN = T.StructType([
     T.StructField("t", T.StringType()), T.StructField("b", T.IntegerType()), T.StructField("s", T.IntegerType()),
     T.StructField("h", T.StringType()), T.StructField("a", T.StringType()), T.StructField("i", T.StringType()),

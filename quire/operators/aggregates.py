@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import visible
@@ -50,11 +50,56 @@ def supported_extrema(df: DataFrame, keys: list[str], value: str, least: int = 5
     return held.groupBy(*keys).agg(F.max(value).alias("high"), F.min(value).alias("low"))
 
 
-def char_census(df: DataFrame, column: str, pattern: str, context: int = 16) -> DataFrame:
-    """Characters of a class, how often they occur and the context of the first by row order."""
-    found = df.select("doc_id", F.posexplode(F.regexp_extract_all(column, F.lit(f"({pattern})"), 1)).alias("pos", "ch"), F.col(column).alias("t"))
-    near = F.substr("t", F.greatest(F.lit(1), F.instr("t", F.col("ch")) - context), F.lit(2 * context))
-    return found.groupBy("ch").agg(F.count("*").alias("n"), F.min_by(near, F.struct("doc_id", "pos")).alias("context"))
+def char_census(df: DataFrame, column: str, pattern: str, order: list[str], context: int = 16) -> DataFrame:
+    """Characters of a class, how often they occur, and the first one by ``order`` with what is around it."""
+    pieces = F.split(F.regexp_replace(column, f"({pattern})", "\u0001$1"), "\u0001")
+    # A character's place is the length of all pieces before it.
+    w = Window.partitionBy(*order, "t").orderBy("pos")
+    sized = df.filter(F.col(column).rlike(pattern)).select(*order, F.col(column).alias("t"), F.posexplode(pieces).alias("pos", "piece"))
+    placed = sized.withColumn("at", F.sum(F.length("piece")).over(w) - F.length("piece") + 1).filter("pos > 0")
+    near = F.substr("t", F.greatest(F.lit(1), F.col("at") - context).cast("int"), (F.least(F.col("at") - 1, F.lit(context)) + context + 1).cast("int"))
+    ch = F.left("piece", F.lit(1))
+    return placed.groupBy(ch.alias("ch")).agg(F.count("*").alias("n"), F.min_by(near, F.struct(*order, "pos")).alias("context"))
+
+
+def picture_use(items: DataFrame, context: int = 16) -> DataFrame:
+    """``img, uses, where, context`` of each picture in the runs of items (part, item_no, k, runs).
+
+    ``where`` holds inline, alone or heading; ``context`` is the text around its first use.
+    """
+    text = F.transform("runs", lambda r: F.when(r["i"].isNotNull(), F.lit("\ufffc")).otherwise(r["t"]))
+    spread = items.select("part", "item_no", "k", F.array_join(text, "").alias("t"), F.size("runs").alias("n"), text.alias("ts"), F.posexplode("runs").alias("pos", "r")).filter("r.i IS NOT NULL")
+    before = F.length(F.array_join(F.slice("ts", F.lit(1), F.col("pos")), ""))
+    near = F.substr("t", F.greatest(F.lit(1), before + 1 - context), F.least(before, F.lit(context)) + context + 1)
+    where = F.when(F.col("k") == "h", "heading").when(F.col("n") == 1, "alone").otherwise("inline")
+    used = spread.select(F.col("r.i").alias("img"), where.alias("w"), near.alias("near"), F.struct("part", "item_no", "pos").alias("at"))
+    return used.groupBy("img").agg(F.count("*").alias("uses"), F.sort_array(F.collect_set("w")).alias("where"), F.min_by("near", "at").alias("context"))
+
+
+def unused_pictures(pictures: DataFrame, use: DataFrame) -> DataFrame:
+    """Pictures that no item shows."""
+    return pictures.select("img").distinct().join(use.select("img"), "img", "left_anti")
+
+
+def repair_difference(df: DataFrame, before: Column, after: Column, keys: list[str]) -> DataFrame:
+    """U1 of a text and its repair: ``keys, ch, n_src, n_out, missing, extra``, in one scan and one aggregation.
+
+    A row that the repair leaves alone gives its characters once, for both
+    sides; only others give the repaired ones too.
+    """
+    chars = lambda t, src, out: F.transform(F.split(visible(t), "(?!^)(?=[\\s\\S])"), lambda c: F.struct(c.alias("ch"), F.lit(src).alias("s"), F.lit(out).alias("o")))
+    both = df.select(*keys, F.coalesce(before, F.lit("")).alias("a"), F.coalesce(after, F.lit("")).alias("b"))
+    found = F.when(F.col("a") == F.col("b"), chars("a", 1, 1)).otherwise(F.concat(chars("a", 1, 0), chars("b", 0, 1)))
+    counted = both.select(*keys, F.explode(found).alias("x")).filter("x.ch <> ''").groupBy(*keys, "x.ch").agg(F.sum("x.s").cast("long").alias("n_src"), F.sum("x.o").cast("long").alias("n_out"))
+    more = lambda x, y: F.greatest(F.col(x) - F.col(y), F.lit(0))
+    return counted.select(*keys, "ch", "n_src", "n_out", more("n_src", "n_out").alias("missing"), more("n_out", "n_src").alias("extra"))
+
+
+def forgiven(df: DataFrame, keys: list[str], before: str, after: str, lost: str, gained: str) -> DataFrame:
+    """Characters of one class that a repair took away, and how many of these it made up for by another class."""
+    count = lambda c, p: F.regexp_count(c, F.lit(p))
+    sums = df.groupBy(*keys).agg(F.sum(count(before, lost) - count(after, lost)).cast("long").alias("missing"), F.sum(count(after, gained) - count(before, gained)).cast("long").alias("__made"))
+    return sums.withColumn("forgiven", F.least("missing", "__made")).drop("__made")
 
 
 def repair_counts(df: DataFrame, column: str, keys: list[str], patterns: dict[str, str]) -> DataFrame:

@@ -22,6 +22,15 @@ def volume_units(parts: DataFrame, keys: list[str], divider: Column, chars: int
     return numbered.join(size.withColumn("unit", target).drop("__n"), [*keys, "__u"]).drop("__u")
 
 
+def merge_joined(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Parts that go on in the next one (``joined``) are one with it: ``keys, part_no, text, parts``."""
+    w = Window.partitionBy(*keys).orderBy("part_no")
+    begins = (~F.coalesce(F.lag("joined").over(w), F.lit(False))).cast("int")
+    grouped = parts.withColumn("__begins", begins).withColumn("__g", F.sum("__begins").over(w))
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("part_no", "text"))), lambda x: x["text"])
+    return grouped.groupBy(*keys, "__g").agg(F.min("part_no").alias("part_no"), F.array_join(listed, "\n").alias("text"), F.count("*").alias("parts")).drop("__g")
+
+
 def join_continued(items: DataFrame, keys: list[str], text: str = "(continued)") -> DataFrame:
     """Figures parted by a line that says they go on become one: ``fig`` numbers the joined figures."""
     w = Window.partitionBy(*keys).orderBy("item_no")

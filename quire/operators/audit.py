@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..model import CLOSERS, OPENERS
 from .aggregates import mode, supported_extrema
 
+#: What all audits read; a reader of a print format gives such a table, and Parquet is one.
+LINES = "page long, y double, x0 double, x1 double, size double, font string, text string"
+
+
+def pdf_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Line records by their declared schema; columns that are absent are null, others are left out."""
+    return spark.read.schema(LINES).parquet(path)
+
 
 def page_features(lines: DataFrame) -> DataFrame:
     """Q12: ``page, lines, first, last``."""
@@ -53,6 +61,29 @@ def lone_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn("fault", fault).filter(F.col("fault").isNotNull())
 
 
+def page_ends(lines: DataFrame, heading: Column) -> DataFrame:
+    """Q5: headings that end a page (head_bottom) and pages that begin with a note mark (markstart)."""
+    up, down = (F.row_number().over(Window.partitionBy("page").orderBy(order)) for order in (F.desc("y"), F.asc("y")))
+    fault = F.when((F.col("__up") == 1) & (F.col("__down") > 1) & heading, "head_bottom").when((F.col("__down") == 1) & F.col("text").rlike("^[\\[［(（〔〖]?[0-9]+[\\]］)）〕〗]"), "markstart")
+    return lines.withColumns({"__up": up, "__down": down}).withColumn("fault", fault).filter(F.col("fault").isNotNull()).drop("__up", "__down")
+
+
+def links_out_of_range(links: DataFrame, pages: DataFrame) -> DataFrame:
+    """Q8: links to pages past the last one."""
+    last = pages.agg(F.max("page").alias("__last"))  # one row
+    return links.join(F.broadcast(last)).filter(F.col("target") > F.col("__last")).drop("__last")
+
+
+def empty_pages(lines: DataFrame, first: int, last: int) -> DataFrame:
+    """Q8: pages of a range without a line."""
+    return lines.sparkSession.range(first, last + 1).select(F.col("id").alias("page")).join(lines.select("page").distinct(), "page", "left_anti")
+
+
+def drawn_fonts(lines: DataFrame, kinds: DataFrame) -> DataFrame:
+    """Q8: pages with a font whose glyphs are drawn (Type 3), by a table of fonts (font, kind)."""
+    return lines.join(F.broadcast(kinds.filter("kind = 'Type3'").select("font")), "font").select("page", "font").distinct()  # the fonts of a document
+
+
 def broken_numbers(lines: DataFrame) -> DataFrame:
     """Q6: numbers broken at a dash, and Latin words broken without a hyphen."""
     w = Window.partitionBy("page").orderBy("y", "x0")

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..model import CLOSERS, OPENERS
+from ..functions.text import bound
+from ..model import CLOSERS, COUNT_WORDS, OPENERS, UNITS
 
 
 def first_match(text: Column, rules: list[tuple[str, object]], default: object = None) -> Column:
@@ -55,14 +56,16 @@ def legal_breaks(text: Column) -> Column:
     """
     wide = "[\u2e80-\u9fff\uf900-\ufaff\uff00-\uffef]"
 
-    def may(i: Column) -> Column:
-        a, b = F.substr(text, i, F.lit(1)), F.substr(text, i + 1, F.lit(1))
-        closer = F.contains(F.lit(CLOSERS), b) & (b != "")
-        opener = F.contains(F.lit(OPENERS), a)
-        return ~closer & ~opener & (b != " ") & ((a == " ") | a.rlike(wide) | b.rlike(wide))
+    def places(c: Column) -> Column:
+        def may(i: Column) -> Column:
+            a, b = F.get(c, i - 1), F.get(c, i)
+            closer, opener = F.contains(F.lit(CLOSERS), b), F.contains(F.lit(OPENERS), a)
+            return ~closer & ~opener & (b != " ") & ((a == " ") | a.rlike(wide) | b.rlike(wide))
 
-    n = F.length(text)
-    return F.when(n < 2, F.array().cast("array<int>")).otherwise(F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1)), may))
+        return F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(c) - 1)), may)
+
+    chars = F.split(text, "(?!^)(?=[\\s\\S])")
+    return F.when(F.length(text) < 2, F.array().cast("array<int>")).otherwise(bound(chars, places))
 
 
 def divider_pages(blocks: DataFrame, keys: list[str], chars: int = 260, parts: int = 10) -> DataFrame:
@@ -73,7 +76,8 @@ def divider_pages(blocks: DataFrame, keys: list[str], chars: int = 260, parts: i
 
 def page_numbers(text: Column) -> Column:
     """numbers that may be pages: not before a unit, not after words of a count, not decimal."""
-    return F.regexp_extract_all(text, F.lit("(?<![0-9.A-Za-z])(?<!前|约|公元|第|共|？|\\?)([0-9]+)(?![0-9])(?!年|月|日|世纪|页|卷|章|节|篇|号|岁|个|种|届|次|%|％|\\.[0-9])"), 1)
+    quoted = lambda words: "|".join(f"\\Q{w}\\E" for w in words)
+    return F.regexp_extract_all(text, F.lit(f"(?<![0-9.A-Za-z])(?<!{quoted(COUNT_WORDS)})([0-9]+)(?![0-9])(?!{quoted(UNITS)}|\\.[0-9])"), 1)
 
 
 def all_of(*conditions: Column) -> Column:

@@ -76,7 +76,8 @@ def head_fit(text: Column, milli: int) -> Column:
     cuts = F.array(*[F.substring_index(text, mark, 1) for mark in ("——", "（", "：")])
     fits = F.filter(cuts, lambda c: (c != text) & (c != "") & (width_milli(c) <= milli))
     comma = F.regexp_extract(text, "^(.*)[，；]", 1)
-    lengths = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text)))
+    most = milli // 280 + 1  # no character is narrower
+    lengths = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.length(text), F.lit(most))))
     prefix = bound(text, lambda t: F.array_max(F.filter(lengths, lambda k: width_milli(F.substr(t, F.lit(1), k)) <= milli - 2000)))
     cut = F.concat(F.substr(text, F.lit(1), F.coalesce(prefix, F.lit(1))), F.lit("……"))
     return F.when(width_milli(text) <= milli, text).when(F.size(fits) > 0, F.get(fits, F.lit(0))).when((comma != "") & (width_milli(comma) <= milli), comma).otherwise(cut)

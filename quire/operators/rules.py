@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,41 +78,58 @@ def usage(texts: DataFrame, rules: DataFrame, text: str = "text", part: str = "p
     return texts.select(F.explode(F.array(*counts)).alias("x")).groupBy("x.rule_no").agg(F.sum("x.hits").alias("hits"))
 
 
-def fix_runs(runs: list[dict], rules: list[tuple[str, str]]) -> tuple[list[dict], list[int]]:
+@dataclass(frozen=True)
+class Pattern:
+    """An old text given as a regular expression; the new one may refer to its groups (``\\1``)."""
+
+    pattern: str
+    new: str
+
+
+def fix_runs(runs: list[dict], rules: list[tuple[str, str] | Pattern]) -> tuple[list[dict], list[int]]:
     """X2 over runs: an occurrence may span runs; what replaces it takes the first run's attributes.
 
-    A picture counts as one character, and goes if it stands inside an occurrence.
+    A rule is ``(old, new)`` or a ``Pattern``.  A picture counts as one
+    character, and goes if it stands inside an occurrence.  Empty matches are none.
     """
     hits = []
-    for old, new in rules:
+    for rule in rules:
+        old, new = (rule.pattern, rule.new) if isinstance(rule, Pattern) else (re.escape(rule[0]), None)
         text = "".join(PICTURE if r.get("i") else r["t"] for r in runs)
-        spans = [m.span() for m in re.finditer(re.escape(old), text)] if old else []
-        hits.append(len(spans))
-        if not spans:
-            continue
-        out, at = [], 0
-        for r in runs:
-            size = 1 if r.get("i") else len(r["t"])
-            piece, k = [], at
-            while k < at + size:
-                span = next((s for s in spans if s[0] <= k < s[1]), None)
-                if span is None:
-                    end = min([s[0] for s in spans if s[0] > k] + [at + size])
-                    piece.append(r["t"] if r.get("i") else r["t"][k - at : end - at])
-                    k = end
-                else:
-                    if span[0] == k and span[0] >= at:
-                        piece.append(new)
-                    k = min(span[1], at + size)
-            joined = "".join(piece)
-            at += size
-            if joined:
-                out.append(r | {"t": joined} | ({} if not r.get("i") or joined == r["t"] else {"i": None}))
-        runs = out
+        found = [(m.start(), m.end(), rule[1] if new is None else m.expand(new)) for m in re.finditer(old, text) if m.end() > m.start()]
+        hits.append(len(found))
+        if found:
+            runs = _replaced(runs, found)
     return runs, hits
 
 
-def fix_item_runs(items: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+def _replaced(runs: list[dict], found: list[tuple[int, int, str]]) -> list[dict]:
+    """Runs with spans of their text replaced: each run's own stretches in order, a span's new text where it begins."""
+    out, at, k = [], 0, 0
+    for r in runs:
+        picture = r.get("i")
+        end = at + (1 if picture else len(r["t"]))
+        pieces, here, touched = [], at, False
+        while here < end:
+            while k < len(found) and found[k][1] <= here:
+                k += 1
+            a, b, new = found[k] if k < len(found) else (end, end, "")
+            if a > here:
+                pieces.append(r["t"] if picture else r["t"][here - at : min(a, end) - at])
+                here = min(a, end)
+            else:
+                touched = True
+                if a >= at:
+                    pieces.append(new)
+                here = min(b, end)
+        made = "".join(pieces)
+        if made:
+            out.append(r | {"t": made} | ({"i": None} if picture and touched else {}))
+        at = end
+    return out
+
+
+def fix_item_runs(items: DataFrame, rules: list[tuple[str, str] | Pattern]) -> DataFrame:
     """Rules over the runs of items, in Arrow batches."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

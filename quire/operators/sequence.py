@@ -2,17 +2,22 @@
 
 Windows are partitioned by document (module, book), so no task holds more than
 one document's order.  Order is always by explicit columns.  What depends on
-what was decided before (W1, W9, W12, W15) is a fold over a document's blocks.
+what was decided before (W1, W9, W12, W15, W22) is a fold over a document's
+blocks, which are read as a stream.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip_markers
+from .folding import ordered_fold
 
+#: Marks that end a sentence.
 _END = "[。！？…”」』）)：；:.!?\\]】—―─·]$"
+_MARKS_AT_END = re.compile("(?:\u2060?[\\[［](?:[0-9]+|注[一二三四五六七八九十]+)[\\]］][ \t\n\u3000\u2060]*)+$")
 
 
 def _ordered(keys: list[str], order: str) -> Window:
@@ -32,23 +37,32 @@ def islands(df: DataFrame, keys: list[str], order: str, flag: Column) -> DataFra
 def merge_broken(blocks: DataFrame, keys: list[str], order: str = "bi", text: str = "line") -> DataFrame:
     """Paragraphs that stop in mid-sentence, merged with what goes on: ``keys, order, text, parts``.
 
-    A fold, as the length that counts is that of the paragraph merged so far.
+    A fold, as the length that counts is that of the paragraph merged so far;
+    only its end is looked at.
     """
-    put = lambda o, t, n: F.struct(o.alias("o"), t.alias("t"), n.alias("parts"))
-
-    def fold(out: Column, b: Column) -> Column:
-        last = F.get(out, F.size(out) - 1)
-        a, n = strip_markers(last["t"]), b["t"]
-        starts_note = n.rlike("^[\\[［（(][0-9]+[\\]］）)]")
-        goes_on = n.rlike("^[，、。；：）”’！？,;:)]") | ((F.length(a) >= 30) & (F.length(n) >= 3) & ~n.rlike("^[（(〔\\[《“]|^[一二三四五六七八九十0-9]+[、.．]"))
-        joins = (F.size(out) > 0) & (F.length(a) >= 20) & ~a.rlike(_END) & ~starts_note & goes_on
-        merged = put(last["o"], F.concat(last["t"], n), last["parts"] + 1)
-        return F.when(joins, F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(merged))).otherwise(F.concat(out, F.array(put(b["o"], n, F.lit(1)))))
-
-    listed = blocks.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))).alias("b"))
-    empty = F.slice(F.transform("b", lambda b: put(b["o"], b["t"], F.lit(1))), 1, 0)
-    folded = listed.select(*keys, F.explode(F.aggregate("b", empty, fold)).alias("x"))
-    return folded.select(*keys, F.col("x.o").alias(order), F.col("x.t").alias(text), F.col("x.parts").cast("long").alias("parts"))
+    ends, note = re.compile(_END), re.compile("^[\\[［（(][0-9]+[\\]］）)]")
+    on, own = re.compile("^[，、。；：）”’！？,;:)]"), re.compile("^[（(〔\\[《“]|^[一二三四五六七八九十0-9]+[、.．]")
+
+    def fold(rows):
+        first, pieces, size, tail = None, [], 0, ""
+        for at, line in rows:
+            line = line or ""
+            joins = False
+            if pieces and not note.match(line):
+                bare = _MARKS_AT_END.sub("", tail).rstrip("\u2060 ")
+                length = size - len(tail) + len(bare)
+                joins = length >= 20 and not ends.search(bare) and bool(on.match(line) or (length >= 30 and len(line) >= 3 and not own.match(line)))
+            if not joins:
+                if pieces:
+                    yield first, "".join(pieces), len(pieces)
+                first, pieces, size, tail = at, [], 0, ""
+            pieces.append(line)
+            size, tail = size + len(line), (tail + line)[-1000:]
+        if pieces:
+            yield first, "".join(pieces), len(pieces)
+
+    kind = blocks.schema[order].dataType.simpleString()
+    return ordered_fold(blocks, keys, [order], [text], f"{order} {kind}, {text} string, parts long", fold)
 
 
 def broken_pairs(blocks: DataFrame, keys: list[str]) -> DataFrame:
@@ -102,28 +116,33 @@ def split_notes(blocks: DataFrame, keys: list[str], is_start: Column, share: flo
 
 def split_headings(blocks: DataFrame, keys: list[str], heading: Column, chars: int = 1500, tail: int = 350) -> DataFrame:
     """``cut``: headings at least ``chars`` after the last cut (or the start) and ``tail`` before the end."""
-    b = blocks.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("bi", F.length("line").alias("n"), heading.alias("h")))).alias("b"))
-    total = F.aggregate("b", F.lit(0), lambda a, x: a + x["n"])
-    start = F.struct(F.lit(0).alias("since"), F.lit(0).alias("seen"), F.array().cast("array<int>").alias("cuts"))
+    total = F.sum(F.length("line")).over(Window.partitionBy(*keys))
+    sized = blocks.select(*keys, "bi", F.length("line").alias("n"), heading.alias("h"), total.alias("total"))
 
-    def fold(a: Column, x: Column) -> Column:
-        cuts = x["h"] & (a["since"] >= chars) & (F.col("total") - a["seen"] >= tail)
-        return F.struct((F.when(cuts, 0).otherwise(a["since"]) + x["n"]).alias("since"), (a["seen"] + x["n"]).alias("seen"), F.when(cuts, F.concat(a["cuts"], F.array(x["bi"]))).otherwise(a["cuts"]).alias("cuts"))
+    def fold(rows):
+        since = seen = 0
+        for bi, n, h, total in rows:
+            if h and since >= chars and total - seen >= tail:
+                since = 0
+                yield (bi,)
+            since, seen = since + n, seen + n
 
-    return b.withColumn("total", total).select(*keys, F.explode(F.aggregate("b", start, fold, lambda a: a["cuts"])).alias("cut"))
+    return ordered_fold(sized, keys, ["bi"], ["n", "h", "total"], "cut int", fold)
 
 
 def flush_groups(units: DataFrame, keys: list[str], order: str, size: str, least: int) -> DataFrame:
     """``grp``: units gathered until their sizes reach ``least``; then a new group begins."""
-    listed = units.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).alias("n")))).alias("u"))
-    start = F.struct(F.lit(0).cast("long").alias("held"), F.lit(0).alias("g"), F.array().cast("array<struct<o:bigint,g:int>>").alias("out"))
 
-    def fold(a: Column, u: Column) -> Column:
-        full = a["held"] + u["n"] >= least
-        out = F.concat(a["out"], F.array(F.struct(u["o"].cast("long").alias("o"), a["g"].alias("g"))))
-        return F.struct(F.when(full, 0).otherwise(a["held"] + u["n"]).cast("long").alias("held"), F.when(full, a["g"] + 1).otherwise(a["g"]).alias("g"), out.alias("out"))
+    def fold(rows):
+        held = group = 0
+        for at, n in rows:
+            yield at, group
+            held += n
+            if held >= least:
+                held, group = 0, group + 1
 
-    return listed.select(*keys, F.explode(F.aggregate("u", start, fold, lambda a: a["out"])).alias("x")).select(*keys, F.col("x.o").alias(order), F.col("x.g").alias("grp"))
+    kind = units.schema[order].dataType.simpleString()
+    return ordered_fold(units, keys, [order], [size], f"{order} {kind}, grp int", fold)
 
 
 def renumber(notes: DataFrame, marks: DataFrame, keys: list[str]) -> DataFrame:
@@ -159,14 +178,14 @@ def label_ranges(pages: DataFrame, keys: list[str]) -> DataFrame:
 
 def clamp_outline(heads: DataFrame, keys: list[str], order: str, level: str) -> DataFrame:
     """A level is at most one deeper than the clamped level before; a fold over a book's headings."""
-    listed = heads.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(level).cast("int").alias("l")))).alias("h"))
-    start = F.struct(F.lit(0).alias("last"), F.array().cast("array<struct<o:bigint,l:int>>").alias("out"))
 
-    def fold(a: Column, h: Column) -> Column:
-        level = F.greatest(F.lit(1), F.least(h["l"], a["last"] + 1))
-        return F.struct(level.alias("last"), F.concat(a["out"], F.array(F.struct(h["o"].cast("long").alias("o"), level.alias("l")))).alias("out"))
+    def fold(rows):
+        last = 0
+        for at, deep in rows:
+            last = max(1, min(deep, last + 1))
+            yield at, last
 
-    return listed.select(*keys, F.explode(F.aggregate("h", start, fold, lambda a: a["out"])).alias("x")).select(*keys, F.col("x.o").alias(order), F.col("x.l").alias("clamped"))
+    return ordered_fold(heads.withColumn(order, F.col(order).cast("long")), keys, [order], [level], f"{order} long, clamped int", fold)
 
 
 def series_offsets(blocks: DataFrame, keys: list[str]) -> DataFrame:
@@ -183,13 +202,17 @@ def collapsed_outline(blocks: DataFrame, keys: list[str], long: Column) -> DataF
 
 def stitch_lines(pieces: DataFrame) -> DataFrame:
     """Pieces of one visual line of a PDF page: y and size within 0.6 of the merged head, not left of it."""
-    listed = pieces.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("y", "x0", "x1", "size", "text"))).alias("p"))
-    kind = "array<struct<y:double,x0:double,x1:double,size:double,text:string>>"
-
-    def fold(out: Column, p: Column) -> Column:
-        head = F.get(out, F.size(out) - 1)
-        joins = (F.size(out) > 0) & (F.abs(head["y"] - p["y"]) < 0.6) & (F.abs(head["size"] - p["size"]) < 0.6) & (p["x0"] >= head["x0"])
-        merged = F.struct(head["y"].alias("y"), head["x0"].alias("x0"), F.greatest(head["x1"], p["x1"]).alias("x1"), head["size"].alias("size"), F.concat(head["text"], p["text"]).alias("text"))
-        return F.when(joins, F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(merged))).otherwise(F.concat(out, F.array(p)))
 
-    return listed.select("page", F.explode(F.aggregate(F.col("p").cast(kind), F.array().cast(kind), fold)).alias("x")).select("page", "x.*")
+    def fold(rows):
+        head = None
+        for y, x0, x1, size, text in rows:
+            if head and abs(head[0] - y) < 0.6 and abs(head[3] - size) < 0.6 and x0 >= head[1]:
+                head = [head[0], head[1], max(head[2], x1), head[3], head[4] + [text]]
+                continue
+            if head:
+                yield (*head[:4], "".join(head[4]))
+            head = [y, x0, x1, size, [text]]
+        if head:
+            yield (*head[:4], "".join(head[4]))
+
+    return ordered_fold(pieces, ["page"], ["y", "x0", "x1", "size", "text"], [], "y double, x0 double, x1 double, size double, text string", fold)

@@ -27,19 +27,6 @@ def t7(spark: SparkSession, d: str) -> DataFrame:
     return R.restore_counts(blocks(spark, d), "line", _WORDS)
 
 
-@query("t14_head_fit")
-def t14(spark: SparkSession, d: str) -> DataFrame:
-    b = blocks(spark, d).filter(F.length("line") <= 60)
-    return b.select("doc_id", "bi", R.head_fit(F.col("line"), 12_000).alias("head"))
-
-
-@query("t18_latin_pieces", f"""
-WITH {BLOCKS} SELECT doc_id, bi::INT AS bi, len(regexp_extract_all(line, '[A-Za-zÀ-ɏ][A-Za-zÀ-ɏ''’-]*'))::BIGINT AS hits FROM blocks WHERE length(line) <= 200""")
-def t18(spark: SparkSession, d: str) -> DataFrame:
-    b = blocks(spark, d).filter(F.length("line") <= 200)
-    return b.select("doc_id", "bi", F.size(F.filter(R.split_spans(F.col("line"), "latin"), lambda p: p["hit"])).cast("long").alias("hits"))
-
-
 @query("p14_slice_runs", f"""
 WITH {BLOCKS}, t AS (SELECT doc_id, string_agg(line, '' ORDER BY bi) AS t FROM blocks GROUP BY doc_id) SELECT doc_id, substr(t, 101, 300) AS t FROM t WHERE length(t) > 100""")
 def p14(spark: SparkSession, d: str) -> DataFrame:

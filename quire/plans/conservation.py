@@ -20,18 +20,6 @@ def a1(spark: SparkSession, d: str) -> DataFrame:
     return A.char_counts(table(spark, d, "documents"), "text", ["lang"])
 
 
-@query("u1_multiset_diff", f"""
-WITH {_CHARS}, made AS (SELECT lang, ch, count(*) AS n FROM (
-    SELECT lang, unnest(string_split(regexp_replace(coalesce(text, ''), ' +', ' ', 'g'), '')) AS ch FROM documents)
-  WHERE ch NOT IN {_IGNORED} GROUP BY lang, ch)
-SELECT coalesce(c.lang, m.lang) AS lang, coalesce(c.ch, m.ch) AS ch, coalesce(c.n, 0)::BIGINT AS n_src, coalesce(m.n, 0)::BIGINT AS n_out,
-       greatest(coalesce(c.n, 0) - coalesce(m.n, 0), 0)::BIGINT AS missing, greatest(coalesce(m.n, 0) - coalesce(c.n, 0), 0)::BIGINT AS extra
-FROM chars c FULL JOIN made m ON c.lang IS NOT DISTINCT FROM m.lang AND c.ch = m.ch""")
-def u1(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
-    return A.multiset_difference(A.char_counts(docs, "text", ["lang"]), A.char_counts(docs.withColumn("text", X.repair("text")), "text", ["lang"]), ["lang", "ch"])
-
-
 @query("a3_top_chars", f"""
 WITH {_CHARS} SELECT lang, ch, n, k::INT AS k FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, ch) AS k FROM chars) WHERE k <= 10""")
 def a3(spark: SparkSession, d: str) -> DataFrame:
@@ -53,12 +41,6 @@ def a5(spark: SparkSession, d: str) -> DataFrame:
     return A.supported_extrema(blocks(spark, d).select("lang", F.length("line").cast("long").alias("len")), ["lang"], "len")
 
 
-@query("a9_replacement_census", """
-SELECT ch, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[0-9@%&#]')) AS ch FROM documents) GROUP BY ch""")
-def a9(spark: SparkSession, d: str) -> DataFrame:
-    return A.char_census(table(spark, d, "documents"), "text", "[0-9@%&#]").select("ch", "n")
-
-
 @query("a10_repair_counts", r"""
 SELECT source, sum(len(regexp_extract_all(text, '[0-9][-–—~～－][0-9]')))::BIGINT AS ranges, sum(len(regexp_extract_all(text, ' {2,}')))::BIGINT AS spaces,
        sum(len(regexp_extract_all(text, '"')))::BIGINT AS quotes FROM documents GROUP BY source""")
@@ -107,14 +89,6 @@ def u3(spark: SparkSession, d: str) -> DataFrame:
     return A.first_occurrence(blocks(spark, d), ["source", "line"], ["doc_id", "bi"]).select("source", "doc_id", "bi", "line")
 
 
-@query("u5_forgiven_differences", """
-SELECT doc_id, greatest(0, n_dash - n_soft)::BIGINT AS unforgiven FROM (
-  SELECT doc_id, len(regexp_extract_all(text, '-')) AS n_dash, len(regexp_extract_all(text, chr(173))) AS n_soft FROM documents)""")
-def u5(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "documents")
-    return t.select("doc_id", F.greatest(F.lit(0), F.regexp_count("text", F.lit("-")) - F.regexp_count("text", F.lit("­"))).cast("long").alias("unforgiven"))
-
-
 @query("o2_capped_samples", f"""
 WITH {BLOCKS}, r AS (SELECT source, doc_id, bi, row_number() OVER (PARTITION BY source ORDER BY doc_id, bi) AS k, count(*) OVER (PARTITION BY source) AS n
   FROM blocks WHERE length(line) <= 46)

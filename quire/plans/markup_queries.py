@@ -99,19 +99,21 @@ def k7(spark: SparkSession, d: str) -> DataFrame:
 
 @query("l8_line_measurement")
 def l8(spark: SparkSession, d: str) -> DataFrame:
-    lines = L.measure(blocks(spark, d), ["doc_id"], "line", 26.0)
-    return lines.groupBy("doc_id", "bi").agg(F.count("*").alias("nl"), F.max("nat").cast("long").alias("widest"))
+    return L.line_counts(blocks(spark, d).select("doc_id", "bi", "line"), "line", 26.0).select("doc_id", "bi", F.col("nl").cast("long").alias("nl"), "widest")
+
+
+def _counted(spark: SparkSession, d: str) -> DataFrame:
+    return L.line_counts(blocks(spark, d).select("doc_id", "bi", "line"), "line", 26.0).select("doc_id", "bi", "nl")
 
 
 @query("l5_page_plan")
 def l5(spark: SparkSession, d: str) -> DataFrame:
-    lines = L.measure(blocks(spark, d), ["doc_id"], "line", 26.0).groupBy("doc_id", "bi").agg(F.count("*").cast("int").alias("nl"))
-    return L.paginate(lines, ["doc_id"])
+    return L.paginate(_counted(spark, d), ["doc_id"]).drop("variant")
 
 
 @query("q9_plan_checks")
 def q9(spark: SparkSession, d: str) -> DataFrame:
-    lines = L.measure(blocks(spark, d), ["doc_id"], "line", 26.0).groupBy("doc_id", "bi").agg(F.count("*").cast("int").alias("nl"))
+    lines = _counted(spark, d)
     return L.plan_checks(L.paginate(lines, ["doc_id"]), lines, ["doc_id"], 30).groupBy("fault").agg(F.count("*").alias("n"))
 
 
@@ -130,23 +132,11 @@ def q2(spark: SparkSession, d: str) -> DataFrame:
     return Q.off_grid(line_records(spark, d), 50.0, 14.0).select("page", F.floor((F.col("y") - 50) / 14).cast("int").alias("nth"))
 
 
-@query("q3_kinsoku", _LINES + """ SELECT page, bi::INT AS nth, CASE WHEN regexp_matches(text, '^[]，。、；：！？）】》〉」』’”…—·,.;:!?)}]') THEN 'begins' ELSE 'ends' END AS fault FROM ln
-WHERE regexp_matches(text, '^[]，。、；：！？）】》〉」』’”…—·,.;:!?)}]') OR regexp_matches(text, '[（【《〈「『‘“(\\[{]$')""")
-def q3(spark: SparkSession, d: str) -> DataFrame:
-    return Q.kinsoku(line_records(spark, d)).select("page", F.floor((F.col("y") - 50) / 14).cast("int").alias("nth"), "fault")
-
-
 @query("q12_page_features", _LINES + " SELECT page, count(*) AS lines, min(y)::DOUBLE AS first, max(y)::DOUBLE AS last FROM ln GROUP BY page")
 def q12(spark: SparkSession, d: str) -> DataFrame:
     return Q.page_features(line_records(spark, d))
 
 
-@query("q4_beyond_edges", _LINES + """, c AS (SELECT round(x1) AS x1, count(*) AS n FROM ln GROUP BY 1), e AS (SELECT max(x1) AS edge FROM c WHERE n >= greatest(5, (SELECT sum(n) FROM c) // 200))
-SELECT page, bi::INT AS nth FROM ln, e WHERE ln.x1 > e.edge + 3""")
-def q4(spark: SparkSession, d: str) -> DataFrame:
-    return Q.beyond_edges(line_records(spark, d)).select("page", F.floor((F.col("y") - 50) / 14).cast("int").alias("nth"))
-
-
 @query("i2_anchors", """
 WITH w AS (SELECT doc_id, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS off FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents WHERE n_chars < 2000)),
 occ AS (SELECT doc_id, term, off, count(*) OVER (PARTITION BY doc_id, term) AS n, row_number() OVER (PARTITION BY doc_id, term ORDER BY off) AS k FROM w WHERE length(term) >= 8),

@@ -11,12 +11,6 @@ from ..registry import query
 from ..sources.tables import BLOCKS, blocks, table
 
 
-@query("t1_repair", rf"""
-WITH {BLOCKS} SELECT doc_id, bi::INT AS bi, regexp_replace(regexp_replace(line, ' {{2,}}', ' ', 'g'), '([0-9])([-–—~～－])([0-9])', '\1\2' || chr(8288) || '\3', 'g') AS line FROM blocks""")
-def t1(spark: SparkSession, d: str) -> DataFrame:
-    return blocks(spark, d).select("doc_id", "bi", X.repair(F.col("line")).alias("line"))
-
-
 @query("t5_typos", f"WITH {BLOCKS} SELECT doc_id, bi::INT AS bi, replace(replace(line, 'teh', 'the'), 'tiontion', 'tion') AS line FROM blocks")
 def t5(spark: SparkSession, d: str) -> DataFrame:
     return blocks(spark, d).select("doc_id", "bi", X.replaced(F.col("line"), [("teh", "the"), ("tiontion", "tion")]).alias("line"))
@@ -30,19 +24,6 @@ def t11(spark: SparkSession, d: str) -> DataFrame:
     return w.groupBy("doc_id", X.marker_number(F.col("w")).alias("n")).agg(F.count("*").alias("cnt"))
 
 
-@query("t12_regap_heading", rf"""
-WITH {BLOCKS} SELECT doc_id, bi::INT AS bi, regexp_replace(line, '^([A-Z][.．])[ \t\n　]*([^ \t\n　])', '\1' || chr(8194) || '\2') AS line FROM blocks WHERE length(line) <= 46""")
-def t12(spark: SparkSession, d: str) -> DataFrame:
-    return blocks(spark, d).filter(F.length("line") <= 46).select("doc_id", "bi", X.regap_heading(F.col("line")).alias("line"))
-
-
-@query("t13_dedupe_title", f"""
-WITH {BLOCKS}, s AS (SELECT doc_id, bi, line, list_max(list_filter(range(3, greatest(3, least(40, length(line) // 2)) + 1), lambda k: length(line) >= 2 * k AND left(line, k) = right(line, k))) AS k FROM blocks)
-SELECT doc_id, bi::INT AS bi, CASE WHEN k IS NULL THEN line ELSE rtrim(left(line, length(line) - k)) END AS line FROM s""")
-def t13(spark: SparkSession, d: str) -> DataFrame:
-    return blocks(spark, d).select("doc_id", "bi", X.dedupe_title(F.col("line")).alias("line"))
-
-
 @query("t15_roman", """
 SELECT n, repeat('m', (n // 1000)::INT) || ['', 'c', 'cc', 'ccc', 'cd', 'd', 'dc', 'dcc', 'dccc', 'cm'][(n % 1000 // 100 + 1)::INT] || ['', 'x', 'xx', 'xxx', 'xl', 'l', 'lx', 'lxx', 'lxxx', 'xc'][(n % 100 // 10 + 1)::INT]
   || ['', 'i', 'ii', 'iii', 'iv', 'v', 'vi', 'vii', 'viii', 'ix'][(n % 10 + 1)::INT] AS roman, n AS back FROM (SELECT DISTINCT 1 + n_chars % 3999 AS n FROM documents)""")
@@ -106,15 +87,6 @@ def f3(spark: SparkSession, d: str) -> DataFrame:
     return C.name_like(blocks(spark, d), ["doc_id"]).filter(F.length("line") <= 46).select("doc_id", "bi", "name_like", "after_heading")
 
 
-@query("f6_break_legality", f"""
-WITH {BLOCKS} SELECT doc_id, bi::INT AS bi, len(regexp_extract_all(line, ' [^] ，。、；：！？）】》〉」』’”…—·,.;:!?)}}]'))::BIGINT AS breaks FROM blocks WHERE length(line) BETWEEN 2 AND 46""")
-def f6(spark: SparkSession, d: str) -> DataFrame:
-    from ..operators import classify as C
-
-    b = blocks(spark, d).filter(F.length("line").between(2, 46))
-    return b.select("doc_id", "bi", F.size(C.legal_breaks(F.col("line"))).cast("long").alias("breaks"))
-
-
 @query("f8_divider_pages", f"""
 WITH {BLOCKS}, t AS (SELECT doc_id, sum(length(line)) AS n, count(*) AS parts, bool_and(length(line) <= 46) AS short FROM blocks GROUP BY doc_id)
 SELECT doc_id, (n < 260 AND parts <= 10 AND short) AS divider FROM t""")
@@ -132,42 +104,9 @@ def f9(spark: SparkSession, d: str) -> DataFrame:
     return n.groupBy("doc_id").agg(F.sum((F.length("num") <= 4).cast("long")).alias("short"), F.count("*").alias("numbers"))
 
 
-def _detector(category: str, re2: str):
-    """A detector's findings a line; the pattern for DuckDB is given apart, as RE2 has no lookaround."""
-    sql = f"WITH {BLOCKS}, n AS (SELECT doc_id, bi, len(regexp_extract_all(line, '{re2}')) AS n FROM blocks) SELECT doc_id, bi::INT AS bi, n::BIGINT AS n FROM n WHERE n > 0"
-
-    def run(spark: SparkSession, d: str) -> DataFrame:
-        return D.findings(blocks(spark, d).select("doc_id", "bi", "line"), "line", [category]).groupBy("doc_id", "bi").agg(F.count("*").alias("n"))
-
-    return sql, run
-
-
-for _name, _category, _re2 in (
-    ("d4_punct_runs", "punct-run-ascii", "[,;:!?]{2,}"), ("d13_word_digit", "word-digit", "[A-Za-z]{2,}[0-9]"),
-    ("d13_quotes", "straight-quote", '"'), ("d13_no_space_after", "no-space-after", "[a-z][,;][A-Za-z]"),
-    ("d13_three_dots", "three-dots", "\\.\\.\\."), ("d9_private_use", "private-use", "[\\x{E000}-\\x{F8FF}\\x{FFFD}□]"), ("d10_cyrillic", "cyrillic", "[\\x{400}-\\x{4FF}]"),
-):
-    query(_name, _detector(_category, _re2)[0])(_detector(_category, _re2)[1])
-
-
 @query("d2_repeated_words", """
 WITH w AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM (SELECT doc_id, string_split(replace(text, chr(10), ' '), ' ') AS w FROM documents)),
 n AS (SELECT doc_id, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM w)
 SELECT doc_id, count(*) AS n FROM n WHERE w = before AND length(w) >= 2 GROUP BY doc_id""")
 def d2(spark: SparkSession, d: str) -> DataFrame:
     return D.repeated_words(table(spark, d, "documents"), "text").filter("n > 0")
-
-
-@query("d5_unbalanced", f"""
-WITH {BLOCKS} SELECT doc_id, bi::INT AS bi, '()' AS pairs FROM blocks WHERE length(replace(line, '(', '')) <> length(replace(line, ')', ''))""")
-def d5(spark: SparkSession, d: str) -> DataFrame:
-    b = blocks(spark, d).select("doc_id", "bi", D.unbalanced(F.col("line")).alias("p")).filter(F.size("p") > 0)
-    return b.select("doc_id", "bi", F.array_join("p", " ").alias("pairs"))
-
-
-@query("d15_lint_summary", f"""
-WITH {BLOCKS}, p AS (SELECT unnest([{{'c': 'punct-run-ascii', 'n': len(regexp_extract_all(line, '[,;:!?]{{2,}}'))}}, {{'c': 'word-digit', 'n': len(regexp_extract_all(line, '[A-Za-z]{{2,}}[0-9]'))}}, {{'c': 'straight-quote', 'n': len(regexp_extract_all(line, '"'))}}]) AS x FROM blocks)
-SELECT x.c AS category, sum(x.n)::BIGINT AS n FROM p GROUP BY x.c HAVING sum(x.n) > 0""")
-def d15(spark: SparkSession, d: str) -> DataFrame:
-    cats = [c for c in D.PATTERNS if not c.startswith("dup-word")]
-    return D.summary(D.findings(blocks(spark, d).select("line"), "line", cats)).filter(F.col("category").isin("punct-run-ascii", "word-digit", "straight-quote"))

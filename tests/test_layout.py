@@ -18,7 +18,7 @@ block = st.builds(L.LayoutBlock, lines=st.integers(1, 14), before=st.integers(0,
 @given(st.lists(block, min_size=1, max_size=10))
 def test_each_line_once(blocks):
     blocks[0].brk = False
-    plan, cost = L.solve(blocks, 10)
+    plan, cost, _ = L.solve(blocks, 10)
     assert cost >= 0
     for i, b in enumerate(blocks):
         spans = sorted((lo, hi) for _, k, lo, hi, _ in plan if k == i)
@@ -36,13 +36,13 @@ def test_each_line_once(blocks):
 
 def test_cheapest_break():
     """A single last line (50) is cheaper than a gap (200); both leave a short last page (300)."""
-    plan, cost = L.solve([L.LayoutBlock(9), L.LayoutBlock(12)], 20)
+    plan, cost, _ = L.solve([L.LayoutBlock(9), L.LayoutBlock(12)], 20)
     assert cost == L.SINGLE_LAST + L.SHORT_TAIL and (1, 1, 11, 12, 0) in plan
     assert L.solve([L.LayoutBlock(9), L.LayoutBlock(14), L.LayoutBlock(1)], 20)[1] == 0
 
 
 def test_figure_floats():
-    plan, cost = L.solve([L.LayoutBlock(6), L.LayoutBlock(1, slots=6, splittable=False, floating=True), L.LayoutBlock(8)], 10)
+    plan, cost, _ = L.solve([L.LayoutBlock(6), L.LayoutBlock(1, slots=6, splittable=False, floating=True), L.LayoutBlock(8)], 10)
     assert cost < 1000 and {b for _, b, *_ in plan} == {0, 1, 2}
 
 
@@ -71,8 +71,10 @@ def test_lnds(values):
 
 def test_index_line():
     refs = I.parse_entry("理性 Vernunft 12, 116—30；纯粹理性（见第3页）295—6，1781年")
-    assert [(r["low"], r["high"]) for r in refs] == [(12, 12), (116, 130), (295, 296)]
-    assert "纯粹理性" in refs[2]["keys"]
+    assert [(r["first"], r["last"]) for r in refs] == [("12", ""), ("116", "30"), ("295", "6")]
+    assert "纯粹理性" in refs[2]["keys"] and refs[0]["foreign"] == ["Vernunft"] and refs[0]["keys"][-1] == "理性"
+    refs = I.parse_entry("自由上254, 下56, 信14, v3, 2.5")
+    assert [(r["first"], r["series"], r["letter"]) for r in refs] == [("254", "上", False), ("56", "下", False), ("14", "下", True), ("2", "下", False)][:3]
 
 
 def test_prediction_is_exact_on_a_line():
