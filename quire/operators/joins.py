@@ -131,6 +131,15 @@ def nearest_candidate(refs: DataFrame, candidates: DataFrame, keys: list[str], m
     return both.withColumn("far", far).filter(F.col("far") <= most).withColumn("k", F.row_number().over(w)).filter("k = 1").drop("k")
 
 
+def rarest_candidate(refs: DataFrame, candidates: DataFrame, keys: list[str], most: float = 0.75, first: int = 3) -> DataFrame:
+    """As ``nearest_candidate``, by the ``first`` keys with the fewest occurrences, the rarest first."""
+    own = Window.partitionBy(*keys, "ref")
+    held = candidates.withColumn("__n", F.count("*").over(Window.partitionBy(*keys, "ref", "key_no")))
+    ranked = held.withColumn("rarity", F.dense_rank().over(own.orderBy("__n", "key_no"))).filter(F.col("rarity") <= first)
+    named = ranked.withColumnRenamed("key_no", "__key").withColumnRenamed("rarity", "key_no")
+    return nearest_candidate(refs, named, keys, most).drop("key_no", "__n").withColumnRenamed("__key", "key_no")
+
+
 def in_stretch(refs: DataFrame, terms: DataFrame, keys: list[str], beyond: int = 500) -> DataFrame:
     """A term within [a, b) first, by order of keys; else the nearest within ``beyond`` for the first two keys; else a."""
     both = refs.join(terms, [*keys, "ref"], "left")

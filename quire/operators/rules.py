@@ -140,14 +140,6 @@ def fix_item_runs(items: DataFrame, rules: list[tuple[str, str] | Pattern]) -> D
     return items.mapInPandas(run, T.StructType([*[f for f in items.schema.fields if f.name != "hits"], T.StructField("hits", T.ArrayType(T.IntegerType()))]))
 
 
-def block_operations(blocks: DataFrame, ops: DataFrame) -> DataFrame:
-    """Styles and drops addressed by the blocks' original numbers; a later style wins."""
-    ranged = ops.withColumn("k", F.monotonically_increasing_id()).select("op", "value", "k", F.explode(F.sequence("lo", "hi")).alias("bi"))
-    style = ranged.filter("op = 'style'").groupBy("bi").agg(F.max_by("value", "k").alias("__style"))
-    drop = ranged.filter("op = 'drop'").select("bi").distinct()
-    return blocks.join(drop, "bi", "left_anti").join(style, "bi", "left").withColumn("style", F.coalesce("__style", "style")).drop("__style")
-
-
 def reorder(items: DataFrame, moves: DataFrame) -> DataFrame:
     """X5 MOVE: items (part, item_no) to the place after ``after``, if just one source and one destination match."""
     one = items.join(moves.select("part", F.col("source").alias("item_no"), "after"), ["part", "item_no"])

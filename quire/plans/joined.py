@@ -171,13 +171,6 @@ def x3(spark: SparkSession, d: str) -> DataFrame:
     return R.usage(docs, R.example_rules(spark))
 
 
-@query("x6_block_operations", f"""
-WITH {BLOCKS} SELECT doc_id, bi::INT AS bi, CASE WHEN bi = 0 THEN 'title' WHEN bi BETWEEN 2 AND 4 THEN 'quote' ELSE 'body' END AS style FROM blocks WHERE bi NOT IN (5, 8)""")
-def x6(spark: SparkSession, d: str) -> DataFrame:
-    ops = spark.createDataFrame([("style", 0, 0, "title"), ("style", 2, 4, "quote"), ("drop", 5, 5, None), ("drop", 8, 8, None)], "op string, lo int, hi int, value string")
-    return R.block_operations(blocks(spark, d).withColumn("style", F.lit("body")), ops).select("doc_id", "bi", "style")
-
-
 @query("x7_correction_categories", """
 SELECT category, count(*) AS n FROM (SELECT CASE WHEN c <> '' THEN split_part(c, '/', 1) WHEN length(source || ': ' || lang) <= 8 THEN source || ': ' || lang ELSE 'other' END AS category, source, lang
   FROM (SELECT *, regexp_extract(source || ': ' || lang, '^([^：:(]{1,8})[：:(]', 1) AS c FROM documents)) GROUP BY category""")

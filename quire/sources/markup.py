@@ -1,8 +1,10 @@
-"""Lenient reading of marked-up parts into items of runs.
+"""Lenient reading of marked-up parts into items of runs.
 
-A stack machine over the tokens of a part, in ``mapInArrow``: one pass, no
+A stack machine over the tokens of a part, in ``mapInPandas``: one pass, no
 shuffle.  Class and element names that mean something are a dialect, a
-configuration of fixed size.
+configuration of fixed size; three families' dialects are given.  An item's note
+is one that a note element or a note class marks; its way back, if it is a
+link of its own, goes to its number (P12).
 """
 
 from __future__ import annotations
@@ -32,6 +34,22 @@ class Dialect:
     bold: frozenset[str] = frozenset(("b", "strong"))
     raised: frozenset[str] = frozenset(("sup",))
     raised_classes: frozenset[str] = frozenset(("math-super",))
+    italic: frozenset[str] = frozenset(("i", "em", "cite"))
+    #: Class of a run for an inline element's class (P2), and classes that mark a note, an icon as a note's mark, and no text at all.
+    run_classes: dict[str, str] = field(default_factory=dict)
+    note_classes: frozenset[str] = frozenset(("duokan-footnote-item", "footnote", "notetext"))
+    icon_classes: frozenset[str] = frozenset(("duokan-footnote",))
+    skip_classes: frozenset[str] = frozenset(("toc",))
+    #: The words of a link that only leads back.
+    back_words: frozenset[str] = frozenset(("返回正文", "返回", "↩", "↩︎", "back"))
+
+
+#: Dialects of three families of books: one marks kinds by elements, one by classes of paragraphs, one by classes of spans.
+FAMILIES = {
+    "elements": Dialect(),
+    "paragraph classes": Dialect(quotes=frozenset(("blockquote", "dd")), box_classes=frozenset(("box", "kuang")), run_classes={"kaiti": "kai", "fs": "fs", "sc": "sc"}),
+    "span classes": Dialect(bold=frozenset(("b", "strong", "big")), raised_classes=frozenset(("math-super", "sup", "ref")), run_classes={"italic": "it", "bold": "b", "kai": "kai"}, skip_classes=frozenset(("toc", "nav", "copyright"))),
+}
 
 
 class _Reader(HTMLParser):
@@ -52,7 +70,10 @@ class _Reader(HTMLParser):
         return sum(1 for tag, _ in self.stack if tag in names)
 
     def _skipping(self) -> bool:
-        return any(tag in self.d.skip for tag, _ in self.stack)
+        return any(tag in self.d.skip or self.d.skip_classes.intersection((attrs.get("class") or "").split()) for tag, attrs in self.stack)
+
+    def _noted(self) -> bool:
+        return any((tag == "aside" and "footnote" in (attrs.get("epub:type") or "")) or self.d.note_classes.intersection((attrs.get("class") or "").split()) for tag, attrs in self.stack)
 
     def _put(self, text: str, **more) -> None:
         if self.cell is not None:
@@ -67,8 +88,10 @@ class _Reader(HTMLParser):
                 run["s"] = 1
             if tag == "a" and attrs.get("href"):
                 run["h"] = attrs["href"]
+            if tag in self.d.italic:
+                run["c"] = "it"
             if tag == "span" and classes:
-                run["c"] = " ".join(classes)
+                run["c"] = " ".join(dict.fromkeys(self.d.run_classes.get(c, c) for c in classes))
         self.pending = None
         self.runs.append(run | more)
 
@@ -80,6 +103,12 @@ class _Reader(HTMLParser):
             t = r["t"] if r["t"] == BREAK else re.sub(r"[ \t\r\n\f]+", " ", r["t"])
             if not t:
                 continue
+            if merged and len(t) > 1 and t[0] in "。，；：、！？）」』”" and r["h"] and re.fullmatch(r"[［\[][0-9]+[］\]]", t[1:]):
+                # a mark whose link also takes in the punctuation before it
+                if merged[-1]["h"] or merged[-1]["i"] or merged[-1]["s"]:
+                    merged.append(r | {"t": "", "h": None, "a": None, "s": 0})
+                merged[-1]["t"] += t[0]
+                t = t[1:]
             r = r | {"t": t}
             last = merged[-1] if merged else None
             if last and BREAK not in (last["t"], t) and not (r["i"] or r["m"] or last["i"] or last["m"]) and all(last[k] == r[k] for k in "bshac"):
@@ -97,9 +126,30 @@ class _Reader(HTMLParser):
         if not merged:
             return
         tag, cls, ident, src, level = (kind[0], kind[1], kind[2], kind[3], kind[4]) if kind else ("p", "", None, None, None)
+        if tag != "pre" and self._noted():
+            self._item("note", tag, cls, ident, None, src, self._linked_back(merged, ident or next((a["id"] for _, a in reversed(self.stack) if a.get("id")), None)))
+            return
+        if tag == "pre":  # an item a line
+            for line in "".join(r["t"] for r in runs).split("\n"):
+                if line.strip():
+                    self._item("p", "pre", cls, ident, None, src, [merged[0] | {"t": line.rstrip()}])
+            return
         k = "h" if level else "img" if all(r["i"] for r in merged) else "li" if self._open("li") or tag == "li" else "p"
         self._item(k, tag, cls, ident, level, src, merged)
 
+    def _linked_back(self, runs: list[dict], ident: str | None) -> list[dict]:
+        """A note's number, as a run that links back to its mark and has the note's anchor; a link that only leads back goes."""
+        ways = [r for r in runs if r["h"] and r["t"].strip() in self.d.back_words]
+        if len(ways) != 1:
+            return runs
+        anchor = next((r["a"] for r in runs if r["a"]), None) or ident
+        rest = [r | {"a": None} for r in runs if r is not ways[0]]
+        m = re.match(r"\s*(\[\d+\]|\d+\.)", rest[0]["t"]) if rest else None
+        if not m:
+            return [r for r in runs if r is not ways[0]]
+        label = rest[0] | {"t": m[1], "h": ways[0]["h"], "a": anchor}
+        return [r for r in (label, rest[0] | {"t": rest[0]["t"][m.end() :], "h": None}, *rest[1:]) if r["t"]]
+
     def _item(self, k, tag, cls, ident, level, src, runs, **more) -> None:
         boxed = any(t in self.d.boxes or self.d.box_classes.intersection((a.get("class") or "").split()) for t, a in self.stack)
         self.items.append({"k": k, "tag": tag, "cls": cls or "", "id": ident, "lvl": level, "depth": self._open("ul", "ol"), "q": self._open(*self.d.quotes) > 0, "box": boxed, "src": src, "runs": runs, "rows": None, "spans": None, "heads": None} | more)
@@ -111,6 +161,15 @@ class _Reader(HTMLParser):
         if self._skipping() and tag not in _VOID:
             self.stack.append((tag, attrs))
             return
+        classes = (attrs.get("class") or "").split()
+        if tag == "a" and self.d.icon_classes.intersection(classes) and attrs.get("href"):
+            number = re.search(r"[0-9]+$", attrs.get("id") or attrs["href"])  # an icon is a note's mark; its number is its id's
+            self.stack.append((tag, attrs | {"icon": "1"}))
+            if number:
+                self._put(str(int(number[0])), s=1, h=attrs["href"], a=attrs.get("id"))
+            return
+        if tag == "img" and self.stack and self.stack[-1][1].get("icon"):
+            return
         if tag == "br":
             self._put(BREAK)
         elif tag == "img":
@@ -140,7 +199,10 @@ class _Reader(HTMLParser):
                 if tag in self.d.headings or tag in ("p", "li", "figcaption", "pre"):
                     self.kind = (tag, attrs.get("class") or "", attrs.get("id"), None, self.d.headings.get(tag))
         elif attrs.get("id"):
-            self.pending = attrs["id"]
+            if self.runs and tag == "span" and self._noted():
+                self.runs[-1]["a"] = self.runs[-1]["a"] or attrs["id"]  # a note's anchor may stand at its end
+            else:
+                self.pending = attrs["id"]
         if tag not in _VOID:
             self.stack.append((tag, attrs))
 
