@@ -106,6 +106,22 @@ def blank_foot_figures(plan: DataFrame, figures: DataFrame, keys: list[str], pag
     return plan.filter("slot = 0").join(figures.select(*keys, "bi"), [*keys, "bi"], "left_semi").join(blank, [*keys, "page_no"], "left_semi").select(*keys, "bi").distinct()
 
 
+def plates(blocks: DataFrame, plan: Callable[[DataFrame], DataFrame], keys: list[str], page: int, rounds: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Blocks without the figures that leave a blank foot, and these, which go to the back as plates.
+
+    Planned again until no figure leaves one, ``rounds`` times at most; each
+    round's blocks are a checkpoint in the shared folder.
+    """
+    moved = blocks.limit(0).select(*keys, "bi")
+    for _ in range(rounds):
+        bad = blank_foot_figures(plan(blocks), blocks.filter("floating"), keys, page).checkpoint()
+        if bad.isEmpty():
+            break
+        moved = moved.union(bad)
+        blocks = blocks.join(bad, [*keys, "bi"], "left_anti").checkpoint()
+    return blocks, moved
+
+
 def variant_stats(plan: DataFrame) -> DataFrame:
     """How often each spacing variant was chosen."""
     return plan.groupBy("variant").agg(F.count("*").alias("n"))

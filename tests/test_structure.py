@@ -1,11 +1,13 @@
 """Literal fixtures of structural corrections, notes and their ways back, and places in plans."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.model import RUN
-from quire.operators import lint, rules
+from quire.operators import assembly, index_model, layout, lint, rules
 from quire.operators import structure as S
 from quire.sources import markup as M
 
@@ -116,3 +118,64 @@ def test_page_of(spark):
     plan = spark.createDataFrame([(1, 0, 0, 1, 0), (1, 0, 1, 2, 1), (1, 1, 0, 1, 1)], "doc int, bi int, lo int, hi int, page_no int")
     asked = spark.createDataFrame([(1, 0, 3), (1, 0, 10), (1, 1, 5)], "doc int, bi int, at int")
     assert sorted((r["bi"], r["at"], r["page_no"]) for r in S.page_of(asked, lines, plan, ["doc"]).collect()) == [(0, 3, 0), (0, 10, 1), (1, 5, 1)]
+
+
+def test_maps_of_modules():
+    pages = [(1, k * 700.0, k) for k in range(20)] + [(2, k * 700.0, 20 + k) for k in range(1)] + [(3, k * 700.0, 40 + k) for k in range(10)]
+    maps = index_model.build_maps([(1, 14_000.0), (2, 14_000.0), (3, 7_000.0)], pd.DataFrame(pages, columns=["module", "off", "page"]))
+    assert maps[2].line and len(maps[2].off) < 2 and maps[2].usable
+    assert maps[1].page_at(7_000.0) == pytest.approx(10.5, abs=0.05) and maps[1].page_at(7_000.0, 10) == pytest.approx(10.5, abs=0.05)
+    assert index_model.interpolated(maps, 5.5)[0] == 1 and index_model.interpolated(maps, 45.5) == (3, pytest.approx(3_500.0, abs=5))
+    assert index_model.interpolated(maps, 30.5)[0] == 2 and index_model.interpolated(maps, 900.0) is None
+    module, a, b = index_model.resolved_range(maps, 3, 5)
+    assert module == 1 and a == pytest.approx(2.55 * 700, abs=5) and b == pytest.approx(5.45 * 700, abs=5)
+    # The rarest key first; of a key, the occurrence nearest to the page; a key found once where no map is.
+    assert index_model.resolved_single(maps, [[(1, 7_000.0), (1, 100.0)], [(3, 1_400.0)]], 42) == (3, 1_400.0, "term1")
+    assert index_model.resolved_single(maps, [[(1, 7_000.0), (1, 100.0)]], 10) == (1, 7_000.0, "term")
+    bare = index_model.build_maps([(1, 100.0)], pd.DataFrame([], columns=["module", "off", "page"]).astype({"module": int, "off": float, "page": int}))
+    assert index_model.resolved_single(bare, [[(1, 5.0)]], 3) == (1, 5.0, "term1") and index_model.resolved_single(bare, [[(1, 5.0), (1, 9.0)]], 3) is None
+
+
+def test_resolution_by_modules(spark):
+    anchors = spark.createDataFrame([(1, 1 + k // 20, (k % 20) * 700, k) for k in range(40)], "book int, module int, off int, page int")
+    modules = spark.createDataFrame([(1, 1, 14_000), (1, 2, 14_000)], "book int, module int, length int")
+    occurrences = spark.createDataFrame([(1, 1, "t", 7_100), (1, 2, "t", 7_100), (1, 2, "rare", 350)], "book int, module int, term string, off int")
+    refs = spark.createDataFrame([(1, 1, ["t", "rare"], 30, 30, False), (1, 2, ["rare", "t"], 20, 20, False), (1, 3, ["none"], 25, 27, False), (1, 4, ["t"], 5, 5, True)], "book int, ref int, terms array<string>, low int, high int, skip boolean")
+    out = {r["ref"]: (r["module"], r["method"]) for r in index_model.resolve(refs, anchors, occurrences, ["book"], modules).collect()}
+    assert out == {1: (2, "term"), 2: (2, "term1"), 3: (2, "range"), 4: (None, "skip")}
+
+
+def test_labels_to_a_fixpoint(spark):
+    lines = spark.createDataFrame([(1, 0, "term 7, other 7"), (1, 1, "plain")], "book int, line_no int, text string")
+    refs = spark.createDataFrame([(1, 0, 1, 5, 6), (1, 0, 2, 14, 15)], "book int, line_no int, ref int, start int, end int")
+    places = spark.createDataFrame([(1, 1, 10, 10), (1, 2, 20, 30)], "book int, ref int, place int, upto int")
+
+    def paginate(now):  # the index grows by the labels and shifts the pages after it
+        size = now.agg(F.sum(F.length("text"))).first()[0]
+        return now.sparkSession.createDataFrame([(1, p, str(p * 100 + (1 if size > 20 else 0))) for p in (10, 20, 30)], "book int, place int, label string")
+
+    out = index_model.remap_to_fixpoint(lines, refs, places, paginate, ["book"])
+    assert sorted((r["line_no"], r["text"]) for r in out.collect()) == [(0, "term 1001, other 2001—3001"), (1, "plain")]
+
+
+def test_hyphens_and_plates(spark):
+    df = spark.createDataFrame([(1, "一二三四五六 extraordinary words"), (2, "short"), (3, None)], "bi int, t string")
+    out = {r["bi"]: r["t"] for r in layout.hyphenated(df, [], "t", 10.0, lambda w: [2, 3, 5, 11]).collect()}
+    assert out == {1: "一二三四五六 extra\u00adordinary words", 2: "short", 3: None}
+    blocks = spark.createDataFrame([(1, 0, 6, False), (1, 1, 8, True), (1, 2, 3, False)], "book int, bi int, nl int, floating boolean")
+
+    def plan(b):
+        rows = [(r["bi"], r["floating"]) for r in b.orderBy("bi").collect()]
+        made = [(1, 0, 0, 0, 6, 0)] + ([(1, 1, 1, 0, 8, 0)] if (1, True) in rows else []) + [(1, 1 if (1, True) in rows else 0, 2, 0, 3, 8)]
+        return spark.createDataFrame(made, "book int, page_no int, bi int, lo int, hi int, slot int")
+
+    left, moved = assembly.plates(blocks, plan, ["book"], 10)
+    assert sorted(r["bi"] for r in left.collect()) == [0, 2] and [r["bi"] for r in moved.collect()] == [1]
+
+
+def test_lines_fit():
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        text = "".join(rng.choice(list("ab ,.-/中文，（）　W1m"), rng.integers(1, 60)))
+        for a, b, w in layout.greedy_lines(text, 5000):
+            assert w <= 5000 or b == a + 1 or text[b - 1] == " "
