@@ -86,14 +86,15 @@ def a2(spark: SparkSession, d: str) -> DataFrame:
     return A.filtered_counts(table(spark, d, "documents"), ["lang"], F.col("source") == "src0")
 
 
-@query("u4_raw_missing", """
-SELECT page_id, (length(regexp_replace(h, '[^aeiou]', '', 'g')) - length(regexp_replace(t, '[^aeiou]', '', 'g')))::BIGINT AS missing FROM (
-  SELECT page_id, regexp_extract(html, '<article>(.*)</article>', 1, 's') AS a, regexp_replace(a, '<[^>]*>', '', 'g') AS h, regexp_replace(regexp_replace(a, '<h1>.*</h1>', ''), '<[^>]*>', '', 'g') AS t FROM pages) WHERE regexp_matches(h, '[aeiou]')""")
+_STRIP = "regexp_replace(regexp_replace({}, '<[^>]*>', '', 'g'), '[ \\t\\r\\n' || chr(160) || ']', '', 'g')"
+
+
+@query("u4_raw_missing", f"""
+SELECT page_id, (length(h) - length(t))::BIGINT AS missing FROM (SELECT page_id, {_STRIP.format("html")} AS h, {_STRIP.format("regexp_replace(html, '<h1>.*</h1>', '')")} AS t FROM pages) WHERE h <> ''""")
 def u4(spark: SparkSession, d: str) -> DataFrame:
-    article = F.regexp_extract("html", "(?s)<article>(.*)</article>", 1)
-    vowels = lambda c: F.regexp_replace(F.regexp_replace(c, "<[^>]*>", ""), "[^aeiou]", "")
-    p = table(spark, d, "pages").select("page_id", article.alias("a"))
-    return A.raw_missing(p.select("page_id", vowels(F.col("a")).alias("text")), p.select("page_id", vowels(F.regexp_replace("a", "<h1>.*</h1>", "")).alias("text")), ["page_id"])
+    bare = lambda c: F.regexp_replace(c, "<[^>]*>", "")
+    p = table(spark, d, "pages").select("page_id", "html")
+    return A.raw_missing(p.select("page_id", bare("html").alias("text")), p.select("page_id", bare(F.regexp_replace("html", "<h1>.*</h1>", "")).alias("text")), ["page_id"])
 
 
 @query("x5_move", f"""

@@ -51,13 +51,15 @@ def j3(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("j4_term_occurrences", """
-WITH terms AS (SELECT DISTINCT array_to_string(string_split(text, ' ')[1:2], ' ') AS term FROM benchmark),
+WITH b AS (SELECT string_split(trim(regexp_replace(text, '[ \\t\\n]+', ' ', 'g')), ' ') AS w FROM benchmark), p AS (SELECT w, unnest(range(1, len(w))) AS i FROM b WHERE len(w) >= 2),
+terms AS (SELECT DISTINCT w[i] || ' ' || w[i + 1] AS term FROM p),
 w AS (SELECT doc_id, string_split(trim(regexp_replace(text, '[ \\t\\n]+', ' ', 'g')), ' ') AS w FROM documents),
 g AS (SELECT doc_id, unnest(range(0, len(w) - 1)) AS pos, w FROM w WHERE len(w) >= 2),
 o AS (SELECT doc_id, pos, w[pos + 1] || ' ' || w[pos + 2] AS term FROM g)
 SELECT doc_id, pos::INT AS pos, term FROM o WHERE term IN (SELECT term FROM terms)""")
 def j4(spark: SparkSession, d: str) -> DataFrame:
-    terms = table(spark, d, "benchmark").select(F.array_join(F.slice(F.split("text", " "), 1, 2), " ").alias("term"))
+    words = F.split(F.trim(F.regexp_replace("text", "[ \\t\\n]+", " ")), " ")
+    terms = table(spark, d, "benchmark").select(F.explode(J.windows(words, 2, " ")).alias("term")).distinct()
     return J.term_occurrences(table(spark, d, "documents").select("doc_id", "text"), terms)
 
 

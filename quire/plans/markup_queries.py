@@ -42,14 +42,12 @@ def p8(spark: SparkSession, d: str) -> DataFrame:
     return it.groupBy(F.col("part").alias("page_id")).agg(F.sum((F.col("k") == "li").cast("long")).alias("li"), F.sum((F.col("k") == "h").cast("long")).alias("heads"))
 
 
-@query("p11_visible_text", f"""
-WITH b AS (SELECT page_id, regexp_extract({_BODY}, '<article>(.*)</article>', 1, 's') AS h FROM pages)
+@query("p11_visible_text", """
+WITH b AS (SELECT page_id, regexp_replace(html, '<head>.*?</head>|<nav>.*?</nav>|<script>.*?</script>|<style>.*?</style>|<!--.*?-->', '', 'gs') AS h FROM pages)
 SELECT page_id, length(regexp_replace(replace(replace(replace(replace(regexp_replace(h, '<[^>]*>', '', 'g'), '&amp;', '&'), '&quot;', '"'), '&copy;', chr(169)), '&middot;', chr(183)), '[ \\n]', '', 'g'))::BIGINT AS n FROM b""")
 def p11(spark: SparkSession, d: str) -> DataFrame:
-    article = F.regexp_extract("html", "(?s)<article>(.*)</article>", 1)
-    it = M.items(table(spark, d, "pages").select("page_id", article.alias("html")), "page_id", "html")
     text = F.regexp_replace(F.array_join(F.transform("runs", lambda r: r["t"]), ""), "[ \n]", "")
-    return it.groupBy(F.col("part").alias("page_id")).agg(F.sum(F.length(text)).cast("long").alias("n"))
+    return items(spark, d).groupBy(F.col("part").alias("page_id")).agg(F.sum(F.length(text)).cast("long").alias("n"))
 
 
 @query("p_link_targets", """
@@ -138,7 +136,7 @@ def q12(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("i2_anchors", """
-WITH w AS (SELECT doc_id, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS off FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents WHERE n_chars < 2000)),
+WITH w AS (SELECT doc_id, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS off FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)),
 occ AS (SELECT doc_id, term, off, count(*) OVER (PARTITION BY doc_id, term) AS n, row_number() OVER (PARTITION BY doc_id, term ORDER BY off) AS k FROM w WHERE length(term) >= 8),
 pg AS (SELECT DISTINCT doc_id, term, off // 40 AS page FROM occ), r AS (SELECT *, count(*) OVER (PARTITION BY doc_id, term) AS n, row_number() OVER (PARTITION BY doc_id, term ORDER BY page) AS k FROM pg)
 SELECT doc_id, term, r.page::BIGINT AS page, occ.off::INT AS off FROM r JOIN occ USING (doc_id, term, n, k)""")
@@ -148,8 +146,8 @@ def i2(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _occurrences(spark: SparkSession, d: str) -> DataFrame:
-    """Long words of short documents as index terms; 40 words a printed page."""
-    docs = table(spark, d, "documents").filter("n_chars < 2000")
+    """Long words as index terms; 40 words a printed page."""
+    docs = table(spark, d, "documents")
     return docs.select("doc_id", F.posexplode(F.split("text", " ")).alias("off", "term")).filter(F.length("term") >= 8)
 
 
