@@ -28,8 +28,10 @@ TRAIN_DOCS, WORDS = 4000, 500
 LEAST_DOCS, LEAST_SHARE = 8, 0.005
 #: Log-likelihoods are divided by this, as features are not independent.
 TEMPERATURE = 1.5
-#: Share of the most tokens that the scarcest domain allows.
-BUDGET = 0.9
+#: Shares of the most tokens that the scarcest domain allows, the first of which the targets can be met with counts.
+BUDGETS = tuple(b / 100 for b in range(95, 4, -5))
+#: Cells of posteriors, at most, in which documents are summed to find it.
+CELLS = 4096
 STEPS, TOLERANCE = 25, 1e-4
 #: Targets are met if each is within this share.
 MET = 0.01
@@ -58,9 +60,10 @@ def _described(docs: DataFrame) -> DataFrame:
     return base.select("doc_id", "th", F.col("__n").cast("long").alias("n_tokens"), *[c.alias(f"m_{k}") for k, c in _measures().items()])
 
 
-def _held_words(docs: DataFrame) -> DataFrame:
-    """``doc_id, th, word``: each distinct word of letters, in lower case, of each text."""
-    words = F.array_distinct(F.split(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), r"[^\p{L}]+"))
+def _held_words(docs: DataFrame, known: Column | None = None) -> DataFrame:
+    """``doc_id, th, word``: each distinct word of letters, in lower case, of each text; only those in the array ``known``, if it is given."""
+    words = F.split(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), r"[^\p{L}]+")
+    words = F.array_distinct(words) if known is None else F.array_intersect(words, known)
     return docs.select("doc_id", F.xxhash64("text").alias("th"), F.explode(words).alias("word")).filter("word <> ''")
 
 
@@ -104,8 +107,9 @@ def learn_domains(docs: DataFrame, labels: DataFrame, domains: dict[str, str] =
 def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
     """``doc_id, th, copies, n_tokens, p`` (an array in the order of ``model.domains``), a row for each distinct (doc_id, text)."""
     d = range(len(model.domains))
-    # The vocabulary has at most WORDS rows.
-    hits = _held_words(docs).join(F.broadcast(model.words), "word").groupBy("doc_id", "th").agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in d])
+    # The vocabulary has at most WORDS rows; a text's words are cut down to it before they become rows.
+    known = F.lit([r["word"] for r in model.words.select("word").collect()]).cast("array<string>")
+    hits = _held_words(docs, known).join(F.broadcast(model.words), "word").groupBy("doc_id", "th").agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in d])
     hits = hits.withColumnsRenamed({"doc_id": "__doc", "th": "__t"})
     rows = _described(docs)
     rows = rows.groupBy("doc_id", "th").agg(F.count("*").alias("copies"), *[F.min(c).alias(c) for c in rows.columns if c not in ("doc_id", "th")])
@@ -120,11 +124,40 @@ def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
     return rows.select("doc_id", "th", "copies", "n_tokens", raised.alias("p")).withColumn("p", F.transform("p", lambda x: x / total))
 
 
+def _attainable(masses: np.ndarray, weights: np.ndarray, most: float, largest: float) -> tuple[float, np.ndarray]:
+    """The first of ``BUDGETS`` at which cells' rates ``clip(start - p u)`` meet the targets, and ``u``: where the descent begins.
+
+    Damped Newton steps on the cells' token masses, on the driver; if no share
+    can be met, the last one and no ``u``.
+    """
+    share, start = masses / np.maximum(masses.sum(1, keepdims=True), 1e-12), min(1.0, largest)
+    for budget in BUDGETS:
+        goal, u = budget * weights * most, np.zeros(len(weights))
+        rates = lambda u: np.clip(start - share @ u, 0.0, largest)
+        miss = lambda u: masses.T @ rates(u) - goal
+        for _ in range(80):
+            off = miss(u)
+            if (np.abs(off) <= 0.1 * MET * goal).all():
+                return budget, u
+            r = rates(u)
+            free = (r > 0) & (r < largest) | (share @ u == 0)
+            slope = masses[free].T @ share[free]
+            step = np.linalg.lstsq(slope + 1e-9 * np.trace(slope) * np.eye(len(u)), off, rcond=None)[0]
+            size = 1.0
+            while size > 1e-3 and np.linalg.norm(miss(u + size * step) / goal) > np.linalg.norm(off / goal):
+                size /= 2
+            u = u + size * step
+    return BUDGETS[-1], np.zeros(len(weights))
+
+
 def fit_rates(rows: DataFrame, targets: list[float], largest: float = 1.0) -> tuple[Column, dict]:
     """The column of rates over ``copies, n_tokens, p`` (a row stands for so many copies) and what it reaches.
 
-    Targets are weights; they are scaled to ``BUDGET`` of the most tokens that
-    the scarcest domain allows at the largest rate.  With the metric ``inverse(sum(tokens *
+    Targets are weights; they are scaled to a share of the most tokens that
+    the scarcest domain allows at the largest rate: the largest of ``BUDGETS``
+    at which soft memberships can meet them, by the sums of documents with
+    like posteriors (``CELLS`` rows at most), which also give the first
+    rates.  With the metric ``inverse(sum(tokens *
     p * p'))`` the gradient's Lipschitz constant over token-weighted rates is
     1, so steps of length 1 descend.
     """
@@ -137,7 +170,12 @@ def fit_rates(rows: DataFrame, targets: list[float], largest: float = 1.0) -> tu
     weights = np.array(targets, float) / sum(targets)
     if not have.sum():
         return F.lit(min(1.0, largest)), {"targets": [0.0] * len(targets), "reached": [0.0] * len(targets), "steps": 0}
-    goal = BUDGET * weights * min(largest * have[i] / weights[i] for i in d if weights[i] > 0)
+    most = min(largest * have[i] / weights[i] for i in d if weights[i] > 0)
+    bins = int(CELLS ** (1 / max(1, len(targets) - 1)))
+    cells = rows.groupBy(*[F.floor(p[i] * bins).cast("int").alias(f"c{i}") for i in d[:-1]]).agg(*[F.sum(t * p[i]).alias(f"s{i}") for i in d]).collect()
+    masses = np.array(sorted(tuple(r[f"s{i}"] or 0.0 for i in d) for r in cells))
+    budget, begin = _attainable(masses, weights, most, largest)
+    goal = budget * weights * most
     gram = np.array([[sums[f"m{min(i, j)}_{max(i, j)}"] for j in d] for i in d])
     metric = np.linalg.pinv(gram, rcond=1e-10)
     moves: list[list[float]] = []
@@ -146,7 +184,8 @@ def fit_rates(rows: DataFrame, targets: list[float], largest: float = 1.0) -> tu
 
     def state() -> Column:
         """``r`` after the moves so far and ``y``, where the next gradient is taken (with momentum)."""
-        first = F.struct(F.lit(start).alias("r"), F.lit(start).alias("y"))
+        drawn = F.greatest(F.lit(0.0), F.least(F.lit(float(largest)), sum((p[i] * F.lit(-float(u)) for i, u in enumerate(begin)), F.lit(start))))
+        first = F.struct(drawn.alias("r"), drawn.alias("y"))
         if not moves:
             return first
 
@@ -158,7 +197,7 @@ def fit_rates(rows: DataFrame, targets: list[float], largest: float = 1.0) -> tu
 
         return F.aggregate(F.lit(moves), first, step)
 
-    reached, best = have, None
+    reached, best = goal, None
     for _ in range(STEPS + 1):
         got = rows.select(state().alias("s"), "n_tokens", copies.alias("copies"), "p").select(*[F.sum(t * F.col(f"s.{x}") * p[i]).alias(f"{x}{i}") for i in d for x in "ry"]).first()
         reached, ahead = (np.array([got[f"{x}{i}"] or 0.0 for i in d]) for x in "ry")
