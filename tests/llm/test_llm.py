@@ -527,3 +527,114 @@ def test_pipeline_by_brute_force(spark):
     assert last == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in rows[4].items()}
     for f in frames[1:]:
         f.unpersist()
+
+
+def plain_marginals(crf, words):
+    """Word marginals of a chain by sums over all paths up to and from each word, in logarithms, one word at a time."""
+    scores = [crf.features[language_id.word_features(w)].sum(0) + (crf.known[crf.lexicon[w]] if w in crf.lexicon else 0) for w in words]
+    ahead, back = [crf.start + scores[0]], [np.zeros(len(crf.langs))]
+    for s in scores[1:]:
+        ahead.append(np.logaddexp.reduce(ahead[-1][:, None] + crf.trans, axis=0) + s)
+    for s in reversed(scores[1:]):
+        back.append(np.logaddexp.reduce(crf.trans + (s + back[-1])[None], axis=1))
+    both = np.array(ahead) + np.array(back[::-1])
+    return np.exp(both - np.logaddexp.reduce(both, axis=1, keepdims=True))
+
+
+def test_language_query_by_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    crf = language_id.train(language_id.training_rows(docs))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect() if len(r["text"] or "") < 1500}
+    out = {r["doc_id"]: r for r in queries.op3_language_id(spark, SF).collect()}
+    assert len(out) == docs.count()
+    for i, text in texts.items():
+        lines = [[w.lower() for w in re.findall(r"[^\W\d_]+", line)] for line in (text or "").split("\n")]
+        rows = [plain_marginals(crf, line) for line in lines if line]
+        if not rows:
+            assert (out[i]["lang_pred"], out[i]["score"]) == ("und", 0.0)
+            continue
+        mean = np.concatenate(rows).mean(0)
+        assert out[i]["lang_pred"] == crf.langs[mean.argmax()] and abs(out[i]["score"] - mean.max()) < 1e-6
+        assert abs(out[i]["fit"] - np.concatenate(rows).max(1).mean()) < 1e-6
+
+
+def test_mixing_query_meets_its_targets(spark):
+    sf = "/root/testdata/sf0.01"
+    out = queries.op4_source_mixing(spark, sf).toPandas()
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert (out["n_tokens"] == [len(re.findall(r"[^\x20\x09-\x0D]+", texts[i])) for i in out["doc_id"]]).all()
+    p = out[[f"p_{k}" for k in mixing.DOMAINS]].to_numpy()
+    assert np.allclose(p.sum(1), 1, atol=1e-5) and out["rate"].between(0, 1).all() and out["met"].all()
+    drawn = (out["rate"] * out["n_tokens"]).to_numpy()[:, None] * p
+    assert np.allclose(drawn.sum(0) / drawn.sum(), np.array(list(mixing.TARGETS.values())), rtol=0.01)
+    # No more can be drawn at the next larger share: the scarcest domain's tokens allow it, the others' targets do not.
+    labels = spark.read.parquet(f"{sf}/labels.parquet").toPandas().set_index("doc_id")
+    seen = out[out["doc_id"].isin(labels.index)]
+    toxic = labels.loc[seen["doc_id"], "toxic"].to_numpy() == 1
+    assert seen["p_toxic"][toxic].mean() > seen["p_toxic"][~toxic].mean()
+
+
+def test_posteriors_by_brute_force(spark):
+    """Naive Bayes summed word by word in plain Python."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    model = mixing.learn_domains(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    words = {r["word"]: [r[f"w{i}"] for i in range(3)] for r in model.words.collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for r in mixing.posteriors(docs, model).collect():
+        text = texts[r["doc_id"]]
+        held = set(re.split(r"[^a-zß-öø-ÿ]+", text.lower())) & set(words)
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", text))
+        bin_ = lambda x: min(7, int(x * 8))
+        shape = {"symbols": bin_(len(re.findall(r"[#*$%&|<>]", text)) / (2 * max(n, 1))), "exclaimed": bin_(text.count("!") / (2 * max(n, 1))), "upper": bin_(sum(c.isupper() for c in text) / max(len(text), 1)), "distinct": bin_(len(set(re.findall(r"[^\x20\x09-\x0D]+", text))) / max(n, 1))}
+        score = [model.prior[i] + (sum(model.measures[m][b][i] for m, b in shape.items()) + sum(words[w][i] for w in held)) / mixing.TEMPERATURE for i in range(3)]
+        want = np.exp(np.array(score) - max(score))
+        assert np.allclose(r["p"], want / want.sum(), atol=1e-9)
+
+
+def test_bpe_query_by_the_library(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.word_bpe_path())
+    library.no_truncation()
+    library.no_padding()
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in queries.op7_bpe(spark, SF).collect():
+        ids = library.encode(texts[r["doc_id"]], add_special_tokens=False).ids
+        said = library.decode(ids, skip_special_tokens=False)
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(said.encode()).hexdigest())
+
+
+def test_secret_query_by_brute_force(spark):
+    kinds = [("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), lambda m: len(m[2]) >= 6), ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20), ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24)]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    some = 0
+    for r in queries.op9_secret_scan(spark, "/root/testdata/sf0.01").collect():
+        found = sorted((m.start(), k, m.end(), name) for k, (name, pattern, held) in enumerate(kinds) for m in pattern.finditer(texts[r["doc_id"]]) if held(m))
+        base = ",".join(f"{name}:{a}:{b}" for a, _, b, name in found)
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(x[3] == name for x in found) for name, *_ in kinds]
+        assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest() and set(filter(None, base.split(","))) <= set(r["spans"].split(","))
+        some += len(found)
+    assert some > 10
+
+
+def test_pseudonym_query_links_equal_values(spark):
+    """Over all documents: what is not a found value stands, equal values have equal pseudonyms, and no two values share one."""
+    sf = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    made: dict = {}
+    for r in queries.op10_pii_pseudonyms(spark, sf).collect():
+        text, out, at, shift = texts[r["doc_id"]], r["text"], 0, 0
+        for span in filter(None, r["spans"].split(",")):
+            kind, a, b = span.split(":")
+            a, b = int(a), int(b)
+            assert out[at + shift : a + shift] == text[at:a]
+            end = re.match(r"[0-9.]+", out[a + shift :]).end() if kind == "ip" else b - a
+            if kind == "ip":
+                end = len(out[a + shift : a + shift + end].rstrip("."))
+            made.setdefault((kind, text[a:b]), set()).add(out[a + shift : a + shift + end])
+            at, shift = b, shift + end - (b - a)
+        assert out[at + shift :] == text[at:]
+    assert len(made) > 20 and all(len(x) == 1 for x in made.values())
+    flat = [(kind, *x) for (kind, _), x in made.items()]
+    assert len(set(flat)) == len(flat) and sum(kind_value[1] in made[kind_value] for kind_value in made) <= 1
