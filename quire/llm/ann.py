@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from .common import cut
 
 #: Sample that the trees are grown on, trees, smallest share of the sample in a leaf, deepest leaf.
-SAMPLE, TREES, LEAF_ROWS, DEPTH = 20_000, 48, 200, 14
+SAMPLE, TREES, LEAF_ROWS, DEPTH = 20_000, 16, 200, 14
 #: A query looks at leaves until they hold this many candidates, counted in each tree.
-SEARCH = 32_000
+SEARCH = 16_000
 _BLOCK = 2048
 #: Vectors of neighbouring leaves that the exact pass holds at a time, and queries that it scores at once.
 GROUP_BYTES, _ASKED = 16 << 20, 256
@@ -118,7 +118,13 @@ def grouped(sizes: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _matrix(batch: pa.RecordBatch, name: str, dim: int) -> np.ndarray:
-    return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    return batch.column(name).flatten().to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(-1, dim)
+
+
+def _rows(x: np.ndarray, kind: str) -> pa.ListArray:
+    """A matrix as lists, of single precision if that is what the table holds, so nothing is lost."""
+    values = x.astype(np.float32 if kind == "float" else float).reshape(-1)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(values))
 
 
 def _lifted(points: np.ndarray, largest: float) -> np.ndarray:
@@ -271,6 +277,7 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, search: int = SEARCH,
     the vectors of one group of leaves.
     """
     spark = vectors.sparkSession
+    kind = "float" if vectors.schema[column].dataType.simpleString() == "array<float>" else "double"
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(column).cast("array<double>").alias("v")).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("v", lambda x: x != 0)
     v = v.filter(fine).withColumn("dim", F.size("v"))
@@ -300,10 +307,12 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, search: int = SEARCH,
                 x = _matrix(part, "v", dim)
                 found = leaves_of(trees, _lifted(x, longest))
                 ids = part.column("p").to_numpy(zero_copy_only=False)
+                rows = _rows(x, kind)
                 for j in range(found.shape[1]):
-                    yield pa.RecordBatch.from_arrays([pa.array(found[:, j]), pa.array(np.ones(len(x), np.int32)), pa.array(ids), part.column("v")], ["leaf", "kind", "p", "v"])
+                    yield pa.RecordBatch.from_arrays([pa.array(found[:, j]), pa.array(np.ones(len(x), np.int32)), pa.array(ids), rows], ["leaf", "kind", "p", "v"])
 
-    dealt = points.select("p", "v").mapInArrow(deal, "leaf long, kind int, p long, v array<double>")
+    schema = f"leaf long, kind int, p long, v array<{kind}>"
+    dealt = points.select("p", "v").mapInArrow(deal, schema)
     sizes = np.zeros(n_leaves, np.int64)
     for r in dealt.groupBy("leaf").count().collect():  # at most as many rows as leaves
         sizes[r["leaf"]] = r["count"]
@@ -318,9 +327,9 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, search: int = SEARCH,
                 lifted = np.concatenate([x, np.zeros((len(x), 1))], 1)
                 leaves = [visited(trees, counts.value, y, search) for y in lifted]
                 index = np.repeat(np.arange(len(x)), [len(y) for y in leaves])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(leaves).astype(np.int64)), pa.array(np.zeros(len(index), np.int32)), pa.array(np.array(ids)[index]), part.column("v").take(pa.array(index))], ["leaf", "kind", "p", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(leaves).astype(np.int64)), pa.array(np.zeros(len(index), np.int32)), pa.array(np.array(ids)[index]), _rows(x, kind).take(pa.array(index))], ["leaf", "kind", "p", "v"])
 
-    asked = points.filter("asked").select("p", "v").mapInArrow(ask, "leaf long, kind int, p long, v array<double>")
+    asked = points.filter("asked").select("p", "v").mapInArrow(ask, schema)
 
     def score(batches):
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
