@@ -44,6 +44,25 @@ def restore_words(text: Column, rules: list[tuple[str, str]], boundary: str = "A
     return F.when(text.rlike(pattern), F.array_join(F.transform(pieces, lambda p: F.coalesce(table[p], p)), "")).otherwise(text)
 
 
+def restore_in_context(text: Column, rules: list[tuple[str, str, str, str]]) -> Column:
+    """Entries ``(old, new, left, right)`` in order, each where its context stands; an empty context is any."""
+    quote = lambda s: "\\Q" + s + "\\E"
+    look = lambda kind, s: f"(?{kind}{quote(s)})" if s else ""
+    return chain(text, [(look("<=", left) + quote(old) + look("=", right), new.replace("\\", "\\\\").replace("$", "\\$")) for old, new, left, right in rules])
+
+
+def context_counts(df: DataFrame, text: str, rules: list[tuple[str, str, str, str]]) -> DataFrame:
+    """``nth, n``: how often each entry applied, in the text that the entries before it left."""
+    out, counts = F.col(text), []
+    for k, rule in enumerate(rules):
+        old, _, left, right = rule
+        pattern = (f"(?<=\\Q{left}\\E)" if left else "") + f"\\Q{old}\\E" + (f"(?=\\Q{right}\\E)" if right else "")
+        counts.append(F.sum(F.regexp_count(out, F.lit(pattern))).cast("long").alias(f"n{k}"))
+        out = restore_in_context(out, [rule])
+    sums = df.agg(*counts)
+    return sums.select(F.explode(F.array(*[F.struct(F.lit(k).alias("nth"), F.col(f"n{k}").alias("n")) for k in range(len(rules))])).alias("x")).select("x.*")
+
+
 def restore_counts(df: DataFrame, text: str, rules: list[tuple[str, str]], boundary: str = "A-Za-zÀ-ɏ") -> DataFrame:
     """How often each entry applied: ``old, n``; entries are a parameter of a few hundred rows."""
     alternation = "|".join("\\Q" + old + "\\E" for old, _ in longest_first(rules))

@@ -424,3 +424,45 @@ def a8p(spark: SparkSession, d: str) -> DataFrame:
     runs = F.when(F.length("p") % 3 == 0, F.array(picture)).otherwise(F.array(run_of(F.lit("words before ")), picture, run_of(F.lit(" and after"))))
     items = p.select(F.col("page_id").alias("part"), "item_no", F.lit("p").alias("k"), runs.alias("runs"))
     return A.picture_use(items).select("img", "uses", F.array_contains("where", "alone").alias("alone"), F.array_contains("where", "inline").alias("inline"))
+
+
+@query("t8_run_edges", f"""
+WITH {_WORDS} SELECT doc_id, bi::INT AS bi, md5(string_agg(w || ',', '' ORDER BY i)) AS key FROM (SELECT doc_id, bi, i, regexp_replace(w, '[^A-Za-z]', '', 'g') AS w FROM words) WHERE w <> '' GROUP BY doc_id, bi""")
+def t8(spark: SparkSession, d: str) -> DataFrame:
+    words = F.filter(F.transform(F.split("line", " "), lambda w: F.regexp_replace(w, "[^A-Za-z]", "")), lambda w: w != "")
+    runs = F.flatten(F.transform(words, lambda w: F.array(run_of(F.concat(w, F.lit(" "))), run_of(F.lit(", "), b=1))))
+    b = blocks(spark, d).select("doc_id", "bi", runs.alias("runs")).filter(F.size("runs") > 0)
+    text = F.array_join(F.transform(R.fix_run_edges(F.col("runs")), lambda r: r["t"]), "")
+    return b.select("doc_id", "bi", F.md5(F.rtrim(F.regexp_replace(text, ", ", ",")).cast("binary")).alias("key"))
+
+
+_FORMS = ["[{}]", "（{}）", "〔{}〕", "註{}", "[校{}]", "{}.", "①", "x{}"]
+
+
+@query("t11_marker_forms", f"""
+WITH {BLOCKS}, m AS (SELECT doc_id, bi, (length(line) % 30)::VARCHAR AS n, bi % 8 AS k FROM blocks)
+SELECT doc_id, bi::INT AS bi, CASE WHEN k = 6 THEN '①' WHEN k = 7 THEN 'none' WHEN k = 4 THEN '[校' || n || ']' ELSE '[' || n || ']' END AS square,
+  CASE WHEN k = 6 THEN '①' WHEN k = 7 THEN 'none' WHEN k = 1 THEN '(' || n || ')' ELSE '[' || n || ']' END AS kept,
+  CASE WHEN k = 6 THEN '①' WHEN k = 7 THEN 'none' WHEN k IN (0, 4) THEN CASE WHEN n::INT BETWEEN 1 AND 20 THEN chr(9311 + n::INT) ELSE '(' || n || ')' END ELSE '[' || n || ']' END AS circled FROM m""")
+def t11(spark: SparkSession, d: str) -> DataFrame:
+    n = (F.length("line") % 30).cast("string")
+    form = F.get(F.lit(_FORMS), F.col("bi") % 8)
+    b = blocks(spark, d).select("doc_id", "bi", F.replace(form, F.lit("{}"), n).alias("m"))
+    named = {"square": "sq", "kept": "keep", "circled": "sqcirc"}
+    return b.select("doc_id", "bi", *[F.coalesce(X.marker_text(F.col("m"), f), F.lit("none")).alias(c) for c, f in named.items()])
+
+
+_CONTEXT = [("the", "ye", "in ", " "), ("on", "ON", "ti", ""), ("a", "ä", "", "n t")]
+
+
+@query("t7_restore_in_context", f"""
+WITH {BLOCKS} SELECT doc_id, bi::INT AS bi, md5(replace(replace(replace(line, 'in the ', 'in ye '), 'tion', 'tiON'), 'an t', 'än t')) AS key FROM blocks""")
+def t7c(spark: SparkSession, d: str) -> DataFrame:
+    return blocks(spark, d).select("doc_id", "bi", F.md5(R.restore_in_context(F.col("line"), _CONTEXT).cast("binary")).alias("key"))
+
+
+@query("t7_context_counts", f"""
+WITH {BLOCKS}, s AS (SELECT line AS a, replace(line, 'in the ', 'in ye ') AS b, replace(replace(line, 'in the ', 'in ye '), 'tion', 'tiON') AS c FROM blocks)
+SELECT 0 AS nth, sum(len(regexp_extract_all(a, 'in the ')))::BIGINT AS n FROM s UNION ALL SELECT 1, sum(len(regexp_extract_all(b, 'tion')))::BIGINT FROM s UNION ALL SELECT 2, sum(len(regexp_extract_all(c, 'an t')))::BIGINT FROM s""")
+def t7n(spark: SparkSession, d: str) -> DataFrame:
+    return R.context_counts(blocks(spark, d), "line", _CONTEXT)

@@ -134,11 +134,13 @@ def write_json(df: DataFrame, path: str, partition: list[str] | None = None) ->
 
 
 def markdown_table(df: DataFrame, order: list[str], most: int = 1000) -> str:
-    """K5: a report of up to ``most`` rows as a Markdown table."""
+    """K5: a report of up to ``most`` rows as a Markdown table; a last row tells how many more there are."""
     rows = df.orderBy(*order).limit(most).collect()
+    more = df.count() - most if len(rows) == most else 0
     cell = lambda x: "" if x is None else str(x).replace("|", "\\|").replace("\n", " ")
     head = ["| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
-    return "\n".join(head + ["| " + " | ".join(map(cell, r)) + " |" for r in rows]) + "\n"
+    last = [f"| … {more} more |" + " |" * (len(df.columns) - 1)] if more else []
+    return "\n".join(head + ["| " + " | ".join(map(cell, r)) + " |" for r in rows] + last) + "\n"
 
 
 def chunked(lines: DataFrame, keys: list[str], order: str, text: str, size: int = 14000) -> DataFrame:

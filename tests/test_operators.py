@@ -50,6 +50,7 @@ def test_sinks(spark, tmp_path):
     containers.write_csv(df, str(tmp_path / "c"))
     containers.write_json(df, str(tmp_path / "j"), ["n"])
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 2 and spark.read.json(str(tmp_path / "j")).count() == 2
+    assert containers.markdown_table(df, ["n"], 1).splitlines()[-1] == "| … 1 more | |"
     assert containers.markdown_table(df, ["n"]) == "| n | t |\n| --- | --- |\n| 1 | a\\|b |\n| 2 |  |\n"
 
 

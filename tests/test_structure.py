@@ -179,3 +179,12 @@ def test_lines_fit():
         text = "".join(rng.choice(list("ab ,.-/中文，（）　W1m"), rng.integers(1, 60)))
         for a, b, w in layout.greedy_lines(text, 5000):
             assert w <= 5000 or b == a + 1 or text[b - 1] == " "
+
+
+def test_anchors_by_level(spark):
+    refs = [(1, 0, 1, ["pure reason", "reason"], 3), (1, 0, 2, ["pure reason", "reason"], 9), (1, 1, 3, ["idea", "reason"], 5), (1, 2, 4, ["gone", "reason"], 7)]
+    refs = spark.createDataFrame(refs, "book int, line_no int, ref int, terms array<string>, page int")
+    occ = [(1, "pure reason", 100), (1, "pure reason", 900), (1, "idea", 10), (1, "idea", 20), (1, "reason", 700)]
+    out = index_model.anchors_by_level(refs, spark.createDataFrame(occ, "book int, term string, off int"), ["book"])
+    # The first two are used up by their own key; "idea" occurs twice for one page; "reason" occurs once, as lines 1 and 2 each list it.
+    assert sorted((r["term"], r["page"], r["off"]) for r in out.collect()) == [("pure reason", 3, 105), ("pure reason", 9, 905), ("reason", 5, 703), ("reason", 7, 703)]
