@@ -78,6 +78,20 @@ def contents(modules: DataFrame, heads: DataFrame, keys: list[str], most: int =
     return line.withColumn("__n", n).filter((F.col("rank") < 3) | (F.col("__n") <= most)).drop("__n")
 
 
+def contents_pruned(modules: DataFrame, heads: DataFrame, keys: list[str], most: int = 45) -> DataFrame:
+    """Modules and headings of as many ranks as give no more than ``most`` lines; modules stay in any case."""
+    line = modules.select(*keys, "ord", F.lit(-1).alias("bi"), F.lit(1).alias("rank"), "title").unionByName(heads.select(*keys, "ord", "bi", "rank", "title"))
+    upto = F.count("*").over(Window.partitionBy(*keys).orderBy("rank").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    return line.withColumn("__n", upto).filter((F.col("rank") == 1) | (F.col("__n") <= most)).drop("__n")
+
+
+def contents_titled(modules: DataFrame, heads: DataFrame, keys: list[str]) -> DataFrame:
+    """Modules and headings of rank 2 that are more than a number."""
+    bare = F.col("title").rlike("^[ 　]*(?:第?[一二三四五六七八九十百零〇0-9]+[部篇章节]?[、.．]?|[IVXLC]+[.．]?|[A-Za-z][.．]?)[ 　]*$")
+    named = heads.filter((F.col("rank") == 2) & ~bare)
+    return modules.select(*keys, "ord", F.lit(-1).alias("bi"), F.lit(1).alias("rank"), "title").unionByName(named.select(*keys, "ord", "bi", "rank", "title"))
+
+
 def assemble(units: DataFrame, keys: list[str], zones: DataFrame) -> DataFrame:
     """Modules in order with their zone (by range of parts, configured): front, body, back; bodies before back."""
     z = F.broadcast(zones.select(*keys, "zone", "lo", "hi"))  # a few rows a book

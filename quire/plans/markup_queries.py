@@ -111,8 +111,9 @@ def l5(spark: SparkSession, d: str) -> DataFrame:
 
 @query("q9_plan_checks")
 def q9(spark: SparkSession, d: str) -> DataFrame:
+    heading = blocks(spark, d).select("doc_id", "bi", (F.length("line") <= 46).alias("heading"))
     lines = _counted(spark, d)
-    return L.plan_checks(L.paginate(lines, ["doc_id"]), lines, ["doc_id"], 30).groupBy("fault").agg(F.count("*").alias("n"))
+    return L.plan_checks(L.paginate(lines, ["doc_id"]), lines.join(heading, ["doc_id", "bi"]), ["doc_id"], 30).groupBy("fault").agg(F.count("*").alias("n"))
 
 
 def line_records(spark: SparkSession, d: str) -> DataFrame:
