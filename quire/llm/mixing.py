@@ -21,15 +21,16 @@ from .common import WHITE_CLASS, cut, unused
 
 #: Domains, first match wins, as conditions over the labelled table, and the weights to reach.
 DOMAINS = {"toxic": "toxic = 1", "poor": "quality = 0", "good": "quality = 1"}
-TARGETS = {"toxic": 0.06, "poor": 0.07, "good": 0.87}
+TARGETS = {"toxic": 0.12, "poor": 0.06, "good": 0.82}
 #: The classifier learns from at most this many labelled documents and uses at most this many words.
 TRAIN_DOCS, WORDS = 4000, 500
 #: A word counts if this many training documents hold it, and this share of them.
 LEAST_DOCS, LEAST_SHARE = 8, 0.005
 #: Log-likelihoods are divided by this, as features are not independent.
 TEMPERATURE = 1.5
-#: Shares of the most tokens that the scarcest domain allows, the first of which the targets can be met with counts.
-BUDGETS = tuple(b / 100 for b in range(95, 4, -5))
+#: Shares of the most tokens that the scarcest domain allows: the first at which the targets can be met counts; if none is,
+#: as many documents are drawn as at the last number, and the rates are the best fit.
+BUDGETS, UNMET_BUDGET = tuple(b / 100 for b in range(95, 59, -5)), 0.9
 #: Cells of posteriors, at most, in which documents are summed to find it.
 CELLS = 4096
 STEPS, TOLERANCE = 25, 1e-4
@@ -128,7 +129,7 @@ def _attainable(masses: np.ndarray, weights: np.ndarray, most: float, largest: f
     """The first of ``BUDGETS`` at which cells' rates ``clip(start - p u)`` meet the targets, and ``u``: where the descent begins.
 
     Damped Newton steps on the cells' token masses, on the driver; if no share
-    can be met, the last one and no ``u``.
+    can be met, ``UNMET_BUDGET`` and no ``u``.
     """
     share, start = masses / np.maximum(masses.sum(1, keepdims=True), 1e-12), min(1.0, largest)
     for budget in BUDGETS:
@@ -147,7 +148,7 @@ def _attainable(masses: np.ndarray, weights: np.ndarray, most: float, largest: f
             while size > 1e-3 and np.linalg.norm(miss(u + size * step) / goal) > np.linalg.norm(off / goal):
                 size /= 2
             u = u + size * step
-    return BUDGETS[-1], np.zeros(len(weights))
+    return UNMET_BUDGET, np.zeros(len(weights))
 
 
 def fit_rates(rows: DataFrame, targets: list[float], largest: float = 1.0) -> tuple[Column, dict]:
