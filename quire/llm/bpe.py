@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import chunks, released, string_arrays
+from .common import chunks, released, small_batches, string_arrays
 
 #: Bytes under the rolling hash, and the bits that are zero at a border.
 WINDOW, BORDER_BITS = 16, 8
@@ -156,6 +156,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, full: bool = True) ->
     is kept; repeated rows each give a row; no rows give no rows; other columns
     are ignored.  One pass, no shuffle.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer_path))
     fields = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + ([("ids", pa.list_(pa.int64())), ("decoded", pa.string())] if full else [])
 

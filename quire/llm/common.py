@@ -91,6 +91,17 @@ def rows_of(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     return df.join(F.broadcast(keys) if few else keys, column, "left_semi")
 
 
+#: Rows that Spark hands to a Python worker at once, where texts are long: some 10 MB here.
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a batch of texts takes in the executor and the worker, unless the session says how many rows it has."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A function over batches that gives its memory back when its task ends.
 

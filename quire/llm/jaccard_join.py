@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import chunks, cut, narrow, released, rows_of, string_arrays
+from .common import chunks, cut, narrow, released, rows_of, small_batches, string_arrays
 from .graph import components
 
 #: N-grams that a task holds at a time.
@@ -436,6 +436,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (4
     """
     p, q = threshold
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     limit = min(2**64 - 1, int(FIRST * (q - p) / q * 2**64))
     made, classes, salt = _of_classes(docs, n, limit)

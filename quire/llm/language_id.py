@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import released, unused
+from .common import released, small_batches, unused
 
 #: The classifier learns from at most this many documents of each language, of these at most
 #: this many words of lines drawn over the whole text.  Prediction takes whole texts.
@@ -33,7 +33,7 @@ DRAWN_OVER = 200_000
 BUCKETS, LEXICON_WORDS, LANGS = 1 << 16, 4000, 64
 EPOCHS, BATCH, RATE, DECAY = 6, 512, 0.25, 1e-5
 #: Words whose features a worker keeps.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 100_000
 #: Cells (words with padding) that forward-backward works on at a time.
 CELLS = 60_000
 #: A word is a run of letters with their marks; numerals of any kind are none.
@@ -302,6 +302,7 @@ def labelled(docs: DataFrame, crf: Crf | None = None, carry: list[str] | None =
     from ``docs`` (doc_id, text, lang).  Columns of these names are replaced;
     the other cases are those of ``identify``.
     """
+    small_batches(docs.sparkSession)
     crf = train(training_rows(docs)) if crf is None else crf
     shared = docs.sparkSession.sparkContext.broadcast(crf)  # fixed size: BUCKETS and LEXICON_WORDS x languages
     carry = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "fit")] if carry is None else carry

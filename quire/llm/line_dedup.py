@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, cut, released, string_arrays, unused
+from .common import WHITE, cut, released, small_batches, string_arrays, unused
 
 _WHITE = WHITE.encode()
 
@@ -67,6 +67,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3) ->
     Lines are counted over distinct (key, doc_id), so a key that most documents
     hold is summed before its shuffle; the join back is left to AQE to split.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop("n_lines", "n_dropped")
     th, parts, gone, doc, at = (unused(docs, x) for x in ("th", "lines", "gone", "doc", "at"))
     keyed = docs.withColumn(th, F.xxhash64("text"))
