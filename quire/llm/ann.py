@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from .common import cut
 
 #: Sample that the trees are grown on, trees, smallest share of the sample in a leaf, deepest leaf.
-SAMPLE, TREES, LEAF_ROWS, DEPTH = 20_000, 16, 200, 14
+SAMPLE, TREES, LEAF_ROWS, DEPTH = 20_000, 48, 200, 14
 #: A query looks at leaves until they hold this many candidates, counted in each tree.
-SEARCH = 16_000
+SEARCH = 32_000
 _BLOCK = 2048
 #: Vectors of neighbouring leaves that the exact pass holds at a time, and queries that it scores at once.
 GROUP_BYTES, _ASKED = 16 << 20, 256
