@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_extract, jaccard_join, language_id, line_dedup, mixing, pii, pipeline, quality, secret_scan
+from . import ann, bpe, collocations, divergence, html_extract, jaccard_join, language_id, licenses, line_dedup, mixing, pii, pipeline, quality, secret_scan
 from .common import read, sha256_hex, word_bpe_path
 
 
@@ -56,6 +56,18 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise_documents(read(spark, sf_dir, "documents"), key.encode() if key else secrets.token_bytes(32))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(read(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -67,5 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
+    "op11_license_scan": op11_license_scan,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline.run,
 }
