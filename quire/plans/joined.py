@@ -173,6 +173,50 @@ def x3(spark: SparkSession, d: str) -> DataFrame:
     return R.usage(docs, R.example_rules(spark))
 
 
+#: Rules of a whole book: pairs of syllables, a third of them for all parts, a third for a range and a third for two ranges.
+_SYLLABLES = "ing tion er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch ll be".split()
+
+
+def book_rules(spark: SparkSession) -> DataFrame:
+    """2,025 rules with part ranges; what a rule puts in may hold the old text of later ones."""
+    rows = []
+    for i, a in enumerate(_SYLLABLES):
+        for j, b in enumerate(_SYLLABLES):
+            no = i * len(_SYLLABLES) + j
+            spec = ["*", f"{no % 40 * 20}-{no % 40 * 20 + 300}", f"{no % 30 * 10}-{no % 30 * 10 + 100},{no % 50 * 15}"][no % 3]
+            rows.append((no, spec, a + b, f"{b}-{a[0]}", "spelling"))
+    return spark.createDataFrame(rows, R.RULES)
+
+
+#: Each text through all rules in order; after a mark, which rules applied and how often.
+_WALKED = f"""syllables AS (SELECT unnest({_SYLLABLES}) AS s, generate_subscripts({_SYLLABLES}, 1) - 1 AS i),
+numbered AS (SELECT a.i * 45 + b.i AS no, a.s || b.s AS old, b.s || '-' || left(a.s, 1) AS new FROM syllables a, syllables b),
+book AS (
+  SELECT list(concat_ws('|', no, old, new, CASE no % 3 WHEN 0 THEN -4611686018427387904 WHEN 1 THEN no % 40 * 20 ELSE no % 30 * 10 END,
+    CASE no % 3 WHEN 0 THEN 4611686018427387904 WHEN 1 THEN no % 40 * 20 + 300 ELSE no % 30 * 10 + 100 END, CASE no % 3 WHEN 2 THEN no % 50 * 15 ELSE -1 END) ORDER BY no) AS rules FROM numbered),
+walked AS (
+  SELECT doc_id, list_reduce(list_prepend(coalesce(text, '') || chr(1), rules), lambda x, r:
+    CASE WHEN (doc_id BETWEEN split_part(r, '|', 4)::BIGINT AND split_part(r, '|', 5)::BIGINT OR doc_id = split_part(r, '|', 6)::BIGINT) AND contains(split_part(x, chr(1), 1), split_part(r, '|', 2))
+      THEN replace(split_part(x, chr(1), 1), split_part(r, '|', 2), split_part(r, '|', 3)) || chr(1) || split_part(x, chr(1), 2) || split_part(r, '|', 1) || ':' ||
+        ((length(split_part(x, chr(1), 1)) - length(replace(split_part(x, chr(1), 1), split_part(r, '|', 2), ''))) // length(split_part(r, '|', 2))) || ';'
+      ELSE x END) AS x FROM documents, book)"""
+
+
+@query("x2_rule_book", f"""
+WITH {_WALKED} SELECT doc_id, md5(split_part(x, chr(1), 1)) AS fixed, (length(split_part(x, chr(1), 2)) - length(replace(split_part(x, chr(1), 2), ';', '')))::BIGINT AS n_rules FROM walked""")
+def x2b(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("part"), F.coalesce("text", F.lit("")).alias("text"))
+    fixed = R.apply_literal(docs, book_rules(spark), hits="hits")
+    return fixed.select(F.col("part").alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("fixed"), F.size("hits").cast("long").alias("n_rules"))
+
+
+@query("x3_rule_book", f"""
+WITH {_WALKED}, hits AS (SELECT split_part(one, ':', 1)::INT AS rule_no, sum(split_part(one, ':', 2)::BIGINT) AS hits FROM (SELECT unnest(string_split(split_part(x, chr(1), 2), ';')) AS one FROM walked) WHERE one <> '' GROUP BY ALL)
+SELECT no::INT AS rule_no, coalesce(hits, 0)::BIGINT AS hits FROM numbered LEFT JOIN hits ON no = rule_no""")
+def x3b(spark: SparkSession, d: str) -> DataFrame:
+    return R.usage(table(spark, d, "documents").select(F.col("doc_id").alias("part"), "text"), book_rules(spark))
+
+
 @query("x7_correction_categories", """
 SELECT category, count(*) AS n FROM (SELECT CASE WHEN c <> '' THEN split_part(c, '/', 1) WHEN length(source || ': ' || lang) <= 8 THEN source || ': ' || lang ELSE 'other' END AS category, source, lang
   FROM (SELECT *, regexp_extract(source || ': ' || lang, '^([^：:(]{1,8})[：:(]', 1) AS c FROM documents)) GROUP BY category""")

@@ -188,3 +188,51 @@ def test_anchors_by_level(spark):
     out = index_model.anchors_by_level(refs, spark.createDataFrame(occ, "book int, term string, off int"), ["book"])
     # The first two are used up by their own key; "idea" occurs twice for one page; "reason" occurs once, as lines 1 and 2 each list it.
     assert sorted((r["term"], r["page"], r["off"]) for r in out.collect()) == [("pure reason", 3, 105), ("pure reason", 9, 905), ("reason", 5, 703), ("reason", 7, 703)]
+
+
+def test_rules_in_order_against_plain_replacement(spark):
+    """Thousands of rules with part ranges, chains and overlaps, over texts and over runs that cut them anywhere."""
+    import random
+
+    rnd = random.Random(11)
+    rows = []
+    for k in range(3000):
+        old, new = ("".join(rnd.choice("abcd ") for _ in range(n)) for n in rnd.choice([(0, 2), (3, 3), (3, 2), (4, 4), (4, 5), (5, 3), (6, 0)]))
+        rows.append((k, rnd.choice(["*", f"{rnd.randrange(9)}", f"{rnd.randrange(5)}-{rnd.randrange(5, 9)}", f"1,{rnd.randrange(9)}-7"]), old, new, ""))
+    rules_df = spark.createDataFrame(rows, rules.RULES)
+    texts = [(i % 9 if i % 10 else None, None if i == 7 else "".join(rnd.choice("abcd  ") for _ in range(rnd.randrange(60)))) for i in range(60)]
+
+    def plain(part, text):
+        hits = {}
+        for k, spec, old, new, _ in rows:
+            ranges = [tuple(map(int, x.split("-"))) if "-" in x else (int(x), int(x)) for x in spec.split(",") if x != "*"]
+            if old and (not ranges or (part is not None and any(a <= part <= b for a, b in ranges))) and old in text:
+                hits[k] = text.count(old)
+                text = text.replace(old, new)
+        return text, hits
+
+    df = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "n int, part long, text string")
+    got = {r["n"]: (r["text"], {h["rule_no"]: h["hits"] for h in r["h"]}) for r in rules.apply_literal(df, rules_df, hits="h").collect()}
+    want = {i: (None, {}) if t is None else plain(p, t) for i, (p, t) in enumerate(texts)}
+    assert got == want
+    total = {}
+    for _, hits in want.values():
+        for k, n in hits.items():
+            total[k] = total.get(k, 0) + n
+    assert {r["rule_no"]: r["hits"] for r in rules.usage(df, rules_df).collect()} == {k: total.get(k, 0) for k in range(3000)}
+    book = rules.RuleBook.of_rows([dict(zip(("rule_no", "spec", "old", "new"), r)) for r in rows])
+    for part, text in texts:
+        if text:
+            cuts = sorted(rnd.sample(range(len(text) + 1), min(4, len(text))))
+            runs = [{"t": text[a:b], "b": i} for i, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(text)]))]
+            assert "".join(r["t"] for r in book.fix_runs(runs, part)[0]) == plain(part, text)[0]
+
+
+def test_rules_take_no_longer_the_more_there_are():
+    """Rules that a text has no use for are not tried."""
+    book = rules.RuleBook([(k, f"old{k}x", "new", [(0, 9)]) for k in range(50_000)])
+    tried = []
+    found = book.found
+    book.found = lambda text, k: tried.append(k) or found(text, k)
+    assert book.fix("old7x and old40000x, old7x", 3) == ("new and new, new", {7: 2, 40000: 1}) and tried == [7, 40000]
+    assert book.fix("old7x", 10) == ("old7x", {})
