@@ -153,3 +153,45 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES):
         b = min(max(b, a + 1), n)
         yield a, b
         a = b
+
+
+_BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """64-bit numbers whose bits all depend on all bits of ``h``."""
+    h = (h ^ (h >> np.uint64(31))) * _MIX
+    return h ^ (h >> np.uint64(29))
+
+
+@functools.lru_cache(1)
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, n of each."""
+    out = [np.full(n, base, np.uint64) for base in (_BASE, pow(_BASE, -1, 1 << 64))]
+    for x in out:
+        x[0] = 1
+        np.cumprod(x, out=x)
+    return out
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of ``data``: a polynomial in its bytes, as a difference of running sums moved to the span's own place."""
+    powers, back = _powers(1 << len(data).bit_length())
+    powers = powers[: len(data) + 1]
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data + np.uint64(1)) * powers[:-1], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * back[starts])
+
+
+def joined_bytes(data: np.ndarray, offsets: np.ndarray, mark: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts with one byte ``mark`` after each, and where each ends (its mark)."""
+    n = len(offsets) - 1
+    out = np.full(len(data) + n, mark, np.uint8)
+    out[np.arange(len(data)) + np.repeat(np.arange(n), np.diff(offsets))] = data
+    return out, offsets[1:] + np.arange(n)
+
+
+def spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of true values begin and end."""
+    edges = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
+    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)

@@ -2,55 +2,90 @@
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, released, small_batches
+from .common import chunks, cut, joined_bytes, mixed, released, small_batches, span_hashes, spans, string_arrays
 
-#: A term in UTF-8: a run of letters; every character outside ASCII counts as one.
-_TERM = re.compile(rb"[a-z\x80-\xff]+")
+#: Bytes of a term: small letters, and those of every character outside ASCII; and the byte with A-Z lower-cased.
+_TERM, _LOWER = np.zeros(256, bool), np.arange(256, dtype=np.uint8)
+_TERM[97:123] = _TERM[128:] = True
+_LOWER[65:91] += 32
 #: Ways that the vocabulary of a language is dealt in, where its groups meet it.
 SALTS = 64
 #: Counts that a task holds before it hands them on.
-HELD_COUNTS = 500_000
+HELD_COUNTS = 2_000_000
+_TEXT, _LANG, _SOURCE = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
+
+
+class _Held:
+    """Counts by language, source and term of a task's texts; a 64-bit hash stands for a term."""
+
+    def __init__(self):
+        self.codes: dict[str, int] = defaultdict(lambda: len(self.codes))
+        self.names: dict[int, bytes] = {}
+        self.rows: list[list[np.ndarray]] = []
+        self.size = 0
+
+    def add(self, data: np.ndarray, offsets: np.ndarray, langs: np.ndarray, sources: np.ndarray) -> None:
+        marked, text_ends = joined_bytes(data, offsets, 0)
+        lowered = _LOWER[marked]
+        starts, ends = spans(_TERM[lowered])
+        if not len(starts):
+            return
+        term, text = span_hashes(lowered, starts, ends), np.searchsorted(text_ends, starts, side="right")
+        _, first, n = np.unique(mixed(term + text.astype(np.uint64) * _TEXT), return_index=True, return_counts=True)
+        row = _summed([term[first], langs[text[first]], sources[text[first]], n, np.ones(len(n), np.int64), first])
+        raw, names = lowered.tobytes(), self.names
+        for h, a, b in zip(row[0].tolist(), starts[row[5]].tolist(), ends[row[5]].tolist()):
+            if h not in names:
+                names[h] = raw[a:b]
+        self.rows.append(row[:5])
+        self.size += len(row[0])
+
+    def handed_on(self) -> Iterator[pa.RecordBatch]:
+        """A row for each language and term: its documents, and its occurrences in each source."""
+        if not self.rows:
+            return
+        term, lang, source, n, d = _summed([np.concatenate(x) for x in zip(*self.rows)])
+        order = np.argsort(mixed(term + lang * _LANG), kind="stable")
+        term, lang, source, n, d = (x[order] for x in (term, lang, source, n, d))
+        begins = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (lang[1:] != lang[:-1])]))
+        known = pa.array(list(self.codes), pa.string())
+        named = lambda codes: known.take(pa.array(codes.astype(np.int64)))
+        parts = pa.StructArray.from_arrays([named(source), pa.array(n)], ["source", "n"])
+        offsets = pa.array(np.append(begins, len(n)).astype(np.int32))
+        terms = pa.array([self.names[h] for h in term[begins].tolist()], pa.binary()).cast(pa.string())
+        yield pa.RecordBatch.from_arrays([named(lang[begins]), terms, pa.array(np.add.reduceat(d, begins)), pa.ListArray.from_arrays(offsets, parts)], ["lang", "term", "in_docs", "parts"])
+        self.__init__()
+
+
+def _summed(row: list[np.ndarray]) -> list[np.ndarray]:
+    """Rows (term, language, source, occurrences, documents, ...) with one for each of the first three; of the rest the first stays."""
+    key = mixed(row[0] + row[1] * _LANG + row[2] * _SOURCE)
+    order = np.argsort(key, kind="stable")
+    begins = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
+    first = order[begins]
+    sums = [np.add.reduceat(x[order], begins) for x in row[3:5]]
+    return [*(x[first] for x in row[:3]), *sums, *(x[first] for x in row[5:])]
 
 
 def _task_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches of some texts, grouped by language and term: documents, and occurrences in each source."""
-    in_docs: dict[str, Counter] = defaultdict(Counter)
-    occurs: dict[tuple[str, str], Counter] = defaultdict(Counter)
+    """Matches of a task's texts, counted."""
+    held = _Held()
     for batch in batches:
-        for lang, source, text in zip(*[batch.column(c).to_pylist() for c in ("lang", "source", "text")]):
-            terms = _TERM.findall(text.encode().lower())
-            occurs[lang, source].update(terms)
-            in_docs[lang].update(set(terms))
-        if sum(map(len, occurs.values())) > HELD_COUNTS:
-            yield from _rows(in_docs, occurs)
-            in_docs.clear()
-            occurs.clear()
-    yield from _rows(in_docs, occurs)
-
-
-def _rows(in_docs: dict[str, Counter], occurs: dict[tuple[str, str], Counter]) -> Iterator[pa.RecordBatch]:
-    for lang, docs in in_docs.items():
-        by_term: dict[bytes, list[tuple[str, int]]] = {t: [] for t in docs}
-        for source, counter in ((s, c) for (x, s), c in occurs.items() if x == lang):
-            for term, n in counter.items():
-                by_term[term].append((source, n))
-        ends, sources, ns = [0], [], []
-        for parts in by_term.values():
-            for source, n in parts:
-                sources.append(source)
-                ns.append(n)
-            ends.append(len(ns))
-        entries = pa.StructArray.from_arrays([pa.array(sources, pa.string()), pa.array(ns, pa.int64())], ["source", "n"])
-        columns = [pa.array([lang] * len(docs), pa.string()), pa.array(list(by_term), pa.binary()).cast(pa.string()), pa.array(list(docs.values()), pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)]
-        yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "in_docs", "parts"])
+        data, offsets = string_arrays(batch.column("text"))
+        langs, sources = (np.array([held.codes[x] for x in batch.column(c).to_pylist()], np.uint64) for c in ("lang", "source"))
+        for a, b in chunks(offsets):
+            held.add(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], langs[a:b], sources[a:b])
+        if held.size > HELD_COUNTS:
+            yield from held.handed_on()
+    yield from held.handed_on()
 
 
 def kept_counts(docs: DataFrame, least_docs: int) -> DataFrame:
@@ -90,7 +125,8 @@ def source_divergence(docs: DataFrame, least_docs: int = 10, most_terms: int = 1
     and with no kept term at all their value is 0; a lone source has no pairs;
     no rows give no rows; other columns are ignored.
 
-    Matches are counted in the task that finds them; the shuffle carries these counts.  The groups meet
+    Matches are counted in the task that finds them, where a 64-bit hash stands
+    for a term; the shuffle carries these counts, with the terms themselves.  The groups meet
     the vocabulary of their language in ``SALTS`` parts, so one language that
     holds most documents is spread; the pairs are summed on the map side.
     """
