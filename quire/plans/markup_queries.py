@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import audit as Q
 from ..operators import index_model as I
+from ..operators import page_maps as PM
 from ..operators import layout as L
 from ..registry import query
 from ..sources import containers as K
@@ -156,4 +157,4 @@ def _occurrences(spark: SparkSession, d: str) -> DataFrame:
 def i14(spark: SparkSession, d: str) -> DataFrame:
     occ = _occurrences(spark, d)
     found = I.collect_anchors(occ.select("doc_id", "term", F.floor(F.col("off") / 40).cast("long").alias("page")), occ, ["doc_id"])
-    return I.leave_one_out(found.withColumn("off", F.col("off") * 18), ["doc_id"])
+    return PM.leave_one_out(found.withColumn("off", F.col("off") * 18), ["doc_id"])

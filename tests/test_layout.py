@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quire.operators import index_model as I
+from quire.operators import page_maps as PM
 from quire.operators import layout as L
 from quire.operators import rules as R
 from quire.sources import markup as M
@@ -81,10 +82,49 @@ def test_prediction_is_exact_on_a_line():
     import numpy as np
 
     off = np.arange(0, 20000, 700.0)
-    assert abs(I.predict(off, off / 700, 700.0, 5000.0) - 5000 / 700) < 1e-6
-    at = I.place_of(off, off / 700, 700.0, 20000, 10.0)
-    assert abs(at - 7000) < 1
-    assert I.plausible_chain(np.array([0, 700, 1400, 2100]), np.array([1, 2, 90, 4]), np.zeros(4)) == [0, 1, 3]
+    module = PM.Map(off, off / 700, 700.0, 20000)
+    assert abs(module.pages(np.array([5000.0])) - 5000 / 700) < 1e-6
+    assert abs(module.places(np.array([10.0])) - 7000) < 1 and np.isnan(module.places(np.array([90.0])))
+    assert PM.longest_chain(np.array([0, 700, 1400, 2100]), np.array([1, 2, 90, 4]), np.zeros(4)) == [0, 1, 3]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 6), st.integers(0, 2)), max_size=9))
+def test_longest_chain_against_all_chains(points):
+    import numpy as np
+
+    points = sorted((a * 200, p, m) for a, p, m in points)
+    follows = lambda x, y: 0 <= y[1] - x[1] <= (y[0] - x[0]) / 300 + 1 + 8 * (x[2] != y[2]) and y[1] - x[1] >= (y[0] - x[0]) / 1300 - 1
+    chains = [c for n in range(len(points) + 1) for c in itertools.combinations(points, n) if all(map(follows, c, c[1:]))]
+    got = PM.longest_chain(*(np.array(x, float) for x in zip(*points))) if points else []
+    assert len(got) == max(map(len, chains)) and all(follows(points[a], points[b]) for a, b in zip(got, got[1:]))
+
+
+def test_local_pages_against_one_place_at_a_time():
+    """Lines by numpy.polyfit through the ten nearest anchors, point by point."""
+    import numpy as np
+
+    rnd = np.random.default_rng(5)
+    for n in (2, 3, 8, 40):
+        x = np.sort(rnd.integers(0, 30_000, n).astype(float))
+        y = x / 650 + rnd.normal(0, 0.4, n) + (rnd.random(n) < 0.1) * 9
+        module = PM.Map(x, y, 650.0, 30_000)
+        for at in (0.0, 29_000.0, float(x[0]), 12_345.0):
+            pick = np.argsort(np.abs(x - at), kind="stable")[:10]
+            px, py = x[pick], y[pick]
+            far = np.abs(px - at)
+            w = (1 - (far / (far.max() + 1)) ** 3) ** 3
+            for _ in range(3):
+                b, a = np.polyfit(px - at, py, 1, w=np.sqrt(w))
+                miss = np.abs(py - a - b * (px - at))
+                w = w * np.maximum(0, 1 - (miss / (6 * np.sort(miss[w > 0])[(w > 0).sum() // 2] + 0.05)) ** 2) ** 2
+            b, a = np.polyfit(px - at, py, 1, w=np.sqrt(w))
+            if 0.2 / 650 < b < 5 / 650:
+                share = min(1.0, (px[w > 0].max() - px[w > 0].min()) / (8 * 650))
+                want = (w * py).sum() / w.sum() + (share * b + (1 - share) / 650) * (at - (w * px).sum() / w.sum())
+            else:
+                want = py[0] + (at - px[0]) / 650
+            assert module.pages(np.array([at]))[0] == pytest.approx(want, abs=1e-6)
 
 
 def test_rules_over_runs():

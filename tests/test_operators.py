@@ -7,7 +7,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from quire.model import RUN
-from quire.operators import assembly, audit, classify, index_model, joins, layout, lint, repair, rules, sequence
+from quire.operators import assembly, audit, classify, index_model, joins, layout, lint, page_maps, repair, rules, sequence
 from quire.sources import containers, markup
 from quire.streaming import incremental
 
@@ -87,7 +87,7 @@ def test_index_resolution(spark):
     anchors = spark.createDataFrame([(1, k * 700, k) for k in range(30)], "book int, off int, page int")
     occurrences = spark.createDataFrame([(1, "t", 7100), (1, "t", 14300)], "book int, term string, off int")
     refs = spark.createDataFrame([(1, 1, "t", 10, 10), (1, 2, "none", 5, 5), (1, 3, "t", 500, 500)], "book int, ref int, term string, low int, high int")
-    out = {r["ref"]: r for r in index_model.resolve(refs, anchors, occurrences, ["book"]).collect()}
+    out = {r["ref"]: r for r in page_maps.resolve(refs, anchors, occurrences, ["book"]).collect()}
     assert (out[1]["off"], out[1]["method"]) == (7100, "term") and out[2]["method"] == "interp" and abs(out[2]["off"] - 5 * 700) < 5 and out[3]["method"] == "none"
     labels = spark.createDataFrame([(1, 1, "x", "x"), (1, 2, "x", "x"), (1, 3, "x", "y")], "book int, ref int, label_low string, label_high string")
     lines = spark.createDataFrame([(1, 1, 0), (1, 2, 0), (1, 3, 0)], "book int, ref int, line_no int")

@@ -1,13 +1,12 @@
 """Literal fixtures of structural corrections, notes and their ways back, and places in plans."""
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.model import RUN
-from quire.operators import assembly, index_model, layout, lint, rules
+from quire.operators import assembly, index_model, layout, lint, page_maps, rules
 from quire.operators import structure as S
 from quire.sources import markup as M
 
@@ -120,20 +119,19 @@ def test_page_of(spark):
     assert sorted((r["bi"], r["at"], r["page_no"]) for r in S.page_of(asked, lines, plan, ["doc"]).collect()) == [(0, 3, 0), (0, 10, 1), (1, 5, 1)]
 
 
-def test_maps_of_modules():
-    pages = [(1, k * 700.0, k) for k in range(20)] + [(2, k * 700.0, 20 + k) for k in range(1)] + [(3, k * 700.0, 40 + k) for k in range(10)]
-    maps = index_model.build_maps([(1, 14_000.0), (2, 14_000.0), (3, 7_000.0)], pd.DataFrame(pages, columns=["module", "off", "page"]))
-    assert maps[2].line and len(maps[2].off) < 2 and maps[2].usable
-    assert maps[1].page_at(7_000.0) == pytest.approx(10.5, abs=0.05) and maps[1].page_at(7_000.0, 10) == pytest.approx(10.5, abs=0.05)
-    assert index_model.interpolated(maps, 5.5)[0] == 1 and index_model.interpolated(maps, 45.5) == (3, pytest.approx(3_500.0, abs=5))
-    assert index_model.interpolated(maps, 30.5)[0] == 2 and index_model.interpolated(maps, 900.0) is None
-    module, a, b = index_model.resolved_range(maps, 3, 5)
-    assert module == 1 and a == pytest.approx(2.55 * 700, abs=5) and b == pytest.approx(5.45 * 700, abs=5)
-    # The rarest key first; of a key, the occurrence nearest to the page; a key found once where no map is.
-    assert index_model.resolved_single(maps, [[(1, 7_000.0), (1, 100.0)], [(3, 1_400.0)]], 42) == (3, 1_400.0, "term1")
-    assert index_model.resolved_single(maps, [[(1, 7_000.0), (1, 100.0)]], 10) == (1, 7_000.0, "term")
-    bare = index_model.build_maps([(1, 100.0)], pd.DataFrame([], columns=["module", "off", "page"]).astype({"module": int, "off": float, "page": int}))
-    assert index_model.resolved_single(bare, [[(1, 5.0)]], 3) == (1, 5.0, "term1") and index_model.resolved_single(bare, [[(1, 5.0), (1, 9.0)]], 3) is None
+def test_maps_of_modules(spark):
+    """Three modules, the second with one anchor: the series' line; places of pages; terms by rarity; a term where no map is."""
+    pages = [(1, 1, k * 700, k) for k in range(20)] + [(1, 2, 0, 20)] + [(1, 3, k * 700, 40 + k) for k in range(10)]
+    anchors = spark.createDataFrame(pages, "book int, module int, off int, page int")
+    modules = spark.createDataFrame([(1, 1, 14_000), (1, 2, 14_000), (1, 3, 7_000), (2, 1, 100)], "book int, module int, length int")
+    occurrences = spark.createDataFrame([(1, 1, "t", 7_000), (1, 1, "t", 100), (1, 3, "u", 1_400), (2, 1, "once", 5), (2, 1, "twice", 5), (2, 1, "twice", 9)], "book int, module int, term string, off int")
+    refs = [(1, 1, ["x"], 5, 5), (1, 2, ["x"], 45, 45), (1, 3, ["x"], 30, 30), (1, 4, ["x"], 900, 900), (1, 5, ["t"], 3, 5), (1, 6, ["t", "u"], 42, 42), (1, 7, ["t"], 10, 10), (2, 8, ["once"], 3, 3), (2, 9, ["twice"], 3, 3), (2, 10, None, 3, 3)]
+    out = page_maps.resolve(spark.createDataFrame(refs, "book int, ref int, terms array<string>, low int, high int"), anchors, occurrences, ["book"], modules)
+    got = {r["ref"]: (r["module"], r["off"] and round(r["off"]), r["method"]) for r in out.collect()}
+    assert got[1][0::2] == (1, "interp") and got[2] == (3, 3_500, "interp") and got[3][0::2] == (2, "interp")
+    assert {k: got[k] for k in (4, 6, 7, 8, 9, 10)} == {4: (None, None, "none"), 6: (3, 1_400, "term1"), 7: (1, 7_000, "term"), 8: (1, 5, "term1"), 9: (None, None, "none"), 10: (None, None, "none")}
+    ranged = next(r for r in out.collect() if r["ref"] == 5)
+    assert (ranged["module"], ranged["method"]) == (1, "range") and ranged["off"] == pytest.approx(2.55 * 700, abs=5) and ranged["upto"] == pytest.approx(5.45 * 700, abs=5)
 
 
 def test_resolution_by_modules(spark):
@@ -141,7 +139,7 @@ def test_resolution_by_modules(spark):
     modules = spark.createDataFrame([(1, 1, 14_000), (1, 2, 14_000)], "book int, module int, length int")
     occurrences = spark.createDataFrame([(1, 1, "t", 7_100), (1, 2, "t", 7_100), (1, 2, "rare", 350)], "book int, module int, term string, off int")
     refs = spark.createDataFrame([(1, 1, ["t", "rare"], 30, 30, False), (1, 2, ["rare", "t"], 20, 20, False), (1, 3, ["none"], 25, 27, False), (1, 4, ["t"], 5, 5, True)], "book int, ref int, terms array<string>, low int, high int, skip boolean")
-    out = {r["ref"]: (r["module"], r["method"]) for r in index_model.resolve(refs, anchors, occurrences, ["book"], modules).collect()}
+    out = {r["ref"]: (r["module"], r["method"]) for r in page_maps.resolve(refs, anchors, occurrences, ["book"], modules).collect()}
     assert out == {1: (2, "term"), 2: (2, "term1"), 3: (2, "range"), 4: (None, "skip")}
 
 
