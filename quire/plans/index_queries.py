@@ -7,9 +7,10 @@ import itertools
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators import index_model as IM
 from ..operators import page_maps as PM
 from ..registry import query
-from ..sources.tables import table
+from ..sources.tables import BLOCKS, blocks, table
 
 #: Each document is a series of modules of 2,000 words; a word is 18 places wide, and a page 620 to 740 places. Two blank
 #: pages stand between modules. The first word of ten letters or more on a page ties it to its place.
@@ -151,3 +152,34 @@ def i9p(spark: SparkSession, d: str) -> DataFrame:
     modules = words.groupBy("doc_id", "module").agg((F.count("*") * 18.0).alias("length"))
     out = PM.resolve(refs, tied.select("doc_id", "module", "off", "page"), occurrences, ["doc_id"], modules)
     return out.select("doc_id", "ref", F.coalesce("module", F.lit(-1)).cast("long").alias("module"), *[F.coalesce(F.round(c, 1), F.lit(-1.0)).alias(c) for c in ("off", "upto")], "method")
+
+
+#: An index stands before each document's text, a line for each block with a label in the end, as module 0; pages hold 300 characters.
+_INDEX = f"""
+{BLOCKS}, pages AS (
+  SELECT doc_id, bi, regexp_extract(line, '^[^ ]*') || ' ' AS head, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY bi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 300 AS page FROM blocks),
+size0 AS (SELECT doc_id, bi, head, page, length(head) + 2 AS n, (sum(length(head) + 2) OVER w - length(head) - 2) // 300 AS spot FROM pages WINDOW w AS (PARTITION BY doc_id ORDER BY bi)), n0 AS (SELECT doc_id, max(spot) + 1 AS base FROM size0 GROUP BY doc_id)"""
+_TURNS = "".join(
+    f""", size{k} AS (SELECT doc_id, bi, head, page, base, (sum(length(head || (base + page + 1)) + 1) OVER (PARTITION BY doc_id ORDER BY bi) - length(head || (base + page + 1)) - 1) // 300 AS spot FROM pages JOIN n{k - 1} USING (doc_id)),
+n{k} AS (SELECT doc_id, max(spot) + 1 AS base FROM size{k} GROUP BY doc_id)"""
+    for k in range(1, 7)
+)
+
+
+@query("i12_labels_to_fixpoint", f"""
+WITH {_INDEX}{_TURNS}
+SELECT doc_id, bi::INT AS line_no, head || (base + page + 1) AS text, true AS converged FROM pages JOIN n6 USING (doc_id)""")
+def i12(spark: SparkSession, d: str) -> DataFrame:
+    """The labels lengthen the index, which moves the pages after it, which moves the labels."""
+    b = blocks(spark, d).select("doc_id", F.col("bi").cast("int").alias("line_no"), "line")
+    head = F.concat(F.regexp_extract("line", "^[^ ]*", 0), F.lit(" "))
+    index = b.select("doc_id", F.lit(0).alias("module"), "line_no", F.concat(head, F.lit("?")).alias("text"))
+    refs = b.select("doc_id", F.lit(0).alias("module"), "line_no", F.col("line_no").alias("ref"), F.length(head).alias("start"), (F.length(head) + 1).alias("end"))
+    places = b.select("doc_id", F.col("line_no").alias("ref"), F.lit(1).alias("to_module"), F.col("line_no").alias("to_line"), F.col("line_no").alias("last_line"))
+
+    def layout(lines: DataFrame) -> DataFrame:
+        before = Window.partitionBy("doc_id", "module").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+        return lines.withColumn("page", F.floor(F.coalesce(F.sum(F.length("text") + 1).over(before), F.lit(0)) / 300))
+
+    out = IM.remap_to_fixpoint(index.union(b.select("doc_id", F.lit(1), "line_no", F.col("line"))), refs, places, layout, ["doc_id"])
+    return out.filter("module = 0").select("doc_id", "line_no", "text", "converged")

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
@@ -144,16 +145,37 @@ def test_resolution_by_modules(spark):
 
 
 def test_labels_to_a_fixpoint(spark):
-    lines = spark.createDataFrame([(1, 0, "term 7, other 7"), (1, 1, "plain")], "book int, line_no int, text string")
-    refs = spark.createDataFrame([(1, 0, 1, 5, 6), (1, 0, 2, 14, 15)], "book int, line_no int, ref int, start int, end int")
-    places = spark.createDataFrame([(1, 1, 10, 10), (1, 2, 20, 30)], "book int, ref int, place int, upto int")
-
-    def paginate(now):  # the index grows by the labels and shifts the pages after it
-        size = now.agg(F.sum(F.length("text"))).first()[0]
-        return now.sparkSession.createDataFrame([(1, p, str(p * 100 + (1 if size > 20 else 0))) for p in (10, 20, 30)], "book int, place int, label string")
-
-    out = index_model.remap_to_fixpoint(lines, refs, places, paginate, ["book"])
-    assert sorted((r["line_no"], r["text"]) for r in out.collect()) == [(0, "term 1001, other 2001—3001"), (1, "plain")]
+    """An index before the text grows by its labels and moves the pages after it; the text is laid out once."""
+    lines = [(1, 0, k, f"term{k} ?") for k in range(12)] + [(1, 1, k, "x" * 50) for k in range(40)] + [(2, 0, 0, "a ?"), (2, 1, 0, "y")]
+    refs = [(1, 0, k, k, len(f"term{k} "), len(f"term{k} ?")) for k in range(12)] + [(2, 0, 0, 0, 2, 3)]
+    places = [(1, k, 1, 3 * k, 3 * k + (k % 2)) for k in range(12)] + [(2, 0, 1, 0, 0)]
+    laid = []
+
+    def layout(df):
+        laid.append(sorted({(r["book"], r["module"]) for r in df.collect()}))
+        w = Window.partitionBy("book", "module").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn("page", F.floor(F.coalesce(F.sum(F.length("text") + 1).over(w), F.lit(0)) / 60))
+
+    given = [spark.createDataFrame(x, y) for x, y in ((lines, "book int, module int, line_no int, text string"), (refs, "book int, module int, line_no int, ref int, start int, end int"), (places, "book int, ref int, to_module int, to_line int, last_line int"))]
+    out = index_model.remap_to_fixpoint(*given, layout, ["book"]).collect()
+
+    def plain():
+        texts = [t for b, m, _, t in lines if (b, m) == (1, 0)]
+        while True:
+            at, pages = 0, 0
+            for t in texts:
+                pages, at = at // 60 + 1, at + len(t) + 1
+            label = lambda k: str(pages + k * 51 // 60 + 1)
+            made = [f"term{k} " + (label(3 * k) if label(3 * k) == label(3 * k + k % 2) else f"{label(3 * k)}—{label(3 * k + 1)}") for k in range(12)]
+            if made == texts:
+                return made
+            texts = made
+
+    assert [r["text"] for r in sorted(out, key=lambda r: r["line_no"]) if (r["book"], r["module"]) == (1, 0)] == plain()
+    assert {r["text"] for r in out if r["book"] == 2} == {"a 2", "y"} and all(r["converged"] for r in out)
+    assert laid[0] == [(1, 0), (1, 1), (2, 0), (2, 1)] and all(x == [(1, 0)] for x in laid[2:]) and laid[1] == [(1, 0), (2, 0)]
+    short = index_model.remap_to_fixpoint(*given, layout, ["book"], rounds=1).collect()
+    assert {(r["book"], r["module"]): r["converged"] for r in short} == {(1, 0): False, (1, 1): True, (2, 0): False, (2, 1): True} and {r["rounds"] for r in short} == {1}
 
 
 def test_hyphens_and_plates(spark):
