@@ -47,6 +47,119 @@ def test_figure_floats():
     assert cost < 1000 and {b for _, b, *_ in plan} == {0, 1, 2}
 
 
+def all_plans(blocks, size, reserve):
+    """The least cost of all plans, by trying everything on pages of slots; None if there is none."""
+    top = lambda page: reserve if page < 2 else 0
+    gap = lambda g: 200 * g + 500 * (g - 1) ** 2 if g else 0
+
+    def demand(i, depth=0):
+        b = blocks[i]
+        own = b.lines + b.after
+        if not b.keep or i + 1 == len(blocks) or blocks[i + 1].brk or depth >= L.KEEP_DEPTH:
+            return own
+        after = blocks[i + 1]
+        return own + (after.before + demand(i + 1, depth + 1) if after.keep else min(b.keep, after.lines))
+
+    def go(i, used, page, waits):
+        if i == len(blocks):
+            cost = 0
+            if waits is not None:
+                used += blocks[waits].lines
+                if used > size:
+                    used, page, cost = top(page + 1) + blocks[waits].lines, page + 1, 40
+            yield cost + (300 if 0 < used - top(page) <= 2 else 0)
+            return
+        b, before = blocks[i], blocks[i - 1] if i else None
+        kept = before.keep if before and not b.brk else 0
+        if waits is not None and (b.floating or b.brk):
+            return
+        if b.floating and not reserve and used > top(page) and used + b.lines > size:
+            yield from (20 + c for c in go(i + 1, used, page, i))
+        figure = blocks[waits].lines if waits is not None else 0
+        begins = []
+        if not b.brk:
+            if used == top(page):
+                if not b.nostart or i == 0:
+                    begins.append((used + (b.before if b.top_keep else 0), page, False, 0))
+            else:
+                begins += [(used + n, page, False, c) for n, c in b.choices() if used + n < size]
+        if (used > top(page) or b.brk) and not kept and not (b.nostart and i):
+            blank = 0 if b.brk or used == top(page) else gap(size - used)
+            lead = [(figure + n, c) for n, c in b.choices()] if figure else [(b.before if b.top_keep else 0, 0)]
+            begins += [(top(page + 1) + n, page + 1, True, c + blank) for n, c in lead if not figure or top(page + 1) + n < size]
+        for at, on, turned, cost in begins:
+            if figure and not turned and b.nofloat:
+                continue
+            highest = top(on) + (b.before if b.top_keep else 0) + (figure if turned else 0)
+            if b.keep and at + demand(i) > size and at > highest:
+                continue
+            for lines, penalty in b.variants():
+                if b.keep and at + lines > size:
+                    continue
+                for g1, g2 in itertools.product(range(3), range(2)):
+                    filled, left, where, room, extra, pieces = at, lines, on, size, 0, []
+                    if at + lines <= size:
+                        if g1 or g2:
+                            continue
+                        pieces, end = [lines], at + lines
+                    else:
+                        if not b.splittable or size - at - g1 < 1 or size - at - g1 >= lines or (figure and not turned and size - figure < 2):
+                            continue
+                        pieces, extra, owed = [size - at - g1], gap(g1), g2
+                        left = lines - pieces[0]
+                        while left:
+                            where += 1
+                            begin = top(where) + (figure if len(pieces) == 1 and not turned else 0)
+                            take = min(left, size - begin)
+                            if owed and left > take and left - take <= size - top(where + 1):
+                                take, owed, extra = take - 1, 0, extra + gap(1)
+                            pieces.append(take)
+                            left -= take
+                            end = begin + take
+                        if owed:
+                            continue
+                        extra += 50 * (pieces[0] < 2) + 50 * (pieces[-1] == 1) + 6 * (pieces[-1] == 2 and lines > 6)
+                        if kept and pieces[0] < kept:
+                            continue
+                    still = None if turned or len(pieces) > 1 else waits
+                    if end >= size:
+                        where, end = where + 1, top(where + 1)
+                        if still is not None:
+                            end, still = end + figure, None
+                    elif len(pieces) == 1 and end + b.after < size:
+                        end += b.after
+                    yield from (cost + penalty + extra + c for c in go(i + 1, end, where, still))
+
+    return min(go(0, top(0 if reserve else 2), 0 if reserve else 2, None), default=None)
+
+
+small = st.builds(
+    L.LayoutBlock, lines=st.integers(1, 8), before=st.integers(0, 2), after=st.integers(0, 1), keep=st.sampled_from([0, 0, 0, 1, 2]), brk=st.sampled_from([False] * 5 + [True]), splittable=st.booleans(),
+    penalties=st.sampled_from([(), ((2, 3.0),)]), spaces=st.sampled_from([(), ((1, 0.0), (2, 5.0), (0, 5.0))]), min_before=st.sampled_from([0, 0, 1]), noshrink=st.booleans(),
+    nostart=st.sampled_from([False] * 4 + [True]), top_keep=st.sampled_from([False] * 3 + [True]), nofloat=st.booleans(), floating=st.sampled_from([False] * 3 + [True]),
+)
+
+
+@settings(max_examples=250, deadline=None)
+@given(st.lists(small, min_size=1, max_size=4), st.integers(6, 8), st.sampled_from([0, 0, 2]))
+def test_cheapest_of_all_plans(blocks, size, reserve):
+    blocks[0].brk = False  # nothing stands before it
+    for b in blocks:
+        if b.floating:
+            b.splittable, b.keep, b.penalties, b.lines = False, 0, (), min(b.lines, 4)
+    want = all_plans(blocks, size, reserve)
+    if want is None:
+        with pytest.raises(ValueError):
+            L.solve(blocks, size, reserve=reserve)
+        return
+    plan, cost, variants = L.solve(blocks, size, reserve=reserve)
+    assert cost == pytest.approx(want)
+    for i, b in enumerate(blocks):  # each line once, each slot once
+        assert sorted(x for _, k, lo, hi, _ in plan if k == i for x in range(lo, hi)) == list(range(b.variants()[variants[i]][0]))
+    slots = [(p, s) for p, _, lo, hi, slot in plan for s in range(slot, slot + hi - lo)]
+    assert len(slots) == len(set(slots)) and all(s < size and (s >= reserve or p > 1) for p, s in slots)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="ab ,.-中文，（）", min_size=1, max_size=60), st.integers(2, 12))
 def test_lines_cover_the_text(text, width):
