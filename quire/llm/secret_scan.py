@@ -16,6 +16,7 @@ import re
 import zlib
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -139,37 +140,56 @@ def _url_run(m: re.Match) -> str:
     return bytes.fromhex(m[0].replace("%", "")).decode(errors="surrogateescape")
 
 
-def _bytes_to(text: str, at: int) -> int:
-    return len(text[:at].encode(errors="surrogateescape"))
+class _Bytes:
+    """How many UTF-8 bytes the first characters of a text take; counted once, when first asked."""
 
+    def __init__(self, text: str):
+        self.text, self.sums = text, None
 
-def _replaced(token: str, pattern: re.Pattern, one) -> tuple[str, Callable[[int, int], tuple[int, int]]]:
-    """A token with its escapes replaced, and what maps a span of the result to one of the token."""
-    layer = pattern.sub(one, token)
+    def __call__(self, at: int) -> int:
+        if self.sums is None:
+            code = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32)
+            escaped = (code >= 0xDC80) & (code < 0xDD00)  # a byte that is no text
+            self.sums = np.concatenate([[0], np.cumsum(np.where(escaped, 1, 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)))])
+        return int(self.sums[at])
 
-    def locate(a: int, b: int) -> tuple[int, int]:
-        made, source, starts = 0, 0, []  # (place in the layer, place in the token, its escape or None)
-        for m in pattern.finditer(token):
-            starts.append((made, source, None))
-            made += m.start() - source
-            starts.append((made, m.start(), m))
-            made, source = made + len(one(m)), m.end()
-        starts.append((made, source, None))
-        keys = [x[0] for x in starts]
 
-        def place(at: int, end: bool) -> int:
-            # The end of a span is the end of its last character.
-            made, source, m = starts[(bisect.bisect_left(keys, at) if end else bisect.bisect_right(keys, at)) - 1]
-            if m is None:
-                return source + at - made
-            said = one(m)
-            if pattern is _URL_RUN:
-                return source + 3 * _bytes_to(said, at - made)
-            return m.end() if end else source
+class _Places:
+    """Maps spans of a token whose escapes are replaced to spans of the token; the table is made once, when first asked."""
 
-        return place(a, False), place(b, True)
+    def __init__(self, token: str, pattern: re.Pattern, one):
+        self.token, self.pattern, self.one = token, pattern, one
+        self.keys: list[int] = []
 
-    return layer, locate
+    def _fill(self) -> None:
+        made, source, self.starts = 0, 0, []  # (place in the layer, place in the token, its escape's end and bytes or None)
+        for m in self.pattern.finditer(self.token):
+            said = self.one(m)
+            self.starts.append((made, source, None, None))
+            made += m.start() - source
+            self.starts.append((made, m.start(), m.end(), _Bytes(said) if self.pattern is _URL_RUN else None))
+            made, source = made + len(said), m.end()
+        self.starts.append((made, source, None, None))
+        self.keys = [x[0] for x in self.starts]
+
+    def _place(self, at: int, end: bool) -> int:
+        # The end of a span is the end of its last character.
+        made, source, until, run = self.starts[(bisect.bisect_left(self.keys, at) if end else bisect.bisect_right(self.keys, at)) - 1]
+        if until is None:
+            return source + at - made
+        if run:
+            return source + 3 * run(at - made)
+        return until if end else source
+
+    def __call__(self, a: int, b: int) -> tuple[int, int]:
+        if not self.keys:
+            self._fill()
+        return self._place(a, False), self._place(b, True)
+
+
+def _replaced(token: str, pattern: re.Pattern, one) -> tuple[str, Callable[[int, int], tuple[int, int]]]:
+    """A token with its escapes replaced, and what maps a span of the result to one of the token."""
+    return pattern.sub(one, token), _Places(token, pattern, one)
 
 
 def decoded_layers(text: str):
@@ -236,9 +256,10 @@ def _base64_layers(piece: str):
         yield from ((layer, None) for layer in _windows(opened()))
         return
     text = raw.decode(errors="surrogateescape")
+    upto = _Bytes(text)
 
     def locate(a: int, b: int) -> tuple[int, int]:
-        return _bytes_to(text, a) * 4 // 3, len(piece) if b == len(text) else -(-_bytes_to(text, b) * 4 // 3)
+        return upto(a) * 4 // 3, len(piece) if b == len(text) else -(-upto(b) * 4 // 3)
 
     yield text, locate
 
