@@ -37,8 +37,8 @@ _START = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
 #: To the end of a tag; a quote counts only after ``=``, and only if it is closed.
 _REST = re.compile(r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|["'=])*+>""")
 _RAW = {x: re.compile(rf"</{x}\s*>", re.I) for x in ("script", "style", "noscript", "template", "svg", "iframe", "textarea", "select", "title")}
-_MARKS = re.compile(r"""(?:^|\s)(class|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true""", re.I)
+#: One attribute: a name, and a value in quotes or without; what stands in quotes is no attribute.
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?|"[^"]*"|'[^']*'""")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _DROPPED = frozenset("nav footer aside form button head dialog menu object video audio canvas map fieldset".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -58,21 +58,28 @@ _ENDS = {"li": (("li",), "list"), "dt": (("dt", "dd"), "list"), "dd": (("dt", "d
 _BARRIERS = {"p": frozenset("table td th caption button object template".split()), "list": frozenset("ul ol menu dir dl table td th article section aside nav main header footer form figure details blockquote".split()), "table": frozenset(["table"]), "row": frozenset(["table", "tr"])}
 
 
+#: Pairs of words that name readers' comments, though each alone may stand in an article.
+_PAIRS = [frozenset(x.split()) for x in ("reader notes", "reader letters", "user notes", "user reviews", "reader opinions")]
+
+
+def _names_aside(names: str) -> bool:
+    """Whether one of some class names or identifiers says what is not the article: all its words are known, numbers aside."""
+    for word in names.lower().split():
+        parts = {x for x in re.split(r"[-_]+", word) if x and not x.isdecimal()}
+        if (not _MARKED.isdisjoint(parts) and all(x in _MARKED or x in _BESIDE for x in parts)) or any(pair <= parts for pair in _PAIRS):
+            return True
+    return False
+
+
 def _is_marked(marks: str) -> bool:
-    """Whether the attributes of an element say that it is hidden or not of the article."""
-    if _HIDDEN.search(marks):
+    """Whether the attributes of an element say that it is hidden or not of the article; of equal names the first counts."""
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(marks):
+        if name:
+            found.setdefault(name.lower(), value.strip("\"'"))
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
         return True
-    for name, value in _MARKS.findall(marks):
-        words = value.strip("\"'").lower().split()
-        if name.lower() == "role":
-            if _ROLES.intersection(words):
-                return True
-        else:
-            for word in words:
-                parts = [x for x in re.split(r"[-_]+", word) if x]
-                if not _MARKED.isdisjoint(parts) and all(x in _MARKED or x in _BESIDE for x in parts):
-                    return True
-    return False
+    return not _ROLES.isdisjoint(found.get("role", "").lower().split()) or _names_aside(found.get("class", "")) or _names_aside(found.get("id", ""))
 
 
 class _Open:
