@@ -24,13 +24,13 @@ from pyspark.sql import types as T
 
 from .common import released, small_batches, unused
 
-#: The classifier learns from at most this many documents of each language, of these at most
-#: this many words of lines drawn over the whole text.  Prediction takes whole texts.
-TRAIN_DOCS_PER_LANG, TRAIN_WORDS_PER_DOC = 250, 150
-#: Of a longer text, an executor draws the lines, so the driver gets only these.
-DRAWN_OVER = 200_000
-#: Hashed features, lexicon words per language, most languages.
-BUCKETS, LEXICON_WORDS, LANGS = 1 << 16, 4000, 64
+#: The classifier learns from the whole texts (each distinct line once) of at most this many documents of each language,
+#: and of all together; with many languages each has fewer, and one at least.
+TRAIN_DOCS_PER_LANG, TRAIN_DOCS = 64, 4096
+#: Words of a chain at most; a longer line is several.
+CHAIN_WORDS = 40
+#: Hashed features, lexicon words per language.
+BUCKETS, LEXICON_WORDS = 1 << 16, 4000
 EPOCHS, BATCH, RATE, DECAY = 6, 512, 0.25, 1e-5
 #: Words whose features a worker keeps.
 WORDS_KEPT = 200_000
@@ -117,17 +117,10 @@ def words_by_line(text: str) -> list[list[str]]:
     return [w for line in text.lower().split("\n") if (w := (_ASCII_WORD if line.isascii() else _WORD).findall(line))]
 
 
-def _sampled_lines(text: str, key: int) -> list[list[str]]:
-    """Lines in an order drawn by ``key`` until they hold enough words; long lines are cut up."""
-    lines = [line[i : i + 40] for line in words_by_line(text) for i in range(0, len(line), 40)]
-    order = np.random.default_rng(abs(key) % 2**32).permutation(len(lines))
-    out, held = [], 0
-    for k in order:
-        if held >= TRAIN_WORDS_PER_DOC:
-            break
-        out.append(lines[k])
-        held += len(lines[k])
-    return out
+def _chains(text: str, key: int) -> list[list[str]]:
+    """All lines of a text in an order drawn by ``key``; long lines are cut up."""
+    lines = [line[i : i + CHAIN_WORDS] for line in words_by_line(text) for i in range(0, len(line), CHAIN_WORDS)]
+    return [lines[k] for k in np.random.default_rng(abs(key) % 2**32).permutation(len(lines))]
 
 
 def train(rows: list[tuple[int, str, str]]) -> Crf | None:
@@ -140,7 +133,7 @@ def train(rows: list[tuple[int, str, str]]) -> Crf | None:
     if not langs:
         return None
     index = {lang: i for i, lang in enumerate(langs)}
-    chains = [(line, index[lang]) for key, text, lang in sorted(rows, key=lambda r: (r[0], r[1])) for line in _sampled_lines(text, key)]
+    chains = [(line, index[lang]) for key, text, lang in sorted(rows, key=lambda r: (r[0], r[1])) for line in _chains(text, key)]
     counts: list[dict[str, int]] = [{} for _ in langs]
     for line, y in chains:
         for w in line:
@@ -254,37 +247,29 @@ class Labeller:
         return langs, [min(1.0, max(0.0, float(mean[i, b]))) if count[i] else 0.0 for i, b in enumerate(best)], list(mean), fits.tolist()
 
 
-def _drawn(batches):
-    """Texts over ``DRAWN_OVER`` characters as lines drawn over all of each."""
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for k, (key, text) in enumerate(zip(batch.column("doc_id").to_pylist(), texts)):
-            if len(text) > DRAWN_OVER:
-                texts[k] = "\n".join(" ".join(line) for line in _sampled_lines(text, key))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), batch.column("lang"), batch.column("lot")], ["doc_id", "text", "lang", "lot"])
-
-
 def training_rows(docs: DataFrame) -> list[tuple[int, str, str]]:
-    """The bounded sample: of each language, the documents that come first by a hash of doc_id.
+    """The bounded sample: of each language, the documents that come first by a hash of doc_id, with all distinct lines of their texts.
 
     Texts and languages of held-out documents are not read.  One pass counts
     the languages, one takes what is under a bound on the hash that the counts
-    give, somewhat more than is wanted; the rest goes on the driver.  Of rows
-    that repeat a doc_id, the first text in order is taken.
+    give, somewhat more than is wanted; the rest goes on the driver.  All
+    languages are learned, up to ``TRAIN_DOCS`` of them with a document each.
+    Of rows that repeat a doc_id, the first text in order is taken.
     """
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     able = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out)
-    langs = {r["lang"]: r["count"] for r in able.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()}
-    if not langs:
+    counts = able.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(TRAIN_DOCS).collect()
+    if not counts:
         return []
-    enough = TRAIN_DOCS_PER_LANG + 8 * TRAIN_DOCS_PER_LANG**0.5 + 30  # eight standard deviations over
-    shares = F.create_map(*[F.lit(x) for lang, n in langs.items() for x in (lang, min(1.0, enough / n))])
+    each = max(1, min(TRAIN_DOCS_PER_LANG, TRAIN_DOCS // len(counts)))
+    enough = each + 8 * each**0.5 + 30  # eight standard deviations over
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, enough / r["count"])) for r in counts], "lang string, share double")  # TRAIN_DOCS rows at most
     lot = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)) / float(1 << 40)
     able = able.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "lang", lot.alias("lot"))
-    able = able.filter(F.col("lot") < F.element_at(shares, F.col("lang")))
-    drawn = able.mapInArrow(released(_drawn), "doc_id long, text string, lang string, lot double").groupBy("lang", "doc_id", "lot").agg(F.min("text").alias("text"))
+    lines = F.array_join(F.array_distinct(F.split("text", "\n")), "\n")
+    drawn = able.withColumn("text", lines).join(F.broadcast(shares), "lang").filter(F.col("lot") < F.col("share")).groupBy("lang", "doc_id", "lot").agg(F.min("text").alias("text"))
     rows = {lang: sorted(((r["lot"], r["doc_id"], r["text"]) for r in found)) for lang, found in _by_lang(drawn.collect()).items()}
-    return [(i, text, lang) for lang in langs for _, i, text in rows.get(lang, [])[:TRAIN_DOCS_PER_LANG]]
+    return [(i, text, r["lang"]) for r in counts for _, i, text in rows.get(r["lang"], [])[:each]]
 
 
 def _by_lang(rows) -> dict[str, list]:
@@ -332,10 +317,8 @@ def identify(docs: DataFrame, crf: Crf | None = None) -> DataFrame:
 
     Without ``crf``, one is learned from ``docs`` itself (doc_id, text, lang),
     never from documents whose crc32(doc_id as text) mod 3 is 1.  The sample is
-    bounded: the ``LANGS`` most frequent languages, of each
-    ``TRAIN_DOCS_PER_LANG`` documents, of each ``TRAIN_WORDS_PER_DOC`` words
-    (whole lines drawn over the whole text); a language beyond these is never
-    predicted.  ``score`` is the mean marginal of the predicted language,
+    bounded: whole texts of ``TRAIN_DOCS_PER_LANG`` documents of each language,
+    of ``TRAIN_DOCS`` in all.  ``score`` is the mean marginal of the predicted language,
     ``fit`` that of the words' best ones.  Defined cases: ``und`` with
     score 0 if the text is null, empty or without a letter, or if there is
     nothing to learn from; ties go to the language first in order; a null

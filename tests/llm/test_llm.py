@@ -638,3 +638,41 @@ def test_pseudonym_query_links_equal_values(spark):
     assert len(made) > 20 and all(len(x) == 1 for x in made.values())
     flat = [(kind, *x) for (kind, _), x in made.items()]
     assert len(set(flat)) == len(flat) and sum(kind_value[1] in made[kind_value] for kind_value in made) <= 1
+
+
+def test_escaped_tokens_in_linear_time():
+    """Many spans in one token: each place is looked up, the token is not read again for it."""
+    import time
+
+    began = time.perf_counter()
+    for n, one in ((16_000, "password=abcdef%20"), (4_000, "token=%61bcdefgh\\u0020")):
+        text = one * n
+        spans = secret_scan.all_spans(text)
+        assert len(spans) >= n
+    assert time.perf_counter() - began < 8
+    whole = "".join(f"%{b:02X}" for b in "password=abcdéf password=ghijkl".encode())
+    layer, locate = secret_scan._replaced(whole, secret_scan._URL_RUN, secret_scan._url_run)
+    assert layer == "password=abcdéf password=ghijkl" and locate(9, 15) == (27, 48) and locate(16, 31) == (51, 96)
+    coded = base64.b64encode(("é" * 50 + " password=abcdef").encode()).decode()
+    (_, _, layer, locate), = [x for x in secret_scan.decoded_layers(coded)]
+    assert locate(51, 66) == (101 * 4 // 3, len(coded))
+
+
+@pytest.mark.parametrize("markup, kept", [
+    ("<p title='a hidden treasure here'>text</p>", True), ('<p data-note="see aria-hidden=true docs">text</p>', True), ('<p data-x=" class=menu ">text</p>', True), ("<p data-x='id=comments'>text</p>", True),
+    ('<div id="comments">text</div>', False), ('<div class="ad-300">text</div>', False), ('<div class="reader-notes">text</div>', False), ("<div hidden>text</div>", False), ("<div ARIA-HIDDEN=True>text</div>", False),
+    ('<div class=x id=sidebar-2>text</div>', False), ('<section id="notes-on-method">text</section>', True), ('<p class="reader">text</p>', True), ('<p id="300">text</p>', True), ("<div title='x' class='menu'>text</div>", False),
+])
+def test_attributes_are_names_and_values(markup, kept):
+    page = f"<body><nav>menu</nav><article><h1>Head</h1>{markup}<p>more</p></article></body>"
+    assert html_extract.parse_blocks(page) == ["Head", *(["text"] if kept else []), "more"]
+
+
+def test_seventy_languages(spark):
+    """No language is left out for being one of many: each has words of its own."""
+    rows = [(k, " ".join(f"{chr(97 + k // 3 % 26)}{chr(97 + k // 3 // 26)}q{chr(97 + i % 20)}o" for i in range(30)), f"l{k // 3 % 70:02}", "s", 0) for k in range(1_000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert len({lang for *_, lang in language_id.training_rows(docs)}) == 70
+    out = language_id.identify(docs).filter("held_out").select("doc_id", "lang_pred").collect()
+    right = sum(r["lang_pred"] == f"l{r['doc_id'] // 3 % 70:02}" for r in out)
+    assert len({r["lang_pred"] for r in out}) > 64 and right > 0.8 * len(out)
