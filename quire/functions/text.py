@@ -204,6 +204,18 @@ def foreign_words(text: Column, most: int = 3) -> Column:
     return F.slice(F.filter(words, lambda w: ~F.lower(w).isin("dass", "eine", "einer", "eines", "from", "into", "that", "with", "dans", "pour")), 1, most)
 
 
+def cjk_keys(text: Column) -> Column:
+    """Search keys of an index line from its first CJK character on: each of its words, then that word's first four, three and two characters.
+
+    What follows a comma and a number, or a reference to another entry, is no word.
+    """
+    begins = F.regexp_extract(text, f"(?s)[{_HAN}].*", 0)
+    body = F.get(F.split(begins, "[，,；]\\s*(?=[0-9]|第|见|另见)"), F.lit(0))
+    words = F.split(body, "[，、（）()“”《》·\\s]+")
+    keys = F.flatten(F.transform(words, lambda w: F.array(w, F.left(w, F.lit(4)), F.left(w, F.lit(3)), F.left(w, F.lit(2)))))
+    return F.array_distinct(F.filter(keys, lambda k: (F.length(k) >= 2) & k.rlike(f"^[{_HAN}]")))
+
+
 def norm_key(text: Column) -> Column:
     """No white space, joiners or soft hyphens."""
     return F.regexp_replace(text, "[ \\t\\n\\x0B\\f\\r\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u2060\u00ad]+", "")

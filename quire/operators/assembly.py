@@ -46,6 +46,33 @@ def short_right(blocks: DataFrame, keys: list[str], short: Column) -> DataFrame:
     return blocks.withColumn("right", short & F.lead("bi").over(w).isNull() & F.coalesce(F.length(F.lag("line").over(w)) > 46, F.lit(False)))
 
 
+def epigraphs(blocks: DataFrame, keys: list[str], most: int = 4) -> DataFrame:
+    """``epigraph``: body lines between a heading and the name under them (a right-hand line that begins with a dash).
+
+    ``blocks``: keys, bi, k, style, line.  What follows decides: the line that is
+    no body after a stretch must be such a name, the one before it a heading, and the stretch
+    ``most`` lines at most.
+    """
+    w = Window.partitionBy(*keys).orderBy("bi")
+    body = (F.col("k") == "p") & F.col("style").isin("body", "noindent")
+    name = (F.col("k") == "p") & (F.col("style") == "right") & F.trim("line").startswith("——")
+    other = F.when(~body, F.struct(F.row_number().over(w).alias("at"), F.when(F.col("k") == "h", "h").when(name, "name").otherwise("").alias("is")))
+    marked = blocks.withColumn("__other", other)
+    before = F.last("__other", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first("__other", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    marked = marked.withColumns({"__before": before, "__after": after})
+    quoted = body & (F.col("__before.is") == "h") & (F.col("__after.is") == "name") & (F.col("__after.at") - F.col("__before.at") - 1 <= most)
+    return marked.withColumn("epigraph", F.coalesce(quoted, F.lit(False))).drop("__other", "__before", "__after")
+
+
+def heading_line(text: Column, middle: bool = False) -> Column:
+    """A heading's text on one line: breaks become spaces, soft ones between CJK characters go; ``middle`` takes the middle of three lines or more."""
+    lines = F.split(text, "[\\n\u2028]")
+    text = F.when(F.size(lines) >= 3, F.get(lines, F.lit(1))).otherwise(text) if middle else text
+    joined = F.regexp_replace(text, "(?<=[\u3400-\u9fff，：；、])\u2028(?=[\u3400-\u9fff“《（])", "")
+    return F.trim(F.translate(joined, "\n\u2028", "  "))
+
+
 def display_formulas(runs: DataFrame, keys: list[str]) -> DataFrame:
     """``piece``: a paragraph's runs (keys, run_no, t, m) cut at each formula, which takes a mark that follows."""
     w = Window.partitionBy(*keys).orderBy("run_no")
