@@ -142,12 +142,11 @@ def brute_collocations(docs, least=10, first=2000):
     return sorted(out)
 
 
-@pytest.mark.parametrize("bits, phrases", [((16, 26), 400_000), ((3, 3), 400_000), ((16, 26), 25)])
-def test_collocations_against_brute_force(spark, monkeypatch, bits, phrases):
-    """Also with a sketch that bounds nothing, and with many automata."""
-    monkeypatch.setattr(collocations, "LEAST_BITS", bits[0])
-    monkeypatch.setattr(collocations, "MOST_BITS", bits[1])
-    monkeypatch.setattr(collocations, "AUTOMATON_PHRASES", phrases)
+@pytest.mark.parametrize("set_to", [{}, {"RANGE_CHARS": 500}, {"AUTOMATON_PHRASES": 25}])
+def test_collocations_against_brute_force(spark, monkeypatch, set_to):
+    """Also with many ranges, and with many turns."""
+    for name, value in set_to.items():
+        monkeypatch.setattr(collocations, name, value)
     rnd = random.Random(5)
     docs = [("a a a a a a a a a a a a a b", "en"), (None, None), ("x" * 100_000, "en"), ("b " * 30_000, "fr"), ("É é é É é", "fr")]
     for _ in range(200):
@@ -163,5 +162,28 @@ def test_scores_are_exact(spark):
 
 
 def test_guarded():
-    assert collocations.guarded(" A  b.\tC,\n d") == " a b \n c \n d "
-    assert [collocations.guarded(t) for t in ("", ".", "É.")] == [" ", " \n ", " É \n "]
+    assert collocations.guarded(" A  b.\tC,\n d") == [b"a", b"b", b"\xff", b"c", b"\xff", b"\xff", b"d"]
+    assert [collocations.guarded(t) for t in ("", ".", "É.")] == [[], [b"\xff"], ["É".encode(), b"\xff"]]
+
+
+def test_phrases_that_need_more_symbols_than_there_are():
+    """Words are dealt to several automata; a break and an unknown word stop a phrase."""
+    listed = [f"w{i} w{i + 1}" for i in range(50)] + ["w3"]
+    texts = [collocations.guarded(t) for t in ("w3 w4 x w4 w5. w5 w6 w7", "w3 ", "")]
+    for most in (7, 20, 1000):
+        automata = collocations.Phrases.all_of(listed, most)
+        assert sum((p.listed for p in automata), []) == listed and (len(automata) > 1) == (most < 100)
+        found = {p.listed[i]: int(n) for p in automata for i, n in enumerate(p.counts(texts)) if n}
+        assert found == {"w3 w4": 1, "w4 w5": 1, "w5 w6": 1, "w6 w7": 1, "w3": 2}
+
+
+def test_sketch_handed_on_early(spark, monkeypatch):
+    """Cells are the same however a task hands them on, and count each phrase at least as often as it occurs."""
+    batches = spark.read.parquet(f"{SF}/documents.parquet").select("lang", "text").na.fill("").toArrow().to_batches(max_chunksize=30)
+    got = []
+    for held in (10**9, 0):
+        monkeypatch.setattr(collocations, "HELD_CELLS", held)
+        parts = sorted((r for b in collocations._sketch(7, 10)(iter(batches)) for r in b.to_pylist()), key=lambda r: r["r"])
+        rows = collocations.pa.RecordBatch.from_pylist(parts)
+        got.append(sorted((r["cell"], r["bucket"]) for b in collocations._often(10)(iter([rows])) for r in b.to_pylist()))
+    assert got[0] == got[1] and len(got[0]) > 10
