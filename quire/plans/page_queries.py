@@ -117,3 +117,19 @@ def w18e(spark: SparkSession, d: str) -> DataFrame:
     name = n == 1
     styled = blocks(spark, d).select("doc_id", "bi", F.when(n == 0, "h").otherwise("p").alias("k"), F.when(name, "right").when((n == 2) & (F.length("line") % 4 == 0), "verse").otherwise("body").alias("style"), F.when(name, F.concat(F.lit(" ——"), "line")).otherwise(F.col("line")).alias("line"))
     return A.epigraphs(styled, ["doc_id"]).filter("epigraph").select("doc_id", "bi")
+
+
+_EMS = "ceil((length({0}) * 520 - length(regexp_replace({0}, '[^iljtfr]', '', 'g')) * 200 + length(regexp_replace({0}, '[^mw]', '', 'g')) * 330) / 1000.0)::INT"
+
+
+#: Tables of one row of words: a column for each of two lines' first words, as wide as they are.
+@query("l9_column_widths", f"""
+WITH {BLOCKS}, c AS (SELECT doc_id, bi, regexp_replace(left(line, 30), '[^a-z]', '', 'g') AS t FROM blocks), p AS (SELECT doc_id, bi // 2 AS tab, max(CASE WHEN bi % 2 = 0 THEN t END) AS a, max(CASE WHEN bi % 2 = 1 THEN t END) AS b FROM c GROUP BY ALL HAVING count(*) = 2)
+SELECT doc_id, tab::BIGINT AS tab, {_EMS.format("a")} AS first, {_EMS.format("b")} AS second FROM p""")
+def l9(spark: SparkSession, d: str) -> DataFrame:
+    """Words that fit: each column as wide as its word needs."""
+    cell = F.regexp_replace(F.left("line", F.lit(30)), "[^a-z]", "")
+    pairs = blocks(spark, d).select("doc_id", F.floor(F.col("bi") / 2).alias("tab"), (F.col("bi") % 2).alias("side"), cell.alias("cell"))
+    rows = pairs.groupBy("doc_id", "tab").agg(F.max(F.when(F.col("side") == 0, F.col("cell"))).alias("a"), F.max(F.when(F.col("side") == 1, F.col("cell"))).alias("b")).filter("b IS NOT NULL")
+    widths = L.table_widths(rows.select("doc_id", "tab", F.lit(0).alias("row_no"), F.array("a", "b").alias("cells")), ["doc_id", "tab"], 60)
+    return widths.select("doc_id", "tab", F.get("widths", F.lit(0)).alias("first"), F.get("widths", F.lit(1)).alias("second"))

@@ -77,14 +77,13 @@ def all_plans(blocks, size, reserve):
             yield from (20 + c for c in go(i + 1, used, page, i))
         figure = blocks[waits].lines if waits is not None else 0
         begins = []
-        if not b.brk:
-            if used == top(page):
-                if not b.nostart or i == 0:
-                    begins.append((used + (b.before if b.top_keep else 0), page, False, 0))
-            else:
-                begins += [(used + n, page, False, c) for n, c in b.choices() if used + n < size]
-        if (used > top(page) or b.brk) and not kept and not (b.nostart and i):
-            blank = 0 if b.brk or used == top(page) else gap(size - used)
+        if used == top(page):
+            if not b.nostart or i == 0:
+                begins.append((used + (b.before if b.top_keep else 0), page, False, 0))
+        elif not b.brk:
+            begins += [(used + n, page, False, c) for n, c in b.choices() if used + n < size]
+        if used > top(page) and not kept and not (b.nostart and i):
+            blank = 0 if b.brk else gap(size - used)
             lead = [(figure + n, c) for n, c in b.choices()] if figure else [(b.before if b.top_keep else 0, 0)]
             begins += [(top(page + 1) + n, page + 1, True, c + blank) for n, c in lead if not figure or top(page + 1) + n < size]
         for at, on, turned, cost in begins:
@@ -143,7 +142,6 @@ small = st.builds(
 @settings(max_examples=250, deadline=None)
 @given(st.lists(small, min_size=1, max_size=4), st.integers(6, 8), st.sampled_from([0, 0, 2]))
 def test_cheapest_of_all_plans(blocks, size, reserve):
-    blocks[0].brk = False  # nothing stands before it
     for b in blocks:
         if b.floating:
             b.splittable, b.keep, b.penalties, b.lines = False, 0, (), min(b.lines, 4)
@@ -183,6 +181,37 @@ def test_lnds(values):
     assert len(picked) == best
 
 
+@settings(max_examples=120, deadline=None)
+@given(st.integers(2, 3).flatmap(lambda n: st.lists(st.lists(st.text(alphabet="ab 中，-", max_size=14), min_size=n, max_size=n), min_size=1, max_size=3)), st.integers(8, 24), st.lists(st.booleans(), min_size=3, max_size=3), st.sampled_from([0.0, 1.0]))
+def test_column_widths_against_all_widths(cells, total, code, pad):
+    import math
+
+    n = len(cells[0])
+    milli = lambda t: sum(map(L.char_milli, t)) / 1000
+    natural = [max(milli(r[j]) for r in cells) + pad * (j < n - 1) for j in range(n)]
+    fixed = {j: math.ceil(x) for j, x in enumerate(natural) if x <= 4.5}
+    flex = [j for j in range(n) if j not in fixed]
+    room = total - sum(fixed.values())
+    got = L.column_widths(cells, total, code[:n], pad)
+    assert all(got[j] == w for j, w in fixed.items())
+    least = {j: min(math.ceil(natural[j]), max(3, math.ceil(max(L.unbroken(r[j]) for r in cells) + pad))) for j in flex}
+    share = sum(natural[j] for j in flex)
+    if sum(least.values()) > room:
+        assert all(got[j] == max(2, int(room * natural[j] / share)) for j in flex)
+        return
+    scores = []
+    for ws in itertools.product(*[range(least[j], math.ceil(natural[j]) + 1) for j in flex]):
+        if sum(ws) <= room:
+            counts = [[max(1, len(L.greedy_lines(r[j], int((w - pad * (j < n - 1)) * 1000)))) for j, w in zip(flex, ws)] for r in cells]
+            lines = sum(max([1, *c]) + sum(0.6 * (x - 1) for x, j in zip(c, flex) if code[j]) for c in counts)
+            scores.append((round(lines, 3), max((abs(w / sum(ws) - natural[j] / share) for j, w in zip(flex, ws)), default=0.0), ws))
+    assert tuple(got[j] for j in flex) == min(scores)[2]
+
+
+def test_unbroken_pieces():
+    assert L.unbroken("ab abcd") == pytest.approx(4 * 0.52) and L.unbroken("中中，中") == pytest.approx(2.0) and L.unbroken("") == 0.0
+
+
 def test_index_line():
     refs = I.parse_entry("理性 Vernunft 12, 116—30；纯粹理性（见第3页）295—6，1781年")
     assert [(r["first"], r["last"]) for r in refs] == [("12", ""), ("116", "30"), ("295", "6")]
