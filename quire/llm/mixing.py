@@ -28,12 +28,12 @@ TRAIN_DOCS, WORDS = 4000, 500
 LEAST_DOCS, LEAST_SHARE = 8, 0.005
 #: Log-likelihoods are divided by this, as features are not independent.
 TEMPERATURE = 1.5
-#: Shares of the most tokens that the scarcest domain allows: the first at which the targets can be met counts; if none is,
-#: as many documents are drawn as at the last number, and the rates are the best fit.
-BUDGETS, UNMET_BUDGET = tuple(b / 100 for b in range(95, 59, -5)), 0.9
+#: Halvings that find the largest share of the scarcest domain's tokens at which targets can be met, and how much of it is
+#: taken; where none is, as many tokens are drawn as at the last number, and the rates are the best fit.
+HALVINGS, TAKEN, UNMET_SHARE = 14, 0.98, 0.9
 #: Cells of posteriors, at most, in which documents are summed to find it.
 CELLS = 4096
-STEPS, TOLERANCE = 25, 1e-4
+STEPS, TOLERANCE = 100, 1e-4
 #: Targets are met if each is within this share.
 MET = 0.01
 _BINS = 8
@@ -125,40 +125,51 @@ def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
     return rows.select("doc_id", "th", "copies", "n_tokens", raised.alias("p")).withColumn("p", F.transform("p", lambda x: x / total))
 
 
-def _attainable(masses: np.ndarray, weights: np.ndarray, most: float, largest: float) -> tuple[float, np.ndarray]:
-    """The first of ``BUDGETS`` at which cells' rates ``clip(start - p u)`` meet the targets, and ``u``: where the descent begins.
-
-    Damped Newton steps on the cells' token masses, on the driver; if no share
-    can be met, ``UNMET_BUDGET`` and no ``u``.
+def _met_at(masses: np.ndarray, goal: np.ndarray, largest: float) -> np.ndarray | None:
+    """``u`` such that cells' rates ``clip(start - p u)`` give ``goal``, by damped Newton steps on the cells' token masses; None if there is none."""
+    share, start, u = masses / np.maximum(masses.sum(1, keepdims=True), 1e-12), min(1.0, largest), np.zeros(masses.shape[1])
+    rates = lambda u: np.clip(start - share @ u, 0.0, largest)
+    miss = lambda u: masses.T @ rates(u) - goal
+    scale = np.maximum(goal, 1e-9 * max(1.0, goal.max()))
+    for _ in range(80):
+        off = miss(u)
+        if (np.abs(off) <= 0.1 * MET * scale).all():
+            return u
+        r = rates(u)
+        free = (r > 0) & (r < largest) | (share @ u == 0)
+        slope = masses[free].T @ share[free]
+        step = np.linalg.lstsq(slope + 1e-9 * np.trace(slope) * np.eye(len(u)), off, rcond=None)[0]
+        size = 1.0
+        while size > 1e-3 and np.linalg.norm(miss(u + size * step) / scale) > np.linalg.norm(off / scale):
+            size /= 2
+        u = u + size * step
+    return None
+
+
+def _attainable(masses: np.ndarray, goal: np.ndarray, largest: float) -> tuple[float, np.ndarray]:
+    """``TAKEN`` of the largest share of ``goal`` that cells' rates can meet, and ``u``: where the descent begins.
+
+    Rates that meet a share, scaled down, meet every smaller one, so the largest
+    is found by halving, on the driver.  If none can be met, ``UNMET_SHARE`` and no ``u``.
     """
-    share, start = masses / np.maximum(masses.sum(1, keepdims=True), 1e-12), min(1.0, largest)
-    for budget in BUDGETS:
-        goal, u = budget * weights * most, np.zeros(len(weights))
-        rates = lambda u: np.clip(start - share @ u, 0.0, largest)
-        miss = lambda u: masses.T @ rates(u) - goal
-        for _ in range(80):
-            off = miss(u)
-            if (np.abs(off) <= 0.1 * MET * goal).all():
-                return budget, u
-            r = rates(u)
-            free = (r > 0) & (r < largest) | (share @ u == 0)
-            slope = masses[free].T @ share[free]
-            step = np.linalg.lstsq(slope + 1e-9 * np.trace(slope) * np.eye(len(u)), off, rcond=None)[0]
-            size = 1.0
-            while size > 1e-3 and np.linalg.norm(miss(u + size * step) / goal) > np.linalg.norm(off / goal):
-                size /= 2
-            u = u + size * step
-    return UNMET_BUDGET, np.zeros(len(weights))
+    low, high, begin = 0.0, 1.0, None
+    for _ in range(HALVINGS):
+        middle = (low + high) / 2
+        u = _met_at(masses, middle * goal, largest)
+        low, high, begin = (middle, high, u) if u is not None else (low, middle, begin)
+    if begin is None:
+        return UNMET_SHARE, np.zeros(masses.shape[1])
+    u = _met_at(masses, TAKEN * low * goal, largest)
+    return (TAKEN * low, u) if u is not None else (low, begin)
 
 
 def fit_rates(rows: DataFrame, targets: list[float], largest: float = 1.0) -> tuple[Column, dict]:
     """The column of rates over ``copies, n_tokens, p`` (a row stands for so many copies) and what it reaches.
 
     Targets are weights; they are scaled to a share of the most tokens that
-    the scarcest domain allows at the largest rate: the largest of ``BUDGETS``
-    at which soft memberships can meet them, by the sums of documents with
-    like posteriors (``CELLS`` rows at most), which also give the first
-    rates.  With the metric ``inverse(sum(tokens *
+    the scarcest domain allows at the largest rate: the largest at which soft
+    memberships can meet them, by the sums of documents with like posteriors
+    (``CELLS`` rows at most), which also give the first rates.  With the metric ``inverse(sum(tokens *
     p * p'))`` the gradient's Lipschitz constant over token-weighted rates is
     1, so steps of length 1 descend.
     """
@@ -175,7 +186,7 @@ def fit_rates(rows: DataFrame, targets: list[float], largest: float = 1.0) -> tu
     bins = int(CELLS ** (1 / max(1, len(targets) - 1)))
     cells = rows.groupBy(*[F.floor(p[i] * bins).cast("int").alias(f"c{i}") for i in d[:-1]]).agg(*[F.sum(t * p[i]).alias(f"s{i}") for i in d]).collect()
     masses = np.array(sorted(tuple(r[f"s{i}"] or 0.0 for i in d) for r in cells))
-    budget, begin = _attainable(masses, weights, most, largest)
+    budget, begin = _attainable(masses, weights * most, largest)
     goal = budget * weights * most
     gram = np.array([[sums[f"m{min(i, j)}_{max(i, j)}"] for j in d] for i in d])
     metric = np.linalg.pinv(gram, rcond=1e-10)

@@ -676,3 +676,19 @@ def test_seventy_languages(spark):
     out = language_id.identify(docs).filter("held_out").select("doc_id", "lang_pred").collect()
     right = sum(r["lang_pred"] == f"l{r['doc_id'] // 3 % 70:02}" for r in out)
     assert len({r["lang_pred"] for r in out}) > 64 and right > 0.8 * len(out)
+
+
+def test_mixing_takes_the_largest_share():
+    """Two cells of known masses: the most that both can give in the wanted proportion, and targets outside of what they hold."""
+    masses = np.array([[90.0, 10.0], [30.0, 70.0]])
+    for weights, share in (((0.5, 0.5), 75 / 80), ((0.6, 0.4), 1.0), ((0.45, 0.55), None), ((0.31, 0.69), None)):
+        w = np.array(weights)
+        most = min(masses.sum(0) / w)
+        if share is None:  # the second cell gives all it has, the first what is wanted with it
+            a = (w[0] * 70 - w[1] * 30) / (w[1] * 90 - w[0] * 10)
+            share = (90 * a + 30 + 10 * a + 70) / most
+        got, u = mixing._attainable(masses, w * most, 1.0)
+        assert got == pytest.approx(mixing.TAKEN * share, rel=0.004)
+        rates = np.clip(1 - masses / masses.sum(1, keepdims=True) @ u, 0, 1)
+        assert np.allclose(masses.T @ rates, got * w * most, rtol=0.002)
+    assert mixing._attainable(masses, np.array([0.2, 0.8]) * 100, 1.0)[0] == mixing.UNMET_SHARE
