@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -12,7 +12,8 @@ from ..operators import geometry as G
 from ..operators import index_model as I
 from ..operators import layout as L
 from ..registry import query
-from ..sources.tables import BLOCKS, blocks
+from ..sources import containers as S
+from ..sources.tables import BLOCKS, blocks, table
 from .cjk_queries import CJK, cjk_blocks
 
 #: 24 blocks of a line a page of 30 slots; short ones are headings, some figures, some begin a page.
@@ -133,3 +134,19 @@ def l9(spark: SparkSession, d: str) -> DataFrame:
     rows = pairs.groupBy("doc_id", "tab").agg(F.max(F.when(F.col("side") == 0, F.col("cell"))).alias("a"), F.max(F.when(F.col("side") == 1, F.col("cell"))).alias("b")).filter("b IS NOT NULL")
     widths = L.table_widths(rows.select("doc_id", "tab", F.lit(0).alias("row_no"), F.array("a", "b").alias("cells")), ["doc_id", "tab"], 60)
     return widths.select("doc_id", "tab", F.get("widths", F.lit(0)).alias("first"), F.get("widths", F.lit(1)).alias("second"))
+
+
+@query("s2_pictures", """
+WITH p AS (SELECT page_id, split_part(url, '/', 3) AS host, page_id % 3 AS f, page_id % 7 AS n, coalesce(html, '') AS html FROM pages),
+t AS (SELECT DISTINCT host, 'OPS/Images/' || f || '/pic' || n || '.png' AS target, n FROM p),
+named AS (SELECT host, target, CASE WHEN k = 1 THEN '' ELSE (k - 1) || '_' END || 'pic' || n || '.png' AS name FROM (SELECT *, row_number() OVER (PARTITION BY host, n ORDER BY target) AS k FROM t))
+SELECT page_id, md5('<img alt="a" src="Images/' || name || '"/><img src="gone.png">' || html) AS markup FROM p JOIN named USING (host) WHERE target = 'OPS/Images/' || f || '/pic' || n || '.png'""")
+def s2(spark: SparkSession, d: str) -> DataFrame:
+    """Each host's pages are the parts of a book, which show pictures of like names in three folders."""
+    n, folder = F.col("page_id") % 7, F.col("page_id") % 3
+    shown = F.concat(F.lit("../Images/"), folder, F.lit("/pic"), n, F.lit(".png"))
+    parts = table(spark, d, "pages").select(F.split_part("url", F.lit("/"), F.lit(3)).alias("path"), F.col("page_id").alias("part_no"), F.concat(F.lit("OPS/Text/p"), "page_id", F.lit(".xhtml")).alias("source"), F.concat(F.lit('<img alt="a" src="'), shown, F.lit('"/><img src="gone.png">'), F.coalesce("html", F.lit(""))).alias("markup"))
+    listed = S.picture_references(parts, ["path"]).filter(F.col("target").startswith("OPS/Images/")).select("path", "target").distinct()
+    pictures = listed.withColumn("item_no", F.row_number().over(Window.partitionBy("path").orderBy("target")))
+    out = S.with_pictures(parts, S.picture_names(pictures, ["path"]), ["path"])
+    return out.select(F.col("part_no").alias("page_id"), F.md5(F.col("markup").cast("binary")).alias("markup"))

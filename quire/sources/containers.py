@@ -12,8 +12,12 @@ from urllib.parse import unquote
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.folding import ordered_fold
 
 _PARTS = "path string, part_no int, part string, source string, markup string"
 
@@ -60,6 +64,92 @@ def unpack_epub(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, _PARTS)
 
 
+def epub_pictures(files: DataFrame) -> DataFrame:
+    """The pictures of EPUB files, as their package lists them: ``path, item_no, target, content``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(bytes(content))) as book:
+                    opf, held = _spine(book)[0], set(book.namelist())
+                    listed = [e.attrib for e in ElementTree.fromstring(book.read(opf)).iter() if e.tag.endswith("}item") and e.attrib.get("media-type", "").startswith("image/")]
+                    for k, item in enumerate(listed):  # a picture at a time
+                        target = posixpath.normpath(posixpath.join(posixpath.dirname(opf), unquote(item["href"])))
+                        yield pd.DataFrame([(path, k, target, book.read(target) if target in held else None)], columns=["path", "item_no", "target", "content"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, item_no int, target string, content binary")
+
+
+def picture_names(pictures: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, item_no, target, name``: pictures of a book in one folder, under their own names.
+
+    ``pictures``: keys, item_no, target.  Where a name is taken, the first free
+    of ``1_name``, ``2_name``, ... is given; a fold over a book's pictures in
+    order, which holds their names.
+    """
+
+    def fold(rows: Iterator[tuple]) -> Iterator[tuple]:
+        taken: set[str] = set()
+        tried: dict[str, int] = {}
+        for item_no, target in rows:
+            own = name = posixpath.basename(target)
+            while name in taken:
+                tried[own] = tried.get(own, 0) + 1
+                name = f"{tried[own]}_{own}"
+            taken.add(name)
+            yield item_no, target, name
+
+    return ordered_fold(pictures.select(*keys, F.col("item_no").cast("long").alias("item_no"), "target"), keys, ["item_no", "target"], [], "item_no long, target string, name string", fold)
+
+
+_PICTURE = re.compile(r"<(?:img|image)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.I)
+_SOURCE = re.compile(r"""(\s(?:src|xlink:href|href)\s*=\s*)("[^"]*"|'[^']*')""", re.I)
+
+
+def _target(here: str, said: str) -> str:
+    return posixpath.normpath(posixpath.join(posixpath.dirname(here), unquote(said)))
+
+
+def picture_references(parts: DataFrame, keys: list[str], part: str = "part_no") -> DataFrame:
+    """``keys, part, said, target`` of the distinct pictures that each part (keys, part, source, markup) shows."""
+    given = parts.select(*keys, part, "source", "markup")
+    schema = T.StructType([*[given.schema[c] for c in (*keys, part)], T.StructField("said", T.StringType()), T.StructField("target", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, found = [], []
+            for i, (here, markup) in enumerate(zip(batch.column("source").to_pylist(), batch.column("markup").to_pylist())):
+                said = dict.fromkeys(m[2][1:-1] for tag in _PICTURE.finditer(markup or "") for m in _SOURCE.finditer(tag[0]))
+                rows += [i] * len(said)
+                found += [(x, _target(here or "", x)) for x in said]
+            of = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(of) for c in (*keys, part)], *(pa.array([x[k] for x in found], pa.string()) for k in (0, 1))], schema.fieldNames())
+
+    return given.mapInArrow(run, schema)
+
+
+def with_pictures(parts: DataFrame, names: DataFrame, keys: list[str], part: str = "part_no", folder: str = "Images/") -> DataFrame:
+    """Parts whose pictures are those in ``folder``, by the names that all parts of a book share.
+
+    A join on book and target gives each part its own renames; pictures that
+    the book does not list stay as they are.
+    """
+    renamed = picture_references(parts, keys, part).join(names.select(*keys, "target", "name"), [*keys, "target"])
+    own = renamed.groupBy(*keys, part).agg(F.map_from_entries(F.collect_set(F.struct("said", "name"))).alias("__names"))
+    joined, columns = parts.join(own, [*keys, part], "left"), parts.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for markup, named in zip(batch.column("markup").to_pylist(), batch.column("__names").to_pylist()):
+                new = dict(named or [])
+                put = lambda m, new=new: m[1] + m[2][0] + (folder + new[m[2][1:-1]] if m[2][1:-1] in new else m[2][1:-1]) + m[2][0]
+                made.append(_PICTURE.sub(lambda tag, put=put: _SOURCE.sub(put, tag[0]), markup) if new else markup)
+            yield pa.RecordBatch.from_arrays([pa.array(made, pa.string()) if c == "markup" else batch.column(c) for c in columns], columns)
+
+    return joined.select(*columns, "__names").mapInArrow(run, parts.schema)
+
+
 def metadata(files: DataFrame) -> DataFrame:
     """Dublin Core elements of the package file: ``path, key, value``."""
 
