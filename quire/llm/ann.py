@@ -16,6 +16,7 @@ is exact for every table; the trees only decide how much is scored for it.
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -263,11 +264,15 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, search: int = SEARCH,
 
     Nearest is the largest inner product, ties to the smaller vec_id.  Defined
     cases: vectors that are null, zero or have null or non-finite components
-    take no part, nor do those not of the most frequent length; equal vectors
-    are one point of the index, which keeps its k + 1 smallest vec_ids (no
-    more can be in a result); rows that repeat a vec_id with one vector are one
-    row; with k or fewer others all are returned; no rows give no rows; other
-    columns are ignored.
+    take no part; a query is compared with the vectors of its own length, and
+    each length has its own index; equal vectors are one point of the index,
+    which keeps its k + 1 smallest vec_ids (no more can be in a result); rows
+    that repeat a vec_id with one vector are one row; with k or fewer others
+    all are returned; no rows give no rows; other columns are ignored.
+
+    The scores of the k + 1 best points are added up once more in the order of
+    the components, so equal products rank by vec_id whatever block they were
+    found in.
 
     ``search`` is how many candidates the trees give a query for its bound; the
     result does not depend on it.
@@ -281,12 +286,15 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, search: int = SEARCH,
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(column).cast("array<double>").alias("v")).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("v", lambda x: x != 0)
     v = v.filter(fine).withColumn("dim", F.size("v"))
-    top = v.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if top is None:
-        return empty
-    dim = top["dim"]
-    v = v.filter(F.col("dim") == dim).select("vec_id", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2")).distinct()
+    lengths = [r["dim"] for r in v.select("dim").distinct().orderBy("dim").collect()]
+    found = [_nearest_of(v.filter(F.col("dim") == dim), dim, kind, queries, k, search) for dim in lengths]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+
+
+def _nearest_of(v: DataFrame, dim: int, kind: str, queries: str, k: int, search: int) -> DataFrame:
+    """``nearest`` over vectors (vec_id, v) of one length."""
+    spark = v.sparkSession
+    v = v.select("vec_id", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2")).distinct()
     points = cut(v.groupBy("h1", "h2").agg(F.min("vec_id").alias("p"), F.min_by("v", "vec_id").alias("v"), F.max(F.expr(queries)).alias("asked")))
     by_point = Window.partitionBy("h1", "h2").orderBy("vec_id")
     members = v.select("h1", "h2", "vec_id").withColumn("nth", F.row_number().over(by_point)).filter(F.col("nth") <= k + 1)
@@ -375,6 +383,9 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, search: int = SEARCH,
     rest = _completed(points, bounds, forest[0], largest, dim, k)
     every = first.union(rest).groupBy("q", "p").agg(F.max("score").alias("score"))
     kept = cut(every.withColumn("nth", F.row_number().over(near)).filter(F.col("nth") <= k + 1).select("q", "p", "score"))
+    vector = lambda name, at: points.select(F.col("p").alias(at), F.col("v").alias(name))
+    product = F.aggregate(F.zip_with("__a", "__b", lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
+    kept = kept.join(vector("__a", "p"), "p").join(vector("__b", "q"), "q").select("q", "p", product.alias("score"))
     # A point's results are found once, and all rows equal to it get them, without themselves.
     few = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     listed = cut(kept.join(members, "p").select("q", "vec_id", "score").withColumn("nth", F.row_number().over(few)).filter(F.col("nth") <= k + 1).select("q", "vec_id", "score"))
