@@ -144,11 +144,25 @@ def _iban(text: str, feistel: Feistel) -> str | None:
     return _filled(text, plain[:2] + f"{98 - _mod97(body + plain[:2] + '00'):02d}" + body)
 
 
+#: Country calling codes of one and of two digits; all others have three.
+_CODES_1 = "1 7".split()
+_CODES_2 = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+
+
+def _country_code(text: str) -> int:
+    """Where the number after ``+`` and a country's code begins: what a separator ends, or else the code that the digits begin with; 0 without one."""
+    m = re.match(r"\+(\d+)", text)
+    if not m:
+        return 0
+    if len(m[1]) <= 3 and m.end() < len(text):
+        return m.end()
+    return 1 + (1 if m[1][:1] in _CODES_1 else 2 if m[1][:2] in _CODES_2 else 3)
+
+
 def _phone(text: str, feistel: Feistel) -> str | None:
     if not 7 <= sum(c.isdigit() for c in text) <= 15:
         return None
-    code = re.match(r"\+\d{1,3}(?=[ .(-])", text)
-    at = code.end() if code else 0
+    at = _country_code(text)
     digits = "".join(c for c in text[at:] if c.isdigit())
     return text[:at] + _filled(text[at:], _permuted(digits, feistel, "phone"))
 

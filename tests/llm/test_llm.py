@@ -692,3 +692,36 @@ def test_mixing_takes_the_largest_share():
         rates = np.clip(1 - masses / masses.sum(1, keepdims=True) @ u, 0, 1)
         assert np.allclose(masses.T @ rates, got * w * most, rtol=0.002)
     assert mixing._attainable(masses, np.array([0.2, 0.8]) * 100, 1.0)[0] == mixing.UNMET_SHARE
+
+
+def test_vectors_of_several_lengths_and_ties(spark):
+    """Each query meets the vectors of its length; products that are equal but for rounding in blocks rank by vec_id."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8 if i % 3 else 5).tolist()) for i in range(90)]
+    base = rng.normal(size=8)
+    for i in range(12):  # one length, permuted in pairs that leave the product with the query as it is
+        turned = base.copy()
+        turned[[0, 1]] = turned[[1, 0]] if i % 2 else turned[[0, 1]]
+        rows.append((200 + i, (turned * 3).tolist()))
+    rows.append((100, np.array([2.0, 2.0, *base[2:]]).tolist()))
+    out = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 20 = 0", k=6).collect()
+    vectors = dict(rows)
+    for q in (0, 20, 40, 60, 80, 100, 200):
+        got = [(r["vec_id"], r["score"]) for r in sorted((r for r in out if r["query_id"] == q), key=lambda r: r["rank"])]
+
+        def product(i, q=q):
+            total = 0.0
+            for x, y in zip(vectors[i], vectors[q]):
+                total += x * y
+            return total
+
+        want = sorted(((-product(i), i) for i, v in rows if i != q and len(v) == len(vectors[q])))[:6]
+        assert got == [(i, -s) for s, i in want]
+
+
+def test_phones_of_one_number_are_linked():
+    """With a country's code before a separator or not, and without one, a number becomes the same."""
+    feistel = pii.Feistel(b"key")
+    digits = lambda t: "".join(c for c in pii._phone(t, feistel) if c.isdigit())
+    for one, code in (("+15551234567", "1"), ("+1 555 123 4567", "1"), ("+1-(555)-123-4567", "1"), ("+445551234567", "44"), ("+3545551234567", "354"), ("+354 555 123 4567", "354")):
+        assert digits(one) == code + digits("555 123 4567")
