@@ -248,7 +248,7 @@ def apostrophes(text: Column) -> Column:
 
 
 def _apostrophes(text: Column) -> Column:
-    chars = F.split(text, "(?!^)(?=[\\s\\S])")
+    chars = F.split(text, "")
     latin = "[A-Za-zÀ-ɏ]"
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("depth"), F.lit(1).alias("at"))
 

@@ -16,7 +16,7 @@ def char_counts(df: DataFrame, column: str, keys: list[str]) -> DataFrame:
     The characters of a row are counted before they meet those of others, so
     the shuffle holds a row for each key, character and task.
     """
-    chars = df.select(*keys, F.explode(F.split(visible(F.coalesce(F.col(column), F.lit(""))), "(?!^)(?=[\\s\\S])")).alias("ch"))
+    chars = df.select(*keys, F.explode(F.split(visible(F.coalesce(F.col(column), F.lit(""))), "")).alias("ch"))
     return chars.filter("ch <> ''").groupBy(*keys, "ch").agg(F.count("*").alias("n"))
 
 
@@ -87,10 +87,11 @@ def repair_difference(df: DataFrame, before: Column, after: Column, keys: list[s
     A row that the repair leaves alone gives its characters once, for both
     sides; only others give the repaired ones too.
     """
-    chars = lambda t, src, out: F.transform(F.split(visible(t), "(?!^)(?=[\\s\\S])"), lambda c: F.struct(c.alias("ch"), F.lit(src).alias("s"), F.lit(out).alias("o")))
+    side = lambda t, src, out: F.struct(F.split(visible(F.col(t)), "").alias("chars"), F.lit(src).alias("s"), F.lit(out).alias("o"))
     both = df.select(*keys, F.coalesce(before, F.lit("")).alias("a"), F.coalesce(after, F.lit("")).alias("b"))
-    found = F.when(F.col("a") == F.col("b"), chars("a", 1, 1)).otherwise(F.concat(chars("a", 1, 0), chars("b", 0, 1)))
-    counted = both.select(*keys, F.explode(found).alias("x")).filter("x.ch <> ''").groupBy(*keys, "x.ch").agg(F.sum("x.s").cast("long").alias("n_src"), F.sum("x.o").cast("long").alias("n_out"))
+    sides = F.when(F.col("a") == F.col("b"), F.array(side("a", 1, 1))).otherwise(F.array(side("a", 1, 0), side("b", 0, 1)))
+    found = both.select(*keys, F.inline(sides)).select(*keys, F.explode("chars").alias("ch"), "s", "o").filter("ch <> ''")
+    counted = found.groupBy(*keys, "ch").agg(F.sum("s").cast("long").alias("n_src"), F.sum("o").cast("long").alias("n_out"))
     more = lambda x, y: F.greatest(F.col(x) - F.col(y), F.lit(0))
     return counted.select(*keys, "ch", "n_src", "n_out", more("n_src", "n_out").alias("missing"), more("n_out", "n_src").alias("extra"))
 
@@ -117,7 +118,7 @@ def report_rows(blocks: DataFrame, keys: list[str]) -> DataFrame:
 
 def codepoints(df: DataFrame, column: str, ranges: list[tuple[int, int]]) -> DataFrame:
     """Distinct code points of a corpus and of fixed ranges."""
-    used = df.select(F.explode(F.split(column, "(?!^)(?=[\\s\\S])")).alias("ch")).filter("ch <> ''").distinct().select(codepoint("ch").alias("cp"))
+    used = df.select(F.explode(F.split(column, "")).alias("ch")).filter("ch <> ''").distinct().select(codepoint("ch").alias("cp"))
     for a, b in ranges:
         used = used.union(df.sparkSession.range(a, b + 1).select(F.col("id").alias("cp")))
     return used.distinct()

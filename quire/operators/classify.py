@@ -64,7 +64,7 @@ def legal_breaks(text: Column) -> Column:
 
         return F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(c) - 1)), may)
 
-    chars = F.split(text, "(?!^)(?=[\\s\\S])")
+    chars = F.split(text, "")
     return F.when(F.length(text) < 2, F.array().cast("array<int>")).otherwise(bound(chars, places))
 
 

@@ -83,7 +83,7 @@ def missing_pieces(items: DataFrame, corpus: DataFrame, size: int = 12, share: f
     docs = corpus.select("doc_id", strip("text").alias("t")).filter("t <> ''")
     heads = docs.select("doc_id", F.substr("t", F.lit(1), F.lit(size - 1)).alias("head"), F.length("t").alias("n"))
     follow = _following(heads, size - 1)
-    chars = F.split(F.concat("t", F.coalesce("after", F.lit(""))), "(?!^)(?=[\\s\\S])")
+    chars = F.split(F.concat("t", F.coalesce("after", F.lit(""))), "")
     rolling = docs.join(follow, "doc_id").select(F.explode(bound(chars, lambda c: windows(c, size, ""))).alias("piece"))
     have = rolling.join(wanted, "piece", "left_semi").distinct()
     judged = pieces.join(have.withColumn("here", F.lit(1)), "piece", "left")

@@ -115,7 +115,7 @@ def script_variants(df: DataFrame, text: str, variants: DataFrame) -> DataFrame:
     The table is a parameter (a converter's character map, a few thousand
     rows); a text's characters meet it by an equi-join after they are counted.
     """
-    chars = df.select("loc", F.explode(F.split(text, "(?!^)(?=[\\s\\S])")).alias("ch")).groupBy("ch").agg(F.count("*").alias("n"), F.min("loc").alias("first"))
+    chars = df.select("loc", F.explode(F.split(text, "")).alias("ch")).groupBy("ch").agg(F.count("*").alias("n"), F.min("loc").alias("first"))
     return chars.join(variants.select(F.col("variant").alias("ch"), "usual"), "ch")
 
 
