@@ -254,9 +254,11 @@ def _apostrophes(text: Column) -> Column:
 
     def fold(a: Column, c: Column) -> Column:
         rest = F.substr(text, a["at"] + 1, F.lit(3))
-        between = a["out"].rlike(latin + "$") & rest.rlike("^" + latin)
-        closes = between & (a["depth"] > 0) & a["out"].rlike(latin + "{3,}$") & ~rest.rlike("^(?:s|t|d|m|ll|re|ve)(?![A-Za-zÀ-ɏ])")
-        leading = ~a["out"].rlike(latin + "$") & (a["out"].rlike("(?:^|[ \\t\\n　(（\\[])$")) & rest.rlike("^" + latin) & (a["depth"] == 0)
+        near = F.right(a["out"], F.lit(3))  # what stands before; never the whole text
+        after_latin = near.rlike(latin + "$")
+        between = after_latin & rest.rlike("^" + latin)
+        closes = between & (a["depth"] > 0) & near.rlike(latin + "{3}$") & ~rest.rlike("^(?:s|t|d|m|ll|re|ve)(?![A-Za-zÀ-ɏ])")
+        leading = ~after_latin & (near.rlike("(?:^|[ \\t\\n　(（\\[])$")) & rest.rlike("^" + latin) & (a["depth"] == 0)
         mark = c == "’"
         quiet = mark & ((between & ~closes) | leading)
         depth = F.when(c == "‘", a["depth"] + 1).when(mark & ~quiet, F.greatest(F.lit(0), a["depth"] - 1)).otherwise(a["depth"])
