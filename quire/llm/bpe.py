@@ -178,6 +178,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, full: bool = True) ->
                 columns = [pa.array(x, t) for x, (_, t) in zip(zip(*rows), fields)]
                 yield pa.RecordBatch.from_arrays([docs_in.slice(a, b - a), *columns], ["doc_id", *(n for n, _ in fields)])
         coder.chunks.clear()
+        coder.words.clear()  # other tasks of this worker may be of other stages
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<long>, decoded string" if full else "")
     return docs.selectExpr("CAST(doc_id AS long) AS doc_id", "CAST(text AS string) AS text").mapInArrow(released(run), schema)

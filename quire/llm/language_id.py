@@ -307,6 +307,7 @@ def labelled(docs: DataFrame, crf: Crf | None = None, carry: list[str] | None =
                 carried = [batch.column(c).slice(at, len(part)) for c in carry]
                 yield pa.RecordBatch.from_arrays([*carried, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(fits, pa.float64())], names)
                 at += len(part)
+        _BUCKETS.clear()  # other tasks of this worker may be of other stages
 
     schema = T.StructType([docs.schema[c] for c in carry] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("fit", T.DoubleType())])
     return docs.select(*carry, F.col("text").cast("string").alias(text)).mapInArrow(released(run), schema)
