@@ -142,7 +142,7 @@ SELECT doc_id, bi::INT AS bi, CASE k WHEN 0 THEN regexp_replace(line, '^第一
 def t12(spark: SparkSession, d: str) -> DataFrame:
     b = cjk_blocks(spark, d).filter((F.col("line") != "") & F.col("line").rlike("^[一-鿿a-zA-Z]"))
     line = F.concat(F.get(F.lit(_HEADS), F.col("bi") % 8), "line")
-    return b.select("doc_id", "bi", X.regap_heading(line).alias("line"))
+    return b.select("doc_id", "bi", X.regap_heading(line, untitled=True).alias("line"))
 
 
 @query("t13_dedupe_title", f"""
