@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import index_model as IM
@@ -98,6 +98,13 @@ def _place_of(page: str) -> str:
     return _let(f"list_reduce(list_transform(range(41), lambda {i}: {whole}), lambda {s}, {next(_names)}: {step})", lambda x: f"({x}.lo + {x}.hi) / 2")
 
 
+def _rounded(value: Column | str, digits: int) -> Column:
+    """As SQL rounds a double: the product with a power of ten, halves away from zero; ``F.round`` goes by the decimal spelling."""
+    wide = F.abs(value) * 10.0**digits
+    whole = F.floor(wide).cast("double")
+    return F.signum(value) * (whole + F.when(wide - whole >= 0.5, 1.0).otherwise(0.0)) / 10.0**digits
+
+
 def _series(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     words = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "w"))
     module = F.floor(F.col("pos") / _WORDS)
@@ -117,7 +124,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY miss) AS k,
 SELECT doc_id, max(n) AS n, round(avg((miss <= 0.5)::INT), 6) AS half, round(avg((miss <= 1)::INT), 6) AS one, round(avg((miss <= 2)::INT), 6) AS two, round(max(CASE WHEN k = n // 2 + 1 THEN miss END), 6) AS med FROM ranked GROUP BY doc_id""")
 def i14e(spark: SparkSession, d: str) -> DataFrame:
     errors = PM.leave_one_out(_series(spark, d)[1].select("doc_id", "module", "off", "page"), ["doc_id"])
-    return errors.select("doc_id", "n", *[F.round(c, 6).alias(c) for c in ("half", "one", "two", "med")])
+    return errors.select("doc_id", "n", *[_rounded(c, 6).alias(c) for c in ("half", "one", "two", "med")])
 
 
 #: References: a word that ties a page, some on another page than its own, some over a range of pages.
@@ -151,7 +158,7 @@ def i9p(spark: SparkSession, d: str) -> DataFrame:
     occurrences = words.join(refs.select("doc_id", F.col("term").alias("w")).distinct(), ["doc_id", "w"]).select("doc_id", "module", F.col("w").alias("term"), "off")
     modules = words.groupBy("doc_id", "module").agg((F.count("*") * 18.0).alias("length"))
     out = PM.resolve(refs, tied.select("doc_id", "module", "off", "page"), occurrences, ["doc_id"], modules)
-    return out.select("doc_id", "ref", F.coalesce("module", F.lit(-1)).cast("long").alias("module"), *[F.coalesce(F.round(c, 1), F.lit(-1.0)).alias(c) for c in ("off", "upto")], "method")
+    return out.select("doc_id", "ref", F.coalesce("module", F.lit(-1)).cast("long").alias("module"), *[F.coalesce(_rounded(c, 1), F.lit(-1.0)).alias(c) for c in ("off", "upto")], "method")
 
 
 #: An index stands before each document's text, a line for each block with a label in the end, as module 0; pages hold 300 characters.

@@ -15,7 +15,7 @@ from ..operators.folding import ordered_fold
 from ..registry import query
 from ..sources.tables import BLOCKS, blocks
 from .cjk_queries import nested
-from .index_queries import _SERIES, _by_map, _place_of, _series
+from .index_queries import _SERIES, _by_map, _place_of, _rounded, _series
 
 
 @query("p15_apostrophes", f"""
@@ -86,7 +86,7 @@ def _maps(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 WITH {_MAPPED} SELECT doc_id, module::BIGINT AS module, start::DOUBLE AS start, own::BIGINT AS own, round(dens, 6) AS dens, round(coalesce(slope * 1000, -1), 6) AS slope, round(coalesce(line, -1), 4) AS line FROM maps""")
 def i5(spark: SparkSession, d: str) -> DataFrame:
     maps = _maps(spark, d)[0]
-    return maps.select("doc_id", "module", "start", "own", F.round("dens", 6).alias("dens"), F.round(F.coalesce(F.col("slope") * 1000, F.lit(-1.0)), 6).alias("slope"), F.round(F.coalesce("line", F.lit(-1.0)), 4).alias("line"))
+    return maps.select("doc_id", "module", "start", "own", _rounded("dens", 6).alias("dens"), _rounded(F.coalesce(F.col("slope") * 1000, F.lit(-1.0)), 6).alias("slope"), _rounded(F.coalesce("line", F.lit(-1.0)), 4).alias("line"))
 
 
 @query("i7_places_of_pages", f"""
@@ -97,4 +97,4 @@ def i7(spark: SparkSession, d: str) -> DataFrame:
     maps, kept = _maps(spark, d)
     asked = maps.select("doc_id", "module", F.explode(F.sequence(F.lit(0), F.lit(57), F.lit(3))).alias("p")).select("doc_id", "module", (F.col("p") + 0.5).alias("asked"), F.lit(True).alias("page_asked"))
     found = PM.answered(maps, kept, asked, ["doc_id"]).filter("found IS NOT NULL")
-    return found.select("doc_id", "module", F.col("asked").alias("page"), F.round("found", 1).alias("place"))
+    return found.select("doc_id", "module", F.col("asked").alias("page"), _rounded("found", 1).alias("place"))

@@ -1,5 +1,8 @@
 """Queries agree with their SQL on rows that the smallest tables do not hold."""
 
+import functools
+import operator
+
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -31,3 +34,77 @@ def test_heading_of_a_letter_alone(spark, tmp_path):
     lines = ["x"] * 6 + ["A.", "x", "A.", "x", "A.", "A.", "A.", "A.", "A. ", "x"] + ["x"] * 6 + ["A. b", "A.", "Ab."]
     got = agree(spark, tmp_path, "t12_regap_heading", documents=[{"doc_id": 1, "lang": "en", "source": "s", "text": "\n".join(lines)}])
     assert ("6", "1", "A.\u2002") in got
+
+
+def test_rounding_as_in_sql(spark):
+    """Halves go by the product with the power of ten, not by the number's spelling."""
+    from quire.plans.index_queries import _rounded
+
+    values = [1.005, 78.15, -78.15, 0.285, 2.5, -2.5, 0.0, 1.45, 8.345]
+    for digits in (0, 1, 2):
+        got = [r[0] for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").orderBy("i").select(_rounded("v", digits)).collect()]
+        assert got == [duckdb.execute("SELECT round(?::DOUBLE, ?)", [v, digits]).fetchone()[0] for v in values]
+
+
+def test_pages_to_the_last_bit():
+    """Sums go anchor by anchor and powers are the C library's, so pages are those of plain arithmetic, however many are asked at once."""
+    import math
+
+    import numpy as np
+
+    from quire.operators import page_maps as PM
+
+    def plain(values):
+        return functools.reduce(operator.add, values, 0.0)  # ``sum`` carries the rounding errors along
+
+    def line(s):
+        total = plain(w for _, _, w in s)
+        mx, my = plain(w * x for x, _, w in s) / total, plain(w * y for _, y, w in s) / total
+        b = plain(w * (x - mx) * (y - my) for x, y, w in s) / plain(w * (x - mx) * (x - mx) for x, _, w in s)
+        return my - b * mx, b, mx, my
+
+    def page(xs, ys, dens, at):
+        near = sorted((abs(x - at), x, y) for x, y in zip(xs, ys))[:10]
+        s = [(x - at, y, math.pow(1 - math.pow(d / (near[-1][0] + 1.0), 3), 3)) for d, x, y in near]
+        for _ in range(3):
+            a, b, *_ = line(s)
+            miss = [abs(y - a - b * x) for x, y, _ in s]
+            m = sorted(miss)[len(s) // 2]
+            s = [(x, y, w * math.pow(max(0.0, 1 - math.pow(e / (6 * m + 0.05), 2)), 2)) for (x, y, w), e in zip(s, miss)]
+            s = [p for p in s if p[2] > 0]
+        a, b, mx, my = line(s)
+        if not 0.2 / dens < b < 5 / dens:
+            return near[0][2] + (at - near[0][1]) / dens
+        k = min(1.0, (max(x for x, *_ in s) - min(x for x, *_ in s)) / (8 * dens))
+        return my - (k * b + (1 - k) / dens) * mx
+
+    rnd = np.random.default_rng(3)
+    x = np.sort(rnd.integers(0, 30_000, 40).astype(float))
+    y = np.sort(np.floor(x / 650 + rnd.normal(0, 0.4, 40))) + 0.5
+    at, module = rnd.integers(0, 30_000, 500).astype(float), PM.Map(x, y, 650.0, 30_000)
+    want = [page(x.tolist(), y.tolist(), 650.0, v) for v in at.tolist()]
+    assert module.pages(at).tolist() == want
+    assert [module.pages(at[k : k + 1])[0] for k in range(50)] == want[:50]
+
+
+def test_questions_to_modules_that_go_on():
+    """Modules and their questions may be cut anywhere when a task takes rows in pieces."""
+    from quire.operators import page_maps as PM
+
+    rows = []
+    for book in (1, 2, 3):
+        rows.append((book, 0, 0, 0, 0.0, 0.0, 700.0, 9000.0, 0.0, None, None))
+        rows += [(book, 0, 0, 1, 700.0 * k, k + 0.5, *[None] * 5) for k in range(12)]
+        rows += [(book, 0, 0, 2, 100.0 * k, how, *[None] * 5) for k in range(9) for how in (0.0, 1.0)]
+    names = ["book", "module", "part", "kind", "x", "y", "dens", "length", "start", "line", "slope"]
+    types = [pa.int64()] * 4 + [pa.float64()] * 7
+    table = lambda some: pa.table([pa.array(c, t) for c, t in zip(zip(*some), types)], names)
+    schema = pa.schema([("book", pa.int64()), ("module", pa.int64()), ("page_asked", pa.bool_()), ("asked", pa.float64()), ("found", pa.float64())])
+    whole, _ = PM._answers(table(rows), ["book"], ["book", "module", "part"], schema)
+    assert whole.num_rows == 54 and whole.column("found").null_count < 54
+    for size in (1, 5, 17, 40):
+        got, left = [], table(rows[:1]).slice(0, 0)
+        for a in range(0, len(rows), size):
+            told, left = PM._answers(pa.concat_tables([left, table(rows[a : a + size])]), ["book"], ["book", "module", "part"], schema)
+            got += told.to_pylist()
+        assert got == whole.to_pylist()
