@@ -108,3 +108,40 @@ def test_questions_to_modules_that_go_on():
             told, left = PM._answers(pa.concat_tables([left, table(rows[a : a + size])]), ["book"], ["book", "module", "part"], schema)
             got += told.to_pylist()
         assert got == whole.to_pylist()
+
+
+def test_longest_chain_looks_back_only_as_far_as_it_may_matter():
+    """The same rows as from looking at all rows before each one, and a long module in time that grows with it."""
+    import time
+
+    import numpy as np
+
+    from quire.operators import page_maps as PM
+
+    def plain(at, page, module):
+        length, before = np.ones(len(at), int), np.full(len(at), -1)
+        for j in range(1, len(at)):
+            forward, turned = at[j] - at[:j], page[j] - page[:j]
+            most = forward / PM.DENSE_MIN + PM.SLACK + PM.CHAPTER_GAP * (module[:j] != module[j])
+            reaches = np.where((turned >= 0) & (turned <= most) & (turned >= forward / PM.DENSE_MAX - 1.0), length[:j], 0)
+            if reaches.any():
+                before[j] = reaches.argmax()
+                length[j] = reaches[before[j]] + 1
+        out, j = [], int(length.argmax()) if len(at) else -1
+        while j >= 0:
+            out.append(j)
+            j = int(before[j])
+        return out[::-1]
+
+    rnd = np.random.default_rng(9)
+    for n in (0, 1, 5, 60, 400, 1500):
+        for noise in (0, 3, 40):
+            at = np.sort(rnd.integers(0, 100 * n + 1, n).astype(float))
+            page = np.floor(at / 700 + rnd.integers(-noise, noise + 1, n) * (rnd.random(n) < 0.4))
+            order = np.lexsort((page, at))
+            rows = at[order], page[order], np.floor(at[order] / 9000)
+            assert PM.longest_chain(*rows) == plain(*rows)
+    at = np.arange(60_000) * 60.0
+    began = time.perf_counter()
+    assert len(PM.longest_chain(at, np.floor(at / 700), np.zeros(len(at)))) == len(at)
+    assert time.perf_counter() - began < 5
