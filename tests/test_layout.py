@@ -306,3 +306,12 @@ def test_lines_of_many_texts_take_one_pass(monkeypatch):
     monkeypatch.setattr(L, "_codes", lambda text, codes=L._codes: passes.append(1) or codes(text))
     ((block, *_),) = L.lines_of(["some words " * 20] * 500, [26_000])
     assert len(set(block.tolist())) == 500 and len(passes) == 1
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(block, min_size=1, max_size=8), min_size=2, max_size=5))
+def test_plans_with_steps_kept(modules):
+    known = {}
+    for blocks in modules:
+        blocks[0].brk = False
+        assert L.solve(blocks, 10, known=known) == L.solve(blocks, 10)
