@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..model import PICTURE, RUN
 
@@ -263,15 +264,35 @@ def _replaced(runs: list[dict], found: list[tuple[int, int, str]]) -> list[dict]
 
 
 def fix_item_runs(items: DataFrame, rules: list[tuple[str, str] | Pattern]) -> DataFrame:
-    """Rules over the runs of items, in Arrow batches."""
+    """Rules over the runs of items, in Arrow batches.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Only the runs' texts and pictures are read; their other fields are taken along by number.
+    """
+    schema = T.StructType([*[f for f in items.schema.fields if f.name != "hits"], T.StructField("hits", T.ArrayType(T.IntegerType()))])
+    arrow = to_arrow_schema(schema)
+    kind = arrow.field("runs").type
+
+    def fixed_runs(column: pa.Array, fixed: list[list[dict]]) -> pa.Array:
+        flat, old = list(itertools.chain.from_iterable(fixed)), column.flatten()
+        kept = pa.array([r["at"] for r in flat], pa.int64())
+        made = [pa.array([r[f.name] for r in flat], f.type) if f.name in ("t", "i") else old.field(f.name).take(kept) for f in kind.value_type]
+        ends = pa.array([0, *itertools.accumulate(map(len, fixed))], pa.int32())
+        return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(made, fields=list(kind.value_type))).cast(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = _book(rules)
         for batch in batches:
-            fixed = [book.fix_runs([dict(r) for r in runs]) for runs in batch["runs"]]
-            yield batch.assign(runs=[f[0] for f in fixed], hits=[[f[1].get(k, 0) for k in range(len(rules))] for f in fixed])
-
-    return items.mapInPandas(run, T.StructType([*[f for f in items.schema.fields if f.name != "hits"], T.StructField("hits", T.ArrayType(T.IntegerType()))]))
+            column = batch.column("runs")
+            flat, at, done = column.flatten(), 0, []
+            ts, pictures = flat.field("t").to_pylist(), flat.field("i").to_pylist()
+            for n in column.value_lengths().to_pylist():
+                done.append(book.fix_runs([{"t": ts[k], "i": pictures[k], "at": k} for k in range(at, at + n)]))
+                at += n
+            hits = [[h.get(k, 0) for k in range(len(rules))] for _, h in done]
+            made = {"runs": lambda: fixed_runs(column, [r for r, _ in done]), "hits": lambda: pa.array(hits, arrow.field("hits").type)}
+            yield pa.RecordBatch.from_arrays([made[f.name]() if f.name in made else batch.column(f.name) for f in arrow], schema=arrow)
+
+    return items.mapInArrow(run, schema)
 
 
 def reorder(items: DataFrame, moves: DataFrame) -> DataFrame:
