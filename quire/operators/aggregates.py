@@ -51,15 +51,17 @@ def supported_extrema(df: DataFrame, keys: list[str], value: str, least: int = 5
 
 
 def char_census(df: DataFrame, column: str, pattern: str, order: list[str], context: int = 16) -> DataFrame:
-    """Characters of a class, how often they occur, and the first one by ``order`` with what is around it."""
-    pieces = F.split(F.regexp_replace(column, f"({pattern})", "\u0001$1"), "\u0001")
-    # A character's place is the length of all pieces before it.
-    w = Window.partitionBy(*order, "t").orderBy("pos")
-    sized = df.filter(F.col(column).rlike(pattern)).select(*order, F.col(column).alias("t"), F.posexplode(pieces).alias("pos", "piece"))
-    placed = sized.withColumn("at", F.sum(F.length("piece")).over(w) - F.length("piece") + 1).filter("pos > 0")
-    near = F.substr("t", F.greatest(F.lit(1), F.col("at") - context).cast("int"), (F.least(F.col("at") - 1, F.lit(context)) + context + 1).cast("int"))
-    ch = F.left("piece", F.lit(1))
-    return placed.groupBy(ch.alias("ch")).agg(F.count("*").alias("n"), F.min_by(near, F.struct(*order, "pos")).alias("context"))
+    """Characters of a class, how often they occur, and the first one by ``order`` with what is around it.
+
+    A line gives a row for each different character of the class, with its count and its first place; no row holds a line.
+    """
+    t, ch = F.col("__t"), F.col("ch")
+    found = F.array_distinct(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)))
+    per_line = df.filter(F.col(column).rlike(pattern)).select(*order, F.col(column).alias("__t")).select(*order, "__t", F.explode(found).alias("ch"))
+    counted = per_line.withColumn("n", F.length(t) - F.length(F.replace(t, ch, F.lit("")))).withColumn("at", F.position(ch, t))
+    near = F.substr(t, F.greatest(F.lit(1), F.col("at") - context), F.least(F.col("at") - 1, F.lit(context)) + context + 1)
+    small = counted.select(*order, "ch", "n", "at", near.alias("near"))
+    return small.groupBy("ch").agg(F.sum("n").cast("long").alias("n"), F.min_by("near", F.struct(*order, "at")).alias("context"))
 
 
 def picture_use(items: DataFrame, context: int = 16) -> DataFrame:
