@@ -117,9 +117,13 @@ def split_spans(text: Column, kind: str) -> Column:
 
 
 def expand_pictures(runs: DataFrame, transcriptions: DataFrame, keep_missing: bool = True) -> DataFrame:
-    """Runs (one a row) whose picture has a transcription take its text; others stay or are dropped."""
+    """Runs (one a row) whose picture has a transcription take its text; others stay or are dropped.
+
+    Runs without a picture meet nothing; they are dealt by what they hold, so that the join's shuffle has no task with all of them.
+    """
     t = transcriptions.select(F.col("i").alias("__i"), F.col("text").alias("__text"))
-    out = runs.join(t, F.col("i") == F.col("__i"), "left")
+    dealt = F.coalesce("i", F.xxhash64(*runs.columns).cast("string"))
+    out = runs.withColumn("__k", dealt).join(t, (F.col("__k") == F.col("__i")) & F.col("i").isNotNull(), "left").drop("__k")
     if not keep_missing:
         out = out.filter(F.col("i").isNull() | F.col("__text").isNotNull())
     return out.withColumn("t", F.coalesce("__text", "t")).withColumn("i", F.when(F.col("__text").isNull(), F.col("i"))).drop("__i", "__text")
