@@ -186,7 +186,8 @@ def i12(spark: SparkSession, d: str) -> DataFrame:
 
     def layout(lines: DataFrame) -> DataFrame:
         before = Window.partitionBy("doc_id", "module").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-        return lines.withColumn("page", F.floor(F.coalesce(F.sum(F.length("text") + 1).over(before), F.lit(0)) / 300))
+        sized = lines.select("doc_id", "module", "line_no", F.length("text").alias("n"))
+        return sized.withColumn("page", F.floor(F.coalesce(F.sum(F.col("n") + 1).over(before), F.lit(0)) / 300))
 
     out = IM.remap_to_fixpoint(index.union(b.select("doc_id", F.lit(1), "line_no", F.col("line"))), refs, places, layout, ["doc_id"])
     return out.filter("module = 0").select("doc_id", "line_no", "text", "converged")
