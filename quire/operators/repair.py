@@ -71,19 +71,21 @@ def restore_counts(df: DataFrame, text: str, rules: list[tuple[str, str]], bound
 
 
 def fix_run_edges(runs: Column) -> Column:
-    """A space at a border of runs before a closing mark goes, unless it parts two Latin words."""
+    """A space at a border of runs before a closing mark goes, unless it parts two Latin words.
+
+    Only runs with a space at an end are looked at closer; the others are passed on as they are.
+    """
     latin_end, latin_start = "[A-Za-z0-9À-ɏ.,;:!?)\\]’']$", "^[A-Za-z0-9À-ɏ(\\[‘“\"]"
 
     def fixed(rs: Column) -> Column:
         def one(r: Column, i: Column) -> Column:
             before, after = F.get(rs, i - 1), F.get(rs, i + 1)
-            t = r["t"]
+            t, gap = r["t"], F.lit(" ")
             word_space = (F.trim(t) == "") & F.coalesce(before["t"].rlike(latin_end) & after["t"].rlike(latin_start), F.lit(False))
-            opens = F.contains(F.lit(CLOSERS), F.substr(F.ltrim(t), F.lit(1), F.lit(1))) & (F.ltrim(t) != "") & (i > 0)
-            closed = F.coalesce(F.contains(F.lit(CLOSERS), F.substr(after["t"], F.lit(1), F.lit(1))) & (after["t"] != ""), F.lit(False))
-            t = F.when(opens & ~word_space, F.ltrim(t)).otherwise(t)
-            t = F.when(closed & ~word_space & r["i"].isNull(), F.rtrim(t)).otherwise(t)
-            return F.struct(t.alias("t"), *[r[f].alias(f) for f in "bshaicm"])
+            opens = F.startswith(t, gap) & (i > 0) & (F.ltrim(t) != "") & F.contains(F.lit(CLOSERS), F.left(F.ltrim(t), F.lit(1)))
+            closed = F.endswith(t, gap) & r["i"].isNull() & F.coalesce((after["t"] != "") & F.contains(F.lit(CLOSERS), F.left(after["t"], F.lit(1))), F.lit(False))
+            put = lambda t: F.struct(t.alias("t"), *[r[f].alias(f) for f in "bshaicm"])
+            return F.when(opens & ~word_space, F.when(closed, put(F.trim(t))).otherwise(put(F.ltrim(t)))).when(closed & ~word_space, put(F.rtrim(t))).otherwise(r)
 
         return F.filter(F.transform(rs, one), lambda r: r["t"] != "")
 
