@@ -115,6 +115,10 @@ def _series(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return words, tied
 
 
+def _modules(words: DataFrame) -> DataFrame:
+    return words.groupBy("doc_id", "module").agg((F.count("*") * 18.0).alias("length"))
+
+
 @query("i14_page_errors", f"""
 WITH {_SERIES}, beside AS (
   SELECT doc_id, off::DOUBLE AS off, y::DOUBLE AS y, list_concat(list({{'x': off::DOUBLE, 'y': y::DOUBLE}}) OVER (m ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING), list({{'x': off::DOUBLE, 'y': y::DOUBLE}}) OVER (m ROWS BETWEEN 1 FOLLOWING AND 10 FOLLOWING)) AS points
@@ -123,7 +127,8 @@ missed AS (SELECT doc_id, abs({_page_at("points", "dens", "off")} - y) AS miss F
 ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY miss) AS k, count(*) OVER (PARTITION BY doc_id) AS n FROM missed)
 SELECT doc_id, max(n) AS n, round(avg((miss <= 0.5)::INT), 6) AS half, round(avg((miss <= 1)::INT), 6) AS one, round(avg((miss <= 2)::INT), 6) AS two, round(max(CASE WHEN k = n // 2 + 1 THEN miss END), 6) AS med FROM ranked GROUP BY doc_id""")
 def i14e(spark: SparkSession, d: str) -> DataFrame:
-    errors = PM.leave_one_out(_series(spark, d)[1].select("doc_id", "module", "off", "page"), ["doc_id"])
+    words, tied = _series(spark, d)
+    errors = PM.leave_one_out(tied.select("doc_id", "module", "off", "page"), ["doc_id"], _modules(words))
     return errors.select("doc_id", "n", *[_rounded(c, 6).alias(c) for c in ("half", "one", "two", "med")])
 
 
@@ -156,8 +161,7 @@ def i9p(spark: SparkSession, d: str) -> DataFrame:
     low = F.col("page") + F.length("term") % 4 * 3
     refs = tied.select("doc_id", F.col("pos").cast("long").alias("ref"), "term", low.alias("low"), (low + F.when(F.length("term") % 5 == 0, 2).otherwise(0)).alias("high"))
     occurrences = words.join(refs.select("doc_id", F.col("term").alias("w")).distinct(), ["doc_id", "w"]).select("doc_id", "module", F.col("w").alias("term"), "off")
-    modules = words.groupBy("doc_id", "module").agg((F.count("*") * 18.0).alias("length"))
-    out = PM.resolve(refs, tied.select("doc_id", "module", "off", "page"), occurrences, ["doc_id"], modules)
+    out = PM.resolve(refs, tied.select("doc_id", "module", "off", "page"), occurrences, ["doc_id"], _modules(words))
     return out.select("doc_id", "ref", F.coalesce("module", F.lit(-1)).cast("long").alias("module"), *[F.coalesce(_rounded(c, 1), F.lit(-1.0)).alias(c) for c in ("off", "upto")], "method")
 
 

@@ -145,3 +145,10 @@ def test_longest_chain_looks_back_only_as_far_as_it_may_matter():
     began = time.perf_counter()
     assert len(PM.longest_chain(at, np.floor(at / 700), np.zeros(len(at)))) == len(at)
     assert time.perf_counter() - began < 5
+
+
+def test_modules_without_an_anchor(spark, tmp_path):
+    """Pages pass in modules without a long word; the anchors after them count, too."""
+    words = ["considerable" if k < 3000 or k >= 11_500 else "a" for k in range(13_000)]
+    got = agree(spark, tmp_path, "i14_page_errors", documents=[{"doc_id": k, "text": " ".join(words[: len(words) - k])} for k in range(3)])
+    assert len(got) == 3
