@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,10 +122,14 @@ def script_variants(df: DataFrame, text: str, variants: DataFrame) -> DataFrame:
 
 
 def unbalanced(text: Column) -> Column:
-    """The pairs of marks that do not occur equally often, as an array."""
-    count = lambda c: F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))
-    wrong = [F.when(count(a) != count(b), F.lit(a + b)) for a, b in PAIRS]
-    return F.filter(F.array(*wrong), lambda x: x.isNotNull())
+    """The pairs of marks that do not occur equally often, as an array; marks are counted among themselves, in texts that have any."""
+    marks = re.escape("".join(PAIRS))
+
+    def wrong(t: Column) -> Column:
+        count = lambda c: F.length(t) - F.length(F.replace(t, F.lit(c), F.lit("")))
+        return F.filter(F.array(*[F.when(count(a) != count(b), F.lit(a + b)) for a, b in PAIRS]), lambda x: x.isNotNull())
+
+    return F.when(text.rlike(f"[{marks}]"), bound(F.regexp_replace(text, f"[^{marks}]+", ""), wrong)).otherwise(F.array().cast("array<string>"))
 
 
 def known_wrong(df: DataFrame, words: DataFrame, text: str) -> DataFrame:

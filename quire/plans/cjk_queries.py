@@ -259,7 +259,9 @@ def d8(spark: SparkSession, d: str) -> DataFrame:
 WITH {CJK}, n AS (SELECT doc_id, bi, len(regexp_extract_all(line, '\\(')) AS a, len(regexp_extract_all(line, '\\)')) AS b, len(regexp_extract_all(line, '（')) AS e, len(regexp_extract_all(line, '）')) AS f FROM cjk)
 SELECT doc_id, bi::INT AS bi, trim(CASE WHEN e <> f THEN '（） ' ELSE '' END || CASE WHEN a <> b THEN '()' ELSE '' END) AS pairs FROM n WHERE a <> b OR e <> f""")
 def d5(spark: SparkSession, d: str) -> DataFrame:
-    b = cjk_blocks(spark, d).select("doc_id", "bi", D.unbalanced(F.col("line")).alias("p")).filter(F.size("p") > 0)
+    # A filter would go below the rewrite and make it anew for each mark.
+    wrong = F.filter(F.array(D.unbalanced(F.col("line"))), lambda p: F.size(p) > 0)
+    b = cjk_blocks(spark, d).select("doc_id", "bi", F.explode(wrong).alias("p"))
     return b.select("doc_id", "bi", F.array_join("p", " ").alias("pairs"))
 
 

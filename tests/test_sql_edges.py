@@ -152,3 +152,12 @@ def test_modules_without_an_anchor(spark, tmp_path):
     words = ["considerable" if k < 3000 or k >= 11_500 else "a" for k in range(13_000)]
     got = agree(spark, tmp_path, "i14_page_errors", documents=[{"doc_id": k, "text": " ".join(words[: len(words) - k])} for k in range(3)])
     assert len(got) == 3
+
+
+def test_marks_are_counted_in_one_rewrite(spark, tmp_path):
+    """A line is rewritten once, not for each mark and filter; pairs are those of the SQL, in nested and empty lines, too."""
+    lines = ["", "(", "()", ")) (", "a (b) c)", "（", "（)", "(）（", "no marks", "(" * 40 + ")" * 39]
+    got = agree(spark, tmp_path, "d5_unbalanced", documents=[{"doc_id": k, "lang": "en", "source": "s", "text": t} for k, t in enumerate(["\n".join(lines), "x\n" + "\n".join(lines), "", None])])
+    assert len(got) > 10
+    plan = registry.queries()["d5_unbalanced"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 2  # of even and odd lines
